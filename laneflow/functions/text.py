@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from laneflow.functions.numbers import fixed_point
+
 
 def ordinal(n: Column) -> Column:
     """1 -> 1st, 2 -> 2nd, 3 -> 3rd, 4 -> 4th, 11 -> 11th, 21 -> 21st."""
@@ -17,12 +19,6 @@ def ordinal(n: Column) -> Column:
     return F.concat(n.cast("string"), ending)
 
 
-def fixed_point(number: Column, places: int) -> Column:
-    """A number with `places` digits, exact ties to the even digit, no grouping."""
-    pattern = "0" if places == 0 else "0." + "0" * places
-    return F.call_function("format_number", number, F.lit(pattern))
-
-
 def window_line(lane: Column, index: Column, speed: Column) -> Column:
     """`(inbound, 3rd 5min, 72kmh)`; a null part is left out."""
     parts = F.concat_ws(

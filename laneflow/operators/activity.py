@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laneflow.config import SNAPSHOT_FRAMES
-from laneflow.functions.text import fixed_point
+from laneflow.functions.numbers import fixed_point
 from laneflow.operators.blocks import running_total
 from laneflow.schemas import LIVE_KEYS
 
@@ -30,13 +30,13 @@ def _next_snapshot(frame: Column, every: int) -> Column:
 
 def _snapshots(frames: DataFrame, every: int) -> DataFrame:
     """Every snapshot of every camera up to its last frame."""
-    last = frames.groupBy("camera_name").agg(F.max("frame_id").alias("_last"))
+    last = frames.groupBy("camera_name").agg(F.max("frame_id").alias("_last")).filter(F.col("_last") >= every)
     count = F.floor(F.col("_last") / every)
-    batch = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((count - 1) / _BATCH)))
-    nth = F.explode(F.sequence(F.col("_batch") * _BATCH + 1, F.least((F.col("_batch") + 1) * _BATCH, count)))
+    batches = F.sequence(F.lit(0).cast("long"), F.floor((count - 1) / _BATCH))
+    numbers = F.sequence(F.col("_batch") * _BATCH + 1, F.least((F.col("_batch") + 1) * _BATCH, count))
     return (
-        last.filter(F.col("_last") >= every).select("camera_name", "_last", batch.alias("_batch"))
-        .select("camera_name", (nth * every).cast("long").alias("frame_id"))
+        last.withColumn("_batch", F.explode(batches)).withColumn("_n", F.explode(numbers))
+        .select("camera_name", (F.col("_n") * every).cast("long").alias("frame_id"))
     )
 
 

@@ -11,7 +11,8 @@ from laneflow.config import CLASS_NAMES, FPS, HOT_ROWS, ROAD_PLANE, ZONE_MARGIN_
 from laneflow.functions.geometry import (
     KMH_PER_MS, class_name, corrected_distance, effect_percent, foot_point, kmh, naive_distance, project,
 )
-from laneflow.functions.text import fixed_point, speed_label
+from laneflow.functions.numbers import fixed_point
+from laneflow.functions.text import speed_label
 from laneflow.operators.blocks import HALO, in_blocks
 from laneflow.operators.tripwires import ORDER, by_frame, lap_seconds, mark_crossings, pair_crossings
 from laneflow.schemas import OFFLINE_KEYS

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from laneflow import schemas
 from laneflow.config import ALERT_KMH, ALERTS_TOPIC, STATS_TOPIC
+from laneflow.functions.numbers import to_places
 from laneflow.functions.timing import event_time
 
 _FIELDS = [f.name for f in schemas.VEHICLE_EVENT.fields]
@@ -32,7 +33,7 @@ def payload() -> Column:
     """The message of one event. Speed and time carry two digits."""
     rounded = {"speed_kmh", "timestamp_s"}
     return F.to_json(F.struct(*[
-        F.round(F.col(f).cast("double"), 2).alias(f) if f in rounded else F.col(f) for f in _FIELDS
+        to_places(F.col(f).cast("double")).alias(f) if f in rounded else F.col(f) for f in _FIELDS
     ]), {"ignoreNullFields": "false"})
 
 
