@@ -9,13 +9,14 @@ from laneflow import schemas
 from laneflow.config import ALERT_DEFAULTS, ALERT_KMH
 from laneflow.functions.text import alert_line, tracker_alert_line
 from laneflow.operators.blocks import running_total
+from laneflow.sources.messages import read_once
 
 
 def _read(raw: DataFrame, value_col: str, keep: tuple[str, ...]) -> DataFrame:
     """Messages with `raw_value`, their text fields, the speed as a number and `bad`, the reason to refuse."""
     value = F.col(value_col).cast("string")
     message = F.from_json(value, schemas.ALERT_MESSAGE, {"columnNameOfCorruptRecord": "_corrupt"})
-    rows = raw.select(*keep, value.alias("raw_value"), message.alias("d")).select(*keep, "raw_value", "d.*")
+    rows = raw.select(*keep, value.alias("raw_value"), read_once(message))
     speed = F.expr("try_cast(speed_kmh as double)")
     is_object = F.trim("raw_value").rlike(r"(?s)^\{.*\}$")
     finite = speed.isNotNull() & ~F.isnan(speed) & (F.abs(speed) < float("inf"))

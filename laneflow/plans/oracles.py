@@ -238,6 +238,8 @@ _Q6 = f"""
     select carriageway, window_index, round(avg(speed_kmh),0)::int as avg_speed_kmh
     from measured group by carriageway, window_index)
 """
+# Windows that a stream with a 5-minute watermark has given out by the end of the feed.
+_CLOSED = "window_index*300 <= (select max(sec) from measured) - 300"
 _VIOLATION = "((vehicle_type='truck' and speed_kmh>80) or (vehicle_type<>'truck' and speed_kmh>90))"
 
 ORACLES: dict[str, str] = {
@@ -404,6 +406,36 @@ ORACLES: dict[str, str] = {
           from clean a join clean b
             on a.camera_name=b.camera_name and a.side=b.side and b.frame_id=a.frame_id+1)
         where distance_px<=180""",
+    "stream_q1": f"""
+        with {_TRAFFIC}
+        select vehicle_id, carriageway, vehicle_type, speed_kmh, speed_source, segment from measured""",
+    "stream_q3": f"""
+        with {_TRAFFIC}
+        select carriageway, vehicle_type, count(*) as violation_count from measured
+        where {_VIOLATION} group by carriageway, vehicle_type""",
+    "stream_q4": f"""
+        with {_ALERTS}
+        select camera_name, vehicle_id, vehicle_type, printf('%.2f', speed_kmh)::double as speed_kmh, direction
+        from alerts""",
+    "stream_malformed": f"""
+        with {_ALERTS}
+        select case form when 'text' then 'not json' when 'array' then '[1, 2]'
+                    else '{{"vehicle_id":"'||vehicle_id||'","speed_kmh":"abc"}}' end as value,
+               case form when 'word' then 'speed is not a number' else 'not a JSON object' end as reason
+        from sent where form in ('text','array','word')""",
+    "stream_q5": f"""
+        with {_TRAFFIC}
+        select carriageway, count(distinct vehicle_id) as vehicle_count,
+               make_timestamp((window_index-1)::bigint*300000000) as window_start, window_index
+        from measured where {_CLOSED} group by carriageway, window_index""",
+    "stream_q6": f"""{_Q6}
+        select '('||carriageway||', '||window_index||{_ORDINAL.format(n='window_index')}||' 5min, '
+               ||avg_speed_kmh||'kmh)' as log_entry, carriageway, window_index, avg_speed_kmh
+        from mean where {_CLOSED}""",
+    "stream_resolved": f"""{_TRACK_SQL} {_RESOLVED}
+        select camera_name, side||track_id as vehicle_id, vehicle_type,
+               printf('%.2f', speed_kmh)::double as speed_kmh, direction, movement, speed_source
+        from resolved""",
     "segment_plan": """
         with videos as (
           select 'Downloads/clip.v1_'||doc_id||'.mp4' as video_name, 'clip.v1_'||doc_id as base,

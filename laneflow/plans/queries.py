@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from laneflow.functions.text import ordinal
 from laneflow.functions.timing import event_time
 from laneflow.operators import activity, alerts, detections, questions, road, segments, tracker, trajectories, tripwires
-from laneflow.plans import views
+from laneflow.plans import streams, views
 from laneflow.sources import cameras, messages
 
 DIGITS = 6
@@ -321,4 +321,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_tracks": assign_tracks,
     "segment_plan": segment_plan,
     "segment_assign": segment_assign,
+    "stream_q1": streams.stream_q1,
+    "stream_q2": streams.stream_q2,
+    "stream_q3": streams.stream_q3,
+    "stream_q4": streams.stream_q4,
+    "stream_malformed": streams.stream_malformed,
+    "stream_q5": streams.stream_q5,
+    "stream_q6": streams.stream_q6,
+    "stream_resolved": streams.stream_resolved,
+    "stream_tracks": streams.stream_tracks,
 }

@@ -67,7 +67,11 @@ def event_columns(events: DataFrame) -> DataFrame:
 
 def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert messages in arrival order (`event_id`), a few of them damaged, bare or with a speed as text."""
-    events = traffic_events(spark, sf_dir)
+    return message_columns(_events(spark, sf_dir))
+
+
+def message_columns(events: DataFrame) -> DataFrame:
+    events = event_columns(events)
     n, quote = F.col("event_id"), F.lit('{"vehicle_id":"')
     whole = F.struct("vehicle_id", "vehicle_type", "speed_kmh", "carriageway", "segment", "timestamp_s",
                      "speed_source")
@@ -114,8 +118,12 @@ def dense_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes, `BOXES_PER_FRAME` events to a frame."""
+    return detection_columns(_events(spark, sf_dir))
+
+
+def detection_columns(events: DataFrame) -> DataFrame:
     box = _box()
-    return _events(spark, sf_dir).select(
+    return events.select(
         _camera().alias("camera_name"),
         F.expr(f"event_id div {BOXES_PER_FRAME}").alias("frame_id"),
         _int(f"event_id % {BOXES_PER_FRAME}").alias("box_id"),

@@ -20,7 +20,16 @@ def decode_events(raw: DataFrame, value_col: str = "value", keep: tuple[str, ...
     `keep` names further columns of `raw` to carry along.
     """
     message = F.from_json(F.col(value_col).cast("string"), schemas.VEHICLE_EVENT)
-    return with_event_time(raw.select(*keep, message.alias("d")).select(*keep, "d.*"))
+    return with_event_time(raw.select(*keep, read_once(message)))
+
+
+def read_once(message: Column) -> Column:
+    """The fields of a decoded message as columns.
+
+    As a generator's output they are computed once per row; plain `d.*` would
+    decode the text again for every filter that is moved below the projection.
+    """
+    return F.inline(F.array(message))
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
