@@ -1,0 +1,205 @@
+"""Track operators: golden cases, and large tracks worked in blocks against a model."""
+
+import random
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+import brute
+from laneflow.config import Camera
+from laneflow.operators import blocks, trajectories, tripwires
+from laneflow.sources.cameras import cameras_dim, positions_calibrated
+
+CAMERA = Camera("cam", split=640, l1=100, l2=300, r1=700, r2=900, dist_m=28.0, px_per_m=16.0,
+                left_label="west", right_label="east")
+KEYS = ("camera_name", "side", "track_id")
+POSITION = ("camera_name string, side string, track_id long, frame_id long, cx int, cy int, coasting boolean, "
+            "vehicle_type string")
+
+
+def positions(spark, tracks, side="L", partitions=3):
+    """tracks: {track_id: [cx, ...] or {frame: cx}}"""
+    rows = []
+    for track, xs in tracks.items():
+        items = xs.items() if isinstance(xs, dict) else enumerate(xs, start=1)
+        rows += [Row(camera_name="cam", side=side, track_id=track, frame_id=f, cx=x, cy=0, coasting=False,
+                     vehicle_type="car") for f, x in items]
+    random.Random(1).shuffle(rows)
+    return spark.createDataFrame(rows, POSITION).repartition(partitions)
+
+
+def calibrated(spark, tracks, side="L", **kw):
+    return positions_calibrated(positions(spark, tracks, side, **kw), cameras_dim(spark, [CAMERA]))
+
+
+@pytest.mark.parametrize("variant,steps", [
+    ("x", {(99, 100): True, (100, 99): True, (100, 101): False, (101, 100): False}),
+    ("y", {(100, 101): True, (101, 100): True, (99, 100): False, (100, 99): False}),
+])
+def test_crossing_at_the_line(spark, variant, steps):
+    tracks = {i: list(step) for i, step in enumerate(steps)}
+    found = tripwires.tripwire_crossings(calibrated(spark, tracks), variant=variant).collect()
+    assert {r.track_id for r in found if r.crossed_1} == {i for i, hit in enumerate(steps.values()) if hit}
+
+
+def test_tripwire_speed(spark):
+    tracks = {
+        1: {1: 99, 2: 100, 23: 300},              # 21 frames: 120 km/h
+        2: {1: 90, 2: 310},                       # both lines in one step: line 1 only
+        3: {1: 90, 2: 310, 9: 290},               # back over line 2 later
+        4: {1: 250, 2: 310},                      # line 2 only
+        5: {1: 99},                               # one observation
+        6: {1: 310, 2: 290, 3: 90, 5: 110, 7: 301, 9: 200, 11: 400},
+    }
+    found = {r.track_id: r for r in tripwires.tripwire_speeds(calibrated(spark, tracks)).collect()}
+    assert set(found) == {1, 3, 6}
+    assert found[1].speed_kmh == pytest.approx(120.0)
+    assert (found[1].first_frame, found[1].second_frame) == (2, 23)
+    assert (found[3].first_frame, found[3].second_frame) == (2, 9)
+    assert (found[6].first_frame, found[6].second_frame) == (3, 7)
+
+
+def test_right_side_uses_its_own_lines(spark):
+    found = tripwires.tripwire_speeds(calibrated(spark, {1: {1: 699, 2: 700, 23: 900}}, side="R")).collect()
+    assert [r.speed_kmh for r in found] == [pytest.approx(120.0)]
+
+
+def test_displacement_speed(spark):
+    tracks = {
+        7: [8 * i for i in range(7)],
+        8: [8 * i for i in range(8)],
+        36: [36 * i for i in range(8)],
+        1: [0, 1, 2, 3, 4, 5, 6, 6, 7, 8],        # 0.8 px a frame: 4.5 km/h, too slow
+        12: [8 * i for i in range(12)],
+    }
+    found = trajectories.displacement_speeds(calibrated(spark, tracks)).collect()
+    speeds = {(r.track_id, r.frame_id): r.speed_kmh for r in found}
+    assert speeds[8, 8] == pytest.approx(45.0)
+    assert {t for t, _ in speeds} == {8, 12}
+    assert [f for t, f in sorted(speeds) if t == 12] == [8, 9, 10, 11, 12]
+    assert all(v == pytest.approx(45.0) for (t, _), v in speeds.items() if t == 12)
+
+
+def test_displacement_bounds_are_strict(spark):
+    # 202.5 km/h and 4.5 km/h are out of range
+    tracks = {1: [36 * i for i in range(8)], 2: [0] * 2 + [7 * 8 // 10] * 8}
+    assert trajectories.displacement_speeds(calibrated(spark, {1: tracks[1]})).count() == 0
+    slow = {3: [0, 1, 2, 2, 3, 4, 5, 6, 6, 7]}    # 7 px in 9 steps: 4.375 km/h at 10 rows
+    rows = trajectories.displacement_speeds(calibrated(spark, slow)).collect()
+    assert 10 not in {r.frame_id for r in rows}
+
+
+def test_movement(spark):
+    tracks = {10: [0, 0, 0, 10], 11: [0, 0, 0, 11], 12: [11, 0, 0, 0], 3: [0, 50, 100]}
+    found = {(r.track_id, r.frame_id): r.movement for r in trajectories.movement(positions(spark, tracks)).collect()}
+    assert found[10, 4] == "unknown"
+    assert found[11, 4] == "right"
+    assert found[12, 4] == "left"
+    assert found[3, 3] == "unknown"
+
+
+def test_resolved_event_policies(spark):
+    # displacement is known in frame 8, the second line is crossed in frame 40
+    track = {f: 60 + 8 * f for f in range(1, 41)}
+    rows = calibrated(spark, {1: track})
+    first, = trajectories.resolved_events(rows).collect()
+    assert (first.vehicle_id, first.speed_source, first.timestamp_s, first.frame_id) == ("L1", "displacement", 0.0, 8)
+    assert (first.movement, first.direction, first.vehicle_type) == ("right", "west", "car")
+    best, = trajectories.resolved_events(rows, policy="prefer_tripwire").collect()
+    assert (best.speed_source, best.frame_id, best.timestamp_s) == ("tripwire", 30, 5 / 25)
+    with pytest.raises(ValueError):
+        trajectories.resolved_events(rows, policy="other")
+
+
+def test_tripwire_wins_a_tie(spark):
+    # second line crossed in frame 8, where displacement is first known too
+    track = [90, 110, 120, 130, 140, 150, 160, 305]
+    event, = trajectories.resolved_events(calibrated(spark, {1: track})).collect()
+    assert (event.speed_source, event.frame_id, event.timestamp_s) == ("tripwire", 8, 2 / 25)
+    assert event.speed_kmh == pytest.approx(28 / (6 / 25) * 3.6)
+
+
+def random_tracks(seed, sizes, gap):
+    rng = random.Random(seed)
+    tracks = {}
+    for track, size in enumerate(sizes):
+        frame, x, rows = rng.randrange(5), rng.randrange(0, 400), {}
+        for _ in range(size):
+            rows[frame] = x
+            frame += rng.randint(1, gap)
+            x = max(0, min(420, x + rng.randint(-30, 30)))
+        tracks[track] = rows
+    return tracks
+
+
+def as_rows(tracks):
+    return {t: [{"frame_id": f, "cx": x} for f, x in sorted(rows.items())] for t, rows in tracks.items()}
+
+
+@pytest.mark.parametrize("gap,hot_rows,block", [(1, None, 10), (1, 20, 7), (3, 20, 64), (40, 20, 7), (3, 0, 1)])
+def test_blocks_do_not_change_results(spark, monkeypatch, gap, hot_rows, block):
+    """Large tracks cut in blocks give what a frame-by-frame walk gives, dense or with gaps."""
+    original = blocks.in_blocks
+
+    def small_blocks(df, keys, order, rows_before, hot=None, *args, **kw):
+        return original(df, keys, order, rows_before, hot, block, **kw)
+
+    monkeypatch.setattr(tripwires, "in_blocks", small_blocks)
+    monkeypatch.setattr(trajectories, "in_blocks", small_blocks)
+    tracks = random_tracks(gap, [300, 80, 25, 9, 3, 1], gap)
+    model = as_rows(tracks)
+    rows = calibrated(spark, tracks)
+
+    expected = {}
+    for track, steps in model.items():
+        first, second = brute.laps(steps, "cx", 100, 300, brute.crossed_x)
+        if second is not None:
+            expected[track] = (first, second)
+    found = tripwires.tripwire_speeds(rows, hot_rows=hot_rows).collect()
+    assert {r.track_id: (r.first_frame, r.second_frame) for r in found} == expected
+
+    speeds = {(t, s["frame_id"]): brute.displacement(steps, i, 16.0)
+              for t, steps in model.items() for i, s in enumerate(steps)}
+    found = trajectories.displacement_speeds(rows, hot_rows=hot_rows).collect()
+    assert {(r.track_id, r.frame_id): r.speed_kmh for r in found} == {
+        k: pytest.approx(v) for k, v in speeds.items() if v is not None}
+
+    expected = {t: brute.resolved(steps, 100, 300, 28.0, 16.0) for t, steps in model.items()}
+    found = trajectories.resolved_events(rows, hot_rows=hot_rows).collect()
+    assert {r.track_id: (r.speed_kmh, r.speed_source, r.timestamp_s, r.movement, r.frame_id) for r in found} == {
+        t: (pytest.approx(e[0]), *e[1:]) for t, e in expected.items() if e is not None}
+
+
+def test_only_large_groups_are_split(spark):
+    rows = positions(spark, {1: list(range(50)), 2: list(range(5))})
+    cut = blocks.in_blocks(rows, KEYS, "frame_id", 3, hot_rows=10, block=16)
+    own = cut.filter(~F.col("_halo"))
+    assert own.count() == 55
+    assert own.filter("track_id = 2 and _block is not null").count() == 0
+    assert {r._block for r in own.filter("track_id = 1").collect()} == {0, 1, 2, 3}
+    halo = {(r._block, r.frame_id) for r in cut.filter("_halo").collect()}
+    assert halo == {(1, 13), (1, 14), (1, 15), (2, 29), (2, 30), (2, 31), (3, 45), (3, 46), (3, 47)}
+
+
+def test_halo_reaches_over_sparse_blocks(spark):
+    rows = positions(spark, {1: {0: 1, 1: 2, 20: 3, 45: 4, 46: 5}})
+    cut = blocks.in_blocks(rows, KEYS, "frame_id", 3, hot_rows=0, block=10)
+    halo = {(r._block, r.frame_id) for r in cut.filter("_halo").collect()}
+    assert halo == {(2, 0), (2, 1), (4, 0), (4, 1), (4, 20)}
+
+
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_running_total(spark, block):
+    rng = random.Random(block)
+    rows = [(k, n, rng.randint(-3, 9)) for k in ("a", "b", None) for n in rng.sample(range(-50, 200), 60)]
+    df = spark.createDataFrame(rows, "k string, n long, v long")
+    found = {(r.k, r.n): r.total for r in blocks.running_total(df, F.col("v"), "total", "n", ["k"], block).collect()}
+    assert found == {(k, n): sum(v for kk, nn, v in rows if kk == k and nn <= n) for k, n, _ in rows}
+
+
+def test_result_does_not_depend_on_partitions(spark):
+    tracks = random_tracks(9, [120, 60, 30], 2)
+    answers = [sorted(map(tuple, trajectories.resolved_events(calibrated(spark, tracks, partitions=p)).collect()))
+               for p in (1, 2, 7)]
+    assert answers[0] == answers[1] == answers[2]
