@@ -3,6 +3,7 @@
 import json
 import os
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,13 +178,13 @@ def test_tracker_equals_the_table_form(spark, folder):
     assert got == sorted(map(tuple, table.collect())) and got
 
 
-def test_work_folder_follows_the_session(spark, folder):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", folder)
-        assert work_folder(spark, "x").startswith(folder + "/x-")
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def session_with(master, checkpoint_dir):
+    conf = SimpleNamespace(get=lambda key, default: checkpoint_dir or default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_work_folder_follows_the_session():
+    assert work_folder(session_with("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
+    assert work_folder(session_with("local[2]", None), "x").startswith("/")
+    with pytest.raises(ValueError):
+        work_folder(session_with("yarn", None), "x")
