@@ -41,7 +41,7 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, mos
 
 def in_blocks(df: DataFrame, keys: Sequence[str], order: str, rows_before: int,
               hot_rows: int | None = HOT_ROWS, block: int = BLOCK_FRAMES,
-              history: Column | None = None) -> DataFrame:
+              history: Column | None = None, sized_by: DataFrame | None = None) -> DataFrame:
     """Rows with `_block` and `_halo`, ready for windows over `keys` and `_block`.
 
     `keys` are not null, `order` is a whole number, unique within `keys`. Small
@@ -51,7 +51,7 @@ def in_blocks(df: DataFrame, keys: Sequence[str], order: str, rows_before: int,
     """
     if hot_rows is None:
         return df.withColumn(BLOCK, F.lit(None).cast("long")).withColumn(HALO, F.lit(False))
-    hot = F.broadcast(hot_groups(df, keys, hot_rows).select(
+    hot = F.broadcast(hot_groups(df if sized_by is None else sized_by, keys, hot_rows).select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_is_hot")))
     is_hot = all_of(F.col(k) == F.col(f"_hot_{k}") for k in keys)
     columns = df.columns

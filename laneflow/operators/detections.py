@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laneflow.config import (
@@ -42,7 +42,7 @@ def vehicle_class(positions: DataFrame, boxes: DataFrame, truck_area: int = TRUC
     """
     classed = _nearest_class(positions.select(*keys, ORDER, "cx", "cy"), boxes, truck_area, keys, crowd)
     known = F.col("_class").isNotNull()
-    rows = in_blocks(classed, keys, ORDER, 1, hot_rows, history=known)
+    rows = in_blocks(classed, keys, ORDER, 1, hot_rows, history=known, sized_by=positions)
     so_far = by_frame(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (rows.withColumn("vehicle_type", F.last("_class", ignorenulls=True).over(so_far))
             .filter(~F.col(HALO)).select(*keys, ORDER, "vehicle_type"))
@@ -57,43 +57,51 @@ def _nearest_class(positions: DataFrame, boxes: DataFrame, truck_area: int, keys
     frame if these are at most `crowd`; in fuller frames they look into a map of
     the distances to the nearest centre.
     """
-    centres = boxes.groupBy(*_PLACE, "cx", "cy").agg(
-        F.min(F.struct("box_id", size_class(F.col("w"), F.col("h"), truck_area).alias("class"))).alias("_box"))
+    # box and class as one number: its minimum is the first box, and plain numbers aggregate by hash
+    is_truck = (size_class(F.col("w"), F.col("h"), truck_area) == "truck").cast("long")
+    code = F.col("box_id").cast("long") * 2 + is_truck
+    centres = boxes.groupBy(*_PLACE, "cx", "cy").agg(F.min(code).alias("_box"))
     here = centres.select(*[F.col(c).alias(f"_at_{c}") for c in (*_PLACE, "cx", "cy")], F.col("_box"))
     on_centre = all_of(F.col(c) == F.col(f"_at_{c}") for c in (*_PLACE, "cx", "cy"))
-    # one pass over the positions: those off any centre stay with a null box
     settled = positions.join(here, on_centre, "left").select(*positions.columns, "_box")
-    hit = settled.filter(F.col("_box").isNotNull()).select(*positions.columns, F.col("_box.class").alias("_class"))
-    off = settled.filter(F.col("_box").isNull()).drop("_box")
 
     sized = centres.withColumn("_centres", F.count(F.lit(1)).over(Window.partitionBy(*_PLACE)))
-    near = sized.select(*_PLACE, F.col("cx").alias("bx"), F.col("cy").alias("by"), "_box", "_centres")
+    near = sized.select(*[F.col(c).alias(f"_near_{c}") for c in _PLACE], F.col("cx").alias("bx"),
+                        F.col("cy").alias("by"), F.col("_box").alias("_other"), "_centres")
     few = near.filter(F.col("_centres") <= crowd)
+    same_place = all_of(F.col(c) == F.col(f"_near_{c}") for c in _PLACE)
     distance = F.abs(F.col("cx") - F.col("bx")) + F.abs(F.col("cy") - F.col("by"))
-    rest = [c for c in positions.columns if c not in _PLACE]
+    # distance first, then the box; a left join without a match gives null
+    other = distance.cast("long") * F.lit(1 << 33).cast("long") + F.col("_other")
+    # settled rows meet no other centre and pass through as they are
     compared = (
-        off.join(few, list(_PLACE), "left").groupBy(*_PLACE, *rest)
-        .agg(F.min(F.when(F.col("_box").isNotNull(),
-                          F.struct(distance.alias("d"), F.col("_box.box_id"), F.col("_box.class").alias("class"))))
-             .alias("_best"))
+        settled.join(few, same_place & F.col("_box").isNull(), "left").groupBy(*positions.columns)
+        .agg(F.min(F.coalesce("_box", other)).alias("_code"))
+        .select(*positions.columns, _class_of("_code").alias("_class"))
     )
+
     crowded = near.filter(F.col("_centres") > crowd)
-    places = crowded.select(*_PLACE).distinct()
-    simple = (compared.join(places, list(_PLACE), "left_anti")
-              .select(*positions.columns, F.col("_best.class").alias("_class")))
+    places = crowded.select(*[F.col(f"_near_{c}").alias(c) for c in _PLACE]).distinct()
+    # distinct pixels on both sides, so one frame holds no more than its image has
+    points = (settled.filter(F.col("_box").isNull()).join(places, list(_PLACE), "left_semi")
+              .select(*_PLACE, "cx", "cy").distinct())
     mapped = (
-        off.join(places, list(_PLACE), "left_semi").groupBy(*_PLACE)
-        .cogroup(crowded.select(*_PLACE, "bx", "by", F.col("_box.box_id").alias("box_id"),
-                                F.col("_box.class").alias("class")).groupBy(*_PLACE))
-        .applyInPandas(nearest_on_map, _with_class(positions))
-        .select(*positions.columns, "_class")
+        points.groupBy(*_PLACE)
+        .cogroup(crowded.select(*[F.col(f"_near_{c}").alias(c) for c in _PLACE], "bx", "by",
+                                F.col("_other").alias("box_id"), _class_of("_other").alias("class"))
+                 .groupBy(*_PLACE))
+        .applyInPandas(nearest_on_map, _POINT_CLASS)
+        .select(*[F.col(c).alias(f"_at_{c}") for c in (*_PLACE, "cx", "cy")], "_mapped")
     )
-    return hit.unionByName(simple).unionByName(mapped)
+    return (compared.join(mapped, on_centre, "left")
+            .select(*positions.columns, F.coalesce("_class", "_mapped").alias("_class")))
+
+
+_POINT_CLASS = "camera_name string, frame_id long, side string, cx int, cy int, _mapped string"
 
 
-def _with_class(positions: DataFrame) -> str:
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in positions.schema.fields]
-    return ", ".join([*fields, "`_class` string"])
+def _class_of(code: str) -> Column:
+    return F.when(F.col(code) % 2 == 1, "truck").when(F.col(code).isNotNull(), "car")
 
 
 def nearest_on_map(points: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
@@ -105,7 +113,7 @@ def nearest_on_map(points: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
     span, and is filled by two sweeps along each axis, whatever their number.
     """
     if points.empty:
-        return points.assign(_class=pd.Series(dtype=object))
+        return points.assign(_mapped=pd.Series(dtype=object))
     centres = centres.sort_values("box_id", kind="stable").reset_index(drop=True)
     left = min(points["cx"].min(), centres["bx"].min())
     top = min(points["cy"].min(), centres["by"].min())
@@ -114,7 +122,7 @@ def nearest_on_map(points: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
     look = _compare if len(points) * len(centres) <= width * height else _sweep
     xy = np.stack([points["cx"] - left, points["cy"] - top], axis=1).astype(np.int64)
     centre_xy = np.stack([centres["bx"] - left, centres["by"] - top], axis=1).astype(np.int64)
-    return points.assign(_class=centres["class"].to_numpy()[look(xy, centre_xy, width, height)])
+    return points.assign(_mapped=centres["class"].to_numpy()[look(xy, centre_xy, width, height)])
 
 
 def _compare(xy: np.ndarray, centre_xy: np.ndarray, width: int, height: int) -> np.ndarray:

@@ -11,8 +11,8 @@ from laneflow.config import (
     FPS, HISTORY_MIN_ROWS, HISTORY_ROWS, HOT_ROWS, MOVEMENT_MIN_ROWS, MOVEMENT_PX, SPEED_HIGH_KMH, SPEED_LOW_KMH,
 )
 from laneflow.functions.geometry import KMH_PER_MS, kmh
-from laneflow.operators.blocks import HALO, in_blocks
-from laneflow.operators.tripwires import ORDER, by_frame, lap_seconds, mark_crossings, pair_crossings
+from laneflow.operators.blocks import BLOCK, HALO, in_blocks
+from laneflow.operators.tripwires import ORDER, by_frame, lap_per_track, lap_seconds, mark_crossings
 from laneflow.schemas import LIVE_KEYS
 
 
@@ -73,8 +73,8 @@ def resolved_events(calibrated: DataFrame, policy: str = "first_resolved", fps:
     the track has one. The event time is the first crossing, or 0 for a
     displacement speed.
 
-    All windows share one exchange of the positions; the choice per track is a
-    minimum that is taken before anything is sent on.
+    All windows share one exchange of the positions; each track or block is
+    reduced to one row before the second, small exchange.
     """
     if policy not in ("first_resolved", "prefer_tripwire"):
         raise ValueError(f"unknown policy {policy!r}")
@@ -82,28 +82,33 @@ def resolved_events(calibrated: DataFrame, policy: str = "first_resolved", fps:
                                "direction", "vehicle_type")
     rows = in_blocks(needed, keys, ORDER, HISTORY_ROWS - 1, hot_rows)
     rows = with_history(mark_crossings(rows, "cx", "x", keys), keys)
-    rows = pair_crossings(rows, keys, hot_rows).filter(~F.col(HALO))
-
-    by_line = F.when(F.col(ORDER) == F.col("second_frame"), kmh(F.col("dist_m"), lap_seconds(fps)))
-    rows = rows.select(*keys, ORDER, "direction", by_line.alias("_line_kmh"), displacement_kmh(fps).alias("_shift_kmh"),
-                       F.col("first_frame").alias("_first"), movement_of().alias("movement"),
-                       F.coalesce("vehicle_type", F.lit("unknown")).alias("vehicle_type"))
-    rows = rows.filter(F.col("_line_kmh").isNotNull() | F.col("_shift_kmh").isNotNull())
-    is_line = F.col("_line_kmh").isNotNull()
-    rank = F.when(is_line, 0).otherwise(1)
-    choice = F.struct(
-        (F.struct(F.col(ORDER), rank) if policy == "first_resolved" else F.struct(rank, F.col(ORDER))).alias("_rank"),
-        F.col(ORDER),
-        F.coalesce("_line_kmh", "_shift_kmh").alias("speed_kmh"),
-        F.when(is_line, "tripwire").otherwise("displacement").alias("speed_source"),
-        F.when(is_line, F.col("_first") / F.lit(fps)).otherwise(F.lit(0.0)).alias("timestamp_s"),
-        "movement", "vehicle_type", "direction",
-    )
-    chosen = rows.groupBy(*keys).agg(F.min(choice).alias("e"))
-    return chosen.select(
+    rows = rows.filter(~F.col(HALO)).select(
+        *keys, BLOCK, ORDER, "crossed_1", "crossed_2", "dist_m", "direction",
+        displacement_kmh(fps).alias("_shift_kmh"), movement_of().alias("movement"),
+        F.coalesce("vehicle_type", F.lit("unknown")).alias("vehicle_type"))
+    rows = rows.filter(F.col("crossed_1") | F.col("crossed_2") | F.col("_shift_kmh").isNotNull())
+    seen = ("movement", "vehicle_type", "direction")
+    shift = F.when(F.col("_shift_kmh").isNotNull(),
+                   F.struct(F.col(ORDER), F.col("_shift_kmh").alias("speed_kmh"), *seen))
+    tracks = lap_per_track(rows, keys, ["dist_m", *seen], also={"shift": shift})
+    by_line = F.col("second").isNotNull()
+    if policy == "first_resolved":
+        by_line &= F.col("shift").isNull() | (F.col("second.second_frame") <= F.col(f"shift.{ORDER}"))
+    line_kmh = kmh(F.col("second.dist_m"), lap_seconds(fps, "second.second_frame"))
+
+    def either(line: Column, shifted: Column) -> Column:
+        return F.when(by_line, line).otherwise(shifted)
+
+    return tracks.filter(F.col("second").isNotNull() | F.col("shift").isNotNull()).select(
         *keys,
         F.concat(F.col("side"), F.col("track_id").cast("string")).alias("vehicle_id"),
-        "e.vehicle_type", "e.speed_kmh", "e.direction", "e.movement", "e.speed_source", "e.timestamp_s", f"e.{ORDER}",
+        either(F.col("second.vehicle_type"), F.col("shift.vehicle_type")).alias("vehicle_type"),
+        either(line_kmh, F.col("shift.speed_kmh")).alias("speed_kmh"),
+        either(F.col("second.direction"), F.col("shift.direction")).alias("direction"),
+        either(F.col("second.movement"), F.col("shift.movement")).alias("movement"),
+        either(F.lit("tripwire"), F.lit("displacement")).alias("speed_source"),
+        either(F.col("first_frame") / F.lit(fps), F.lit(0.0)).alias("timestamp_s"),
+        either(F.col("second.second_frame"), F.col(f"shift.{ORDER}")).alias(ORDER),
     )
 
 

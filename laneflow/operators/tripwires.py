@@ -73,8 +73,39 @@ def _carried(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def lap_seconds(fps: float) -> Column:
-    return (F.col("second_frame") - F.col("first_frame")) / F.lit(fps)
+def lap_per_track(marked: DataFrame, keys: Sequence[str], carry: Sequence[str] = (),
+                  also: dict[str, Column] | None = None) -> DataFrame:
+    """One row per track: `first_frame`, and `second`, a struct of `second_frame` and the `carry` columns there.
+
+    The same two crossings as `pair_crossings`, for use where single rows are
+    not wanted: each block is reduced to one row before anything is exchanged.
+    `also` gives further columns, as minima over the track.
+    """
+    block = Window.partitionBy(*keys, BLOCK)
+    frame, hit_2 = F.col(ORDER), F.col("crossed_2")
+    there = F.struct(frame.alias("second_frame"), *carry)
+    first_here = F.min(F.when(F.col("crossed_1"), frame)).over(block)
+    blocks = (
+        marked.withColumn("_first_here", first_here).groupBy(*keys, BLOCK).agg(
+            F.min("_first_here").alias("_first"),
+            F.min(F.when(hit_2, there)).alias("_any_second"),
+            F.min(F.when(hit_2 & (frame > F.col("_first_here")), there)).alias("_second_after"),
+            *[F.min(column).alias(name) for name, column in (also or {}).items()],
+        )
+    )
+    first = F.min("_first").over(Window.partitionBy(*keys))
+    # the block of the first crossing, or a later one
+    second = (F.when(F.col("_first") == F.col("first_frame"), F.col("_second_after"))
+              .when(F.col("_any_second.second_frame") > F.col("first_frame"), F.col("_any_second")))
+    return (
+        blocks.withColumn("first_frame", first).withColumn("_second", second).groupBy(*keys).agg(
+            F.min("first_frame").alias("first_frame"), F.min("_second").alias("second"),
+            *[F.min(name).alias(name) for name in (also or {})])
+    )
+
+
+def lap_seconds(fps: float, second: str = "second_frame") -> Column:
+    return (F.col(second) - F.col("first_frame")) / F.lit(fps)
 
 
 def tripwire_crossings(calibrated: DataFrame, position: str = "cx", variant: str = "x",
@@ -100,7 +131,9 @@ def tripwire_speeds(calibrated: DataFrame, fps: float = FPS, position: str = "cx
         *keys, ORDER, position, "first_line", "second_line",
         *[metres.alias(f"_metres_{name}") for name, metres in distances.items()])
     marked = mark_crossings(in_blocks(needed, keys, ORDER, 1, hot_rows), position, variant, keys)
-    paired = pair_crossings(marked, keys, hot_rows)
-    return paired.filter((F.col(ORDER) == F.col("second_frame")) & ~F.col(HALO)).select(
-        *keys, "first_frame", "second_frame",
-        *[kmh(F.col(f"_metres_{name}"), lap_seconds(fps)).alias(name) for name in distances])
+    hits = marked.filter(F.col("crossed_1") | F.col("crossed_2"))
+    laps = lap_per_track(hits, keys, [f"_metres_{name}" for name in distances])
+    seconds = lap_seconds(fps, "second.second_frame")
+    return laps.filter(F.col("second").isNotNull()).select(
+        *keys, "first_frame", "second.second_frame",
+        *[kmh(F.col(f"second._metres_{name}"), seconds).alias(name) for name in distances])

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import asdict
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from laneflow import schemas
 from laneflow.config import CAMERAS, Camera
@@ -19,7 +20,7 @@ def cameras_dim(spark: SparkSession, cameras: Iterable[Camera] = CAMERAS) -> Dat
     The rows travel by Arrow as a local relation, so the planner knows their
     size and broadcasts them only while they are below its own limit.
     """
-    rows = pd.DataFrame([asdict(c) for c in cameras], columns=schemas.CAMERAS.fieldNames())
+    rows = pa.Table.from_pylist([asdict(c) for c in cameras], schema=to_arrow_schema(schemas.CAMERAS))
     return spark.createDataFrame(rows, schema=schemas.CAMERAS)
 
 

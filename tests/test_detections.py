@@ -72,7 +72,7 @@ def test_distance_map(seed):
     points = pd.DataFrame({"cx": xy[:, 0] - 7, "cy": xy[:, 1] + 3})
     centres = pd.DataFrame({"bx": centre_xy[:, 0] - 7, "by": centre_xy[:, 1] + 3, "box_id": range(len(centre_xy)),
                             "class": [f"c{i}" for i in range(len(centre_xy))]}).sample(frac=1, random_state=seed)
-    assert detections.nearest_on_map(points, centres)["_class"].tolist() == [f"c{i}" for i in slow]
+    assert detections.nearest_on_map(points, centres)["_mapped"].tolist() == [f"c{i}" for i in slow]
 
 
 def test_match_candidates(spark):
