@@ -35,21 +35,20 @@ def detections_clean(detections: DataFrame, cameras: DataFrame, min_area: float
 def vehicle_class(positions: DataFrame, boxes: DataFrame, truck_area: int = TRUCK_MIN_AREA_PX,
                   keys: Sequence[str] = LIVE_KEYS, crowd: int = CROWD_BOXES,
                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """car or truck for every track and frame, by the nearest box of the track's side; null if never known.
+    """Positions with `vehicle_type`, car or truck by the nearest box of the track's side; null while unknown.
 
     Nearest is by |dx| + |dy|, ties go to the lowest `box_id`. In a frame
     without boxes on its side a track keeps its class.
     """
-    classed = _nearest_class(positions.select(*keys, ORDER, "cx", "cy"), boxes, truck_area, keys, crowd)
+    classed = _nearest_class(positions, boxes, truck_area, crowd)
     known = F.col("_class").isNotNull()
     rows = in_blocks(classed, keys, ORDER, 1, hot_rows, history=known, sized_by=positions)
     so_far = by_frame(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (rows.withColumn("vehicle_type", F.last("_class", ignorenulls=True).over(so_far))
-            .filter(~F.col(HALO)).select(*keys, ORDER, "vehicle_type"))
+            .filter(~F.col(HALO)).select(*positions.columns, "vehicle_type"))
 
 
-def _nearest_class(positions: DataFrame, boxes: DataFrame, truck_area: int, keys: Sequence[str],
-                   crowd: int) -> DataFrame:
+def _nearest_class(positions: DataFrame, boxes: DataFrame, truck_area: int, crowd: int) -> DataFrame:
     """Positions with `_class`, the class of the nearest box of their frame and side.
 
     A track that was matched in a frame lies on the centre of a box: an equi-join

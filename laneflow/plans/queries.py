@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from laneflow.functions.text import ordinal
 from laneflow.functions.timing import event_time
 from laneflow.operators import activity, alerts, detections, questions, road, segments, tracker, trajectories, tripwires
-from laneflow.plans import streams, views
+from laneflow.plans import live, streams, views
+from laneflow.session import work_folder
 from laneflow.sources import cameras, messages
 
 DIGITS = 6
@@ -251,7 +252,8 @@ def detections_clean(spark, sf_dir):
 
 
 def vehicle_class(spark, sf_dir):
-    return detections.vehicle_class(views.box_positions(spark, sf_dir), centred(spark, sf_dir))
+    classed = detections.vehicle_class(views.box_positions(spark, sf_dir), centred(spark, sf_dir))
+    return classed.drop("cx", "cy")
 
 
 def match_candidates(spark, sf_dir):
@@ -262,6 +264,13 @@ def assign_tracks(spark, sf_dir):
     return tracker.assign_tracks(centred(spark, sf_dir), segment_frames=views.SESSION_FRAMES)
 
 
+def live_events(spark, sf_dir):
+    """From boxes to one event per track, with the track positions stored on the way."""
+    boxes, known = views.detections(spark, sf_dir), cameras.cameras_dim(spark)
+    folder = work_folder(spark, "live")
+    return live.boxes_to_events(boxes, known, f"{folder}/positions", views.SESSION_FRAMES)
+
+
 def segment_plan(spark, sf_dir):
     return segments.segment_plan(views.videos(spark, sf_dir))
 
@@ -319,6 +328,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vehicle_class": vehicle_class,
     "match_candidates": match_candidates,
     "assign_tracks": assign_tracks,
+    "live_events": live_events,
     "segment_plan": segment_plan,
     "segment_assign": segment_assign,
     "stream_q1": streams.stream_q1,
