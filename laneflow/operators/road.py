@@ -14,7 +14,7 @@ from laneflow.functions.geometry import (
 from laneflow.functions.numbers import fixed_point
 from laneflow.functions.text import speed_label
 from laneflow.operators.blocks import HALO, in_blocks
-from laneflow.operators.tripwires import ORDER, by_frame, lap_seconds, mark_crossings, pair_crossings
+from laneflow.operators.tripwires import ORDER, lap_seconds, mark_crossings, pair_crossings, with_history
 from laneflow.schemas import OFFLINE_KEYS
 
 
@@ -59,19 +59,16 @@ def road_traces(boxes: DataFrame, plane: RoadPlane = ROAD_PLANE, fps: float = FP
     needed = with_road_lines(bev_positions(boxes, plane), plane).select(
         *keys, ORDER, "vehicle_type", "foot_y", "bev_y", "first_line", "second_line")
     rows = in_blocks(needed, keys, ORDER, kept - 1, hot_rows)
-    rows = mark_crossings(rows, "foot_y", "y", keys)
-    last_second = by_frame(keys).rowsBetween(1 - kept, 0)
-    rows = (rows.withColumn("_n", F.count(F.lit(1)).over(last_second))
-            .withColumn("_oldest", F.first("bev_y").over(last_second)))
+    rows = with_history(mark_crossings(rows, "foot_y", "y", keys), "bev_y", kept, keys)
     rows = pair_crossings(rows, keys, hot_rows).filter(~F.col(HALO))
     timed = F.col(ORDER) >= F.col("second_frame")
-    seconds = F.col("_n") / F.lit(fps)
-    sample = F.abs(F.col("bev_y") - F.col("_oldest")) / seconds * KMH_PER_MS
+    seconds = F.col("history_rows") / F.lit(fps)
+    sample = F.abs(F.col("bev_y") - F.col("history_start")) / seconds * KMH_PER_MS
     return rows.select(
         *keys, ORDER, "vehicle_type", "foot_y",
         F.when(timed, kmh(corrected_distance(plane), lap_seconds(fps))).alias("corrected_kmh"),
         F.when(timed, kmh(naive_distance(plane), lap_seconds(fps))).alias("naive_kmh"),
-        F.when((F.col("_n") > fps / 2) & ~F.coalesce(timed, F.lit(False)), sample).alias("bev_kmh"),
+        F.when((F.col("history_rows") > fps / 2) & ~F.coalesce(timed, F.lit(False)), sample).alias("bev_kmh"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laneflow.config import (
@@ -12,17 +12,10 @@ from laneflow.config import (
 )
 from laneflow.functions.geometry import KMH_PER_MS, kmh
 from laneflow.operators.blocks import BLOCK, HALO, in_blocks
-from laneflow.operators.tripwires import ORDER, by_frame, lap_per_track, lap_seconds, mark_crossings
+from laneflow.operators.tripwires import ORDER, lap_per_track, lap_seconds, mark_crossings, with_history
 from laneflow.schemas import LIVE_KEYS
 
 
-def with_history(blocked: DataFrame, keys: Sequence[str], window: int = HISTORY_ROWS) -> DataFrame:
-    """Adds `history_rows` and `history_start`, the oldest of a track's last `window` positions."""
-    frame = by_frame(keys).rowsBetween(1 - window, 0)
-    return (blocked.withColumn("history_rows", F.count(F.lit(1)).over(frame))
-            .withColumn("history_start", F.first("cx").over(frame)))
-
-
 def displacement_kmh(fps: float = FPS, min_pts: int = HISTORY_MIN_ROWS,
                      lo: float = SPEED_LOW_KMH, hi: float = SPEED_HIGH_KMH) -> Column:
     """Speed from the shift over the kept positions; null if they are too few or the speed is out of range."""
@@ -47,7 +40,7 @@ def displacement_speeds(calibrated: DataFrame, window: int = HISTORY_ROWS, min_p
                         keys: Sequence[str] = LIVE_KEYS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Every valid displacement speed, by track and frame."""
     needed = calibrated.select(*keys, ORDER, "cx", "px_per_m")
-    rows = with_history(in_blocks(needed, keys, ORDER, window - 1, hot_rows), keys, window)
+    rows = with_history(in_blocks(needed, keys, ORDER, window - 1, hot_rows), "cx", window, keys)
     return (
         rows.withColumn("speed_kmh", displacement_kmh(fps, min_pts, lo, hi))
         .filter(F.col("speed_kmh").isNotNull() & ~F.col(HALO))
@@ -60,7 +53,7 @@ def movement(positions: DataFrame, window: int = HISTORY_ROWS, min_pts: int = MO
              hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """left, right or unknown for every track and frame."""
     needed = positions.select(*keys, ORDER, "cx")
-    rows = with_history(in_blocks(needed, keys, ORDER, window - 1, hot_rows), keys, window)
+    rows = with_history(in_blocks(needed, keys, ORDER, window - 1, hot_rows), "cx", window, keys)
     return rows.filter(~F.col(HALO)).select(*keys, ORDER, movement_of(min_pts, threshold).alias("movement"))
 
 
@@ -81,15 +74,18 @@ def resolved_events(calibrated: DataFrame, policy: str = "first_resolved", fps:
     needed = calibrated.select(*keys, ORDER, "cx", "first_line", "second_line", "dist_m", "px_per_m",
                                "direction", "vehicle_type")
     rows = in_blocks(needed, keys, ORDER, HISTORY_ROWS - 1, hot_rows)
-    rows = with_history(mark_crossings(rows, "cx", "x", keys), keys)
+    rows = with_history(mark_crossings(rows, "cx", "x", keys), "cx", HISTORY_ROWS, keys)
     rows = rows.filter(~F.col(HALO)).select(
         *keys, BLOCK, ORDER, "crossed_1", "crossed_2", "dist_m", "direction",
         displacement_kmh(fps).alias("_shift_kmh"), movement_of().alias("movement"),
         F.coalesce("vehicle_type", F.lit("unknown")).alias("vehicle_type"))
-    rows = rows.filter(F.col("crossed_1") | F.col("crossed_2") | F.col("_shift_kmh").isNotNull())
+    # only crossings and the first displacement speed of a track or block matter from here on
+    first_shift = F.min(F.when(F.col("_shift_kmh").isNotNull(), F.col(ORDER))).over(
+        Window.partitionBy(*keys, BLOCK))
+    rows = rows.withColumn("_is_shift", F.coalesce(F.col(ORDER) == first_shift, F.lit(False)))
+    rows = rows.filter(F.col("crossed_1") | F.col("crossed_2") | F.col("_is_shift"))
     seen = ("movement", "vehicle_type", "direction")
-    shift = F.when(F.col("_shift_kmh").isNotNull(),
-                   F.struct(F.col(ORDER), F.col("_shift_kmh").alias("speed_kmh"), *seen))
+    shift = F.when(F.col("_is_shift"), F.struct(F.col(ORDER), F.col("_shift_kmh").alias("speed_kmh"), *seen))
     tracks = lap_per_track(rows, keys, ["dist_m", *seen], also={"shift": shift})
     by_line = F.col("second").isNotNull()
     if policy == "first_resolved":

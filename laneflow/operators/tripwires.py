@@ -20,6 +20,19 @@ def by_frame(keys: Sequence[str]):
     return Window.partitionBy(*keys, BLOCK).orderBy(ORDER)
 
 
+def with_history(blocked: DataFrame, position: str, window: int, keys: Sequence[str]) -> DataFrame:
+    """Adds `history_rows` and `history_start`: how many of the last `window` rows there are, and the oldest position.
+
+    Offsets and running frames cost the same for any `window`; a sliding frame
+    would go over all its rows again at each step.
+    """
+    rows = by_frame(keys)
+    so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    oldest = F.coalesce(F.lag(position, window - 1).over(rows), F.first(position).over(so_far))
+    return (blocked.withColumn("history_rows", F.least(F.row_number().over(rows), F.lit(window)).cast("long"))
+            .withColumn("history_start", oldest))
+
+
 def mark_crossings(blocked: DataFrame, position: str, variant: str, keys: Sequence[str]) -> DataFrame:
     """Adds `previous`, `crossed_1` and `crossed_2` to rows from `in_blocks`."""
     previous, here = F.col("previous"), F.col(position)
