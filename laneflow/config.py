@@ -48,6 +48,20 @@ ALERTS_TOPIC = "traffic-alerts"
 CLASS_NAMES = {2: "car", 3: "motorcycle", 5: "bus", 7: "truck"}
 OTHER_CLASS_NAME = "vehicle"
 
+# Log lines. The speed comes as text with one digit.
+ALERT_LINE = "⚠  SPEED ALERT #%d  |  cam=%-15s  %s %s  |  %s km/h  |  lane: %s"
+TRACKER_ALERT_LINE = "⚠  SPEED ALERT  |  cam=%-20s  %s %s  |  %s km/h  |  %s"
+NO_SPEEDS = "—"
+
+# Names and output modes of the streaming questions.
+QUESTION_STREAMS = {
+    "Q1_Vehicle_Speeds": "append",
+    "Q2_Vehicle_Count_Per_Lane": "complete",
+    "Q3_Speed_Violations": "complete",
+    "Q5_Vehicles_Per_Lane_Per_5min": "append",
+    "Q6_Avg_Speed_Per_Lane_Per_5min": "append",
+}
+
 # Stand-ins for fields missing from an alert message.
 ALERT_DEFAULTS = {
     "vehicle_id": "UNKNOWN",

@@ -38,12 +38,12 @@ def crossed(prev: Column, cur: Column, line: Column, variant: str = "x") -> Colu
     the near side, so the two differ for a vehicle that stops on the line.
     """
     if variant == "x":
-        hit = ((prev < line) & (line <= cur)) | ((cur < line) & (line <= prev))
+        moved_over = (prev < line) != (cur < line)
     elif variant == "y":
-        hit = ((prev <= line) & (line < cur)) | ((cur <= line) & (line < prev))
+        moved_over = (prev <= line) != (cur <= line)
     else:
         raise ValueError(f"unknown variant {variant!r}")
-    return F.coalesce(hit, F.lit(False))
+    return F.coalesce(moved_over, F.lit(False))
 
 
 def kmh(metres: Column, seconds: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from laneflow.config import ALERT_LINE, TRACKER_ALERT_LINE
 from laneflow.functions.numbers import fixed_point
 
 
@@ -31,7 +32,7 @@ def alert_line(number: Column, camera: Column, vehicle_type: Column, vehicle_id:
                speed: Column, lane: Column) -> Column:
     """Log line of the alert job."""
     return F.format_string(
-        "⚠  SPEED ALERT #%d  |  cam=%-15s  %s %s  |  %s km/h  |  lane: %s",
+        ALERT_LINE,
         number, camera, F.upper(vehicle_type), vehicle_id, fixed_point(speed, 1), lane,
     )
 
@@ -40,7 +41,7 @@ def tracker_alert_line(camera: Column, vehicle_type: Column, vehicle_id: Column,
                        speed: Column, direction: Column) -> Column:
     """Log line of the tracking job."""
     return F.format_string(
-        "⚠  SPEED ALERT  |  cam=%-20s  %s %s  |  %s km/h  |  %s",
+        TRACKER_ALERT_LINE,
         camera, F.upper(vehicle_type), vehicle_id, fixed_point(speed, 1), direction,
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laneflow.config import SNAPSHOT_FRAMES
+from laneflow.config import NO_SPEEDS, SNAPSHOT_FRAMES
 from laneflow.functions.numbers import fixed_point
 from laneflow.operators.blocks import running_total
 from laneflow.schemas import LIVE_KEYS
@@ -93,7 +93,7 @@ def snapshot_speed_list(frames: DataFrame, tripwire: DataFrame, every: int = SNA
         .withColumn("_n", (F.col("frame_id") / every).cast("long"))
     )
     size = F.size("_entries").cast("long")
-    text = F.when(size > 0, F.array_join(F.col("_entries.token"), "  ")).otherwise("—")
+    text = F.when(size > 0, F.array_join(F.col("_entries.token"), "  ")).otherwise(NO_SPEEDS)
     return (
         running_total(lists.select("camera_name", "side", "frame_id", "_n", size.alias("_new"),
                                    text.alias("new_speeds")),

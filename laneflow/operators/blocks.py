@@ -102,17 +102,17 @@ def running_total(df: DataFrame, value: Column, name: str, order: str, keys: Seq
     `order` is a whole number, unique within `keys`. Blocks are summed first;
     only the block sums, one row per block, are added up in order.
     """
-    valued = df.withColumn("_value", value).withColumn(BLOCK, block_of(order, block))
-    group = [*keys, BLOCK]
-    sums = valued.groupBy(*group).agg(F.sum("_value").alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    # as a struct, a null key is a value like any other, in the window and in the join
+    group = F.struct(*keys, block_of(order, block).alias(BLOCK))
+    valued = df.withColumn("_value", value).withColumn("_group", group)
+    sums = valued.groupBy("_group").agg(F.sum("_value").alias("_sum"))
+    earlier = (Window.partitionBy(*[f"_group.{k}" for k in keys]).orderBy(f"_group.{BLOCK}")
+               .rowsBetween(Window.unboundedPreceding, -1))
     before = sums.select(
-        *[F.col(k).alias(f"_b_{k}") for k in group],
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
-    )
-    inside = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    on = all_of(F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in group)
+        F.col("_group").alias("_same_group"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_group").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        valued.withColumn("_inside", F.sum("_value").over(inside)).join(before, on)
+        valued.withColumn("_inside", F.sum("_value").over(inside))
+        .join(before, F.col("_group") == F.col("_same_group"))
         .select(*df.columns, (F.col("_before") + F.col("_inside")).cast("long").alias(name))
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from laneflow import schemas
-from laneflow.config import StreamSettings
+from laneflow.config import QUESTION_STREAMS, StreamSettings
 from laneflow.operators import detections
 from laneflow.plans import views
 from laneflow.session import work_folder
@@ -42,7 +42,7 @@ def _to_table(spark: SparkSession, rows: DataFrame, name: str, mode: str = "appe
 def _question(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = jobs.question_streams(_measured(spark, sf_dir), exact_windows=True)[name]
-        return _to_table(spark, rows, name, jobs.QUESTIONS[name])
+        return _to_table(spark, rows, name, QUESTION_STREAMS[name])
 
     return run
 

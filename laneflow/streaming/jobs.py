@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from laneflow.config import ALERT_KMH, FPS, StreamSettings
+from laneflow.config import ALERT_KMH, FPS, QUESTION_STREAMS, StreamSettings
 from laneflow.operators import questions
 from laneflow.operators.alerts import alert_total, q4_speed_alerts
 from laneflow.sources import feeds
@@ -39,16 +39,6 @@ def _triggered(writer, settings: StreamSettings):
     return writer.trigger(**settings.trigger) if settings.trigger else writer
 
 
-# Names and output modes of the five questions: fixed values.
-QUESTIONS = {
-    "Q1_Vehicle_Speeds": "append",
-    "Q2_Vehicle_Count_Per_Lane": "complete",
-    "Q3_Speed_Violations": "complete",
-    "Q5_Vehicles_Per_Lane_Per_5min": "append",
-    "Q6_Avg_Speed_Per_Lane_Per_5min": "append",
-}
-
-
 def question_streams(events: DataFrame, exact_windows: bool = False) -> dict[str, DataFrame]:
     """The five questions on a stream of events, by query name."""
     answers = (
@@ -58,13 +48,13 @@ def question_streams(events: DataFrame, exact_windows: bool = False) -> dict[str
         questions.q5_vehicles_per_window(events, exact=exact_windows),
         questions.q6_log(events),
     )
-    return dict(zip(QUESTIONS, answers))
+    return dict(zip(QUESTION_STREAMS, answers))
 
 
 def start_questions(raw: DataFrame, settings: StreamSettings, exact_windows: bool = False) -> list[StreamingQuery]:
     """Starts the five questions on a feed of messages."""
     streams = question_streams(decode_events(raw), exact_windows)
-    return [start(rows, name, QUESTIONS[name], settings) for name, rows in streams.items()]
+    return [start(rows, name, QUESTION_STREAMS[name], settings) for name, rows in streams.items()]
 
 
 def start_alerts(raw: DataFrame, alerts_path: str, malformed_path: str, settings: StreamSettings,

@@ -36,11 +36,8 @@ _TRACK_STATE = "history array<int>, first_frame long, last_frame long, done bool
 
 
 def _steps_over(previous: np.ndarray, current: np.ndarray, line: int) -> np.ndarray:
-    """Steps onto or over a line from either side; the line is the far side of the step."""
-    before, after = previous < line, current < line
-    upward = before & ~after
-    downward = (current < line) & (previous >= line)
-    return upward | downward
+    """Variant x of `laneflow.functions.geometry.crossed`."""
+    return (previous < line) != (current < line)
 
 
 def resolve_track(history: list[int], first_frame: int | None, rows: pd.DataFrame, fps: float) -> tuple:

@@ -14,12 +14,12 @@ def by_track(rows, keys, order):
     return groups
 
 
-def crossed_x(p, c, line):
-    return (p < line <= c) or (c < line <= p)
+def crossed_x(a, b, line):
+    return min(a, b) < line <= max(a, b)
 
 
-def crossed_y(p, c, line):
-    return (p <= line < c) or (c <= line < p)
+def crossed_y(a, b, line):
+    return min(a, b) <= line < max(a, b)
 
 
 def laps(track, position, line_1, line_2, crossed):

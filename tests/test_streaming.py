@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from laneflow import schemas
-from laneflow.config import Camera, StreamSettings
+from laneflow.config import QUESTION_STREAMS, Camera, StreamSettings
 from laneflow.operators import questions, tracker, trajectories
 from laneflow.session import work_folder
 from laneflow.sources import feeds
@@ -60,7 +60,7 @@ def test_five_questions_at_once(spark, folder):
                         rng.choice(["car", "truck", None]), rng.choice("xy")) for _ in range(20)] for b in range(8)]
     write_files(folder + "/in", [b + ["broken"] for b in batches])
     started = jobs.start_questions(feeds.folder_feed(spark, folder + "/in", 2), settings(folder), exact_windows=True)
-    assert [q.name for q in started] == list(jobs.QUESTIONS)
+    assert [q.name for q in started] == list(QUESTION_STREAMS)
     for query in started:
         query.awaitTermination(100)
     assert len(os.listdir(folder + "/checkpoints")) == 5
