@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from laneflow.config import HOT_ROWS
 from laneflow.operators.detections import detections_clean, vehicle_class
 from laneflow.operators.tracker import assign_tracks
 from laneflow.operators.trajectories import resolved_events
@@ -25,5 +26,7 @@ def boxes_to_events(boxes: DataFrame, cameras: DataFrame, positions_path: str,
     clean = detections_clean(boxes, cameras)
     assign_tracks(clean, segment_frames).write.mode("overwrite").partitionBy("camera_name").parquet(positions_path)
     positions = spark.read.parquet(positions_path)
-    classed = vehicle_class(positions, clean, keys=SEGMENT_KEYS)
-    return resolved_events(positions_calibrated(classed, cameras), keys=SEGMENT_KEYS)
+    # a track has at most one row per frame of its segment, so short segments hold no large tracks
+    hot_rows = None if segment_frames <= HOT_ROWS else HOT_ROWS
+    classed = vehicle_class(positions, clean, keys=SEGMENT_KEYS, hot_rows=hot_rows)
+    return resolved_events(positions_calibrated(classed, cameras), keys=SEGMENT_KEYS, hot_rows=hot_rows)
