@@ -3,17 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from laneflow.llm import language
+from laneflow.llm import decontaminate, language, line_chunks
 from laneflow.llm.store import read
 
 
+def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(read(spark, sf_dir, "documents"))
 
 
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of lines and chunks, and the sha256 of the kept text (null text: of the empty one)."""
+    kept = line_chunks.line_dedup(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed_lines", "n_chunks", "n_removed_chunks",
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op4_fm_index": op4_fm_index,
     "op9_language": op9_language,
+    "op10_line_chunks": op10_line_chunks,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op10_line_chunks": line_chunks.SQL}

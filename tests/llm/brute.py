@@ -1,0 +1,35 @@
+"""Slow and plain versions of the corpus operators."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+TOKEN = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def lower(text: str | None) -> bytes:
+    return bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+
+
+def contamination(docs, items, window=10):
+    """{doc_id: (n_words, n_hit, n_items, sha256, contaminated)}; docs and items are (id, text) pairs."""
+    windows = {}
+    for item, text in items:
+        words = WORD.findall(lower(text))
+        for at in range(max(1, len(words) - window + 1) if words else 0):
+            windows.setdefault(tuple(words[at : at + window]), set()).add(str(item))
+    sizes = {len(w) for w in windows}
+    out = {}
+    for doc, text in docs:
+        words = WORD.findall(lower(text))
+        hit, found = set(), set()
+        for size in sizes:
+            for at in range(len(words) - size + 1):
+                own = windows.get(tuple(words[at : at + size]))
+                if own:
+                    found |= own
+                    hit.update(range(at, at + size))
+        out[doc] = (len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
+    return out
