@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laneflow.llm import decontaminate, language, line_chunks
+from laneflow.llm import decontaminate, language, line_chunks, odd_sketch
 from laneflow.llm.store import read
 
 
+def op1_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -25,6 +29,7 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_odd_sketch": op1_odd_sketch,
     "op4_fm_index": op4_fm_index,
     "op9_language": op9_language,
     "op10_line_chunks": op10_line_chunks,

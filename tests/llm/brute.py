@@ -33,3 +33,32 @@ def contamination(docs, items, window=10):
                     hit.update(range(at, at + size))
         out[doc] = (len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
     return out
+
+
+def near(docs, words=3, percent=85):
+    """{doc_id: (n_shingles, component_id, kept)} by comparing all pairs that share a shingle."""
+    sets = {}
+    for doc, text in docs:
+        own = TOKEN.findall(lower(text))
+        sets[doc] = {tuple(own[i : i + words]) for i in range(len(own) - words + 1)} if len(own) >= words else {tuple(own)} if own else set()
+    top = {doc: doc for doc in sets}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    by = {}
+    for doc, own in sets.items():
+        for s in own:
+            by.setdefault(s, []).append(doc)
+    shared = {}
+    for group in by.values():
+        for i, x in enumerate(group):
+            for y in group[:i]:
+                shared[x, y] = shared.get((x, y), 0) + 1
+    for (x, y), n in shared.items():
+        if 100 * n >= percent * (len(sets[x]) + len(sets[y]) - n):
+            a, b = sorted((find(x), find(y)))
+            top[b] = a
+    return {doc: (len(own), find(doc), find(doc) == doc) for doc, own in sets.items()}
