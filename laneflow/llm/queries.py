@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laneflow.llm import decontaminate, language, line_chunks, odd_sketch
+from laneflow.llm import decontaminate, language, line_chunks, odd_sketch, sequences
 from laneflow.llm.store import read
 
 
@@ -13,10 +14,22 @@ def op1_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def packing_settings() -> sequences.PackSettings:
+    return sequences.PackSettings(vocabulary=public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op3_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.packed_matrices(read(spark, sf_dir, "documents"), packing_settings())
+
+
 def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_repacking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.certified_packing(read(spark, sf_dir, "documents"), packing_settings())
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(read(spark, sf_dir, "documents"))
 
@@ -30,7 +43,9 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_odd_sketch": op1_odd_sketch,
+    "op3_token_matrices": op3_token_matrices,
     "op4_fm_index": op4_fm_index,
+    "op6_repacking": op6_repacking,
     "op9_language": op9_language,
     "op10_line_chunks": op10_line_chunks,
 }
