@@ -46,7 +46,7 @@ def repeated_chunks(docs: DataFrame, settings: ChunkSettings = ChunkSettings())
     Earlier: smaller (doc_id, place). Chunks meet by hash first, so that the bytes of a chunk travel only if its hash
     repeats; then equal bytes are counted as one group. A hot group is pre-aggregated, and the join back can be split.
     """
-    rows = chunked(docs.select("doc_id", "text"), settings).select("doc_id", F.posexplode("_chunks").alias("place", "chunk"))
+    rows = chunked(docs.select("doc_id", "text"), settings).select("doc_id", F.posexplode_outer("_chunks").alias("place", "chunk"))
     rows = rows.where(F.col("chunk.solid") >= settings.min_lines).select(
         "doc_id", "place", F.col("chunk.text").alias("body"), F.xxhash64("chunk.text").alias("key"))
     often = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
