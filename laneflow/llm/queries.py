@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laneflow.llm import decontaminate, language, line_chunks, odd_sketch, sequences
+from laneflow.llm import decontaminate, language, line_chunks, odd_sketch, projections, sequences
 from laneflow.llm.store import read
 
 
@@ -26,6 +26,10 @@ def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op6_repacking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.certified_packing(read(spark, sf_dir, "documents"), packing_settings())
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op1_odd_sketch": op1_odd_sketch,
     "op3_token_matrices": op3_token_matrices,
     "op4_fm_index": op4_fm_index,
+    "op5_projections": op5_projections,
     "op6_repacking": op6_repacking,
     "op9_language": op9_language,
     "op10_line_chunks": op10_line_chunks,
