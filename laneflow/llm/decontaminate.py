@@ -175,6 +175,16 @@ def cut(docs: DataFrame, filler: str = "\n") -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
+def remove(docs: DataFrame, benchmark: DataFrame, settings: PhraseSettings = PhraseSettings()) -> DataFrame:
+    """docs without the benchmark's windows in their texts, and n_chars (if there) to match; other columns stay."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = cut(search(docs.select("text", whole), benchmark, settings))
+    fresh = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        fresh["n_chars"] = F.when(F.col("n_hit") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return found.select(*[fresh.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, settings: PhraseSettings = PhraseSettings()) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
     found = search(docs.select("doc_id", "text"), benchmark, settings)

@@ -75,6 +75,20 @@ def line_dedup(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> Da
         lines(gone).alias("n_removed_lines"), F.size("_chunks").alias("n_chunks"), F.size("_gone").alias("n_removed_chunks"))
 
 
+def drop_repeats(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
+    """docs with the text that `line_dedup` keeps and n_chars (if there) to match; other columns stay.
+
+    A document that loses everything but white space goes; a document without text to begin with stays.
+    """
+    out = line_dedup(docs, settings)
+    gone = (F.col("n_removed_chunks") > 0) & (F.trim(F.translate("text", "\n\t\r", "")) == "")
+    if "n_chars" in docs.columns:
+        count = F.when(F.col("n_removed_chunks") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType))
+    # rand() keeps the filter above the projections: pushed down, it would compute the chunks again for each use
+    return out.where(~(gone & (F.rand(0) >= 0))).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 #: op10: `line_dedup` over documents, as DuckDB SQL.
 SQL = """
 with lines as (
