@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laneflow.llm import decontaminate, language, line_chunks, odd_sketch, projections, sequences
+from laneflow.llm import decontaminate, language, line_chunks, odd_sketch, projections, sequences, toxicity, url_lists
 from laneflow.llm.store import read
 
 
@@ -14,6 +14,10 @@ def op1_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def packing_settings() -> sequences.PackSettings:
     return sequences.PackSettings(vocabulary=public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -34,6 +38,11 @@ def op6_repacking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.certified_packing(read(spark, sf_dir, "documents"), packing_settings())
 
 
+def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return url_lists.judge(url_lists.captures_of(pages), url_lists.intervals(url_lists.entries_of(pages)))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(read(spark, sf_dir, "documents"))
 
@@ -47,12 +56,14 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_odd_sketch": op1_odd_sketch,
+    "op2_grammar": op2_grammar,
     "op3_token_matrices": op3_token_matrices,
     "op4_fm_index": op4_fm_index,
     "op5_projections": op5_projections,
     "op6_repacking": op6_repacking,
+    "op7_url_lists": op7_url_lists,
     "op9_language": op9_language,
     "op10_line_chunks": op10_line_chunks,
 }
 
-ORACLES = {"op10_line_chunks": line_chunks.SQL}
+ORACLES = {"op7_url_lists": url_lists.SQL, "op10_line_chunks": line_chunks.SQL}
