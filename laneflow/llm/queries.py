@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laneflow.llm import decontaminate, language, line_chunks, odd_sketch, projections, sequences, toxicity, url_lists
+from laneflow.llm import decontaminate, language, line_chunks, odd_sketch, projections, repeats, sequences, toxicity, url_lists
 from laneflow.llm.store import read
 
 
@@ -43,6 +43,10 @@ def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.judge(url_lists.captures_of(pages), url_lists.intervals(url_lists.entries_of(pages)))
 
 
+def op8_bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.repeated_bytes(read(spark, sf_dir, "documents")))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(read(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op5_projections": op5_projections,
     "op6_repacking": op6_repacking,
     "op7_url_lists": op7_url_lists,
+    "op8_bwt_merge": op8_bwt_merge,
     "op9_language": op9_language,
     "op10_line_chunks": op10_line_chunks,
 }

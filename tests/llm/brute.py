@@ -62,3 +62,22 @@ def near(docs, words=3, percent=85):
             a, b = sorted((find(x), find(y)))
             top[b] = a
     return {doc: (len(own), find(doc), find(doc) == doc) for doc, own in sets.items()}
+
+
+def repeats(docs, length=50):
+    """{doc_id: (n_bytes, n_removed, n_spans, sha256)}; docs are (id, text) pairs with different ids."""
+    least, out = {}, {}
+    for doc, text in docs:
+        body = (text or "").encode()
+        for i in range(len(body) - length + 1):
+            s = body[i : i + length]
+            least[s] = min(least.get(s, doc), doc)
+    for doc, text in docs:
+        body = (text or "").encode()
+        gone = bytearray(len(body))
+        for i in range(len(body) - length + 1):
+            if least[body[i : i + length]] < doc:
+                gone[i : i + length] = b"\1" * length
+        spans = sum(1 for i, g in enumerate(gone) if g and (not i or not gone[i - 1]))
+        out[doc] = (len(body), sum(gone), spans, hashlib.sha256(bytes(c for c, g in zip(body, gone) if not g)).hexdigest())
+    return out
