@@ -284,7 +284,6 @@ def repeated_bytes(docs: DataFrame, settings: RepeatSettings = RepeatSettings())
     blocks = rows.mapInArrow(_blocks(settings), "batch long, doc_ids array<long>, sizes array<long>, body binary")
     blocks.repartition(parts, "batch").write.bucketBy(parts, "batch").option("path", f"{shared_folder(spark)}/{name}").mode("overwrite").saveAsTable(name)
     blocks = spark.table(name)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     anchors = blocks.mapInArrow(_anchors(settings, parts), "part long, batch long, hashes binary, places binary")
     places = anchors.groupBy("part").applyInArrow(_repeated, "batch long, places binary").groupBy("batch").agg(F.collect_list("places").alias("places"))
     schema = ", ".join(f"{c} {'long' if t == pa.int64() else 'binary'}" for c, t in _CONTENT)
