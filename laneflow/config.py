@@ -112,21 +112,15 @@ class RoadPlane:
 
 
 ROAD_PLANE = RoadPlane()
+REPORT_SPEEDS = (
+    "tripwire_speed_corrected_kmh", "tripwire_speed_naive_kmh",
+    "bev_avg_speed_kmh", "bev_min_speed_kmh", "bev_max_speed_kmh",
+)
 # --- end of fixed values ----------------------------------------------------
 
-# A track with more rows than HOT_ROWS is worked in blocks of BLOCK_FRAMES
-# frames, so that no task holds all of it. At most HOT_TRACKS tracks are split:
-# that bounds the broadcast list, and any other track holds at most one
-# HOT_TRACKS-th of the rows.
-HOT_ROWS = 1_000_000
-HOT_TRACKS = 100_000
+# Tracks are worked in blocks of so many frames, so that no task holds all of a long one.
 BLOCK_FRAMES = 65_536
 
-# Up to this many distinct box centres in one frame are compared one by one
-# with a track; fuller frames go through a distance map of the image.
-CROWD_BOXES = 64
-
-
 @dataclass(frozen=True)
 class StreamSettings:
     """Where a streaming job reads, writes and keeps its progress."""

@@ -11,6 +11,7 @@ from laneflow.config import NO_SPEEDS, SNAPSHOT_FRAMES
 from laneflow.functions.numbers import fixed_point
 from laneflow.operators.blocks import running_total
 from laneflow.schemas import LIVE_KEYS
+from laneflow.session import stored
 
 # Snapshots made from one row at a time, so that no array grows with the feed.
 _BATCH = 10_000
@@ -65,7 +66,7 @@ def activity_snapshot(positions: DataFrame, resolved: DataFrame, every: int = SN
         .filter(F.col("_shot") == 1)
     )
     # frame / every: neighbouring snapshots share a block of the running total
-    numbered = counted.withColumn("_n", (F.col("frame_id") / every).cast("long"))
+    numbered = stored(counted.withColumn("_n", (F.col("frame_id") / every).cast("long")), "snapshots")
     return (running_total(numbered, F.col("_saved"), "events_saved", "_n", ["camera_name"])
             .select("camera_name", "frame_id", "active_left", "active_right", "events_saved"))
 
@@ -94,10 +95,9 @@ def snapshot_speed_list(frames: DataFrame, tripwire: DataFrame, every: int = SNA
     )
     size = F.size("_entries").cast("long")
     text = F.when(size > 0, F.array_join(F.col("_entries.token"), "  ")).otherwise(NO_SPEEDS)
+    lines = lists.select("camera_name", "side", "frame_id", "_n", size.alias("_new"), text.alias("new_speeds"))
     return (
-        running_total(lists.select("camera_name", "side", "frame_id", "_n", size.alias("_new"),
-                                   text.alias("new_speeds")),
-                      F.col("_new"), "speeds_so_far", "_n", ["camera_name", "side"])
+        running_total(stored(lines, "speed-lists"), F.col("_new"), "speeds_so_far", "_n", ["camera_name", "side"])
         .select("camera_name", "side", "frame_id", "new_speeds", "speeds_so_far")
     )
 

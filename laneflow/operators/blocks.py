@@ -1,23 +1,26 @@
 """Ordered work on groups that may be too large for one task.
 
-A window over a group puts the whole group into one task. Here a large group
-is cut into blocks of its order column, and each block gets what it needs from
-the blocks before it: the last few rows, or a running sum. Results are the same
-as over the whole group, whatever the block size.
+A window over a group puts the whole group into one task. Here every group is cut into blocks of its order column, and each
+block gets what it needs from the blocks before it: the last few rows, a state, or a running sum. Results are the same as
+over the whole group, whatever the block size, and all groups take the same path.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from laneflow.config import BLOCK_FRAMES, HOT_ROWS, HOT_TRACKS
+from laneflow.config import BLOCK_FRAMES
 
 BLOCK, HALO = "_block", "_halo"
 
+#: Blocks whose sums are added up together, before the sums of such spans are.
+_SPAN = 4096
+
 
 def block_of(order: str, block: int) -> Column:
     """Number of the block of `block` order values that a row lies in, rounded down."""
@@ -28,88 +31,83 @@ def all_of(conditions) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, most: int = HOT_TRACKS) -> DataFrame:
-    """Keys with more than `hot_rows` rows, the `most` largest of them.
+@dataclass(frozen=True)
+class Carried:
+    """What blocks tell the later blocks of their group, besides their last rows.
 
-    The limit proves the size of the list. It drops nothing: it only says which
-    groups are worked in blocks. The order is total, so every evaluation of the
-    plan picks the same keys.
+    `rows`: columns added to the rows of a block, one dict after the other (windows by keys and `_block`); `summary`: aggregates
+    over a block; `steps`: columns added to the summaries, one dict after the other (windows by keys, in block order);
+    `names`: those that the copies of earlier rows carry; own rows have null there.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
-    return sizes.orderBy(F.desc("_rows"), *keys).limit(most).select(*keys)
+
+    rows: Sequence[dict[str, Column]] = ()
+    summary: dict[str, Column] = field(default_factory=dict)
+    steps: Sequence[dict[str, Column]] = ()
+    names: Sequence[str] = ()
 
 
-def in_blocks(df: DataFrame, keys: Sequence[str], order: str, rows_before: int,
-              hot_rows: int | None = HOT_ROWS, block: int = BLOCK_FRAMES,
-              history: Column | None = None, sized_by: DataFrame | None = None) -> DataFrame:
+def in_blocks(df: DataFrame, keys: Sequence[str], order: str, rows_before: int, block: int | None = None,
+              history: Column | None = None, carried: Carried | None = None) -> DataFrame:
     """Rows with `_block` and `_halo`, ready for windows over `keys` and `_block`.
 
-    `keys` are not null, `order` is a whole number, unique within `keys`. Small
-    groups stay whole; their block is null. In a large group every block also
-    holds copies, marked `_halo`, of the last `rows_before` rows before it (of
-    those that meet `history`, if given). `hot_rows=None` leaves all groups whole.
+    `keys` are not null, `order` is a whole number, unique within `keys`. Every block also holds copies, marked `_halo`, of
+    the last `rows_before` rows before it, or of the last row before it that meets `history`. The input is read twice:
+    for the rows, and for one summary row per block, from which the copies are made.
     """
-    if hot_rows is None:
-        return df.withColumn(BLOCK, F.lit(None).cast("long")).withColumn(HALO, F.lit(False))
-    hot = F.broadcast(hot_groups(df if sized_by is None else sized_by, keys, hot_rows).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_is_hot")))
-    is_hot = all_of(F.col(k) == F.col(f"_hot_{k}") for k in keys)
+    if history is not None and rows_before != 1:
+        raise ValueError("with history, one row is kept")
+    block, carried = block or BLOCK_FRAMES, carried or Carried()
     columns = df.columns
-    own = (
-        df.join(hot, is_hot, "left")
-        .select(*columns, F.when(F.col("_is_hot"), block_of(order, block)).alias(BLOCK), F.lit(False).alias(HALO))
-    )
-    usable = df if history is None else df.filter(history)
-    from_end = Window.partitionBy(*keys, BLOCK).orderBy(F.desc(order))
-    tails = (
-        usable.join(hot, is_hot).select(*columns, block_of(order, block).alias(BLOCK))
-        .withColumn("_from_end", F.row_number().over(from_end)).filter(F.col("_from_end") <= rows_before)
-        .drop("_from_end", BLOCK)
-    )
-    starts = df.join(hot, is_hot).select(*keys, block_of(order, block).alias(BLOCK)).distinct()
-    return own.unionByName(_copies(tails, starts, keys, order, rows_before, block).select(*columns, BLOCK, HALO))
-
-
-def _copies(tails: DataFrame, starts: DataFrame, keys: Sequence[str], order: str,
-            rows_before: int, block: int) -> DataFrame:
-    """The tail rows, once for each later block that has them among the last `rows_before` rows before it.
-
-    Works on tails and block numbers only, a few rows per block.
-    """
-    # A block's start stands before its rows, `_nth` counts the tail rows up to and with each mark.
-    marks = (
-        tails.withColumn("_at", F.col(order).cast("long")).withColumn("_tail_row", F.lit(1))
-        .unionByName(
-            starts.select(*keys, F.col(BLOCK).alias("_starts"), (F.col(BLOCK) * block).alias("_at"),
-                          F.lit(0).alias("_tail_row")),
-            allowMissingColumns=True)
-    )
-    along = Window.partitionBy(*keys).orderBy("_at", "_tail_row")
-    nth = F.sum("_tail_row").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # A block that starts after p tail rows wants row q if p - q < rows_before.
-    reach = Window.partitionBy(*keys).orderBy("_nth").rangeBetween(0, rows_before - 1)
-    wanted = F.collect_list("_starts").over(reach)
-    return (
-        marks.withColumn("_nth", nth).withColumn("_wanted", wanted).filter(F.col("_tail_row") == 1)
-        .withColumn(BLOCK, F.explode("_wanted")).withColumn(HALO, F.lit(True))
-    )
+    numbered = df.withColumn(BLOCK, block_of(order, block))
+    own = numbered.withColumn(HALO, F.lit(False))
+    if carried.names:
+        for new in carried.rows:
+            numbered = numbered.withColumns(new)
+    usable = F.lit(True) if history is None else F.coalesce(history, F.lit(False))
+    ranked = numbered.withColumn("_usable", usable)
+    back = Window.partitionBy(*keys, BLOCK, "_usable").orderBy(F.desc(order))
+    ranked = ranked.withColumn("_from_end", F.row_number().over(back))
+    if not carried.names:
+        ranked = ranked.filter(F.col("_from_end") <= rows_before)   # cut down before the rows are exchanged
+    tail = F.when((F.col("_from_end") <= rows_before) & F.col("_usable"), F.struct(order, *[c for c in columns if c != order]))
+    blocks = ranked.groupBy(*keys, BLOCK).agg(
+        F.sort_array(F.collect_list(tail)).alias("_tail"), *[value.alias(name) for name, value in carried.summary.items()])
+    along = Window.partitionBy(*keys).orderBy(BLOCK)
+    for new in carried.steps:
+        blocks = blocks.withColumns(new)
+    if history is None:
+        # every block has a row, so the last rows lie in as many blocks at most
+        before = F.flatten(F.collect_list("_tail").over(along.rowsBetween(-rows_before, -1)))
+    else:
+        filled = F.when(F.size("_tail") > 0, F.col("_tail"))
+        before = F.last(filled, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.withColumn("_before", before)
+    last = F.slice("_before", F.greatest(F.size("_before") - rows_before, F.lit(0)) + 1, rows_before)
+    copies = blocks.select(BLOCK, *carried.names, F.explode(last).alias("_row")).select(
+        *[F.col(f"_row.{c}").alias(c) for c in columns], BLOCK, F.lit(True).alias(HALO), *carried.names)
+    return own.unionByName(copies, allowMissingColumns=bool(carried.names))
 
 
 def running_total(df: DataFrame, value: Column, name: str, order: str, keys: Sequence[str] = (),
-                  block: int = BLOCK_FRAMES) -> DataFrame:
+                  block: int = BLOCK_FRAMES, span: int = _SPAN) -> DataFrame:
     """Rows with the sum of `value` up to and including each row, by `order` within `keys`.
 
-    `order` is a whole number, unique within `keys`. Blocks are summed first;
-    only the block sums, one row per block, are added up in order.
+    `order` is a whole number, unique within `keys`. Blocks are summed first, then spans of blocks; only the sums of spans,
+    one row for `span` blocks, are added up in one task per key. The input is read twice.
     """
     # as a struct, a null key is a value like any other, in the window and in the join
-    group = F.struct(*keys, block_of(order, block).alias(BLOCK))
-    valued = df.withColumn("_value", value).withColumn("_group", group)
+    whole = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))
+    number = block_of(order, block)
+    valued = df.withColumn("_value", value).withColumn("_group", F.struct(whole.alias("key"), number.alias(BLOCK)))
     sums = valued.groupBy("_group").agg(F.sum("_value").alias("_sum"))
-    earlier = (Window.partitionBy(*[f"_group.{k}" for k in keys]).orderBy(f"_group.{BLOCK}")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    before = sums.select(
-        F.col("_group").alias("_same_group"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    spanned = sums.withColumn("_span", F.struct(F.col("_group.key").alias("key"), block_of(f"_group`.`{BLOCK}", span).alias("n")))
+    totals = spanned.groupBy("_span").agg(F.sum("_sum").alias("_of_span"))
+    before_span = totals.select(F.col("_span").alias("_same_span"), F.coalesce(F.sum("_of_span").over(
+        Window.partitionBy("_span.key").orderBy("_span.n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before_span"))
+    inside_span = F.sum("_sum").over(Window.partitionBy("_span").orderBy(f"_group.{BLOCK}").rowsBetween(Window.unboundedPreceding, -1))
+    before = spanned.withColumn("_inside_span", F.coalesce(inside_span, F.lit(0))).join(
+        before_span, F.col("_span") == F.col("_same_span")).select(
+        F.col("_group").alias("_same_group"), (F.col("_inside_span") + F.col("_before_span")).alias("_before"))
     inside = Window.partitionBy("_group").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         valued.withColumn("_inside", F.sum("_value").over(inside))

@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from laneflow.config import (
-    CROWD_BOXES, HOT_ROWS, MAX_MATCH_PX, MIN_AREA_PX, TRUCK_MIN_AREA_PX,
-)
+from laneflow.config import MAX_MATCH_PX, MIN_AREA_PX, TRUCK_MIN_AREA_PX
 from laneflow.functions.geometry import box_middle, euclidean, size_class
 from laneflow.operators.blocks import HALO, all_of, in_blocks
 from laneflow.operators.tripwires import ORDER, by_frame
@@ -33,115 +30,30 @@ def detections_clean(detections: DataFrame, cameras: DataFrame, min_area: float
 
 
 def vehicle_class(positions: DataFrame, boxes: DataFrame, truck_area: int = TRUCK_MIN_AREA_PX,
-                  keys: Sequence[str] = LIVE_KEYS, crowd: int = CROWD_BOXES,
-                  hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                  keys: Sequence[str] = LIVE_KEYS, block: int | None = None) -> DataFrame:
     """Positions with `vehicle_type`, car or truck by the nearest box of the track's side; null while unknown.
 
-    Nearest is by |dx| + |dy|, ties go to the lowest `box_id`. In a frame
-    without boxes on its side a track keeps its class.
+    Nearest is by |dx| + |dy|, ties go to the lowest `box_id`. In a frame without boxes on its side a track keeps its
+    class. The boxes of a frame and side travel as one array, which a frame's image bounds.
     """
-    classed = _nearest_class(positions, boxes, truck_area, crowd)
-    known = F.col("_class").isNotNull()
-    rows = in_blocks(classed, keys, ORDER, 1, hot_rows, history=known, sized_by=positions)
+    classed = _nearest_class(positions, boxes, truck_area)
+    rows = in_blocks(classed, keys, ORDER, 1, block, history=F.col("_class").isNotNull())
     so_far = by_frame(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (rows.withColumn("vehicle_type", F.last("_class", ignorenulls=True).over(so_far))
             .filter(~F.col(HALO)).select(*positions.columns, "vehicle_type"))
 
 
-def _nearest_class(positions: DataFrame, boxes: DataFrame, truck_area: int, crowd: int) -> DataFrame:
-    """Positions with `_class`, the class of the nearest box of their frame and side.
-
-    A track that was matched in a frame lies on the centre of a box: an equi-join
-    settles it. The others are compared with the distinct box centres of their
-    frame if these are at most `crowd`; in fuller frames they look into a map of
-    the distances to the nearest centre.
-    """
-    # box and class as one number: its minimum is the first box, and plain numbers aggregate by hash
-    is_truck = (size_class(F.col("w"), F.col("h"), truck_area) == "truck").cast("long")
-    code = F.col("box_id").cast("long") * 2 + is_truck
-    centres = boxes.groupBy(*_PLACE, "cx", "cy").agg(F.min(code).alias("_box"))
-    here = centres.select(*[F.col(c).alias(f"_at_{c}") for c in (*_PLACE, "cx", "cy")], F.col("_box"))
-    on_centre = all_of(F.col(c) == F.col(f"_at_{c}") for c in (*_PLACE, "cx", "cy"))
-    settled = positions.join(here, on_centre, "left").select(*positions.columns, "_box")
-
-    sized = centres.withColumn("_centres", F.count(F.lit(1)).over(Window.partitionBy(*_PLACE)))
-    near = sized.select(*[F.col(c).alias(f"_near_{c}") for c in _PLACE], F.col("cx").alias("bx"),
-                        F.col("cy").alias("by"), F.col("_box").alias("_other"), "_centres")
-    few = near.filter(F.col("_centres") <= crowd)
-    same_place = all_of(F.col(c) == F.col(f"_near_{c}") for c in _PLACE)
-    distance = F.abs(F.col("cx") - F.col("bx")) + F.abs(F.col("cy") - F.col("by"))
-    # distance first, then the box; a left join without a match gives null
-    other = distance.cast("long") * F.lit(1 << 33).cast("long") + F.col("_other")
-    # settled rows meet no other centre and pass through as they are
-    compared = (
-        settled.join(few, same_place & F.col("_box").isNull(), "left").groupBy(*positions.columns)
-        .agg(F.min(F.coalesce("_box", other)).alias("_code"))
-        .select(*positions.columns, _class_of("_code").alias("_class"))
-    )
-
-    crowded = near.filter(F.col("_centres") > crowd)
-    places = crowded.select(*[F.col(f"_near_{c}").alias(c) for c in _PLACE]).distinct()
-    # distinct pixels on both sides, so one frame holds no more than its image has
-    points = (settled.filter(F.col("_box").isNull()).join(places, list(_PLACE), "left_semi")
-              .select(*_PLACE, "cx", "cy").distinct())
-    mapped = (
-        points.groupBy(*_PLACE)
-        .cogroup(crowded.select(*[F.col(f"_near_{c}").alias(c) for c in _PLACE], "bx", "by",
-                                F.col("_other").alias("box_id"), _class_of("_other").alias("class"))
-                 .groupBy(*_PLACE))
-        .applyInPandas(nearest_on_map, _POINT_CLASS)
-        .select(*[F.col(c).alias(f"_at_{c}") for c in (*_PLACE, "cx", "cy")], "_mapped")
-    )
-    return (compared.join(mapped, on_centre, "left")
-            .select(*positions.columns, F.coalesce("_class", "_mapped").alias("_class")))
-
-
-_POINT_CLASS = "camera_name string, frame_id long, side string, cx int, cy int, _mapped string"
-
-
-def _class_of(code: str) -> Column:
-    return F.when(F.col(code) % 2 == 1, "truck").when(F.col(code).isNotNull(), "car")
-
-
-def nearest_on_map(points: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
-    """Class of the nearest centre for each point of one frame, ties to the lowest `box_id`.
-
-    Few points or a wide area: every point is compared with every centre, some
-    points at a time. Else a distance map is cheaper: it holds distance and rank
-    of the nearest centre for every pixel of the area that points and centres
-    span, and is filled by two sweeps along each axis, whatever their number.
-    """
-    if points.empty:
-        return points.assign(_mapped=pd.Series(dtype=object))
-    centres = centres.sort_values("box_id", kind="stable").reset_index(drop=True)
-    left = min(points["cx"].min(), centres["bx"].min())
-    top = min(points["cy"].min(), centres["by"].min())
-    width = int(max(points["cx"].max(), centres["bx"].max()) - left + 1)
-    height = int(max(points["cy"].max(), centres["by"].max()) - top + 1)
-    look = _compare if len(points) * len(centres) <= width * height else _sweep
-    xy = np.stack([points["cx"] - left, points["cy"] - top], axis=1).astype(np.int64)
-    centre_xy = np.stack([centres["bx"] - left, centres["by"] - top], axis=1).astype(np.int64)
-    return points.assign(_mapped=centres["class"].to_numpy()[look(xy, centre_xy, width, height)])
-
-
-def _compare(xy: np.ndarray, centre_xy: np.ndarray, width: int, height: int) -> np.ndarray:
-    at_once = max(1, 1_000_000 // len(centre_xy))
-    return np.concatenate([
-        np.abs(xy[i:i + at_once, None, :] - centre_xy[None, :, :]).sum(axis=2).argmin(axis=1)
-        for i in range(0, len(xy), at_once)])
-
-
-def _sweep(xy: np.ndarray, centre_xy: np.ndarray, width: int, height: int) -> np.ndarray:
-    step = len(centre_xy) + 1                     # one pixel outweighs any rank
-    grid = np.full((height, width), np.int64(step) * (width + height + 1), dtype=np.int64)
-    np.minimum.at(grid, (centre_xy[:, 1], centre_xy[:, 0]), np.arange(len(centre_xy), dtype=np.int64))
-    for axis in (0, 1):
-        slope = np.arange(grid.shape[axis], dtype=np.int64) * step
-        slope = slope[:, None] if axis == 0 else slope[None, :]
-        ahead = np.minimum.accumulate(grid - slope, axis=axis) + slope
-        back = np.flip(np.minimum.accumulate(np.flip(grid + slope, axis), axis=axis), axis) - slope
-        grid = np.minimum(ahead, back)
-    return grid[xy[:, 1], xy[:, 0]] % step
+def _nearest_class(positions: DataFrame, boxes: DataFrame, truck_area: int) -> DataFrame:
+    """Positions with `_class`, the class of the nearest box of their frame and side; null without one."""
+    is_truck = size_class(F.col("w"), F.col("h"), truck_area) == "truck"
+    frames = boxes.groupBy(*[F.col(c).alias(f"_at_{c}") for c in _PLACE]).agg(
+        F.collect_list(F.struct("cx", "cy", "box_id", is_truck.alias("truck"))).alias("_boxes"))
+    here = all_of(F.col(c) == F.col(f"_at_{c}") for c in _PLACE)
+    ranked = F.transform("_boxes", lambda b: F.struct(
+        (F.abs(F.col("cx") - b["cx"]) + F.abs(F.col("cy") - b["cy"])).alias("apart"), b["box_id"].alias("box_id"), b["truck"].alias("truck")))
+    nearest = F.array_min(ranked)["truck"]
+    return positions.join(frames, here, "left").select(
+        *positions.columns, F.when(nearest, "truck").when(~nearest, "car").alias("_class"))
 
 
 def match_candidates(centred: DataFrame, max_dist: float = MAX_MATCH_PX) -> DataFrame:
@@ -150,7 +62,7 @@ def match_candidates(centred: DataFrame, max_dist: float = MAX_MATCH_PX) -> Data
     Boxes meet only within their own and the adjoining cells of a grid as wide
     as the match distance.
     """
-    size = int(np.ceil(max_dist))
+    size = ceil(max_dist)
     columns = ["camera_name", "side", "frame_id"]
     cell_x, cell_y = F.floor(F.col("cx") / size), F.floor(F.col("cy") / size)
     before = centred.select(

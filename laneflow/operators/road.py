@@ -7,14 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laneflow.config import CLASS_NAMES, FPS, HOT_ROWS, ROAD_PLANE, ZONE_MARGIN_PX, RoadPlane
+from laneflow.config import CLASS_NAMES, FPS, REPORT_SPEEDS, ROAD_PLANE, ZONE_MARGIN_PX, RoadPlane
 from laneflow.functions.geometry import (
     KMH_PER_MS, class_name, corrected_distance, effect_percent, foot_point, kmh, naive_distance, project,
 )
 from laneflow.functions.numbers import fixed_point
 from laneflow.functions.text import speed_label
 from laneflow.operators.blocks import HALO, in_blocks
-from laneflow.operators.tripwires import ORDER, lap_seconds, mark_crossings, pair_crossings, with_history
+from laneflow.operators.tripwires import (
+    ORDER, crossings_carried, lap_seconds, mark_crossings, pair_crossings, with_history,
+)
 from laneflow.schemas import OFFLINE_KEYS
 
 
@@ -48,7 +50,7 @@ def tripwire_distances(cameras: DataFrame, plane: RoadPlane = ROAD_PLANE) -> Dat
 
 
 def road_traces(boxes: DataFrame, plane: RoadPlane = ROAD_PLANE, fps: float = FPS,
-                keys: Sequence[str] = OFFLINE_KEYS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                keys: Sequence[str] = OFFLINE_KEYS, block: int | None = None) -> DataFrame:
     """Every vehicle and frame with the speeds known by then.
 
     `corrected_kmh` and `naive_kmh` from the frame of the second crossing on;
@@ -58,9 +60,9 @@ def road_traces(boxes: DataFrame, plane: RoadPlane = ROAD_PLANE, fps: float = FP
     kept = int(fps)
     needed = with_road_lines(bev_positions(boxes, plane), plane).select(
         *keys, ORDER, "vehicle_type", "foot_y", "bev_y", "first_line", "second_line")
-    rows = in_blocks(needed, keys, ORDER, kept - 1, hot_rows)
+    rows = in_blocks(needed, keys, ORDER, kept - 1, block, carried=crossings_carried("foot_y", "y", keys))
     rows = with_history(mark_crossings(rows, "foot_y", "y", keys), "bev_y", kept, keys)
-    rows = pair_crossings(rows, keys, hot_rows).filter(~F.col(HALO))
+    rows = pair_crossings(rows, keys).filter(~F.col(HALO))
     timed = F.col(ORDER) >= F.col("second_frame")
     seconds = F.col("history_rows") / F.lit(fps)
     sample = F.abs(F.col("bev_y") - F.col("history_start")) / seconds * KMH_PER_MS
@@ -112,16 +114,10 @@ def vehicle_report(traces: DataFrame) -> DataFrame:
     )
 
 
-_REPORT_SPEEDS = (
-    "tripwire_speed_corrected_kmh", "tripwire_speed_naive_kmh",
-    "bev_avg_speed_kmh", "bev_min_speed_kmh", "bev_max_speed_kmh",
-)
-
-
 def report_text(report: DataFrame) -> DataFrame:
     """The report as it is written: one digit, empty where there is no speed."""
     return report.select("camera_name", "vehicle_id", "vehicle_type", *[
-        F.coalesce(fixed_point(F.col(c), 1), F.lit("")).alias(c) for c in _REPORT_SPEEDS])
+        F.coalesce(fixed_point(F.col(c), 1), F.lit("")).alias(c) for c in REPORT_SPEEDS])
 
 
 def run_summary(report: DataFrame) -> DataFrame:

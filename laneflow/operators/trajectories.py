@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laneflow.config import (
-    FPS, HISTORY_MIN_ROWS, HISTORY_ROWS, HOT_ROWS, MOVEMENT_MIN_ROWS, MOVEMENT_PX, SPEED_HIGH_KMH, SPEED_LOW_KMH,
+    FPS, HISTORY_MIN_ROWS, HISTORY_ROWS, MOVEMENT_MIN_ROWS, MOVEMENT_PX, SPEED_HIGH_KMH, SPEED_LOW_KMH,
 )
 from laneflow.functions.geometry import KMH_PER_MS, kmh
 from laneflow.operators.blocks import BLOCK, HALO, in_blocks
@@ -37,10 +37,10 @@ def movement_of(min_pts: int = MOVEMENT_MIN_ROWS, threshold: int = MOVEMENT_PX)
 
 def displacement_speeds(calibrated: DataFrame, window: int = HISTORY_ROWS, min_pts: int = HISTORY_MIN_ROWS,
                         fps: float = FPS, lo: float = SPEED_LOW_KMH, hi: float = SPEED_HIGH_KMH,
-                        keys: Sequence[str] = LIVE_KEYS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                        keys: Sequence[str] = LIVE_KEYS, block: int | None = None) -> DataFrame:
     """Every valid displacement speed, by track and frame."""
     needed = calibrated.select(*keys, ORDER, "cx", "px_per_m")
-    rows = with_history(in_blocks(needed, keys, ORDER, window - 1, hot_rows), "cx", window, keys)
+    rows = with_history(in_blocks(needed, keys, ORDER, window - 1, block), "cx", window, keys)
     return (
         rows.withColumn("speed_kmh", displacement_kmh(fps, min_pts, lo, hi))
         .filter(F.col("speed_kmh").isNotNull() & ~F.col(HALO))
@@ -50,15 +50,15 @@ def displacement_speeds(calibrated: DataFrame, window: int = HISTORY_ROWS, min_p
 
 def movement(positions: DataFrame, window: int = HISTORY_ROWS, min_pts: int = MOVEMENT_MIN_ROWS,
              threshold: int = MOVEMENT_PX, keys: Sequence[str] = LIVE_KEYS,
-             hot_rows: int | None = HOT_ROWS) -> DataFrame:
+             block: int | None = None) -> DataFrame:
     """left, right or unknown for every track and frame."""
     needed = positions.select(*keys, ORDER, "cx")
-    rows = with_history(in_blocks(needed, keys, ORDER, window - 1, hot_rows), "cx", window, keys)
+    rows = with_history(in_blocks(needed, keys, ORDER, window - 1, block), "cx", window, keys)
     return rows.filter(~F.col(HALO)).select(*keys, ORDER, movement_of(min_pts, threshold).alias("movement"))
 
 
 def resolved_events(calibrated: DataFrame, policy: str = "first_resolved", fps: float = FPS,
-                    keys: Sequence[str] = LIVE_KEYS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                    keys: Sequence[str] = LIVE_KEYS, block: int | None = None) -> DataFrame:
     """One event per track, taken when its speed is first known.
 
     A tripwire speed wins over a displacement speed of the same frame. Later
@@ -73,7 +73,7 @@ def resolved_events(calibrated: DataFrame, policy: str = "first_resolved", fps:
         raise ValueError(f"unknown policy {policy!r}")
     needed = calibrated.select(*keys, ORDER, "cx", "first_line", "second_line", "dist_m", "px_per_m",
                                "direction", "vehicle_type")
-    rows = in_blocks(needed, keys, ORDER, HISTORY_ROWS - 1, hot_rows)
+    rows = in_blocks(needed, keys, ORDER, HISTORY_ROWS - 1, block)
     rows = with_history(mark_crossings(rows, "cx", "x", keys), "cx", HISTORY_ROWS, keys)
     rows = rows.filter(~F.col(HALO)).select(
         *keys, BLOCK, ORDER, "crossed_1", "crossed_2", "dist_m", "direction",

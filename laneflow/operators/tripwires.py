@@ -7,16 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from laneflow.config import FPS, HOT_ROWS
+from laneflow.config import FPS
 from laneflow.functions.geometry import crossed, kmh
-from laneflow.operators.blocks import BLOCK, HALO, all_of, in_blocks
+from laneflow.operators.blocks import BLOCK, HALO, Carried, in_blocks
 from laneflow.schemas import LIVE_KEYS
 
 ORDER = "frame_id"
 
 
 def by_frame(keys: Sequence[str]):
-    """Window over the rows of a track, or of one block of a large track, in frame order."""
+    """Window over the rows of one block of a track, in frame order."""
     return Window.partitionBy(*keys, BLOCK).orderBy(ORDER)
 
 
@@ -44,46 +44,49 @@ def mark_crossings(blocked: DataFrame, position: str, variant: str, keys: Sequen
     )
 
 
-def pair_crossings(marked: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def crossings_carried(position: str, variant: str, keys: Sequence[str]) -> Carried:
+    """The two crossings that lie in earlier blocks, for `in_blocks`: `_begun` and `_done`.
+
+    A block knows the crossings between its own rows; the step from the block before to its first row is added when the
+    summaries, one row per block, stand in order.
+    """
+    frame, here, block = F.col(ORDER), F.col(position), Window.partitionBy(*keys, BLOCK)
+    first_row, earlier = F.col("_first_row"), Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    previous = F.col("_previous")
+    return Carried(
+        rows=({"_previous": F.lag(position).over(by_frame(keys))},
+              {"_hit_1": crossed(previous, here, F.col("first_line"), variant), "_hit_2": crossed(previous, here, F.col("second_line"), variant)},
+              {"_first_hit": F.min(F.when(F.col("_hit_1"), frame)).over(block)}),
+        summary={
+            "_first_row": F.min(F.struct(frame, here.alias("_at"), "first_line", "second_line")),
+            "_last_at": F.max_by(here, frame),
+            "_first": F.min("_first_hit"),
+            "_any_second": F.min(F.when(F.col("_hit_2"), frame)),
+            "_second_after": F.min(F.when(F.col("_hit_2") & (frame > F.col("_first_hit")), frame))},
+        steps=({"_from": F.lag("_last_at").over(Window.partitionBy(*keys).orderBy(BLOCK))},
+               {"_step_1": crossed(F.col("_from"), first_row["_at"], first_row["first_line"], variant),
+                "_step_2": crossed(F.col("_from"), first_row["_at"], first_row["second_line"], variant)},
+               {"_second_after": F.when(F.col("_step_1"), F.col("_any_second")).otherwise(F.col("_second_after")),
+                "_first": F.when(F.col("_step_1"), first_row[ORDER]).otherwise(F.col("_first")),
+                "_any_second": F.when(F.col("_step_2"), first_row[ORDER]).otherwise(F.col("_any_second"))},
+               {"_begun": F.min("_first").over(earlier)},
+               {"_second": F.when(F.col("_begun").isNotNull(), F.col("_any_second")).otherwise(F.col("_second_after"))},
+               {"_done": F.min("_second").over(earlier)}),
+        names=("_begun", "_done"))
+
+
+def pair_crossings(marked: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Adds `first_frame` and `second_frame`, the two crossings that give a track its speed.
 
-    The first is the first crossing of line 1, the second the first crossing of
-    line 2 in a later frame. Both are known by the end of the row's block; a
-    second crossing in a later block is null here.
+    The first is the first crossing of line 1, the second the first crossing of line 2 in a later frame. Both are known by
+    the end of the row's block; a second crossing in a later block is null here. `marked` has the columns of
+    `crossings_carried`.
     """
-    block = Window.partitionBy(*keys, BLOCK)
-    frame = F.col(ORDER)
-    rows = marked.withColumn("_first_here", F.min(F.when(F.col("crossed_1"), frame)).over(block))
-    if hot_rows is None:
-        rows = rows.withColumn("first_frame", F.col("_first_here")).withColumn("_done", F.lit(None).cast("long"))
-    else:
-        carried = _carried(rows, keys).select(
-            *[F.col(k).alias(f"_c_{k}") for k in (*keys, BLOCK)], "_begun", "_done")
-        on = all_of(F.col(k) == F.col(f"_c_{k}") for k in (*keys, BLOCK))
-        rows = (rows.join(carried, on, "left").drop(*[f"_c_{k}" for k in (*keys, BLOCK)])
-                .withColumn("first_frame", F.coalesce("_begun", "_first_here")).drop("_begun"))
+    block, frame = Window.partitionBy(*keys, BLOCK), F.col(ORDER)
+    first_here = F.min(F.when(F.col("crossed_1"), frame)).over(block)
+    rows = marked.withColumn("first_frame", F.coalesce(F.min("_begun").over(block), first_here))
     second_here = F.min(F.when(F.col("crossed_2") & (frame > F.col("first_frame")), frame)).over(block)
-    return rows.withColumn("second_frame", F.coalesce("_done", second_here)).drop("_first_here", "_done")
-
-
-def _carried(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """For each block of a large track: the two crossings that lie in earlier blocks. One row per block."""
-    frame, hit_2 = F.col(ORDER), F.col("crossed_2")
-    blocks = (
-        rows.filter(F.col(BLOCK).isNotNull()).groupBy(*keys, BLOCK).agg(
-            F.min("_first_here").alias("_first"),
-            F.min(F.when(hit_2, frame)).alias("_any_second"),
-            F.min(F.when(hit_2 & (frame > F.col("_first_here")), frame)).alias("_second_after"),
-        )
-    )
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        blocks.withColumn("_begun", F.min("_first").over(earlier))
-        .withColumn("_second", F.when(F.col("_begun").isNotNull(), F.col("_any_second"))
-                    .otherwise(F.col("_second_after")))
-        .withColumn("_done", F.min("_second").over(earlier))
-        .select(*keys, BLOCK, "_begun", "_done")
-    )
+    return rows.withColumn("second_frame", F.coalesce(F.min("_done").over(block), second_here)).drop("_begun", "_done")
 
 
 def lap_per_track(marked: DataFrame, keys: Sequence[str], carry: Sequence[str] = (),
@@ -122,10 +125,10 @@ def lap_seconds(fps: float, second: str = "second_frame") -> Column:
 
 
 def tripwire_crossings(calibrated: DataFrame, position: str = "cx", variant: str = "x",
-                       keys: Sequence[str] = LIVE_KEYS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                       keys: Sequence[str] = LIVE_KEYS, block: int | None = None) -> DataFrame:
     """Every step of a track over one of its two lines."""
     needed = calibrated.select(*keys, ORDER, position, "first_line", "second_line")
-    marked = mark_crossings(in_blocks(needed, keys, ORDER, 1, hot_rows), position, variant, keys)
+    marked = mark_crossings(in_blocks(needed, keys, ORDER, 1, block), position, variant, keys)
     return (
         marked.filter(F.col("crossed_1") | F.col("crossed_2"))
         .select(*keys, ORDER, "previous", F.col(position).alias("current"), "crossed_1", "crossed_2")
@@ -134,7 +137,7 @@ def tripwire_crossings(calibrated: DataFrame, position: str = "cx", variant: str
 
 def tripwire_speeds(calibrated: DataFrame, fps: float = FPS, position: str = "cx", variant: str = "x",
                     keys: Sequence[str] = LIVE_KEYS, distances: dict[str, Column] | None = None,
-                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                    block: int | None = None) -> DataFrame:
     """One row per track that crossed both lines, with a speed for each given distance.
 
     Either direction counts. Both lines in one frame count as line 1 only.
@@ -143,7 +146,7 @@ def tripwire_speeds(calibrated: DataFrame, fps: float = FPS, position: str = "cx
     needed = calibrated.select(
         *keys, ORDER, position, "first_line", "second_line",
         *[metres.alias(f"_metres_{name}") for name, metres in distances.items()])
-    marked = mark_crossings(in_blocks(needed, keys, ORDER, 1, hot_rows), position, variant, keys)
+    marked = mark_crossings(in_blocks(needed, keys, ORDER, 1, block), position, variant, keys)
     hits = marked.filter(F.col("crossed_1") | F.col("crossed_2"))
     laps = lap_per_track(hits, keys, [f"_metres_{name}" for name in distances])
     seconds = lap_seconds(fps, "second.second_frame")

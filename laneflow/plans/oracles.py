@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from laneflow.config import REPORT_SPEEDS
+
 _CAMERA = "case when (user_id//2)%2=0 then 'IC_Papagou' else 'Roupaki_Toll_Station' end"
 
 _TRAFFIC = f"""
@@ -232,8 +234,6 @@ report as (
              from samples group by camera_name, track_id) b using (camera_name, track_id))
 """
 
-_REPORT_SPEEDS = ("tripwire_speed_corrected_kmh", "tripwire_speed_naive_kmh",
-                  "bev_avg_speed_kmh", "bev_min_speed_kmh", "bev_max_speed_kmh")
 _ORDINAL = """case when {n}%100 between 11 and 13 then 'th' when {n}%10=1 then 'st' when {n}%10=2 then 'nd'
                    when {n}%10=3 then 'rd' else 'th' end"""
 _Q6 = f"""
@@ -370,11 +370,11 @@ ORACLES: dict[str, str] = {
         from boxes where class_id in (2,3,5,7) group by camera_name, event_id//16""",
     "vehicle_report": f"""{_ROAD}
         select camera_name, vehicle_id, vehicle_type,
-               {', '.join(f'round({c},6) as {c}' for c in _REPORT_SPEEDS)}
+               {', '.join(f'round({c},6) as {c}' for c in REPORT_SPEEDS)}
         from report order by vehicle_id, camera_name""",
     "vehicle_report_text": f"""{_ROAD}
         select camera_name, vehicle_id, vehicle_type,
-               {', '.join(f"coalesce(printf('%.1f', round({c},6)), '') as {c}" for c in _REPORT_SPEEDS)}
+               {', '.join(f"coalesce(printf('%.1f', round({c},6)), '') as {c}" for c in REPORT_SPEEDS)}
         from report""",
     "run_summary": f"""{_ROAD}
         select count(tripwire_speed_corrected_kmh) as tripwire_vehicles, count(bev_avg_speed_kmh) as bev_vehicles,

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laneflow.config import REPORT_SPEEDS
 from laneflow.functions.text import ordinal
 from laneflow.functions.timing import event_time
 from laneflow.operators import activity, alerts, detections, questions, road, segments, tracker, trajectories, tripwires
@@ -217,18 +218,14 @@ def zone_occupancy(spark, sf_dir):
     return road.zone_occupancy(road.class_filter(views.detections(spark, sf_dir)))
 
 
-_SPEEDS = ("tripwire_speed_corrected_kmh", "tripwire_speed_naive_kmh",
-           "bev_avg_speed_kmh", "bev_min_speed_kmh", "bev_max_speed_kmh")
-
-
 def vehicle_report(spark, sf_dir):
-    report = rounded(road.vehicle_report(traces(spark, sf_dir)), *_SPEEDS)
+    report = rounded(road.vehicle_report(traces(spark, sf_dir)), *REPORT_SPEEDS)
     return report.orderBy("vehicle_id", "camera_name")
 
 
 def vehicle_report_text(spark, sf_dir):
     # six digits first, so that the sum order of a mean cannot flip the last digit shown
-    return road.report_text(rounded(road.vehicle_report(traces(spark, sf_dir)), *_SPEEDS))
+    return road.report_text(rounded(road.vehicle_report(traces(spark, sf_dir)), *REPORT_SPEEDS))
 
 
 def run_summary(spark, sf_dir):
@@ -237,8 +234,9 @@ def run_summary(spark, sf_dir):
 
 
 def measured_vehicle_ids(spark, sf_dir):
-    rows = traces(spark, sf_dir)
-    return road.measured_vehicle_ids(rows.filter(F.col("corrected_kmh").isNotNull()), road.bev_speeds(rows))
+    # both kinds of speed come from the same rows: one filter instead of a union of two
+    measured_rows = traces(spark, sf_dir).filter(F.col("corrected_kmh").isNotNull() | F.col("bev_kmh").isNotNull())
+    return road.measured_vehicle_ids(measured_rows)
 
 
 # --- boxes and segments ------------------------------------------------------

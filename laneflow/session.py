@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, name: str = "laneflow") -> SparkSession:
@@ -28,11 +30,20 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder that the cluster names.
 
     Only where the cluster names none and the master is local, as in tests, a
-    temporary folder of this machine is used.
+    temporary folder of this machine is used, which goes when the program ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="laneflow-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once below the work folder: what reads them again costs a scan, also after a lost executor."""
+    spark = df.sparkSession
+    path = work_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

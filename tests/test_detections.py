@@ -3,13 +3,11 @@
 import math
 import random
 
-import numpy as np
-import pandas as pd
 import pytest
 
 import brute
 from laneflow.config import Camera
-from laneflow.operators import blocks, detections, tracker
+from laneflow.operators import detections, tracker
 from laneflow.sources.cameras import cameras_dim
 
 DETECTION = ("camera_name string, frame_id long, box_id int, x int, y int, w int, h int, area double, class_id int")
@@ -30,17 +28,13 @@ def centred(spark, frames, side="L", size=(50, 50)):
     return spark.createDataFrame(rows, CENTRED)
 
 
-@pytest.mark.parametrize("crowd", [0, 2, 64])
-@pytest.mark.parametrize("hot_rows", [None, 5])
-def test_vehicle_class(spark, monkeypatch, crowd, hot_rows):
-    """Nearest box by frame, whether compared directly or through the distance map, and the class kept since."""
-    original = blocks.in_blocks
-    monkeypatch.setattr(detections, "in_blocks", lambda df, keys, order, n, hot=None, **kw: original(
-        df, keys, order, n, hot, 4, **kw))
-    rng = random.Random(crowd)
+@pytest.mark.parametrize("most,block", [(9, 65_536), (9, 4), (300, 4), (9, 1)])
+def test_vehicle_class(spark, most, block):
+    """Nearest box by frame, few or hundreds of them, and the class kept since."""
+    rng = random.Random(most)
     frames, places = {}, []
     for f in range(40):
-        count = rng.choice([0, 0, 1, 3, 9])
+        count = rng.choice([0, 0, 1, 3, most])
         frames[f] = [(rng.randrange(30), rng.randrange(30), rng.choice([50, 100]), 95) for _ in range(count)]
         for t in range(3):
             if t == 0 or rng.random() < 0.6:
@@ -54,27 +48,10 @@ def test_vehicle_class(spark, monkeypatch, crowd, hot_rows):
             box = min(frames[f], key=lambda b: abs(x - b[0]) + abs(y - b[1]))
             last[t] = "truck" if box[2] * box[3] >= 9000 else "car"
         expected[t, f] = last.get(t)
-    got = detections.vehicle_class(spark.createDataFrame(places, PLACED), centred(spark, frames), crowd=crowd,
-                                   hot_rows=hot_rows)
+    got = detections.vehicle_class(spark.createDataFrame(places, PLACED), centred(spark, frames), block=block)
     assert {(r.track_id, r.frame_id): r.vehicle_type for r in got.collect()} == expected
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_distance_map(seed):
-    rng = np.random.default_rng(seed)
-    centre_xy = np.unique(rng.integers(0, 40, (60, 2)), axis=0)
-    rng.shuffle(centre_xy)
-    xy = rng.integers(0, 40, (300, 2))
-    direct = detections._compare(xy, centre_xy, 40, 40)
-    assert (detections._sweep(xy, centre_xy, 40, 40) == direct).all()
-    slow = [min(range(len(centre_xy)), key=lambda i: (abs(centre_xy[i] - p).sum(), i)) for p in xy]
-    assert direct.tolist() == slow
-    points = pd.DataFrame({"cx": xy[:, 0] - 7, "cy": xy[:, 1] + 3})
-    centres = pd.DataFrame({"bx": centre_xy[:, 0] - 7, "by": centre_xy[:, 1] + 3, "box_id": range(len(centre_xy)),
-                            "class": [f"c{i}" for i in range(len(centre_xy))]}).sample(frac=1, random_state=seed)
-    assert detections.nearest_on_map(points, centres)["_mapped"].tolist() == [f"c{i}" for i in slow]
-
-
 def test_match_candidates(spark):
     rng = random.Random(3)
     frames = {f: [(rng.randrange(-200, 900), rng.randrange(700)) for _ in range(12)] for f in range(6)}

@@ -60,25 +60,46 @@ def test_large_camera_tables_are_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-@pytest.mark.parametrize("name,most", [("resolved_events", 2), ("tripwire_speeds", 2), ("displacement_speeds", 1),
-                                       ("movement", 1), ("bev_speeds", 1), ("position_labels", 1),
-                                       ("vehicle_report_text", 2)])
-def test_tracks_are_exchanged_once(spark, name, most):
-    """Positions move once, by track; a second exchange holds a row per track. Nothing large is left of the hot path."""
-    plan = final_plan(queries.QUERIES[name](spark, SF))
-    assert len(hash_exchanges(plan)) <= most, plan
-    assert "SortMergeJoin" not in plan
+@pytest.mark.parametrize("name", ["resolved_events", "resolved_prefer_tripwire", "tripwire_crossings", "tripwire_speeds", "tripwire_speeds_y",
+                                  "displacement_speeds", "movement", "bev_speeds", "position_labels", "vehicle_report", "run_summary",
+                                  "measured_vehicle_ids"])
+def test_tracks_are_read_twice(spark, name):
+    """Once for the rows and once for the summaries of blocks, in the plan as it is before anything has run."""
+    plan = initial_plan(queries.QUERIES[name](spark, SF))
+    assert plan.count("FileScan parquet") == 2, plan
+    rows = [keys for keys in hash_exchanges(plan) if "_block" in keys]
+    assert len(rows) <= 2 and "SortMergeJoin" not in plan
+    assert "SinglePartition" not in plan or name == "run_summary"
+
+
+def test_long_tracks_spread_over_blocks(spark):
+    """The rows of a track are exchanged by block, never by track alone; by track go the summaries."""
+    plan = initial_plan(queries.resolved_events(spark, SF))
+    for keys in hash_exchanges(plan):
+        assert "_block" in keys or "track_id" in keys
+    by_track = [line for line in plan.splitlines() if "Window" in line and "_block" in line]
+    assert by_track
+
+
+@pytest.mark.parametrize("name,scans", [("activity_snapshot", 3), ("snapshot_speed_list", 3), ("alert_numbering", 3), ("session_totals", 3), ("vehicle_class", 4)])
+def test_scans(spark, name, scans):
+    """What is added up or read again is stored before: these plans read narrow tables, not the events."""
+    plan = initial_plan(queries.QUERIES[name](spark, SF))
+    assert plan.count("FileScan parquet") <= scans, plan
+    if name in ("activity_snapshot", "snapshot_speed_list", "alert_numbering"):
+        assert "events.parquet" not in plan
 
 
 def test_no_window_without_a_key_over_rows(spark):
-    """Numbering adds up one row per block, not the alerts themselves."""
+    """Numbering adds up blocks and spans of blocks; one task sees a row for each span only."""
     plan = initial_plan(queries.alert_numbering(spark, SF))
-    single = plan[plan.index("Exchange SinglePartition"):]
-    assert "HashAggregate" in single
+    assert "SinglePartition" not in plan
+    top = plan[plan.rindex("Window "):]
+    assert "HashAggregate" in top
 
 
 def test_python_only_where_needed(spark):
-    with_python = {"vehicle_class", "assign_tracks"}
+    with_python = {"assign_tracks"}
     for name, query in queries.QUERIES.items():
         if name.startswith("stream_") or name == "live_events":
             continue

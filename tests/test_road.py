@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from laneflow.operators import activity, blocks, road, segments, tripwires
+from laneflow.operators import activity, road, segments, tripwires
 from laneflow.sources.cameras import cameras_dim
 from laneflow.streaming.sinks import write_report_csv
 
@@ -62,17 +62,14 @@ def model(tracks, fps=25.0):
     return out
 
 
-@pytest.mark.parametrize("hot_rows,block", [(None, 10), (30, 9)])
-def test_traces_and_report(spark, folder, monkeypatch, hot_rows, block):
-    original = blocks.in_blocks
-    monkeypatch.setattr(road, "in_blocks", lambda df, keys, order, n, hot=None, **kw: original(
-        df, keys, order, n, hot, block, **kw))
+@pytest.mark.parametrize("block", [65_536, 9, 1])
+def test_traces_and_report(spark, folder, block):
     rng = random.Random(4)
     tracks = {1: [(f, 380 + 5 * f) for f in range(1, 61)], 2: [(3 * f, 300 + f) for f in range(1, 41)],
               3: [(f, 300 + f) for f in range(1, 13)], 4: [(f, 300 + f) for f in range(1, 14)],
               5: [(f, rng.randrange(350, 620)) for f in range(1, 200, 2)]}
     df = boxes(spark, [(t, f, y) for t, steps in tracks.items() for f, y in steps])
-    traces = road.road_traces(df, hot_rows=hot_rows)
+    traces = road.road_traces(df, block=block)
     expected = model(tracks)
     got = {(r.track_id, r.frame_id): (r.corrected_kmh, r.bev_kmh) for r in traces.collect()}
     assert set(got) == set(expected)
@@ -87,7 +84,7 @@ def test_traces_and_report(spark, folder, monkeypatch, hot_rows, block):
     assert report[2].bev_avg_speed_kmh == pytest.approx(sum(samples) / len(samples))
     assert (report[2].bev_min_speed_kmh, report[2].bev_max_speed_kmh) == (
         pytest.approx(min(samples)), pytest.approx(max(samples)))
-    if hot_rows is None:
+    if block == 9:
         write_report_csv(road.vehicle_report(traces), folder + "/report")
         lines = [line for name in sorted(glob.glob(folder + "/report/*.csv")) for line in open(name).read().splitlines()]
         assert lines[0].split(",")[:3] == ["camera_name", "vehicle_id", "vehicle_type"]

@@ -137,16 +137,9 @@ def as_rows(tracks):
     return {t: [{"frame_id": f, "cx": x} for f, x in sorted(rows.items())] for t, rows in tracks.items()}
 
 
-@pytest.mark.parametrize("gap,hot_rows,block", [(1, None, 10), (1, 20, 7), (3, 20, 64), (40, 20, 7), (3, 0, 1)])
-def test_blocks_do_not_change_results(spark, monkeypatch, gap, hot_rows, block):
-    """Large tracks cut in blocks give what a frame-by-frame walk gives, dense or with gaps."""
-    original = blocks.in_blocks
-
-    def small_blocks(df, keys, order, rows_before, hot=None, *args, **kw):
-        return original(df, keys, order, rows_before, hot, block, **kw)
-
-    monkeypatch.setattr(tripwires, "in_blocks", small_blocks)
-    monkeypatch.setattr(trajectories, "in_blocks", small_blocks)
+@pytest.mark.parametrize("gap,block", [(1, 65_536), (1, 7), (3, 64), (40, 7), (3, 1)])
+def test_blocks_do_not_change_results(spark, gap, block):
+    """Tracks cut in blocks give what a frame-by-frame walk gives, dense or with gaps."""
     tracks = random_tracks(gap, [300, 80, 25, 9, 3, 1], gap)
     model = as_rows(tracks)
     rows = calibrated(spark, tracks)
@@ -156,27 +149,27 @@ def test_blocks_do_not_change_results(spark, monkeypatch, gap, hot_rows, block):
         first, second = brute.laps(steps, "cx", 100, 300, brute.crossed_x)
         if second is not None:
             expected[track] = (first, second)
-    found = tripwires.tripwire_speeds(rows, hot_rows=hot_rows).collect()
+    found = tripwires.tripwire_speeds(rows, block=block).collect()
     assert {r.track_id: (r.first_frame, r.second_frame) for r in found} == expected
 
     speeds = {(t, s["frame_id"]): brute.displacement(steps, i, 16.0)
               for t, steps in model.items() for i, s in enumerate(steps)}
-    found = trajectories.displacement_speeds(rows, hot_rows=hot_rows).collect()
+    found = trajectories.displacement_speeds(rows, block=block).collect()
     assert {(r.track_id, r.frame_id): r.speed_kmh for r in found} == {
         k: pytest.approx(v) for k, v in speeds.items() if v is not None}
 
     expected = {t: brute.resolved(steps, 100, 300, 28.0, 16.0) for t, steps in model.items()}
-    found = trajectories.resolved_events(rows, hot_rows=hot_rows).collect()
+    found = trajectories.resolved_events(rows, block=block).collect()
     assert {r.track_id: (r.speed_kmh, r.speed_source, r.timestamp_s, r.movement, r.frame_id) for r in found} == {
         t: (pytest.approx(e[0]), *e[1:]) for t, e in expected.items() if e is not None}
 
 
-def test_only_large_groups_are_split(spark):
+def test_every_group_is_cut(spark):
     rows = positions(spark, {1: list(range(50)), 2: list(range(5))})
-    cut = blocks.in_blocks(rows, KEYS, "frame_id", 3, hot_rows=10, block=16)
+    cut = blocks.in_blocks(rows, KEYS, "frame_id", 3, block=16)
     own = cut.filter(~F.col("_halo"))
     assert own.count() == 55
-    assert own.filter("track_id = 2 and _block is not null").count() == 0
+    assert {r._block for r in own.filter("track_id = 2").collect()} == {0}
     assert {r._block for r in own.filter("track_id = 1").collect()} == {0, 1, 2, 3}
     halo = {(r._block, r.frame_id) for r in cut.filter("_halo").collect()}
     assert halo == {(1, 13), (1, 14), (1, 15), (2, 29), (2, 30), (2, 31), (3, 45), (3, 46), (3, 47)}
@@ -184,17 +177,17 @@ def test_only_large_groups_are_split(spark):
 
 def test_halo_reaches_over_sparse_blocks(spark):
     rows = positions(spark, {1: {0: 1, 1: 2, 20: 3, 45: 4, 46: 5}})
-    cut = blocks.in_blocks(rows, KEYS, "frame_id", 3, hot_rows=0, block=10)
+    cut = blocks.in_blocks(rows, KEYS, "frame_id", 3, block=10)
     halo = {(r._block, r.frame_id) for r in cut.filter("_halo").collect()}
     assert halo == {(2, 0), (2, 1), (4, 0), (4, 1), (4, 20)}
 
 
-@pytest.mark.parametrize("block", [1, 7, 1000])
-def test_running_total(spark, block):
+@pytest.mark.parametrize("block,span", [(1, 4096), (1, 3), (7, 2), (1000, 1)])
+def test_running_total(spark, block, span):
     rng = random.Random(block)
     rows = [(k, n, rng.randint(-3, 9)) for k in ("a", "b", None) for n in rng.sample(range(-50, 200), 60)]
     df = spark.createDataFrame(rows, "k string, n long, v long")
-    found = {(r.k, r.n): r.total for r in blocks.running_total(df, F.col("v"), "total", "n", ["k"], block).collect()}
+    found = {(r.k, r.n): r.total for r in blocks.running_total(df, F.col("v"), "total", "n", ["k"], block, span).collect()}
     assert found == {(k, n): sum(v for kk, nn, v in rows if kk == k and nn <= n) for k, n, _ in rows}
 
 
