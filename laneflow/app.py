@@ -9,13 +9,15 @@
 from __future__ import annotations
 
 import argparse
+import time
 
 from pyspark.sql import SparkSession
 
 from laneflow import schemas
-from laneflow.config import FPS, SEGMENT_S, StreamSettings
+from laneflow.config import StreamSettings
 from laneflow.operators import road
 from laneflow.plans.live import boxes_to_events
+from laneflow.session import stored
 from laneflow.sources.cameras import cameras_dim
 from laneflow.streaming import jobs, sinks
 
@@ -32,7 +34,8 @@ def parser() -> argparse.ArgumentParser:
     events.add_argument("--boxes", required=True, help="Parquet folder of boxes")
     events.add_argument("--work", required=True, help="shared folder for the track positions")
     events.add_argument("--out", required=True, help="event table")
-    events.add_argument("--segment-frames", type=int, default=int(SEGMENT_S * FPS))
+    events.add_argument("--alerts", help="alert table")
+    events.add_argument("--topics", help="folder of message files, one below it for each topic")
     report = commands.add_parser("report")
     report.add_argument("--boxes", required=True, help="Parquet folder of boxes with track ids")
     report.add_argument("--out", required=True, help="CSV folder")
@@ -50,8 +53,10 @@ def main(spark: SparkSession, arguments: list[str] | None = None) -> None:
             jobs.run_alerts(spark, settings, f"{args.work}/speed_alerts", f"{args.work}/malformed_alerts")
     elif args.command == "events":
         boxes = spark.read.schema(schemas.DETECTIONS).parquet(args.boxes)
-        events = boxes_to_events(boxes, cameras_dim(spark), f"{args.work}/positions", args.segment_frames)
-        sinks.write_vehicle_events(events, 0, args.out)
+        run = int(time.time())      # a run of its own: it replaces no other run, and no batch of a streaming resolver
+        events = stored(boxes_to_events(boxes, cameras_dim(spark), f"{args.work}/positions-{run}"), "events")
+        publish = sinks.folder_publisher(args.topics) if args.topics else None
+        sinks.events_sink(args.out, args.alerts, publish)(events, run)
     else:
         boxes = road.class_filter(spark.read.parquet(args.boxes))
         sinks.write_report_csv(road.vehicle_report(road.road_traces(boxes)), args.out)

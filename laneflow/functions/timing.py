@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from laneflow.config import WINDOW_S
 
-# Seconds beyond this do not fit Spark's timestamps.
-_MAX_SECONDS = 1.0e11
+# Whole seconds that fit Spark's timestamps, which count microseconds in 64 bits.
+_MAX_SECONDS = float((1 << 63) // 1_000_000)
 
 
 def event_time(seconds: Column) -> Column:
     """Seconds since the start of the feed as a time counted from 1970-01-01.
 
     The fraction is cut off towards zero. The session time zone plays no part.
-    NaN, infinite and huge values give null instead of ending the job.
+    NaN, infinite values and those beyond the range of timestamps give null instead of ending the job.
     """
     usable = F.when(F.abs(seconds) < _MAX_SECONDS, seconds)
     return F.timestamp_seconds(usable.cast("long"))

@@ -13,6 +13,7 @@ from laneflow.functions.geometry import box_middle, euclidean, size_class
 from laneflow.operators.blocks import HALO, all_of, in_blocks
 from laneflow.operators.tripwires import ORDER, by_frame
 from laneflow.schemas import LIVE_KEYS
+from laneflow.sources.cameras import with_camera
 
 _PLACE = ("camera_name", "frame_id", "side")
 
@@ -25,8 +26,7 @@ def detections_clean(detections: DataFrame, cameras: DataFrame, min_area: float
         .withColumn("cy", box_middle(F.col("y"), F.col("h")))
     )
     side = F.when(F.col("cx") < F.col("split"), "L").otherwise("R")
-    return (centred.join(cameras.select("camera_name", "split"), "camera_name")
-            .withColumn("side", side).drop("split"))
+    return with_camera(centred, cameras, "split").withColumn("side", side).drop("split")
 
 
 def vehicle_class(positions: DataFrame, boxes: DataFrame, truck_area: int = TRUCK_MIN_AREA_PX,

@@ -86,11 +86,15 @@ def position_labels(traces: DataFrame, keys: Sequence[str] = OFFLINE_KEYS) -> Da
 
 
 def zone_occupancy(boxes: DataFrame, plane: RoadPlane = ROAD_PLANE, margin: int = ZONE_MARGIN_PX) -> DataFrame:
-    """Per frame: vehicles shown (lines with a margin) and vehicles between the lines."""
+    """Per frame: vehicles shown (lines with a margin) and vehicles between the lines; 0 in a frame without vehicles.
+
+    `boxes` are those of all classes.
+    """
+    vehicle = F.col("class_id").isin(*CLASS_NAMES)
     y, line_1, line_2 = F.col("foot_y"), plane.line_1[2], plane.line_2[2]
     return bev_positions(boxes, plane).groupBy("camera_name", ORDER).agg(
-        F.count_if(y.between(line_1 - margin, line_2 + margin)).alias("shown"),
-        F.count_if(y.between(line_1, line_2)).alias("in_zone"),
+        F.count_if(vehicle & y.between(line_1 - margin, line_2 + margin)).alias("shown"),
+        F.count_if(vehicle & y.between(line_1, line_2)).alias("in_zone"),
     )
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laneflow.config import MAX_SEGMENTS, SEGMENT_S
+from laneflow.config import SEGMENT_S
 
 
-def segment_plan(videos: DataFrame, length_s: float = SEGMENT_S, max_segments: int | None = MAX_SEGMENTS) -> DataFrame:
-    """The first `max_segments` pieces of each video (`video_name`, `duration_s`), all of them with None.
+def segment_plan(videos: DataFrame, length_s: float = SEGMENT_S, max_segments: int | None = None) -> DataFrame:
+    """The pieces of each video (`video_name`, `duration_s`), or the first `max_segments` of them.
 
     The last piece ends with the video.
     """

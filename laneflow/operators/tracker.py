@@ -7,12 +7,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from laneflow.config import MAX_LOST_FRAMES, MAX_MATCH_PX
+from laneflow.operators.blocks import BLOCK, HALO, in_blocks, running_total
+from laneflow.session import stored
 
-ASSIGNED = "camera_name string, side string, segment long, track_id long, frame_id long, cx int, cy int, coasting boolean"
+FEED = ("camera_name", "side")
+_WALKED = "camera_name string, side string, piece long, track_id long, frame_id long, cx int, cy int, coasting boolean"
 
 
 @dataclass
@@ -101,32 +104,75 @@ def rows_of(steps: Iterator[tuple[int, Tracks]]) -> pd.DataFrame:
                          "cx": xy[:, 0], "cy": xy[:, 1], "coasting": np.concatenate(coasting)})
 
 
-def assign_tracks(centred: DataFrame, segment_frames: int | None, max_dist: float = MAX_MATCH_PX,
-                  max_lost: int = MAX_LOST_FRAMES, last_frame: int | None = None) -> DataFrame:
-    """Boxes with `cx`, `cy` and `side` to track positions.
+def _pieces(centred: DataFrame, max_lost: int, block: int | None) -> DataFrame:
+    """Frames with boxes (`camera_name`, `side`, `frame_id`) with `piece` and `final`, whether it is the feed's last.
 
-    Each (camera, side, segment of `segment_frames` frames) is tracked on its
-    own and counts its ids from 0, so a long feed spreads over the cluster and a
-    group holds one segment. None keeps a feed in one piece, as a single session.
-    Tracks coast to the end of their segment, or to `last_frame` if that comes
-    first.
+    A piece begins where more than `max_lost` frames before it have no box: no track is active any more, so
+    nothing before it bears on what follows. Frames are numbered block by block.
     """
-    segment = (F.lit(0) if segment_frames is None else F.floor(F.col("frame_id") / segment_frames)).cast("long")
-    needed = centred.select("camera_name", "side", segment.alias("segment"), "frame_id", "box_id", "cx", "cy")
-
-    def track(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame_id", "box_id"], kind="stable")
-        camera, side, number = pdf[["camera_name", "side", "segment"]].iloc[0]
-        stop = last_frame
-        if segment_frames is not None:
-            end = (int(number) + 1) * segment_frames - 1
-            stop = end if last_frame is None else min(end, last_frame)
-        steps = walk(Tracks(), pdf["frame_id"].to_numpy(), pdf[["cx", "cy"]].to_numpy(np.int64), None, stop,
-                     max_dist, max_lost)
-        out = rows_of(steps)
-        out.insert(0, "segment", number)
-        out.insert(0, "side", side)
-        out.insert(0, "camera_name", camera)
-        return out
-
-    return needed.groupBy("camera_name", "side", "segment").applyInPandas(track, ASSIGNED)
+    frames = centred.select(*FEED, "frame_id").distinct()
+    rows = in_blocks(frames, FEED, "frame_id", 1, block)
+    gap = F.col("frame_id") - F.lag("frame_id").over(Window.partitionBy(*FEED, BLOCK).orderBy("frame_id"))
+    marked = rows.withColumn("_begins", F.when(gap <= max_lost + 1, 0).otherwise(1).cast("long"))
+    marked = stored(marked.filter(~F.col(HALO)).select(*FEED, "frame_id", "_begins"), "frames")
+    numbered = running_total(marked, F.col("_begins"), "piece", "frame_id", FEED).drop("_begins")
+    last = numbered.groupBy(*FEED).agg(F.max("piece").alias("_last"))
+    return numbered.join(last, list(FEED)).select(*FEED, "frame_id", "piece", (F.col("piece") == F.col("_last")).alias("final"))
+
+
+def _walker(max_dist: float, max_lost: int, last_frame: int | None):
+    """Walks pieces whose rows come one after the other, in batches; holds the active tracks and one frame."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, final, tracks, done, waiting = None, False, Tracks(), None, None
+
+        def advance(rows: pd.DataFrame | None, stop: int | None) -> Iterator[pd.DataFrame]:
+            nonlocal done
+            frames = np.empty(0, np.int64) if rows is None else rows["frame_id"].to_numpy()
+            points = np.empty((0, 2), np.int64) if rows is None else rows[["cx", "cy"]].to_numpy(np.int64)
+            out = rows_of(walk(tracks, frames, points, done, stop, max_dist, max_lost))
+            done = int(frames[-1]) if len(frames) else done
+            if len(out):
+                for place, name in enumerate((*FEED, "piece")):
+                    out.insert(place, name, key[place])
+                yield out
+
+        def finish() -> Iterator[pd.DataFrame]:
+            if key is not None:
+                yield from advance(waiting, None)
+                yield from advance(None, last_frame if final else done + max_lost + 1)
+
+        for batch in batches:
+            for new, rows in batch.groupby([*FEED, "piece"], sort=False):
+                if new != key:
+                    yield from finish()
+                    key, final, tracks, done, waiting = new, bool(rows["final"].iloc[0]), Tracks(), None, None
+                rows = rows if waiting is None else pd.concat([waiting, rows])
+                # the last frame may go on in the next batch
+                open_frame = rows["frame_id"] == rows["frame_id"].iloc[-1]
+                waiting = rows[open_frame]
+                if not open_frame.all():
+                    yield from advance(rows[~open_frame], None)
+        yield from finish()
+
+    return run
+
+
+def assign_tracks(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost: int = MAX_LOST_FRAMES,
+                  last_frame: int | None = None, block: int | None = None) -> DataFrame:
+    """Boxes with `cx`, `cy` and `side` to track positions; ids are unique within a camera and side.
+
+    A feed is cut only where the cut changes nothing: after more than `max_lost` frames without boxes. The pieces are
+    walked in parallel, each in the order of its frames and with no more in memory than the active tracks, one frame and
+    one batch; then their ids go on where those of the piece before end. A feed without such gaps is one piece.
+    Tracks coast up to the last frame of the feed that has boxes, or to `last_frame`.
+    """
+    needed = centred.select(*FEED, "frame_id", "box_id", "cx", "cy")
+    rows = needed.join(_pieces(needed, max_lost, block), [*FEED, "frame_id"])
+    keys = [*FEED, "piece"]
+    walked = stored(
+        rows.select(*keys, "final", "frame_id", "box_id", "cx", "cy").repartition(*keys)
+        .sortWithinPartitions(*keys, "frame_id", "box_id").mapInPandas(_walker(max_dist, max_lost, last_frame), _WALKED), "walked")
+    used = walked.groupBy(*keys).agg((F.max("track_id") + 1).alias("_used"))
+    upto = running_total(stored(used, "ids"), F.col("_used"), "_upto", "piece", FEED).select(*keys, (F.col("_upto") - F.col("_used")).alias("_first"))
+    return walked.join(upto, keys).select(
+        *FEED, (F.col("track_id") + F.col("_first")).alias("track_id"), "frame_id", "cx", "cy", "coasting")

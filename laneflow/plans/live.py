@@ -7,23 +7,18 @@ from pyspark.sql import DataFrame
 from laneflow.operators.detections import detections_clean, vehicle_class
 from laneflow.operators.tracker import assign_tracks
 from laneflow.operators.trajectories import resolved_events
-from laneflow.schemas import LIVE_KEYS
 from laneflow.sources.cameras import positions_calibrated
 
-# Track ids start anew in every segment, so the segment is part of a track's key.
-SEGMENT_KEYS = (*LIVE_KEYS, "segment")
 
+def boxes_to_events(boxes: DataFrame, cameras: DataFrame, positions_path: str) -> DataFrame:
+    """Boxes to resolved events, one per vehicle. Writes the track positions to `positions_path`.
 
-def boxes_to_events(boxes: DataFrame, cameras: DataFrame, positions_path: str,
-                    segment_frames: int) -> DataFrame:
-    """Boxes to resolved events. Writes the track positions to `positions_path`.
-
-    Everything after the tracker reads its rows several times; stored, they are
-    tracked once, and a lost executor costs a scan instead of a new walk.
+    Everything after the tracker reads its rows several times; stored, they are tracked once, and a lost executor costs
+    a scan instead of a new walk.
     """
     spark = boxes.sparkSession
     clean = detections_clean(boxes, cameras)
-    assign_tracks(clean, segment_frames).write.mode("overwrite").partitionBy("camera_name").parquet(positions_path)
-    positions = spark.read.parquet(positions_path)
-    classed = vehicle_class(positions, clean, keys=SEGMENT_KEYS)
-    return resolved_events(positions_calibrated(classed, cameras), keys=SEGMENT_KEYS)
+    tracks = assign_tracks(clean)
+    tracks.write.mode("overwrite").partitionBy("camera_name").parquet(positions_path)
+    positions = spark.read.schema(tracks.schema).parquet(positions_path)
+    return resolved_events(positions_calibrated(vehicle_class(positions, clean), cameras))

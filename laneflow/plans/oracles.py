@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from laneflow.config import REPORT_SPEEDS
 
-_CAMERA = "case when (user_id//2)%2=0 then 'IC_Papagou' else 'Roupaki_Toll_Station' end"
+_CAMERA = "case when user_id%7=3 then 'Side_Road' when (user_id//2)%2=0 then 'IC_Papagou' else 'Roupaki_Toll_Station' end"
 
 _TRAFFIC = f"""
 traffic as (
@@ -89,10 +89,11 @@ _SPARSE = _POSITIONS + ", positions as (select * from sightings)"
 
 _TRACKS = """,
 calibrated as (
-  select p.*, case when side='L' then l1 else r1 end as first_line,
-         case when side='L' then l2 else r2 end as second_line, dist_m, px_per_m,
-         case when side='L' then left_label else right_label end as direction
-  from positions p join cameras using (camera_name)),
+  select p.*, case when side='L' then coalesce(l1,580) else coalesce(r1,700) end as first_line,
+         case when side='L' then coalesce(l2,100) else coalesce(r2,1180) end as second_line,
+         coalesce(dist_m,28.0::double) as dist_m, coalesce(px_per_m,16.0::double) as px_per_m,
+         case when side='L' then coalesce(left_label,'left_lane') else coalesce(right_label,'right_lane') end as direction
+  from positions p left join cameras using (camera_name)),
 stepped as (
   select *, lag(cx) over w as previous, first_value(cx) over h as oldest, count(*) over h as n
   from calibrated
@@ -167,8 +168,8 @@ _CLASS = "case class_id when 2 then 'car' when 3 then 'motorcycle' when 5 then '
 _CLEAN = _BOXES + """,
 clean as (
   select b.camera_name, event_id//16 as frame_id, (event_id%16)::int as box_id, x, y, w, h, class_id,
-         x+w//2 as cx, y+h//2 as cy, case when x+w//2<split then 'L' else 'R' end as side
-  from boxes b join cameras using (camera_name)
+         x+w//2 as cx, y+h//2 as cy, case when x+w//2<coalesce(split,640) then 'L' else 'R' end as side
+  from boxes b left join cameras using (camera_name)
   where 0.8::double*w*h>=1500)
 """
 
@@ -259,7 +260,6 @@ ORACLES: dict[str, str] = {
                                      else ['traffic-stats'] end) as topic,
                {_json(_TWO_DIGITS)} as value
         from measured""",
-    "cameras_dim": f"with {_CAMERAS} select * from cameras where camera_name in (select {_CAMERA} from events)",
     "event_time": f"""
         with {_TRAFFIC}
         select event_id, make_timestamp(trunc(timestamp_s)::bigint*1000000) as event_time from traffic""",
@@ -270,6 +270,9 @@ ORACLES: dict[str, str] = {
     "q2_vehicles_per_lane": f"""
         with {_TRAFFIC}
         select carriageway, count(distinct vehicle_id) as vehicle_count from measured group by carriageway""",
+    "q2_approx": f"with {_TRAFFIC} select distinct carriageway, true as close from measured",
+    "stream_q2": f"with {_TRAFFIC} select distinct carriageway, true as close from measured",
+    "q5_approx": f"with {_TRAFFIC} select distinct carriageway, window_index, true as close from measured",
     "q3_speed_violations": f"""
         with {_TRAFFIC}
         select carriageway, vehicle_type, count(*) as violation_count from measured
@@ -352,10 +355,6 @@ ORACLES: dict[str, str] = {
     "class_filter": f"with {_FEET} select camera_name, track_id, frame_id, class_id, vehicle_type from placed",
     "bev_positions": f"""with {_FEET}
         select frame_id, track_id, foot_x, foot_y, round(bev_x,6) as bev_x, round(bev_y,6) as bev_y from placed""",
-    "tripwire_distances": f"""with {_CAMERAS}
-        select camera_name, round({_CORRECTED},6) as corrected_m, round({_NAIVE},6) as naive_m,
-               round(({_CORRECTED}/{_NAIVE}-1)*100,6) as effect_pct
-        from cameras where camera_name in (select {_CAMERA} from events)""",
     "bev_speeds": f"{_ROAD} select camera_name, track_id, frame_id, round(bev_kmh,6) as bev_kmh from samples",
     "position_labels": f"""{_ROAD}
         select c.camera_name, c.track_id, c.frame_id,
@@ -365,9 +364,9 @@ ORACLES: dict[str, str] = {
         from crossed c left join tripwire t using (camera_name, track_id)
         left join samples s using (camera_name, track_id, frame_id)""",
     "zone_occupancy": f"""with {_BOXES}
-        select camera_name, event_id//16 as frame_id, count_if(y+h between 370 and 590)::bigint as shown,
-               count_if(y+h between 400 and 560)::bigint as in_zone
-        from boxes where class_id in (2,3,5,7) group by camera_name, event_id//16""",
+        select camera_name, event_id//16 as frame_id, count_if(class_id in (2,3,5,7) and y+h between 370 and 590)::bigint as shown,
+               count_if(class_id in (2,3,5,7) and y+h between 400 and 560)::bigint as in_zone
+        from boxes group by camera_name, event_id//16""",
     "vehicle_report": f"""{_ROAD}
         select camera_name, vehicle_id, vehicle_type,
                {', '.join(f'round({c},6) as {c}' for c in REPORT_SPEEDS)}
@@ -402,6 +401,8 @@ ORACLES: dict[str, str] = {
                last_value(class ignore nulls) over (partition by camera_name, side, track_id order by frame_id
                  rows between unbounded preceding and current row) as vehicle_type
         from nearest""",
+    "tracked_boxes": f"with {_CAMERAS}, {_CLEAN} select camera_name, side, frame_id, cx, cy from clean",
+    "vehicles_with_events": "select true as one_each",
     "match_candidates": f"""with {_CAMERAS}, {_CLEAN}
         select * from (
           select a.camera_name, a.side, a.frame_id, a.box_id as box_before, b.box_id as box_after,
@@ -440,6 +441,16 @@ ORACLES: dict[str, str] = {
                printf('%.2f', speed_kmh)::double as speed_kmh, direction, movement, speed_source
         from resolved""",
     "segment_plan": """
+        with videos as (
+          select 'Downloads/clip.v1_'||doc_id||'.mp4' as video_name, 'clip.v1_'||doc_id as base,
+                 n_chars/10.0::double as duration_s
+          from documents)
+        select video_name, ceil(duration_s/120)::bigint as total_segments, i+1 as segment_no,
+               i*120.0::double as start_s, least((i+1)*120.0::double, duration_s) as end_s,
+               base||'_part_'||(i+1)||'.mp4' as segment_name
+        from (select *, unnest(range(0, ceil(duration_s/120)::bigint)) as i from videos
+              where duration_s>0)""",
+    "segment_plan_first": """
         with videos as (
           select 'Downloads/clip.v1_'||doc_id||'.mp4' as video_name, 'clip.v1_'||doc_id as base,
                  n_chars/10.0::double as duration_s

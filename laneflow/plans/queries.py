@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laneflow.config import REPORT_SPEEDS
+from laneflow.config import MAX_SEGMENTS, REPORT_SPEEDS
 from laneflow.functions.text import ordinal
 from laneflow.functions.timing import event_time
 from laneflow.operators import activity, alerts, detections, questions, road, segments, tracker, trajectories, tripwires
@@ -40,12 +40,6 @@ def route_events(spark, sf_dir):
     return messages.route_events(measured(spark, sf_dir), keep=("event_id",))
 
 
-def cameras_dim(spark, sf_dir):
-    """The cameras that occur in the tables."""
-    seen = views.track_positions(spark, sf_dir).select("camera_name").distinct()
-    return cameras.cameras_dim(spark).join(seen, "camera_name", "left_semi")
-
-
 def event_times(spark, sf_dir):
     events = views.traffic_events(spark, sf_dir)
     return events.select("event_id", event_time(F.col("timestamp_s")).alias("event_time"))
@@ -65,8 +59,21 @@ def q2_vehicles_per_lane(spark, sf_dir):
     return questions.q2_vehicles_per_lane(measured(spark, sf_dir))
 
 
+SKETCH_ERROR = 0.15
+
+
+def _close(sketched: DataFrame, exact: DataFrame, *keys: str) -> DataFrame:
+    """Keys, and whether the sketched count is as close to the exact one as a sketch must be."""
+    counted = exact.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("vehicle_count").alias("_exact"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    # one more or less is no error of a small count
+    near = F.abs(F.col("vehicle_count") - F.col("_exact")) <= F.greatest(SKETCH_ERROR * F.col("_exact"), F.lit(1.0))
+    return sketched.join(counted, same, "left").select(*keys, F.coalesce(near, F.lit(False)).alias("close"))
+
+
 def q2_approx(spark, sf_dir):
-    return questions.q2_vehicles_per_lane(measured(spark, sf_dir), exact=False)
+    rows = measured(spark, sf_dir)
+    return _close(questions.q2_vehicles_per_lane(rows, exact=False), questions.q2_vehicles_per_lane(rows), "carriageway")
 
 
 def q3_speed_violations(spark, sf_dir):
@@ -82,7 +89,9 @@ def q5_vehicles_per_window(spark, sf_dir):
 
 
 def q5_approx(spark, sf_dir):
-    return questions.q5_vehicles_per_window(measured(spark, sf_dir), exact=False)
+    rows = measured(spark, sf_dir)
+    return _close(questions.q5_vehicles_per_window(rows, exact=False), questions.q5_vehicles_per_window(rows),
+                  "carriageway", "window_index")
 
 
 def q6_avg_speed(spark, sf_dir):
@@ -189,10 +198,6 @@ def bev_positions(spark, sf_dir):
     return rounded(placed.select("frame_id", "track_id", "foot_x", "foot_y", "bev_x", "bev_y"), "bev_x", "bev_y")
 
 
-def tripwire_distances(spark, sf_dir):
-    return rounded(road.tripwire_distances(cameras_dim(spark, sf_dir)), "corrected_m", "naive_m", "effect_pct")
-
-
 def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return road.road_traces(vehicles(spark, sf_dir))
 
@@ -215,7 +220,7 @@ def position_labels(spark, sf_dir):
 
 
 def zone_occupancy(spark, sf_dir):
-    return road.zone_occupancy(road.class_filter(views.detections(spark, sf_dir)))
+    return road.zone_occupancy(views.detections(spark, sf_dir))
 
 
 def vehicle_report(spark, sf_dir):
@@ -259,20 +264,42 @@ def match_candidates(spark, sf_dir):
 
 
 def assign_tracks(spark, sf_dir):
-    return tracker.assign_tracks(centred(spark, sf_dir), segment_frames=views.SESSION_FRAMES)
+    return tracker.assign_tracks(centred(spark, sf_dir))
 
 
 def live_events(spark, sf_dir):
     """From boxes to one event per track, with the track positions stored on the way."""
     boxes, known = views.detections(spark, sf_dir), cameras.cameras_dim(spark)
     folder = work_folder(spark, "live")
-    return live.boxes_to_events(boxes, known, f"{folder}/positions", views.SESSION_FRAMES)
+    return live.boxes_to_events(boxes, known, f"{folder}/positions")
+
+
+def tracked_boxes(spark, sf_dir):
+    """Where tracks have a box of their own: at every box, once."""
+    own = assign_tracks(spark, sf_dir).filter(~F.col("coasting"))
+    return own.select("camera_name", "side", "frame_id", "cx", "cy")
+
+
+def vehicles_with_events(spark, sf_dir):
+    """Whether each vehicle of the live path has one event."""
+    events = live_events(spark, sf_dir).groupBy("camera_name", "vehicle_id").agg(F.count(F.lit(1)).alias("n"))
+    return events.agg(F.coalesce(F.max("n") == 1, F.lit(True)).alias("one_each"))
 
 
 def segment_plan(spark, sf_dir):
     return segments.segment_plan(views.videos(spark, sf_dir))
 
 
+def segment_plan_first(spark, sf_dir):
+    """The first pieces of each video only, as many as the splitter makes."""
+    return segments.segment_plan(views.videos(spark, sf_dir), max_segments=MAX_SEGMENTS)
+
+
+def stream_q2(spark, sf_dir):
+    """Streams count the vehicles of a lane by sketch."""
+    return _close(streams.stream_q2(spark, sf_dir), questions.q2_vehicles_per_lane(measured(spark, sf_dir)), "carriageway")
+
+
 def segment_assign(spark, sf_dir):
     events = views.traffic_events(spark, sf_dir).select("event_id", "segment", "timestamp_s")
     return segments.segment_assign(events)
@@ -282,7 +309,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_events": decode_events,
     "encode_events": encode_events,
     "route_events": route_events,
-    "cameras_dim": cameras_dim,
     "event_time": event_times,
     "ordinal": ordinals,
     "q1_vehicle_speeds": q1_vehicle_speeds,
@@ -314,7 +340,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_totals": session_totals,
     "class_filter": class_filter,
     "bev_positions": bev_positions,
-    "tripwire_distances": tripwire_distances,
     "bev_speeds": bev_speeds,
     "position_labels": position_labels,
     "zone_occupancy": zone_occupancy,
@@ -327,10 +352,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "match_candidates": match_candidates,
     "assign_tracks": assign_tracks,
     "live_events": live_events,
+    "tracked_boxes": tracked_boxes,
+    "vehicles_with_events": vehicles_with_events,
     "segment_plan": segment_plan,
+    "segment_plan_first": segment_plan_first,
     "segment_assign": segment_assign,
     "stream_q1": streams.stream_q1,
-    "stream_q2": streams.stream_q2,
+    "stream_q2": stream_q2,
     "stream_q3": streams.stream_q3,
     "stream_q4": streams.stream_q4,
     "stream_malformed": streams.stream_malformed,

@@ -28,7 +28,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _camera() -> Column:
-    return F.when(F.expr("(user_id div 2) % 2 = 0"), "IC_Papagou").otherwise("Roupaki_Toll_Station")
+    """Two cameras with settings, and one, `Side_Road`, without."""
+    return (F.when(F.expr("user_id % 7 = 3"), "Side_Road").when(F.expr("(user_id div 2) % 2 = 0"), "IC_Papagou")
+            .otherwise("Roupaki_Toll_Station"))
 
 
 def _int(expression: str) -> Column:

@@ -77,26 +77,41 @@ def test_assignment_against_the_walk(spark):
         shown = 0 if 40 <= f < 60 else rng.choice([0, 3, 8])
         frames[f] = [tuple(c) for c in rng.sample(cars, shown)]
     frames[0] = [tuple(c) for c in cars[:3]]
-    assert assigned(spark, frames, segment_frames=None, last_frame=119) == sorted(brute.greedy_tracks(frames))
-    parts = assigned(spark, frames, segment_frames=30)
-    expected = [r for s in range(4) for r in brute.greedy_tracks({f: b for f, b in frames.items() if f // 30 == s})]
-    assert parts == sorted(expected)
+    assert assigned(spark, frames, last_frame=119) == sorted(brute.greedy_tracks(frames))
+
+
+@pytest.mark.parametrize("rows,block", [(10_000, 65_536), (7, 10), (1, 1)])
+def test_pieces_are_walked_as_one_feed(spark, rows, block):
+    """Gaps of all lengths, pieces in parallel, batches of any size: the rows and ids of one walk over the feed."""
+    rng = random.Random(rows)
+    frames, f = {}, 3
+    while f < 400:
+        frames[f] = [(rng.randrange(300), rng.randrange(300)) for _ in range(rng.choice([1, 2, 5]))]
+        f += rng.choice([1, 1, 1, 2, 12, 13, 14, 15, 40])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        got = assigned(spark, frames, block=block)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == sorted(brute.greedy_tracks({f: frames.get(f, []) for f in range(min(frames), max(frames) + 1)}))
+    assert len({t for t, *_ in got}) == max(t for t, *_ in got) + 1
 
 
 def test_match_distance(spark):
-    near = assigned(spark, {1: [(0, 0)], 2: [(180, 0)]}, segment_frames=None)
+    near = assigned(spark, {1: [(0, 0)], 2: [(180, 0)]})
     assert near == [(0, 1, 0, 0, False), (0, 2, 180, 0, False)]
-    far = assigned(spark, {1: [(0, 0)], 2: [(180, 6)]}, segment_frames=None)      # 180.1 px
+    far = assigned(spark, {1: [(0, 0)], 2: [(180, 6)]})      # 180.1 px
     assert far == [(0, 1, 0, 0, False), (0, 2, 0, 0, True), (1, 2, 180, 6, False)]
 
 
 def test_ties_go_to_the_older_track_and_the_first_box(spark):
-    got = assigned(spark, {1: [(0, 0), (100, 0)], 2: [(50, 0), (50, 0)]}, segment_frames=None)
+    got = assigned(spark, {1: [(0, 0), (100, 0)], 2: [(50, 0), (50, 0)]})
     assert [r[:3] for r in got if r[1] == 2] == [(0, 2, 50), (1, 2, 50)]
 
 
 @pytest.mark.parametrize("missing,kept", [(12, True), (13, False)])
 def test_lost_tracks(spark, missing, kept):
-    got = assigned(spark, {1: [(0, 0)], missing + 2: [(0, 0)]}, segment_frames=None)
+    got = assigned(spark, {1: [(0, 0)], missing + 2: [(0, 0)]})
     assert max(t for t, *_ in got) == (0 if kept else 1)
     assert sum(1 for r in got if r[4]) == 12

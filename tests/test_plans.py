@@ -112,16 +112,15 @@ def test_boxes_to_events(spark, folder):
     boxes = [("IC_Papagou", f, 0, 700 + 8 * f, 100, 120, 80, 8000.0, None) for f in range(1, 60)]
     boxes += [("IC_Papagou", f, 1, 300, 400, 10, 10, 100.0, None) for f in range(1, 60)]      # too small
     spark.createDataFrame(boxes, schemas.DETECTIONS).write.parquet(folder + "/boxes")
-    app.main(spark, ["events", "--boxes", folder + "/boxes", "--work", folder + "/work", "--out", folder + "/events",
-                     "--segment-frames", "1000"])
+    app.main(spark, ["events", "--boxes", folder + "/boxes", "--work", folder + "/work", "--out", folder + "/events"])
     event, = sinks.read_table(spark, folder + "/events", schemas.VEHICLE_EVENTS_TABLE).collect()
     assert (event.camera_name, event.vehicle_id, event.vehicle_type, event.direction, event.movement,
             event.speed_source, event.speed_kmh) == (
         "IC_Papagou", "R0", "truck", "to_Mesogeia_Vrilissia", "right", "displacement", 45.0)
     cameras = cameras_dim(spark)
     clean = detections.detections_clean(spark.read.parquet(folder + "/boxes"), cameras)
-    tracks = tracker.assign_tracks(clean, None, last_frame=59)
-    calibrated = positions_calibrated(detections.vehicle_class(tracks.drop("segment"), clean), cameras)
+    tracks = tracker.assign_tracks(clean, last_frame=59)
+    calibrated = positions_calibrated(detections.vehicle_class(tracks, clean), cameras)
     lines = trajectories.resolved_events(calibrated, policy="prefer_tripwire")
     assert [r.speed_source for r in lines.collect()] == ["displacement"]                     # starts beyond line 1
     step, = tripwires.tripwire_crossings(calibrated).collect()

@@ -135,7 +135,7 @@ def test_segment_plan(spark):
         plan.setdefault(r.video_name, []).append((r.start_s, r.end_s))
     assert plan == {"a/b.c/my.clip.mp4": [(0, 10), (10, 20), (20, 25)], "v.mp4": [(0, 10), (10, 20), (20, 30)], "w": [(0, 0.5)]}
     assert {r.segment_name for r in rows if r.segment_no == 1} == {"my.clip_part_1.mp4", "v_part_1.mp4", "w_part_1.mp4"}
-    assert segments.segment_plan(videos, 5).filter("video_name = 'v.mp4'").count() == 3
+    assert segments.segment_plan(videos, 5, max_segments=3).filter("video_name = 'v.mp4'").count() == 3
     times = spark.createDataFrame([(t,) for t in (0.0, 9.99, 10.0, 24.0)], "timestamp_s double")
     got = [(r.segment_no, r.segment_start_s, r.segment_end_s)
            for r in segments.segment_assign(times, 10, total_s=F.lit(25.0)).collect()]

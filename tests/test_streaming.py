@@ -174,7 +174,7 @@ def test_tracker_equals_the_table_form(spark, folder):
     feed = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder + "/in/*")
     jobs.start(state.tracks_stream(feed, idle_ms=None), "tracks", "append", settings(folder)).awaitTermination(100)
     got = sorted(map(tuple, spark.table("tracks").collect()))
-    table = tracker.assign_tracks(df, segment_frames=None).drop("segment").filter("frame_id < 60")
+    table = tracker.assign_tracks(df).filter("frame_id < 60")
     assert got == sorted(map(tuple, table.collect())) and got
 
 
