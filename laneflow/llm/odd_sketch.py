@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from math import exp, log, sqrt
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -141,40 +140,59 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, settings: NearSettings) -> Dat
     return wide.mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def _mixed_pairs(members: DataFrame, settings: NearSettings) -> DataFrame:
-    """Pairs of different components inside large buckets whose sketches are near: (a, b), a > b.
+def _mixed_links(members: DataFrame, settings: NearSettings) -> DataFrame:
+    """Confirmed links between components that share large buckets: (a, b), no more of a step than join its components.
 
-    members: key, id, component, lead (component of the bucket's first), sketch. Rows of the lead's component never
-    meet each other; all others meet everything, block by block, so no step holds more than two blocks.
+    members: crowd (documents whose large buckets hang together), id, component, lead (component of the crowd's first),
+    sketch, members (the whole set). Rows of the lead's component never meet each other; all others meet everything,
+    block by block, so no step holds more than two blocks, and none gives out pairs.
     """
     rows = members.withColumn("minor", F.col("component") != F.col("lead"))
-    sizes = rows.groupBy("key").agg(
+    sizes = rows.groupBy("crowd").agg(
         F.ceil(F.count_if("minor") / settings.block).cast("int").alias("minors"),
         F.ceil(F.count_if(~F.col("minor")) / settings.block).cast("int").alias("majors")).where("minors > 0")
-    rows = rows.join(sizes, "key")
+    rows = rows.join(sizes, "crowd")
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"))
     one = rows.where("minor").withColumn("own", own("minors"))
     among = F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda j: cell(0, F.least("own", j), F.greatest("own", j)))
-    across = F.transform(F.sequence(F.lit(0), F.col("majors") - 1), lambda j: cell(1, F.col("own"), j))
+    # a crowd of minors only has no block to meet across
+    across = F.when(F.col("majors") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col("majors") - 1, F.lit(0))), lambda j: cell(1, F.col("own"), j))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
     other = rows.where("not minor").withColumn("own", own("majors"))
-    copies = one.select("key", "id", "component", "sketch", F.explode(F.concat(among, across)).alias("cell")).unionByName(
-        other.select("key", "id", "component", "sketch", F.explode(F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda i: cell(1, i, F.col("own")))).alias("cell")))
+    names = ["crowd", "id", "component", "sketch", "members"]
+    copies = one.select(*names, F.explode(F.concat(among, across)).alias("cell")).unionByName(
+        other.select(*names, F.explode(F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda i: cell(1, i, F.col("own")))).alias("cell")))
     most = settings.most_bits
 
-    def near(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id")
-        ids, component = rows["id"].to_numpy(), rows["component"].to_numpy()
-        sketch = np.stack(rows["sketch"].to_numpy()).view(U64)
+    def links(rows: pa.Table) -> pa.Table:
+        ids = rows["id"].to_numpy()
+        sketch = np.stack(rows["sketch"].to_pylist()).astype(np.int64).view(U64)
+        sets = [np.frombuffer(x, U64) for x in rows["members"].to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        flat, ends = np.concatenate(sets), np.cumsum(sizes)
+        component = np.unique(rows["component"].to_numpy(), return_inverse=True)[1]
         a, b = [], []
         for i in range(1, len(ids)):
             apart = np.bitwise_count(sketch[:i] ^ sketch[i]).sum(axis=1)
-            with_ = np.flatnonzero((apart <= most) & (component[:i] != component[i]))
-            a.append(np.full(len(with_), ids[i])), b.append(ids[with_])
-        return pd.DataFrame({"a": np.concatenate(a) if a else ids[:0], "b": np.concatenate(b) if b else ids[:0]})
+            fits = 100 * np.minimum(sizes[:i], sizes[i]) >= settings.percent * np.maximum(sizes[:i], sizes[i])
+            near = np.flatnonzero((apart <= most) & fits & (component[:i] != component[i]))
+            for some in np.array_split(near, max(1, len(near) // 256)):
+                some = some[component[some] != component[i]]
+                if not len(some):
+                    continue
+                own = sizes[some]
+                first = np.cumsum(own) - own
+                others = flat[np.arange(own.sum()) + np.repeat(ends[some] - own - first, own)]
+                place = np.minimum(np.searchsorted(sets[i], others), sizes[i] - 1)
+                both = np.add.reduceat((sets[i][place] == others).astype(np.int64), first)
+                for j in some[100 * both >= settings.percent * (own + sizes[i] - both)]:
+                    if component[i] != component[j]:
+                        component[component == component[i]] = component[j]
+                        a.append(ids[i]), b.append(ids[j])
+        return pa.table({c: pa.array(x, rows["id"].type) for c, x in (("a", a), ("b", b))})
 
     kind = members.schema["id"].dataType.simpleString()
-    return copies.groupBy("key", "cell").applyInPandas(near, f"a {kind}, b {kind}").distinct()
+    return copies.groupBy("crowd", "cell").applyInArrow(links, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) -> DataFrame:
@@ -188,8 +206,8 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) ->
     1. Documents with equal sets are one class, stood for by the smallest doc_id. 2. Classes that share a band are
     candidates; small buckets give all pairs, large ones the pairs with their first. 3. Odd sketches drop pairs that
     are surely too far apart. 4. Each class is first confirmed against its smallest candidate only, and components are
-    formed. 5. Candidates, and members of large buckets, that lie in different components still are all
-    confirmed, so no link between components is lost.
+    formed. 5. Candidates in different components still are all confirmed, and members of large
+    buckets with several components meet block by block, so no link between components is lost.
     """
     marked = table(features(docs, settings), "features")
     full = marked.where("n_shingles > 0 and doc_id is not null")
@@ -217,16 +235,20 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) ->
     found = table(components(first), "components")
     named = lambda df, c, to: df.join(found.select(F.col("id").alias(c), F.col("component_id").alias("_to")), c, "left").withColumn(to, F.coalesce("_to", c)).drop("_to")
     rest = named(named(near, "a", "ca"), "b", "cb").where("ca != cb").select("a", "b")
+    second = _confirmed(rest, sets, settings)
     crowd = named(named(large.select("key", "id", "low"), "id", "component"), "low", "lead")
     uneven = crowd.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-    crowd = crowd.join(uneven, "key", "left_semi").join(sketches, "id").select("key", "id", "component", "lead", "sketch")
-    rest = rest.unionByName(_mixed_pairs(crowd, settings)).distinct()
-    second = table(_confirmed(rest, sets, settings), "confirmed-rest")
+    crowd = table(crowd.join(uneven, "key", "left_semi").select("id", "low", "component").distinct(), "crowd")
+    if not crowd.isEmpty():
+        groups = components(crowd.select(F.col("id").alias("a"), F.col("low").alias("b"))).withColumnRenamed("component_id", "crowd")
+        crowd = named(groups.join(crowd.select("id", "component").distinct(), "id"), "crowd", "lead")
+        second = second.unionByName(_mixed_links(crowd.join(sketches, "id").join(sets, "id"), settings))
+    second = table(second, "confirmed-rest")
     if not second.isEmpty():
         found = table(components(first.unionByName(second)), "components")
     out = marked.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b", "n_shingles"], "left").join(
         found.withColumnRenamed("id", "first"), "first", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "first", "doc_id")).otherwise(F.col("doc_id"))
+    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component_id", "first", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).select(
         "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
