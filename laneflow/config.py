@@ -121,6 +121,10 @@ REPORT_SPEEDS = (
 # Tracks are worked in blocks of so many frames, so that no task holds all of a long one.
 BLOCK_FRAMES = 65_536
 
+# Files of a stored table that one micro-batch of a stream takes.
+FILES_PER_TRIGGER = 1_000
+
+
 @dataclass(frozen=True)
 class StreamSettings:
     """Where a streaming job reads, writes and keeps its progress."""

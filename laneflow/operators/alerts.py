@@ -13,7 +13,7 @@ from laneflow.session import stored
 from laneflow.sources.messages import read_once
 
 
-def _read(raw: DataFrame, value_col: str, keep: tuple[str, ...]) -> DataFrame:
+def decoded_alerts(raw: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Messages with `raw_value`, their text fields, the speed as a number and `bad`, the reason to refuse."""
     value = F.col(value_col).cast("string")
     message = F.from_json(value, schemas.ALERT_MESSAGE, {"columnNameOfCorruptRecord": "_corrupt"})
@@ -40,9 +40,13 @@ def q4_speed_alerts(raw: DataFrame, threshold: float = ALERT_KMH, value_col: str
     the threshold itself. Missing and null fields get stand-ins, a missing
     speed counts as 0.
     """
+    return usable_alerts(decoded_alerts(raw, value_col, keep), threshold, keep)
+
+
+def usable_alerts(decoded: DataFrame, threshold: float = ALERT_KMH, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The alerts among decoded messages."""
     return (
-        _read(raw, value_col, keep)
-        .filter(F.col("bad").isNull() & (F.col("speed_kmh") >= threshold))
+        decoded.filter(F.col("bad").isNull() & (F.col("speed_kmh") >= threshold))
         .select(
             *keep,
             _or_default("segment").alias("camera_name"),
@@ -56,7 +60,12 @@ def q4_speed_alerts(raw: DataFrame, threshold: float = ALERT_KMH, value_col: str
 
 def malformed_alerts(raw: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Alert messages that cannot be used, as they came, with the reason."""
-    return (_read(raw, value_col, keep).filter(F.col("bad").isNotNull())
+    return unusable_alerts(decoded_alerts(raw, value_col, keep), keep)
+
+
+def unusable_alerts(decoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The messages that could not be decoded."""
+    return (decoded.filter(F.col("bad").isNotNull())
             .select(*keep, F.col("raw_value").alias("value"), F.col("bad").alias("reason")))
 
 

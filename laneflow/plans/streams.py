@@ -20,7 +20,7 @@ from laneflow.streaming.state import tracks_stream
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = views.table(spark, sf_dir, "events").schema
-    return feeds.table_feed(spark, sf_dir, schema, file_filter="events.parquet")
+    return feeds.table_feed(spark, f"{sf_dir}/events.parquet", schema)
 
 
 def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,12 @@ def _to_table(spark: SparkSession, rows: DataFrame, name: str, mode: str = "appe
     folder = work_folder(spark, name)
     path = f"{folder}/table"
     write = sinks.table_sink(path) if mode == "append" else sinks.latest_sink(path)
-    jobs.start_batches(rows, name, write, _settings(folder), mode).awaitTermination()
+    query = jobs.start_batches(rows, name, write, _settings(folder), mode)
+    query.awaitTermination()
+    if not query.recentProgress:     # an empty feed makes no batch
+        return spark.createDataFrame([], rows.schema)
+    if mode != "append":
+        return sinks.read_latest(spark, path, rows.schema)
     return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laneflow.config import StreamSettings
+from laneflow.config import FILES_PER_TRIGGER, StreamSettings
 
 
 def kafka_options(settings: StreamSettings, topic: str) -> dict[str, str]:
@@ -46,12 +46,12 @@ def folder_feed(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.load(path)
 
 
-def table_feed(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None,
-               file_filter: str | None = None) -> DataFrame:
-    """A folder of Parquet files as a stream."""
-    reader = spark.readStream.schema(schema).format("parquet")
-    if files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if file_filter is not None:
-        reader = reader.option("pathGlobFilter", file_filter)
+def table_feed(spark: SparkSession, path: str, schema, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """A Parquet table, a folder of files or one file, as a stream; a batch takes so many files at most."""
+    reader = spark.readStream.schema(schema).format("parquet").option("maxFilesPerTrigger", files_per_trigger)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    # Spark's stream reader wants a folder: where rows come from a file of the very name, it reads the folder around it
+    row = spark.read.schema(schema).parquet(path).select("_metadata.file_name").first()
+    if row is not None and row.file_name == name:
+        return reader.option("pathGlobFilter", name).load(folder)
     return reader.load(path)

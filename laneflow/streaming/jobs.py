@@ -20,6 +20,7 @@ from laneflow.streaming.state import IDLE_MS, resolved_stream
 
 def start(rows: DataFrame, name: str, mode: str, settings: StreamSettings) -> StreamingQuery:
     """Starts one query into the sink of the settings (`console`, `memory`, ...)."""
+    with_state_on_disk(rows.sparkSession)
     writer = (rows.writeStream.queryName(name).outputMode(mode).format(settings.sink)
               .option("checkpointLocation", f"{settings.checkpoint_base}/{name}"))
     if settings.sink == "console":
@@ -30,11 +31,21 @@ def start(rows: DataFrame, name: str, mode: str, settings: StreamSettings) -> St
 def start_batches(rows: DataFrame, name: str, write: Publish, settings: StreamSettings,
                   mode: str = "append") -> StreamingQuery:
     """Starts one query that hands each batch to `write`."""
+    with_state_on_disk(rows.sparkSession)
     writer = (rows.writeStream.queryName(name).outputMode(mode).foreachBatch(write)
               .option("checkpointLocation", f"{settings.checkpoint_base}/{name}"))
     return _triggered(writer, settings).start()
 
 
+#: Keeps state on disk, so that its size isn't bounded by the executors' memory.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def with_state_on_disk(spark: SparkSession) -> None:
+    """A query takes the store that is set when it starts."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+
+
 def _triggered(writer, settings: StreamSettings):
     return writer.trigger(**settings.trigger) if settings.trigger else writer
 

@@ -11,10 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from laneflow.config import ALERT_KMH, StreamSettings
 from laneflow.functions.numbers import to_places
-from laneflow.operators.alerts import malformed_alerts, q4_speed_alerts
+from laneflow.operators.alerts import decoded_alerts, unusable_alerts, usable_alerts
 from laneflow.operators.road import report_text
 from laneflow.operators.trajectories import as_messages
 from laneflow.sources.messages import route_events
@@ -76,12 +77,12 @@ def alerts_sink(alerts_path: str, malformed_path: str, threshold: float = ALERT_
     """One batch of alert messages to the alert table, and the unusable ones to a table of their own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        decoded = decoded_alerts(batch).persist()      # each message is decoded once
         try:
-            write_speed_alerts(q4_speed_alerts(batch, threshold), batch_id, alerts_path)
-            _write_batch(malformed_alerts(batch), batch_id, malformed_path)
+            write_speed_alerts(usable_alerts(decoded, threshold), batch_id, alerts_path)
+            _write_batch(unusable_alerts(decoded), batch_id, malformed_path)
         finally:
-            batch.unpersist()
+            decoded.unpersist()
 
     return write
 
@@ -120,14 +121,26 @@ def table_sink(path: str) -> Publish:
 
 
 def latest_sink(path: str) -> Publish:
-    """A stream in complete mode to a table that holds its latest answer."""
+    """A stream in complete mode to a table that holds its latest answer.
+
+    Each answer is a version of its own, `version=<batch>`; readers take the newest that is whole (`read_latest`), so
+    there is always one, also after a crash.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
     return write
 
 
+def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest whole version of a table of `latest_sink`."""
+    # the committer moves a version's files in place at its end; an answer never gets fewer rows than none
+    versions = spark.read.schema(T.StructType([*schema.fields]).add("version", T.LongType())).parquet(path)
+    newest = versions.agg(F.max("version")).first()[0]
+    return versions.filter(F.col("version") == newest).drop("version")
+
+
 def write_report_csv(report: DataFrame, path: str) -> None:
     """The vehicle report as CSV with a header, by vehicle, empty where there is no speed."""
     report_text(report).orderBy("vehicle_id", "camera_name").write.mode("overwrite").option("header", True).csv(path)

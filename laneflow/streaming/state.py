@@ -20,10 +20,9 @@ from laneflow.config import (
 from laneflow.functions.geometry import KMH_PER_MS
 from laneflow.operators.tracker import Tracks, rows_of, walk
 
-# A track or camera that is silent for this long gives up its state. With None it
-# keeps it; a job that is to end with its input needs None, because Spark goes on
-# with empty batches as long as a timeout may come.
-IDLE_MS = 10 * 60 * 1000
+# Results don't depend on the clock: by default state is kept, on disk. With a number of milliseconds, a silent track gives up
+# its history but still knows that its event is out, and a silent camera gives out the frame it holds and keeps its ids.
+IDLE_MS = None
 
 
 def _timeout(idle_ms: int | None) -> str:
@@ -89,7 +88,8 @@ def resolved_stream(calibrated: DataFrame, fps: float = FPS, idle_ms: int | None
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            state.remove()
+            _, _, last_frame, done = state.get
+            state.update(([], None, last_frame, done))
             return
         history, first_frame, last_frame, done = state.get if state.exists else ([], None, None, False)
         rows = pd.concat(list(batches)).sort_values("frame_id", kind="stable")
@@ -115,6 +115,7 @@ def resolved_stream(calibrated: DataFrame, fps: float = FPS, idle_ms: int | None
 
 
 _ASSIGNED = "camera_name string, side string, track_id long, frame_id long, cx int, cy int, coasting boolean"
+_NO_BOXES = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("frame_id", "box_id", "cx", "cy")})
 _TRACKER_STATE = ("next_id long, ids array<long>, xs array<long>, ys array<long>, lost array<long>, done long, "
                   "waiting_frame long, waiting_xs array<long>, waiting_ys array<long>")
 
@@ -130,11 +131,8 @@ def tracks_stream(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost:
     """
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         tracks, done = Tracks(), None
-        rows = pd.concat(list(batches))
+        rows = _NO_BOXES if state.hasTimedOut else pd.concat(list(batches))
         if state.exists:
             next_id, ids, xs, ys, lost, done, frame, waiting_xs, waiting_ys = state.get
             tracks = Tracks(next_id, _whole(ids), np.stack([_whole(xs), _whole(ys)], axis=1), _whole(lost))
@@ -146,7 +144,8 @@ def tracks_stream(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost:
         rows = rows.sort_values(["frame_id", "box_id"], kind="stable")
         if not len(rows):
             return
-        newest = int(rows["frame_id"].iloc[-1])
+        # a camera that has fallen silent sends no more of its last frame
+        newest = int(rows["frame_id"].iloc[-1]) + (1 if state.hasTimedOut else 0)
         ready, rest = rows[rows["frame_id"] < newest], rows[rows["frame_id"] == newest]
         out = rows_of(walk(tracks, ready["frame_id"].to_numpy(), ready[["cx", "cy"]].to_numpy(np.int64), done, None,
                            max_dist, max_lost))
@@ -155,7 +154,7 @@ def tracks_stream(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost:
         state.update((tracks.next_id, tracks.ids.tolist(), tracks.points[:, 0].tolist(),
                       tracks.points[:, 1].tolist(), tracks.lost.tolist(), done, newest,
                       rest["cx"].astype(int).tolist(), rest["cy"].astype(int).tolist()))
-        if idle_ms is not None:
+        if idle_ms is not None and len(rest):
             state.setTimeoutDuration(idle_ms)
         out.insert(0, "side", key[1])
         out.insert(0, "camera_name", key[0])

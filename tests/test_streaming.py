@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from laneflow import schemas
 from laneflow.config import QUESTION_STREAMS, Camera, StreamSettings
 from laneflow.operators import questions, tracker, trajectories
+from laneflow.plans import queries
 from laneflow.session import work_folder
 from laneflow.sources import feeds
 from laneflow.sources.cameras import cameras_dim, positions_calibrated
@@ -188,3 +189,29 @@ def test_work_folder_follows_the_session():
     assert work_folder(session_with("local[2]", None), "x").startswith("/")
     with pytest.raises(ValueError):
         work_folder(session_with("yarn", None), "x")
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_streams_read_what_the_tables_read(spark, folder, files):
+    """One file or a folder of parts: the streaming queries give the rows of the batch queries."""
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    if files == 1:
+        source = "/root/testdata/sf0.001"
+    else:
+        source = folder + "/sf"
+        events.repartitionByRange(files, "event_id").write.parquet(source + "/events.parquet")
+    rows = lambda df: sorted(map(str, df.collect()))
+    for stream, batch in (("stream_q1", queries.q1_vehicle_speeds), ("stream_q3", queries.q3_speed_violations)):
+        got = queries.QUERIES[stream](spark, source)
+        assert rows(got) == rows(batch(spark, source).select(*got.columns)) != []
+
+
+def test_empty_feed(spark, folder):
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).write.parquet(folder + "/sf/events.parquet")
+    for name in ("stream_q1", "stream_q3", "stream_tracks"):
+        assert queries.QUERIES[name](spark, folder + "/sf").count() == 0
+
+
+def test_state_is_on_disk(spark):
+    jobs.with_state_on_disk(spark)
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
