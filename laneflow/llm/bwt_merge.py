@@ -10,7 +10,10 @@ END, BREAK = 0, 1
 
 
 class Shard:
-    """Some strings one after the other with a BREAK behind each and an END; its suffix order and transform."""
+    """Some strings one after the other with a BREAK behind each and an END; its suffix order, transform and steps back.
+
+    before: for each place of the order the place of the suffix one symbol earlier (the LF mapping).
+    """
 
     def __init__(self, body: np.ndarray, sizes: np.ndarray, depth: int):
         kind = np.uint8 if int(body.max(initial=0)) <= 253 else np.uint16
@@ -18,29 +21,40 @@ class Shard:
         self.symbols = np.full(len(body) + len(sizes) + 1, BREAK, dtype=kind)
         self.symbols[at] = body.astype(kind) + kind(2)
         self.symbols[-1] = END
-        self.order = suffix_order(self.symbols, depth)
+        self.order = suffix_order(self.symbols, depth).astype(np.int32)
         self.bwt = self.symbols[self.order - 1]
+        self.before = np.empty(len(self.bwt), dtype=np.int32)
+        self.before[np.argsort(self.bwt, kind="stable")] = np.arange(len(self.bwt), dtype=np.int32)
 
 
 def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The interleave of the shards' suffixes by their first `depth` symbols, and the block of each.
+    """Places of the shards' suffixes (counted through all shards) that share their first `depth` symbols with another one,
+    in merged order, and the block of each: a repeated interval of the merged order.
 
-    The interleave says for each place of the merged order which shard's next suffix stands there. It starts as shard
-    after shard, all in one block. A round reads the merged transform through the interleave and deals its entries out by
-    symbol, in order: suffixes come to stand by one symbol more. Two neighbours stay in one block, a repeated interval,
-    as long as their symbols and the blocks of what follows are the same: their common prefix is as long as the rounds.
+    The interleave starts as shard after shard, in one block. A round reads the merged transform through it, deals the
+    entries out by symbol, in order, and steps back in each shard: so suffixes come to stand by one symbol more, and each
+    shard's own order is never sorted again. Two neighbours stay in one block while their symbols and the blocks of
+    what follows agree: their common prefix is as long as the rounds. A block of one is settled and leaves, and so do
+    suffixes that begin before their string.
     """
     transform = np.concatenate([s.bwt for s in shards])
-    z = np.repeat(np.arange(len(shards), dtype=np.uint8 if len(shards) < 256 else np.uint16), [len(s.bwt) for s in shards])
-    block = np.zeros(len(z), dtype=np.int32)
+    base = np.cumsum([0, *[len(s.bwt) for s in shards[:-1]]])
+    before = np.concatenate([s.before + b for s, b in zip(shards, base)]).astype(np.int32)
+    place, block = np.arange(len(transform), dtype=np.int32), np.zeros(len(transform), dtype=np.int32)
     for _ in range(depth):
-        merged = np.empty_like(transform)
-        merged[np.argsort(z, kind="stable")] = transform
-        dealt = np.argsort(merged, kind="stable")
-        z, symbol, was = z[dealt], merged[dealt], block[dealt]
-        block[0] = 0
-        np.cumsum((symbol[1:] != symbol[:-1]) | (was[1:] != was[:-1]), out=block[1:])
-    return z, block
+        symbol = transform[place]
+        inside = symbol > BREAK
+        place, block, symbol = place[inside], block[inside], symbol[inside]
+        dealt = np.argsort(symbol, kind="stable")
+        symbol, was = symbol[dealt], block[dealt]
+        first = np.ones(len(place) + 1, dtype=bool)
+        first[1:-1] = (symbol[1:] != symbol[:-1]) | (was[1:] != was[:-1])
+        shared = ~(first[:-1] & first[1:])
+        place = before[place[dealt[shared]]]
+        block = np.cumsum(first[:-1][shared], dtype=np.int32)
+        if not len(place):
+            break
+    return place, block
 
 
 def least_owners(body: np.ndarray, sizes: np.ndarray, owners: np.ndarray, length: int, shard_bytes: int) -> np.ndarray:
@@ -58,18 +72,17 @@ def least_owners(body: np.ndarray, sizes: np.ndarray, owners: np.ndarray, length
     ends = np.cumsum(sizes)
     shards, strings, starts = [], [], []
     for a, b in zip(cuts, cuts[1:]):
-        own = Shard(body[ends[a] - sizes[a] : ends[b - 1]], sizes[a:b], length)
-        string = np.append(np.repeat(np.arange(a, b), sizes[a:b] + 1), -1)
-        inside = np.arange(len(string)) - np.append(np.repeat(ends[a:b] - sizes[a:b] - (ends[a] - sizes[a]) + np.arange(b - a), sizes[a:b] + 1), 0)
+        begin = ends[a] - sizes[a]
+        own = Shard(body[begin : ends[b - 1]], sizes[a:b], length)
+        string = np.append(np.repeat(np.arange(a, b, dtype=np.int32), sizes[a:b] + 1), 0)
+        first = np.cumsum(sizes[a:b] + 1) - (sizes[a:b] + 1)
+        inside = np.arange(len(string), dtype=np.int32) - np.append(np.repeat(first, sizes[a:b] + 1), 0).astype(np.int32)
         shards.append(own), strings.append(string[own.order]), starts.append(inside[own.order])
-    z, block = merge(shards, length)
-    place = np.argsort(z, kind="stable")
-    string, start = np.empty(len(z), np.int64), np.empty(len(z), np.int64)
-    string[place], start[place] = np.concatenate(strings), np.concatenate(starts)
-    most = np.iinfo(np.int64).max
-    whole = (string >= 0) & (sizes[string] - start >= length)
-    value = np.where(whole, owners[string], most)
-    least = np.minimum.reduceat(value, np.flatnonzero(np.r_[True, block[1:] != block[:-1]]))[block]
-    out = np.full((len(sizes), int(sizes.max()) - length + 1), most)
-    out[string[whole], start[whole]] = least[whole]
+    place, block = merge(shards, length)
+    out = np.where(np.arange(int(sizes.max()) - length + 1) <= (sizes - length)[:, None], owners[:, None], np.iinfo(np.int64).max)
+    if len(place):
+        string, start = np.concatenate(strings)[place], np.concatenate(starts)[place]
+        edges = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        least = np.minimum.reduceat(owners[string], edges)
+        out[string, start] = np.repeat(least, np.diff(np.r_[edges, len(place)]))
     return out

@@ -24,9 +24,9 @@ class RepeatSettings:
 
     length: int = 50
     gram: int = 16
-    block_bytes: int = 4 << 20
-    part_bytes: int = 16 << 20
-    shard_bytes: int = 1 << 20
+    block_bytes: int = 2 << 20
+    part_bytes: int = 4 << 20
+    shard_bytes: int = 256 << 10
 
 
 _BYTE = salts(256, seed=29)

@@ -1,6 +1,7 @@
 """Repeated bytes against all strings."""
 
 import random
+from collections import Counter
 
 import brute
 import numpy as np
@@ -19,24 +20,25 @@ def got(df):
 
 
 @pytest.mark.parametrize("seed", range(10))
-def test_merge_sorts_by_depth(seed):
+def test_merge_finds_repeated_intervals(seed):
+    """Every string of the depth that stands twice, in merged order, whatever the shards."""
     rng = np.random.default_rng(seed)
-    depth, texts = 6, []
-    shards = []
+    depth, shards, texts = 6, [], []
     for _ in range(1 + seed % 4):
-        sizes = rng.integers(1, 12, rng.integers(1, 8))
-        shards.append(Shard(rng.integers(97, 99, sizes.sum()).astype(np.uint8), sizes, depth))
-        texts.append(shards[-1].symbols.tolist())
-    z, block = merge(shards, depth)
-    at, found = [iter(s.order.tolist()) for s in shards], []
-    for shard in z:
-        i = next(at[shard])
-        found.append(texts[shard][i:i + depth])
-    cut = [x[:x.index(0)] + [0] if 0 in x else x for x in found]
-    assert cut == sorted(cut)
-    pure = [k for k, x in enumerate(found) if len(x) == depth and min(x) > 1]
-    for a, b in zip(pure, pure[1:]):
-        assert (block[a] == block[b]) == (found[a] == found[b])
+        sizes = rng.integers(1, 15, rng.integers(1, 12))
+        body = rng.integers(97, 99, sizes.sum()).astype(np.uint8)
+        shards.append(Shard(body, sizes, depth))
+        ends = np.cumsum(sizes)
+        texts += [body[e - n:e].tobytes() for e, n in zip(ends, sizes)]
+    place, block = merge(shards, depth)
+    found, base = [], np.cumsum([0, *[len(s.order) for s in shards]])
+    for g in place:
+        shard = int(np.searchsorted(base, g, side="right")) - 1
+        at = shards[shard].order[g - base[shard]]
+        found.append(bytes(shards[shard].symbols[at:at + depth] - 2))
+    grams = Counter(t[i:i + depth] for t in texts for i in range(len(t) - depth + 1))
+    assert found == sorted(g for g, n in grams.items() if n > 1 for _ in range(n))
+    assert [a == b for a, b in zip(block, block[1:])] == [a == b for a, b in zip(found, found[1:])]
 
 
 @pytest.mark.parametrize("seed", range(10))
