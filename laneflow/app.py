@@ -3,6 +3,7 @@
     spark-submit --packages <kafka connector> laneflow/app.py analytics --bootstrap host:9092 --work hdfs:///traffic
     spark-submit --packages <kafka connector> laneflow/app.py alerts    --bootstrap host:9092 --work hdfs:///traffic
     spark-submit laneflow/app.py events --boxes hdfs:///boxes --work hdfs:///traffic --out hdfs:///events
+    spark-submit laneflow/app.py live   --boxes hdfs:///boxes --work hdfs:///traffic --out hdfs:///events --seconds 5
     spark-submit laneflow/app.py report --boxes hdfs:///tracked --out hdfs:///report
 """
 
@@ -18,6 +19,7 @@ from laneflow.config import StreamSettings
 from laneflow.operators import road
 from laneflow.plans.live import boxes_to_events
 from laneflow.session import stored
+from laneflow.sources import feeds
 from laneflow.sources.cameras import cameras_dim
 from laneflow.streaming import jobs, sinks
 
@@ -36,6 +38,13 @@ def parser() -> argparse.ArgumentParser:
     events.add_argument("--out", required=True, help="event table")
     events.add_argument("--alerts", help="alert table")
     events.add_argument("--topics", help="folder of message files, one below it for each topic")
+    live = commands.add_parser("live")
+    live.add_argument("--boxes", required=True, help="Parquet folder that boxes arrive in")
+    live.add_argument("--work", required=True, help="shared folder for checkpoints")
+    live.add_argument("--out", required=True, help="event table")
+    live.add_argument("--alerts", help="alert table")
+    live.add_argument("--topics", help="folder of message files")
+    live.add_argument("--seconds", type=float, help="time between batches; without it the job ends with its input")
     report = commands.add_parser("report")
     report.add_argument("--boxes", required=True, help="Parquet folder of boxes with track ids")
     report.add_argument("--out", required=True, help="CSV folder")
@@ -57,6 +66,12 @@ def main(spark: SparkSession, arguments: list[str] | None = None) -> None:
         events = stored(boxes_to_events(boxes, cameras_dim(spark), f"{args.work}/positions-{run}"), "events")
         publish = sinks.folder_publisher(args.topics) if args.topics else None
         sinks.events_sink(args.out, args.alerts, publish)(events, run)
+    elif args.command == "live":
+        trigger = {"processingTime": f"{args.seconds} seconds"} if args.seconds else {"availableNow": True}
+        settings = StreamSettings(checkpoint_base=f"{args.work}/checkpoints", trigger=trigger)
+        publish = sinks.folder_publisher(args.topics) if args.topics else None
+        boxes = feeds.table_feed(spark, args.boxes, schemas.DETECTIONS)
+        jobs.start_live(boxes, cameras_dim(spark), args.out, settings, args.alerts, publish).awaitTermination()
     else:
         boxes = road.class_filter(spark.read.parquet(args.boxes))
         sinks.write_report_csv(road.vehicle_report(road.road_traces(boxes)), args.out)

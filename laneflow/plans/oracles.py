@@ -403,6 +403,8 @@ ORACLES: dict[str, str] = {
         from nearest""",
     "tracked_boxes": f"with {_CAMERAS}, {_CLEAN} select camera_name, side, frame_id, cx, cy from clean",
     "vehicles_with_events": "select true as one_each",
+    "stream_tracked_boxes": f"with {_CAMERAS}, {_CLEAN} select camera_name, side, frame_id, cx, cy from clean",
+    "stream_vehicles": "select true as one_each",
     "match_candidates": f"""with {_CAMERAS}, {_CLEAN}
         select * from (
           select a.camera_name, a.side, a.frame_id, a.box_id as box_before, b.box_id as box_after,

@@ -280,6 +280,18 @@ def tracked_boxes(spark, sf_dir):
     return own.select("camera_name", "side", "frame_id", "cx", "cy")
 
 
+def stream_tracked_boxes(spark, sf_dir):
+    """The same of the streaming tracker."""
+    own = streams.stream_tracks(spark, sf_dir).filter(~F.col("coasting"))
+    return own.select("camera_name", "side", "frame_id", "cx", "cy")
+
+
+def stream_vehicles(spark, sf_dir):
+    """Whether the streaming service gives each vehicle one event."""
+    events = streams.stream_live(spark, sf_dir).groupBy("camera_name", "vehicle_id").agg(F.count(F.lit(1)).alias("n"))
+    return events.agg(F.coalesce(F.max("n") == 1, F.lit(True)).alias("one_each"))
+
+
 def vehicles_with_events(spark, sf_dir):
     """Whether each vehicle of the live path has one event."""
     events = live_events(spark, sf_dir).groupBy("camera_name", "vehicle_id").agg(F.count(F.lit(1)).alias("n"))
@@ -366,4 +378,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_q6": streams.stream_q6,
     "stream_resolved": streams.stream_resolved,
     "stream_tracks": streams.stream_tracks,
+    "stream_tracked_boxes": stream_tracked_boxes,
+    "stream_live": streams.stream_live,
+    "stream_vehicles": stream_vehicles,
 }

@@ -93,4 +93,17 @@ def stream_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     boxes = views.detection_columns(_feed(spark, sf_dir))
     centred = detections.detections_clean(boxes, cameras.cameras_dim(spark))
-    return _to_table(spark, tracks_stream(centred, idle_ms=None), "tracks")
+    return _to_table(spark, tracks_stream(centred, whole_frames=True), "tracks")
+
+
+def stream_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole service on boxes: to the event table, the alert table and the topic folders."""
+    folder = work_folder(spark, "live-stream")
+    boxes = views.detection_columns(_feed(spark, sf_dir))
+    query = jobs.start_live(boxes, cameras.cameras_dim(spark), f"{folder}/events", _settings(folder), f"{folder}/alerts",
+                            sinks.folder_publisher(f"{folder}/topics"))
+    query.awaitTermination()
+    columns = ("camera_name", "vehicle_id", "vehicle_type", "speed_kmh", "direction", "movement", "speed_source")
+    if not query.recentProgress:
+        return spark.createDataFrame([], schemas.VEHICLE_EVENTS_TABLE).select(*columns)
+    return sinks.read_table(spark, f"{folder}/events", schemas.VEHICLE_EVENTS_TABLE).select(*columns)

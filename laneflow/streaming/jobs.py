@@ -12,10 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 from laneflow.config import ALERT_KMH, FPS, QUESTION_STREAMS, StreamSettings
 from laneflow.operators import questions
 from laneflow.operators.alerts import alert_total, q4_speed_alerts
+from laneflow.operators.detections import detections_clean
 from laneflow.sources import feeds
+from laneflow.sources.cameras import positions_calibrated
 from laneflow.sources.messages import decode_events
 from laneflow.streaming.sinks import Publish, alerts_sink, events_sink
-from laneflow.streaming.state import IDLE_MS, resolved_stream
+from laneflow.streaming.state import IDLE_MS, live_stream, resolved_stream
 
 
 def start(rows: DataFrame, name: str, mode: str, settings: StreamSettings) -> StreamingQuery:
@@ -87,6 +89,14 @@ def start_resolver(calibrated: DataFrame, events_path: str, settings: StreamSett
                          events_sink(events_path, alerts_path, publish), settings)
 
 
+def start_live(boxes: DataFrame, cameras: DataFrame, events_path: str, settings: StreamSettings, alerts_path: str | None = None,
+               publish: Publish | None = None, whole_frames: bool = True) -> StreamingQuery:
+    """Starts the whole service: boxes of all cameras to stored events, alerts and messages."""
+    centred = positions_calibrated(detections_clean(boxes, cameras), cameras)
+    return start_batches(live_stream(centred, whole_frames=whole_frames), "Live_Events",
+                         events_sink(events_path, alerts_path, publish), settings)
+
+
 def run_analytics(spark: SparkSession, settings: StreamSettings) -> None:
     """The five questions on the statistics topic, until one of them ends."""
     start_questions(feeds.stats_feed(spark, settings), settings)

@@ -6,6 +6,7 @@ its first line crossing are therefore kept as state, a few numbers per track.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from laneflow.config import (
     FPS, HISTORY_MIN_ROWS, HISTORY_ROWS, MAX_LOST_FRAMES, MAX_MATCH_PX, MOVEMENT_MIN_ROWS, MOVEMENT_PX,
-    SPEED_HIGH_KMH, SPEED_LOW_KMH,
+    SPEED_HIGH_KMH, SPEED_LOW_KMH, TRUCK_MIN_AREA_PX,
 )
 from laneflow.functions.geometry import KMH_PER_MS
 from laneflow.operators.tracker import Tracks, rows_of, walk
@@ -121,13 +122,14 @@ _TRACKER_STATE = ("next_id long, ids array<long>, xs array<long>, ys array<long>
 
 
 def tracks_stream(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost: int = MAX_LOST_FRAMES,
-                  idle_ms: int | None = IDLE_MS) -> DataFrame:
+                  idle_ms: int | None = IDLE_MS, whole_frames: bool = False) -> DataFrame:
     """Boxes as a stream to track positions, each (camera, side) as one session.
 
     A frame is done when a later one has arrived, so its boxes may come in two
-    batches; boxes of a frame already done are ignored. The state is the active
-    tracks and the boxes of the last frame. Boxes of one frame are taken in the
-    order of `box_id`.
+    batches; with `whole_frames`, for feeds whose batches hold whole frames, it is
+    done with its batch. Boxes of a frame already done are ignored. The state is
+    the active tracks and the boxes of the last frame. Boxes of one frame are
+    taken in the order of `box_id`.
     """
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -145,7 +147,7 @@ def tracks_stream(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost:
         if not len(rows):
             return
         # a camera that has fallen silent sends no more of its last frame
-        newest = int(rows["frame_id"].iloc[-1]) + (1 if state.hasTimedOut else 0)
+        newest = int(rows["frame_id"].iloc[-1]) + (1 if state.hasTimedOut or whole_frames else 0)
         ready, rest = rows[rows["frame_id"] < newest], rows[rows["frame_id"] == newest]
         out = rows_of(walk(tracks, ready["frame_id"].to_numpy(), ready[["cx", "cy"]].to_numpy(np.int64), done, None,
                            max_dist, max_lost))
@@ -165,5 +167,62 @@ def tracks_stream(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost:
         advance, _ASSIGNED, _TRACKER_STATE, "append", _timeout(idle_ms))
 
 
+_LIVE_STATE = "tracker string, vehicles string, waiting string"
+
+
+def live_stream(boxes: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost: int = MAX_LOST_FRAMES, fps: float = FPS,
+                truck_area: int = TRUCK_MIN_AREA_PX, whole_frames: bool = False) -> DataFrame:
+    """Boxes as a stream to one event per vehicle: tracked, classed and resolved by one keyed operator.
+
+    `boxes` are centred, with the lines and scale of their camera and side (`sources.cameras.positions_calibrated`). The
+    same events as `plans.live.boxes_to_events` gives for a table. The state of a camera and side is what the tracker
+    holds, and for each active track its last positions, first crossing, class, and whether its event is out. Frames
+    are done as in `tracks_stream`.
+    """
+    columns = ["frame_id", "box_id", "cx", "cy", "w", "h", "first_line", "second_line", "dist_m", "px_per_m", "direction"]
+    scale = ["first_line", "second_line", "dist_m", "px_per_m", "direction"]
+
+    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        tracks, vehicles, done, rows = Tracks(), {}, None, pd.concat(list(batches))
+        if state.exists:
+            tracker, known, waiting = map(json.loads, state.get)
+            tracks = Tracks(tracker["next"], _whole(tracker["ids"]), _whole(tracker["points"]).reshape(-1, 2), _whole(tracker["lost"]))
+            done, vehicles = tracker["done"], {int(k): v for k, v in known.items()}
+            if waiting:
+                rows = pd.concat([pd.DataFrame(waiting, columns=columns), rows[columns]])
+        rows = rows[columns] if done is None else rows.loc[rows["frame_id"] > done, columns]
+        rows = rows.sort_values(["frame_id", "box_id"], kind="stable")
+        if not len(rows):
+            return
+        newest = int(rows["frame_id"].iloc[-1]) + (1 if whole_frames else 0)
+        ready, rest = rows[rows["frame_id"] < newest], rows[rows["frame_id"] == newest]
+        out, events = rows_of(walk(tracks, ready["frame_id"].to_numpy(), ready[["cx", "cy"]].to_numpy(np.int64), done, None, max_dist, max_lost)), []
+        in_frame = {frame: (own[["cx", "cy"]].to_numpy(np.int64), (own["w"] * own["h"] >= truck_area).to_numpy()) for frame, own in ready.groupby("frame_id")}
+        for track, own in out.groupby("track_id"):
+            history, first, kind, sent = vehicles.get(int(track), ([], None, None, False))
+            if not sent:
+                kinds = []
+                for frame, x, y in zip(own["frame_id"], own["cx"], own["cy"]):
+                    if frame in in_frame:
+                        centres, trucks = in_frame[frame]
+                        kind = "truck" if trucks[np.abs(centres - (x, y)).sum(axis=1).argmin()] else "car"
+                    kinds.append(kind)
+                own = own.assign(vehicle_type=kinds, **{c: rows[c].iloc[0] for c in scale})
+                history, first, event = resolve_track(history, first, own, fps)
+                if event is not None:
+                    sent = True
+                    events.append((*key, int(track), f"{key[1]}{track}", *event))
+            vehicles[int(track)] = (history, first, kind, sent)
+        vehicles = {int(i): vehicles[int(i)] for i in tracks.ids}
+        done = int(ready["frame_id"].iloc[-1]) if len(ready) else done
+        tracker = {"next": tracks.next_id, "ids": tracks.ids.tolist(), "points": tracks.points.tolist(), "lost": tracks.lost.tolist(), "done": done}
+        state.update((json.dumps(tracker), json.dumps(vehicles), json.dumps(rest.to_numpy(object).tolist(), default=lambda x: x.item())))
+        if events:
+            yield pd.DataFrame(events, columns=[f.split()[0] for f in _RESOLVED.split(", ")])
+
+    return boxes.select("camera_name", "side", *columns).groupBy("camera_name", "side").applyInPandasWithState(
+        advance, _RESOLVED, _LIVE_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
 def _whole(values) -> np.ndarray:
     return np.asarray(values, np.int64)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from laneflow import schemas
 from laneflow.config import QUESTION_STREAMS, Camera, StreamSettings
 from laneflow.operators import questions, tracker, trajectories
-from laneflow.plans import queries
+from laneflow.plans import live, queries
 from laneflow.session import work_folder
 from laneflow.sources import feeds
 from laneflow.sources.cameras import cameras_dim, positions_calibrated
@@ -215,3 +215,28 @@ def test_empty_feed(spark, folder):
 def test_state_is_on_disk(spark):
     jobs.with_state_on_disk(spark)
     assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+@pytest.mark.parametrize("batches", [1, 5])
+def test_live_service(spark, folder, batches):
+    """Boxes as a stream, in one batch or several, give the events that they give as a table."""
+    rng, rows = random.Random(11), []
+    cars = [[rng.randrange(1280), rng.randrange(600), rng.choice([-25, -9, 8, 30])] for _ in range(14)]
+    for f in range(120):
+        for b, car in enumerate(cars):
+            car[0] += car[2] + rng.randint(-3, 3)
+            if 0 < car[0] < 1280 and rng.random() < 0.9 and not 60 <= f < 64:
+                rows.append((rng.choice(["IC_Papagou", "elsewhere"]) if f < 2 else ["IC_Papagou", "elsewhere"][b % 2], f, b, car[0] - 40, car[1], 80 + b * 8, 90, 8000.0, None))
+            elif rng.random() < 0.3:
+                car[0] = rng.choice([5, 1270])
+    df = spark.createDataFrame(rows, schemas.DETECTIONS)
+    for i in range(batches):
+        df.filter((F.col("frame_id") >= 120 * i // batches) & (F.col("frame_id") < 120 * (i + 1) // batches)).coalesce(1).write.parquet(f"{folder}/in/{i}")
+    feed = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder + "/in/*")
+    query = jobs.start_live(feed, cameras_dim(spark), folder + "/events", settings(folder))
+    query.awaitTermination(100)
+    columns = ("camera_name", "vehicle_id", "vehicle_type", "speed_kmh", "direction", "movement", "speed_source")
+    got = sinks.read_table(spark, folder + "/events", schemas.VEHICLE_EVENTS_TABLE).select(*columns).collect()
+    expected = live.boxes_to_events(df, cameras_dim(spark), folder + "/positions").select(*columns).collect()
+    plain = lambda rows: sorted((*r[:3], round(r[3], 2), *r[4:]) for r in rows)
+    assert plain(got) == plain(expected) and len(got) > 10
