@@ -80,13 +80,15 @@ def drop_repeats(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) ->
 
     A document that loses everything but white space goes; a document without text to begin with stays.
     """
-    out = line_dedup(docs, settings)
-    gone = (F.col("n_removed_chunks") > 0) & (F.trim(F.translate("text", "\n\t\r", "")) == "")
+    out = line_dedup(docs, settings).select(*[F.col(f"`{c}`") for c in docs.columns if c != "text"], F.explode_outer(
+        F.array(F.struct("text", (F.col("n_removed_chunks") > 0).alias("changed")))).alias("_kept"))
+    # a filter on what a generator gives stays above it: pushed further down, it would compute the chunks again for each use
+    text, changed = F.col("_kept.text"), F.col("_kept.changed")
+    out = out.where(~changed | text.isNull() | (F.trim(F.translate(text, "\n\t\r", "")) != ""))
+    fresh = {"text": text}
     if "n_chars" in docs.columns:
-        count = F.when(F.col("n_removed_chunks") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType))
-    # rand() keeps the filter above the projections: pushed down, it would compute the chunks again for each use
-    return out.where(~(gone & (F.rand(0) >= 0))).select(*[F.col(f"`{c}`") for c in docs.columns])
+        fresh["n_chars"] = F.when(changed, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.select(*[fresh.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 #: op10: `line_dedup` over documents, as DuckDB SQL.
