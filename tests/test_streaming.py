@@ -240,3 +240,17 @@ def test_live_service(spark, folder, batches):
     expected = live.boxes_to_events(df, cameras_dim(spark), folder + "/positions").select(*columns).collect()
     plain = lambda rows: sorted((*r[:3], round(r[3], 2), *r[4:]) for r in rows)
     assert plain(got) == plain(expected) and len(got) > 10
+
+
+def test_run_analytics_starts_all_questions(spark, folder, monkeypatch):
+    os.makedirs(folder + "/in")
+    with open(folder + "/in/0.txt", "w") as file:
+        file.write("\n".join([message("a", 0), message("b", 10), message("c", 301)]))
+    monkeypatch.setattr(feeds, "stats_feed", lambda session, _: feeds.folder_feed(session, folder + "/in"))
+    jobs.run_analytics(spark, settings(folder))
+    for query in spark.streams.active:
+        query.awaitTermination(100)
+    for name in QUESTION_STREAMS:
+        assert os.path.isdir(f"{folder}/checkpoints/{name}")
+    assert spark.table("Q1_Vehicle_Speeds").count() == 3
+    spark.streams.resetTerminated()
