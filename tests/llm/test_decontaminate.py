@@ -1,6 +1,6 @@
 """Decontamination against a plain search."""
 
-import brute
+import slow_versions as brute
 import pytest
 
 from laneflow.llm import decontaminate as d

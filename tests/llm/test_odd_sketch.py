@@ -2,7 +2,7 @@
 
 import random
 
-import brute
+import slow_versions as brute
 import pytest
 
 from laneflow.llm import odd_sketch as o

@@ -3,7 +3,7 @@
 import random
 from collections import Counter
 
-import brute
+import slow_versions as brute
 import numpy as np
 import pytest
 
