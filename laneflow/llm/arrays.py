@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes that a task works on at once; a longer document is worked alone.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 U64 = np.uint64
 

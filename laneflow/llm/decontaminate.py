@@ -22,7 +22,7 @@ class PhraseSettings:
 
     window: int = 10
     block_bytes: int = 8 << 20
-    shard_bytes: int = 4 << 20
+    shard_bytes: int = 2 << 20
 
 
 class Phrases:

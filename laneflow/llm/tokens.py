@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from laneflow.llm.arrays import U64, span_hashes
 
 #: Words kept in memory by a task; beyond it the task starts over with an empty store.
-MOST_WORDS = 2_000_000
+MOST_WORDS = 1_000_000
 
 # Kinds of characters that the byte-level pre-tokenizer tells apart.
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
@@ -77,10 +77,14 @@ class WordEncoder:
         return ids, np.r_[0, total][np.searchsorted(starts, offsets)]
 
     def _learn(self, flat: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        words = [flat[a:b].tobytes().decode() for a, b in zip(starts, ends)]
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        learned = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
+        sizes, learned = [], []
+        # some words at a time: the tokenizer's answers are far larger than the ids
+        for at in range(0, len(keys), 8192):
+            words = [flat[a:b].tobytes().decode() for a, b in zip(starts[at : at + 8192], ends[at : at + 8192])]
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            learned.append(np.fromiter((i for x in found for i in x), np.uint32, int(sizes[-1].sum())))
+        sizes, learned = np.concatenate(sizes), np.concatenate(learned)
         all_keys = np.concatenate([self.keys, keys])
         order = np.argsort(all_keys)
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])[order]
