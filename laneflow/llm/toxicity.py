@@ -36,6 +36,7 @@ class GrammarSettings:
     lexicon, the strongest; stems: lengths of learned word beginnings; negated, reported: what a clause's weight is
     multiplied by; targeted: what is added if a target stands in the clause; threat: weight of a threat."""
 
+    sample_rows: int = 40_000
     least_documents: int = 5
     least_share: float = 0.015
     least_odds: float = 4.0
@@ -162,7 +163,7 @@ class Scorer:
 def learn_lexicon(labelled: DataFrame, settings: GrammarSettings = GrammarSettings()) -> dict[str, float]:
     """Words and stems (`stem*`) that stand in toxic rows far more often than in others, with a weight of 0.5 to 2.
 
-    labelled: text and toxic. Counts are over all rows; each row counts a word once, and a stem counts its words' rows.
+    labelled: text and toxic. Counts are over all rows given; each row counts a word once, and a stem counts its words' rows.
     The strongest `most_entries`
     are kept, a documented bound of the model. Fixed insults that the rows don't speak of keep the weight 0.5.
     """
@@ -224,12 +225,16 @@ def calibrate(weights: DataFrame) -> tuple[float, float]:
 def toxicity(docs: DataFrame, labels: DataFrame, settings: GrammarSettings = GrammarSettings()) -> DataFrame:
     """doc_id, held_out, score, predicted, weight of every document.
 
-    Learns from labelled documents whose crc32 of the id modulo 5 is not 0. A text without a match, empty or null text has
+    Learns from a bounded sample of the labelled documents whose crc32 of the id modulo 5 is not 0. A text without a match, empty or null text has
     the curve's score at weight 0. Documents with several labels count once for each; null labels not at all.
     """
     rows = docs.select("doc_id", "text")
-    known = labels.where("toxic is not null").select("doc_id", "toxic")
-    taught = rows.where(remainder("doc_id", 5) != 0).join(known.where(remainder("doc_id", 5) != 0), "doc_id")
+    known = labels.where("toxic is not null and doc_id is not null").select("doc_id", "toxic").where(remainder("doc_id", 5) != 0)
+    share = settings.sample_rows / max(1, known.count())
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(13), "doc_id"), 11) / float(1 << 53)
+    # the limit proves that the list is small enough to send; the share alone keeps it near half of that
+    sample = known.where(place < share).limit(2 * settings.sample_rows)
+    taught = table(rows.join(F.broadcast(sample), "doc_id").select("text", "toxic"), "labelled")
     lexicon = learn_lexicon(taught, settings)
     slope, offset = calibrate(_scored(taught.select("text", "toxic"), lexicon, settings))
     scored = _scored(rows, lexicon, settings)
