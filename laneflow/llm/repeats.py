@@ -24,9 +24,9 @@ class RepeatSettings:
 
     length: int = 50
     gram: int = 16
-    block_bytes: int = 2 << 20
+    block_bytes: int = 1 << 20
     part_bytes: int = 4 << 20
-    shard_bytes: int = 256 << 10
+    shard_bytes: int = 128 << 10
 
 
 _BYTE = salts(256, seed=29)
@@ -215,14 +215,24 @@ def _settled(settings: RepeatSettings):
         _, group, size = np.unique(anchors, return_inverse=True, return_counts=True)
         mixed = np.flatnonzero(size[group] > 1)
         low, high = np.where(least[string] < owner, start, 0), np.where(least[string] < owner, start + sizes[string], 0)
-        if len(mixed):
-            own = sizes[mixed]
-            flat = body[np.arange(own.sum()) + np.repeat(begin[mixed] - (np.cumsum(own) - own), own)]
-            table_ = least_owners(flat, own, least[mixed], settings.length, settings.shard_bytes)
-            place = np.full(len(classes), -1)
-            place[mixed] = np.arange(len(mixed))
-            at = np.flatnonzero(place[string] >= 0)
-            for part in np.array_split(at, max(1, len(at) // 200_000)):
+        # strings meet below one anchor only: some anchors at a time
+        mixed = mixed[np.argsort(group[mixed], kind="stable")]
+        done = np.cumsum(sizes[mixed]) // (4 * settings.shard_bytes)
+        head = np.flatnonzero(np.r_[True, group[mixed][1:] != group[mixed][:-1]]) if len(mixed) else mixed
+        some = np.repeat(done[head], np.diff(np.r_[head, len(mixed)]))
+        turn = np.full(len(classes), -1)
+        turn[mixed] = some
+        order = np.argsort(turn[string], kind="stable")
+        turns = turn[string][order]
+        place = np.zeros(len(classes), dtype=np.int64)
+        for now in np.unique(some):
+            few = mixed[some == now]
+            own = sizes[few]
+            flat = body[np.arange(own.sum()) + np.repeat(begin[few] - (np.cumsum(own) - own), own)]
+            table_ = least_owners(flat, own, least[few], settings.length, settings.shard_bytes)
+            place[few] = np.arange(len(few))
+            at = order[np.searchsorted(turns, now) : np.searchsorted(turns, now, side="right")]
+            for part in np.array_split(at, max(1, len(at) // 20_000)):
                 gone = table_[place[string[part]]] < owner[part][:, None]
                 has = gone.any(axis=1)
                 # starts of a span lie closer than a string is long: what they cover hangs together
