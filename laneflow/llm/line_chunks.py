@@ -75,14 +75,43 @@ def line_dedup(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> Da
         lines(gone).alias("n_removed_lines"), F.size("_chunks").alias("n_chunks"), F.size("_gone").alias("n_removed_chunks"))
 
 
+def repeated_spans(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
+    """(doc_id, gone): the numbers of the lines that stand in a run of `min_lines` solid lines which an earlier place has too.
+
+    Earlier: smaller (doc_id, line). A run has its blank lines with it and begins at every solid line, so that a passage of
+    any length and place is found whole, lines at its edges too. Runs meet by their sha256, which stands for their bytes;
+    equal ones are pre-aggregated, and the join back can be split.
+    """
+    lines = docs.select("doc_id", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("_lines"))
+    lines = lines.withColumn("_solid", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.trim(F.get("_lines", i)) != ""))
+    begins = F.slice("_solid", 1, F.greatest(F.size("_solid") - (settings.min_lines - 1), F.lit(0)))
+    lines = lines.withColumn("_spans", F.transform(begins, lambda at, i: F.struct(
+        at.alias("at"), F.get("_solid", i + settings.min_lines - 1).alias("last"))))
+    rows = lines.select("doc_id", F.explode(F.transform("_spans", lambda span: F.struct(
+        span["at"].alias("at"), span["last"].alias("last"),
+        F.unhex(F.sha2(F.array_join(F.slice("_lines", span["at"] + 1, span["last"] - span["at"] + 1), "\n"), 256)).alias("key")))).alias("span"))
+    rows = rows.select("doc_id", "span.*")
+    first = rows.groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    again = rows.join(first.select("key", "first"), "key").where(~F.struct("doc_id", "at").eqNullSafe(F.col("first")))
+    spans = again.groupBy("doc_id").agg(F.collect_set(F.struct("at", "last")).alias("spans"))
+    return spans.select("doc_id", F.array_distinct(F.flatten(F.transform("spans", lambda span: F.sequence(span["at"], span["last"])))).alias("gone"))
+
+
 def drop_repeats(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
-    """docs with the text that `line_dedup` keeps and n_chars (if there) to match; other columns stay.
+    """docs with its text without repeated passages of `min_lines` or more solid lines, and n_chars (if there) to match.
 
-    A document that loses everything but white space goes; a document without text to begin with stays.
+    The first place of every line stays, so no line goes from all documents. Other columns stay, and so does, byte for byte,
+    a text that loses nothing. A document that loses everything but white space goes; one without text to begin with stays.
+    Rows with the same doc_id count as one document; a row without doc_id loses nothing.
     """
-    out = line_dedup(docs, settings).select(*[F.col(f"`{c}`") for c in docs.columns if c != "text"], F.explode_outer(
-        F.array(F.struct("text", (F.col("n_removed_chunks") > 0).alias("changed")))).alias("_kept"))
-    # a filter on what a generator gives stays above it: pushed further down, it would compute the chunks again for each use
+    spans = table(repeated_spans(docs, settings), "repeated-lines").withColumnRenamed("doc_id", "_id")
+    out = docs.join(spans, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    out = out.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "gone"), lambda i: F.get("_lines", i)), "\n")
+    changed = F.col("gone").isNotNull() & F.col("text").isNotNull()
+    out = out.select(*[F.col(f"`{c}`") for c in docs.columns if c != "text"], F.explode_outer(
+        F.array(F.struct(F.when(changed, kept).otherwise(F.col("text")).alias("text"), changed.alias("changed")))).alias("_kept"))
+    # a filter on what a generator gives stays above it: pushed further down, it would compute the lines again for each use
     text, changed = F.col("_kept.text"), F.col("_kept.changed")
     out = out.where(~changed | text.isNull() | (F.trim(F.translate(text, "\n\t\r", "")) != ""))
     fresh = {"text": text}

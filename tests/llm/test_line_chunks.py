@@ -1,5 +1,7 @@
 """Line dedup against its SQL, and its edges."""
 
+import random
+
 import compare
 import pytest
 
@@ -45,3 +47,48 @@ def test_boundaries_do_not_shift(spark, cut):
     docs = spark.createDataFrame([(1, "\n".join(block)), (2, "\n".join([f"other {i}" for i in range(cut)] + block))], "doc_id long, text string")
     out = {r.doc_id: r for r in line_chunks.line_dedup(docs).collect()}
     assert out[2].n_removed_lines >= 30 and out[1].n_removed_lines == 0
+
+
+def plain_repeats(texts):
+    """Texts by doc_id without repeated pairs of solid lines, one after the other."""
+    seen, out = set(), {}
+    for doc in sorted(texts):
+        lines, gone = texts[doc].split("\n"), set()
+        solid = [i for i, line in enumerate(lines) if line.strip(" ")]
+        for at, last in zip(solid, solid[1:]):
+            body = "\n".join(lines[at : last + 1])
+            gone |= set(range(at, last + 1)) if body in seen else set()
+            seen.add(body)
+        out[doc] = "\n".join(line for i, line in enumerate(lines) if i not in gone)
+    return {doc: text for doc, text in out.items() if text.strip(" \n\t\r") or not texts[doc].strip(" \n\t\r")}
+
+
+def test_planted_passages_go_whole(spark):
+    """Every passage over 50 words and of two lines or more goes, with its edges, wherever it stands."""
+    passages = [[f"line {n} {i} of passage {p} " + f"word{p} " * (60 // n) for i in range(n)] for n in range(2, 12) for p in range(20)]
+    texts = {}
+    for k, passage in enumerate(passages):
+        gap = ["", " "][: k % 3]
+        body = [x for line in passage for x in (line, *gap)][: len(passage) * (1 + len(gap)) - len(gap)]
+        texts[k] = "\n".join([f"first {k} {i}" for i in range(k % 4)] + body + [f"end {k}"])
+        texts[1000 + k] = "\n".join([f"other {k} {i}" for i in range(k % 7)] + body + [f"after {k} {i}" for i in range(k % 5)] + [f"last {k}"])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_chunks.drop_repeats(docs).collect()}
+    assert not [k for k, passage in enumerate(passages) if any(line in out[1000 + k].split("\n") for line in passage)]
+    assert all(out[k] == texts[k] for k in range(len(passages)))
+
+
+def test_repeats_are_the_plain_ones(spark):
+    rng = random.Random(5)
+    texts = {k: "\n".join(rng.choice(["a", "b", "c", "d", "e", "", " "]) for _ in range(rng.randrange(12))) for k in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_chunks.drop_repeats(docs).collect()}
+    assert out == plain_repeats(texts)
+    lines = lambda found: {line for text in found.values() for line in text.split("\n") if line.strip(" ")}
+    assert lines(out) == lines(texts)
+
+
+def test_repeats_of_nulls(spark):
+    docs = spark.createDataFrame([(None, "a\nb"), (1, "a\nb\nx"), (2, None), (3, ""), (4, "\n\n"), (5, "a\nb")], "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_chunks.drop_repeats(docs).collect()}
+    assert out == {None: "a\nb", 1: "x", 2: None, 3: "", 4: "\n\n"}
