@@ -5,7 +5,10 @@ The tables and checkpoints lie in the shared work folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from laneflow import schemas
 from laneflow.config import QUESTION_STREAMS, StreamSettings
@@ -15,7 +18,7 @@ from laneflow.session import work_folder
 from laneflow.sources import cameras, feeds
 from laneflow.sources.messages import with_event_time
 from laneflow.streaming import jobs, sinks
-from laneflow.streaming.state import tracks_stream
+from laneflow.streaming.state import ASSIGNED, tracks_stream, with_ends
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,20 +93,37 @@ def stream_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "speed_source")
 
 
+def _to_the_end(spark: SparkSession, sf_dir: str, folder: str, start: Callable[[DataFrame, DataFrame], StreamingQuery]) -> None:
+    """Runs a stream of boxes to the end of the stored table, then once more for the rows that end the feeds.
+
+    start: gets the boxes and the ends, both as streams, and goes on from its checkpoint.
+    """
+    schema, path = "camera_name string, side string", f"{folder}/ends"
+    boxes = views.detection_columns(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    keys = detections.detections_clean(boxes, cameras.cameras_dim(spark)).select("camera_name", "side").distinct()
+    for ends in (spark.createDataFrame([], schema), keys):
+        ends.write.mode("append").parquet(path)
+        start(views.detection_columns(_feed(spark, sf_dir)), spark.readStream.schema(schema).parquet(path)).awaitTermination()
+
+
 def stream_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    boxes = views.detection_columns(_feed(spark, sf_dir))
-    centred = detections.detections_clean(boxes, cameras.cameras_dim(spark))
-    return _to_table(spark, tracks_stream(centred, whole_frames=True), "tracks")
+    """Track positions; boxes that came too late are in the table `late` beside."""
+    folder, known = work_folder(spark, "tracks"), cameras.cameras_dim(spark)
+
+    def start(boxes: DataFrame, ends: DataFrame) -> StreamingQuery:
+        centred = with_ends(detections.detections_clean(boxes, known), ends)
+        write = sinks.late_sink(f"{folder}/late", sinks.table_sink(f"{folder}/table"))
+        return jobs.start_batches(tracks_stream(centred, with_late=True), "tracks", write, _settings(folder))
+
+    _to_the_end(spark, sf_dir, folder, start)
+    return spark.read.schema(ASSIGNED).parquet(f"{folder}/table").drop("batch_id")
 
 
 def stream_live(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole service on boxes: to the event table, the alert table and the topic folders."""
+    """The whole service on boxes: to the event table, the alert table and the topic folders; late boxes to one of their own."""
     folder = work_folder(spark, "live-stream")
-    boxes = views.detection_columns(_feed(spark, sf_dir))
-    query = jobs.start_live(boxes, cameras.cameras_dim(spark), f"{folder}/events", _settings(folder), f"{folder}/alerts",
-                            sinks.folder_publisher(f"{folder}/topics"))
-    query.awaitTermination()
+    _to_the_end(spark, sf_dir, folder, lambda boxes, ends: jobs.start_live(
+        boxes, cameras.cameras_dim(spark), f"{folder}/events", _settings(folder), f"{folder}/alerts",
+        sinks.folder_publisher(f"{folder}/topics"), ends=ends, late_path=f"{folder}/late"))
     columns = ("camera_name", "vehicle_id", "vehicle_type", "speed_kmh", "direction", "movement", "speed_source")
-    if not query.recentProgress:
-        return spark.createDataFrame([], schemas.VEHICLE_EVENTS_TABLE).select(*columns)
     return sinks.read_table(spark, f"{folder}/events", schemas.VEHICLE_EVENTS_TABLE).select(*columns)

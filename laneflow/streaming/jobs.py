@@ -16,8 +16,8 @@ from laneflow.operators.detections import detections_clean
 from laneflow.sources import feeds
 from laneflow.sources.cameras import positions_calibrated
 from laneflow.sources.messages import decode_events
-from laneflow.streaming.sinks import Publish, alerts_sink, events_sink
-from laneflow.streaming.state import IDLE_MS, live_stream, resolved_stream
+from laneflow.streaming.sinks import Publish, alerts_sink, events_sink, late_sink
+from laneflow.streaming.state import IDLE_MS, live_stream, resolved_stream, with_ends
 
 
 def start(rows: DataFrame, name: str, mode: str, settings: StreamSettings) -> StreamingQuery:
@@ -90,11 +90,17 @@ def start_resolver(calibrated: DataFrame, events_path: str, settings: StreamSett
 
 
 def start_live(boxes: DataFrame, cameras: DataFrame, events_path: str, settings: StreamSettings, alerts_path: str | None = None,
-               publish: Publish | None = None, whole_frames: bool = True) -> StreamingQuery:
-    """Starts the whole service: boxes of all cameras to stored events, alerts and messages."""
-    centred = positions_calibrated(detections_clean(boxes, cameras), cameras)
+               publish: Publish | None = None, whole_frames: bool = False, ends: DataFrame | None = None,
+               late_path: str | None = None) -> StreamingQuery:
+    """Starts the whole service: boxes of all cameras to stored events, alerts and messages.
+
+    The last frame of a camera side is held until a later one or its row in the stream `ends` (camera_name, side) arrives.
+    Boxes of frames that are done go to the table at late_path, without one to `<events_path>-late`.
+    """
+    centred = with_ends(positions_calibrated(detections_clean(boxes, cameras), cameras), ends)
+    write = events_sink(events_path, alerts_path, publish)
     return start_batches(live_stream(centred, whole_frames=whole_frames), "Live_Events",
-                         events_sink(events_path, alerts_path, publish), settings)
+                         late_sink(late_path or f"{events_path.rstrip('/')}-late", write), settings)
 
 
 def run_analytics(spark: SparkSession, settings: StreamSettings) -> None:

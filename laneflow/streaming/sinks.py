@@ -144,3 +144,17 @@ def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
 def write_report_csv(report: DataFrame, path: str) -> None:
     """The vehicle report as CSV with a header, by vehicle, empty where there is no speed."""
     report_text(report).orderBy("vehicle_id", "camera_name").write.mode("overwrite").option("header", True).csv(path)
+
+
+def late_sink(path: str, write: Publish) -> Publish:
+    """Rows whose `late` is true to the table at path, batch by batch; the others to `write`, without that column."""
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            _write_batch(batch.filter("late").select([c for c in ("camera_name", "side", "frame_id", "box_id", "cx", "cy") if c in batch.columns]), batch_id, path)
+            write(batch.filter("not late").drop("late"), batch_id)
+        finally:
+            batch.unpersist()
+
+    return split

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from laneflow.config import (
@@ -26,6 +27,19 @@ from laneflow.operators.tracker import Tracks, rows_of, walk
 IDLE_MS = None
 
 
+#: Frame of a row that ends the feed of its camera and side: later than any frame, so the frame that is held is done.
+END_OF_FEED = 2 ** 63 - 1
+
+
+def with_ends(boxes: DataFrame, ends: DataFrame | None) -> DataFrame:
+    """boxes and, for each row of ends (camera_name, side), a row that ends that feed. What comes later still counts."""
+    if ends is None:
+        return boxes
+    fixed = {"camera_name": F.col("camera_name"), "side": F.col("side"), "frame_id": F.lit(END_OF_FEED)}
+    marks = [fixed.get(f.name, F.lit("" if f.dataType.simpleString() == "string" else 0)).cast(f.dataType).alias(f.name) for f in boxes.schema.fields]
+    return boxes.unionByName(ends.select(*marks))
+
+
 def _timeout(idle_ms: int | None) -> str:
     return GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
 
@@ -115,21 +129,22 @@ def resolved_stream(calibrated: DataFrame, fps: float = FPS, idle_ms: int | None
         advance, _RESOLVED, _TRACK_STATE, "append", _timeout(idle_ms))
 
 
-_ASSIGNED = "camera_name string, side string, track_id long, frame_id long, cx int, cy int, coasting boolean"
+ASSIGNED = "camera_name string, side string, track_id long, frame_id long, cx int, cy int, coasting boolean"
 _NO_BOXES = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("frame_id", "box_id", "cx", "cy")})
 _TRACKER_STATE = ("next_id long, ids array<long>, xs array<long>, ys array<long>, lost array<long>, done long, "
                   "waiting_frame long, waiting_xs array<long>, waiting_ys array<long>")
 
 
 def tracks_stream(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost: int = MAX_LOST_FRAMES,
-                  idle_ms: int | None = IDLE_MS, whole_frames: bool = False) -> DataFrame:
+                  idle_ms: int | None = IDLE_MS, whole_frames: bool = False, with_late: bool = False) -> DataFrame:
     """Boxes as a stream to track positions, each (camera, side) as one session.
 
-    A frame is done when a later one has arrived, so its boxes may come in two
-    batches; with `whole_frames`, for feeds whose batches hold whole frames, it is
-    done with its batch. Boxes of a frame already done are ignored. The state is
-    the active tracks and the boxes of the last frame. Boxes of one frame are
-    taken in the order of `box_id`.
+    A frame is done when a later one or the end of the feed (`with_ends`) has arrived,
+    so its boxes may come in two batches; with `whole_frames`, for feeds whose
+    batches hold whole frames, it is done with its batch. Boxes of a frame already
+    done get no track: `with_late` adds the column `late` and gives them out with it
+    true and without a track. The state is the active tracks and the boxes of the
+    last frame. Boxes of one frame are taken in the order of `box_id`.
     """
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -142,13 +157,17 @@ def tracks_stream(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost:
                                     "cx": waiting_xs, "cy": waiting_ys})
             rows = pd.concat([waiting, rows])
         if done is not None:
+            late = rows[rows["frame_id"] <= done]
             rows = rows[rows["frame_id"] > done]
+            if with_late and len(late):
+                yield pd.DataFrame({"camera_name": key[0], "side": key[1], "track_id": pd.Series(pd.NA, late.index, "Int64"),
+                                    "frame_id": late["frame_id"], "cx": late["cx"], "cy": late["cy"], "coasting": False, "late": True})
         rows = rows.sort_values(["frame_id", "box_id"], kind="stable")
         if not len(rows):
             return
         # a camera that has fallen silent sends no more of its last frame
-        newest = int(rows["frame_id"].iloc[-1]) + (1 if state.hasTimedOut or whole_frames else 0)
-        ready, rest = rows[rows["frame_id"] < newest], rows[rows["frame_id"] == newest]
+        newest = _newest(rows, state.hasTimedOut or whole_frames)
+        ready, rest = rows[rows["frame_id"] < newest], rows[(rows["frame_id"] == newest) & (newest < END_OF_FEED)]
         out = rows_of(walk(tracks, ready["frame_id"].to_numpy(), ready[["cx", "cy"]].to_numpy(np.int64), done, None,
                            max_dist, max_lost))
         if len(ready):
@@ -160,27 +179,30 @@ def tracks_stream(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost:
             state.setTimeoutDuration(idle_ms)
         out.insert(0, "side", key[1])
         out.insert(0, "camera_name", key[0])
-        yield out
+        yield out.assign(late=False) if with_late else out
 
     columns = ["camera_name", "side", "frame_id", "box_id", "cx", "cy"]
     return centred.select(*columns).groupBy("camera_name", "side").applyInPandasWithState(
-        advance, _ASSIGNED, _TRACKER_STATE, "append", _timeout(idle_ms))
+        advance, ASSIGNED + (", late boolean" if with_late else ""), _TRACKER_STATE, "append", _timeout(idle_ms))
 
 
+_LIVE = _RESOLVED + ", late boolean, box_id long, cx long, cy long"
 _LIVE_STATE = "tracker string, vehicles string, waiting string"
 
 
 def live_stream(boxes: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost: int = MAX_LOST_FRAMES, fps: float = FPS,
                 truck_area: int = TRUCK_MIN_AREA_PX, whole_frames: bool = False) -> DataFrame:
-    """Boxes as a stream to one event per vehicle: tracked, classed and resolved by one keyed operator.
+    """Boxes as a stream to one event per vehicle, and late boxes: tracked, classed and resolved by one keyed operator.
 
     `boxes` are centred, with the lines and scale of their camera and side (`sources.cameras.positions_calibrated`). The
     same events as `plans.live.boxes_to_events` gives for a table. The state of a camera and side is what the tracker
     holds, and for each active track its last positions, first crossing, class, and whether its event is out. Frames
-    are done as in `tracks_stream`.
+    are done as in `tracks_stream`; boxes of frames that are done come out with `late` true, their `frame_id`, `box_id`, `cx`
+    and `cy`, and no event.
     """
     columns = ["frame_id", "box_id", "cx", "cy", "w", "h", "first_line", "second_line", "dist_m", "px_per_m", "direction"]
     scale = ["first_line", "second_line", "dist_m", "px_per_m", "direction"]
+    names = [f.split()[0] for f in _LIVE.split(", ")]
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         tracks, vehicles, done, rows = Tracks(), {}, None, pd.concat(list(batches))
@@ -190,12 +212,15 @@ def live_stream(boxes: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost: int
             done, vehicles = tracker["done"], {int(k): v for k, v in known.items()}
             if waiting:
                 rows = pd.concat([pd.DataFrame(waiting, columns=columns), rows[columns]])
+        if done is not None and (late := rows[rows["frame_id"] <= done]).shape[0]:
+            yield pd.DataFrame([(*key, *(None,) * 8, r.frame_id, True, r.box_id, r.cx, r.cy) for r in late.itertuples()], columns=names).astype(
+                {"track_id": "Int64", "speed_kmh": float, "timestamp_s": float})
         rows = rows[columns] if done is None else rows.loc[rows["frame_id"] > done, columns]
         rows = rows.sort_values(["frame_id", "box_id"], kind="stable")
         if not len(rows):
             return
-        newest = int(rows["frame_id"].iloc[-1]) + (1 if whole_frames else 0)
-        ready, rest = rows[rows["frame_id"] < newest], rows[rows["frame_id"] == newest]
+        newest = _newest(rows, whole_frames)
+        ready, rest = rows[rows["frame_id"] < newest], rows[(rows["frame_id"] == newest) & (newest < END_OF_FEED)]
         out, events = rows_of(walk(tracks, ready["frame_id"].to_numpy(), ready[["cx", "cy"]].to_numpy(np.int64), done, None, max_dist, max_lost)), []
         in_frame = {frame: (own[["cx", "cy"]].to_numpy(np.int64), (own["w"] * own["h"] >= truck_area).to_numpy()) for frame, own in ready.groupby("frame_id")}
         for track, own in out.groupby("track_id"):
@@ -218,11 +243,17 @@ def live_stream(boxes: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost: int
         tracker = {"next": tracks.next_id, "ids": tracks.ids.tolist(), "points": tracks.points.tolist(), "lost": tracks.lost.tolist(), "done": done}
         state.update((json.dumps(tracker), json.dumps(vehicles), json.dumps(rest.to_numpy(object).tolist(), default=lambda x: x.item())))
         if events:
-            yield pd.DataFrame(events, columns=[f.split()[0] for f in _RESOLVED.split(", ")])
+            yield pd.DataFrame([(*event, False, None, None, None) for event in events], columns=names).astype(dict.fromkeys(("box_id", "cx", "cy"), "Int64"))
 
     return boxes.select("camera_name", "side", *columns).groupBy("camera_name", "side").applyInPandasWithState(
-        advance, _RESOLVED, _LIVE_STATE, "append", GroupStateTimeout.NoTimeout)
+        advance, _LIVE, _LIVE_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def _whole(values) -> np.ndarray:
     return np.asarray(values, np.int64)
+
+
+def _newest(rows: pd.DataFrame, whole_frames: bool) -> int:
+    """The first frame that is not done, of rows in order of frames."""
+    last = int(rows["frame_id"].iloc[-1])
+    return min(last + 1, END_OF_FEED) if whole_frames else last

@@ -1,6 +1,7 @@
 """Streaming jobs on small feeds of files: each file is one batch."""
 
 import json
+import functools
 import os
 import random
 from types import SimpleNamespace
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from laneflow import schemas
 from laneflow.config import QUESTION_STREAMS, Camera, StreamSettings
-from laneflow.operators import questions, tracker, trajectories
+from laneflow.operators import detections, questions, tracker, trajectories
 from laneflow.plans import live, queries
 from laneflow.session import work_folder
 from laneflow.sources import feeds
@@ -254,3 +255,35 @@ def test_run_analytics_starts_all_questions(spark, folder, monkeypatch):
         assert os.path.isdir(f"{folder}/checkpoints/{name}")
     assert spark.table("Q1_Vehicle_Speeds").count() == 3
     spark.streams.resetTerminated()
+
+
+def test_boxes_file_by_file_give_the_table(spark, folder, monkeypatch):
+    """One file a batch, with frames split over two files: the named queries give the rows of the table, the last frame too."""
+    monkeypatch.setattr(feeds, "table_feed", functools.partial(feeds.table_feed, files_per_trigger=1))
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    top = events.agg(F.max("event_id")).first()[0] + 1
+    cuts = [0, top // 3 // 10 * 10 + 3, top * 2 // 3 // 10 * 10 + 4, top]
+    for low, high in zip(cuts, cuts[1:]):
+        events.filter((F.col("event_id") >= low) & (F.col("event_id") < high)).coalesce(1).write.mode("append").parquet(folder + "/sf/events.parquet")
+    for stream, batch in (("stream_tracks", "assign_tracks"), ("stream_live", "live_events")):
+        got = queries.QUERIES[stream](spark, folder + "/sf")
+        expected = queries.QUERIES[batch](spark, folder + "/sf").select(*got.columns)
+        plain = lambda df: sorted(str([round(x, 2) if isinstance(x, float) else x for x in r]) for r in df.collect())
+        assert plain(got) == plain(expected) != []
+
+
+def test_late_boxes_are_counted(spark, folder):
+    """Boxes of frames that are done go to a table of their own, of the tracker and of the live service."""
+    rows = [[("IC_Papagou", f, b, 100 + 10 * f + 300 * b, 100, 80, 90, 8000.0, None) for f in frames for b in boxes] for frames, boxes in (
+        (range(10), (0,)), (range(10, 20), (0,)), (range(3, 6), (1,)))]
+    for part in rows:
+        spark.createDataFrame(part, schemas.DETECTIONS).coalesce(1).write.mode("append").parquet(folder + "/in")
+    read = lambda: feeds.table_feed(spark, folder + "/in", schemas.DETECTIONS, 1)
+    jobs.start_live(read(), cameras_dim(spark), folder + "/events", settings(folder), late_path=folder + "/late").awaitTermination(100)
+    late = spark.read.parquet(folder + "/late")
+    assert sorted((r.frame_id, r.box_id) for r in late.collect()) == [(3, 1), (4, 1), (5, 1)]
+    centred = detections.detections_clean(read(), cameras_dim(spark))
+    both = sinks.late_sink(folder + "/late-tracks", sinks.table_sink(folder + "/tracks"))
+    jobs.start_batches(state.tracks_stream(centred, with_late=True), "late-tracks", both, settings(folder)).awaitTermination(100)
+    assert sorted(r.frame_id for r in spark.read.parquet(folder + "/late-tracks").collect()) == [3, 4, 5]
+    assert {r.frame_id for r in spark.read.parquet(folder + "/tracks").collect()} == set(range(19))
