@@ -32,13 +32,14 @@ _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 
 @dataclass(frozen=True)
 class GrammarSettings:
-    """least_documents: toxic rows a learned word or stem needs; least_odds: its least log-odds; most_entries: of the learned
-    lexicon, the strongest; stems: lengths of learned word beginnings; negated, reported: what a clause's weight is
+    """sample_rows: labelled rows to learn from, about; least_documents: toxic rows a learned word or stem needs; least_odds: its
+    least log-odds; least_evidence: its least log-likelihood ratio (20: one of 100 000 entries without any meaning passes by
+    chance); most_entries: of the learned lexicon, the strongest; stems: lengths of learned word beginnings; negated, reported: what a clause's weight is
     multiplied by; targeted: what is added if a target stands in the clause; threat: weight of a threat."""
 
     sample_rows: int = 40_000
     least_documents: int = 5
-    least_share: float = 0.015
+    least_evidence: float = 20.0
     least_odds: float = 4.0
     most_entries: int = 20_000
     stems: tuple[int, ...] = (4, 5, 6)
@@ -176,9 +177,12 @@ def learn_lexicon(labelled: DataFrame, settings: GrammarSettings = GrammarSettin
     stems = counts.select(F.explode(F.array(*[F.when(F.length("entry") >= n, F.concat(F.substring("entry", 1, n), F.lit("*"))) for n in settings.stems])).alias("entry"), "bad", "good")
     counts = counts.unionByName(stems.where("entry is not null").groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
     odds = F.log((F.col("bad") + 0.5) / bad) - F.log((F.col("good") + 0.5) / good)
-    least = max(settings.least_documents, settings.least_share * sums[0])
+    # G, as entries are told by their own counts: a share of all toxic rows would lose rare words of a large sample
+    n, all_rows = F.col("bad") + F.col("good"), bad + good
+    part = lambda seen, own: F.when(seen > 0, seen * F.log(seen * all_rows / (n * own))).otherwise(0.0)
+    evidence = 2 * (part(F.col("bad"), bad) + part(F.col("good"), good))
     # a clean row with the entry must be rarer than a toxic one, however rare toxic rows are
-    found = counts.where((F.col("bad") >= least) & (odds >= settings.least_odds) & (F.col("bad") > 20 * F.col("good"))).select(
+    found = counts.where((F.col("bad") >= settings.least_documents) & (evidence >= settings.least_evidence) & (odds >= settings.least_odds) & (F.col("bad") > 20 * F.col("good"))).select(
         "entry", odds.alias("odds")).orderBy(F.desc("odds"), "entry").limit(settings.most_entries).collect()
     lexicon = {w: 0.5 for w in BASE_INSULTS}
     lexicon.update({r.entry: min(2.0, max(0.5, r.odds / 3)) for r in found})

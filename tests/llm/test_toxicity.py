@@ -55,3 +55,12 @@ def test_edges(spark):
         by = {r.doc_id: r.score for r in out}
         assert by[3] > by[1] == by[2]
     assert t.toxicity(docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int")).count() == 0
+
+
+def test_rare_pure_words_are_learned(spark):
+    """A word in 1 % of the toxic rows is learned, however many toxic rows there are; one that clean rows have too is not."""
+    rows = [("a slurword here" if i >= 10 else "un zlurbo qui", 1) for i in range(1000)] + [("blinkum" if i < 2 else f"a fine {i} here", 0) for i in range(8000)]
+    rows += [("some blinkum", 1) for _ in range(5)]
+    lexicon = t.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert "zlurbo" in lexicon and "slurword" in lexicon
+    assert not {"blinkum", "here", "fine"} & set(lexicon)
