@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laneflow.llm import decontaminate, language, line_chunks, odd_sketch, projections, repeats, sequences, toxicity, url_lists
+from laneflow.llm import (
+    centroids, decontaminate, filter_audit, language, line_chunks, odd_sketch, projections, repeats, sequences, token_counts, toxicity,
+    url_lists,
+)
 from laneflow.llm.store import read
 
 
@@ -58,6 +61,19 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(read(spark, sf_dir, "embeddings"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = token_counts.CountSettings(vocabulary=public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), settings)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_odd_sketch": op1_odd_sketch,
     "op2_grammar": op2_grammar,
@@ -69,6 +85,9 @@ QUERIES = {
     "op8_bwt_merge": op8_bwt_merge,
     "op9_language": op9_language,
     "op10_line_chunks": op10_line_chunks,
+    "op11_tournament": op11_tournament,
+    "op12_token_counts": op12_token_counts,
+    "op13_filter_audit": op13_filter_audit,
 }
 
-ORACLES = {"op7_url_lists": url_lists.SQL, "op10_line_chunks": line_chunks.SQL}
+ORACLES = {"op7_url_lists": url_lists.SQL, "op10_line_chunks": line_chunks.SQL, "op11_tournament": centroids.SQL, "op13_filter_audit": filter_audit.SQL}

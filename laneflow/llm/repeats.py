@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from laneflow.llm.arrays import U64, mix, salts, span_hashes, texts
 from laneflow.llm.bwt_merge import least_owners
-from laneflow.llm.store import shared_folder, small_batches
+from laneflow.llm.store import small_batches
+from laneflow.session import work_folder
 
 
 @dataclass(frozen=True)
@@ -292,7 +293,7 @@ def repeated_bytes(docs: DataFrame, settings: RepeatSettings = RepeatSettings())
         parts *= 2
     name = f"blocks_{uuid.uuid4().hex}"
     blocks = rows.mapInArrow(_blocks(settings), "batch long, doc_ids array<long>, sizes array<long>, body binary")
-    blocks.repartition(parts, "batch").write.bucketBy(parts, "batch").option("path", f"{shared_folder(spark)}/{name}").mode("overwrite").saveAsTable(name)
+    blocks.repartition(parts, "batch").write.bucketBy(parts, "batch").option("path", work_folder(spark, "blocks")).mode("overwrite").saveAsTable(name)
     blocks = spark.table(name)
     anchors = blocks.mapInArrow(_anchors(settings, parts), "part long, batch long, hashes binary, places binary")
     places = anchors.groupBy("part").applyInArrow(_repeated, "batch long, places binary").groupBy("batch").agg(F.collect_list("places").alias("places"))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laneflow.session import work_folder
+
 #: Rows in an Arrow batch. Texts are long: the default of 10,000 could hold gigabytes.
 ARROW_ROWS = "512"
 
@@ -22,23 +21,11 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster shares; on a local master without one, a temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="laneflow-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 def table(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows below the shared folder and reads them: the lineage ends here, and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = work_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remainder(doc_id: str | Column, n: int) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import fractions
 import hashlib
+import itertools
+import math
 import re
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -81,3 +84,59 @@ def repeats(docs, length=50):
         spans = sum(1 for i, g in enumerate(gone) if g and (not i or not gone[i - 1]))
         out[doc] = (len(body), sum(gone), spans, hashlib.sha256(bytes(c for c, g in zip(body, gone) if not g)).hexdigest())
     return out
+
+
+def cluster(rows, k=16, rounds=3, size=64, scale=64, seed="1:"):
+    """[(id, cluster, distance, inertia of the cluster, inertia of all, sha256)] in Python's own integers; rows are (id, vector) pairs."""
+    exact = lambda x: math.floor(fractions.Fraction(x) * scale)
+    kept = [(i, [exact(v) for v in x]) for i, x in rows if x is not None and len(x) == size and all(v is not None and math.isfinite(v) for v in x)]
+    key = lambda r: (r[0] is None, hashlib.sha256(f"{seed}{r[0]}".encode()).hexdigest(), r[1])
+    centers = [x for _, x in sorted(kept, key=key)[:k]]
+
+    def nearest(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), j) for j, c in enumerate(centers))
+
+    for _ in range(rounds):
+        own = {}
+        for _, x in kept:
+            own.setdefault(nearest(x)[1], []).append(x)
+        centers = [[sum(v) // len(own[j]) for v in zip(*own[j])] if j in own else c for j, c in enumerate(centers)]
+    found = [(i, *reversed(nearest(x))) for i, x in kept]
+    sums = {}
+    for _, j, d in found:
+        sums[j] = sums.get(j, 0) + d
+    fit = lambda v: v if v < 2**63 else None
+    return [(i, j, fit(d), fit(sums[j]), fit(sum(sums.values())), hashlib.sha256(",".join(map(str, centers[j])).encode()).hexdigest()) for i, j, d in found]
+
+
+def audit(docs, labels):
+    """{(part, order, step): (kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley)}, document by document.
+
+    docs are (id, text, lang), labels (id, quality, toxic).
+    """
+    good, toxic = {i for i, q, _ in labels if q == 1} - {None}, {i for i, _, t in labels if t == 1} - {None}
+    texts = {}
+    for i, text, _ in docs:
+        texts.setdefault(text or "", []).append(i)
+    marked = {}
+    for i, text, lang in docs:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        failed = {"A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words), "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+                  "D": bool(re.search("[#$%&*|]", text)), "E": i is not None and any(x is not None and x < i for x in texts[text])}
+        marked.setdefault(lang or "", []).append((i, {f for f, x in failed.items() if x}))
+    out = {}
+    for part, rows in marked.items():
+        shapley = dict.fromkeys("ABCDE", 0)
+        for order in itertools.permutations("ABCDE"):
+            here = rows
+            for step, f in enumerate(order, 1):
+                removed = [r for r in here if f in r[1]]
+                here = [r for r in here if f not in r[1]]
+                shapley[f] += len(removed)
+                out[part, "".join(order), step] = [len(here), len(removed), sum(f in r[1] for r in rows) - len(removed), sum(r[1] == {f} for r in rows),
+                                                   sum(r[0] in good for r in removed), sum(r[0] in toxic for r in removed), f]
+        for key, x in out.items():
+            if key[0] == part:
+                x[6] = shapley[x[6]]
+    return {key: tuple(x) for key, x in out.items()}
