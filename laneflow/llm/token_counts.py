@@ -149,13 +149,23 @@ def frequencies(docs: DataFrame, settings: CountSettings) -> DataFrame:
 
 
 def piece_counts(words: DataFrame, settings: CountSettings) -> DataFrame:
-    """word, n: the number of pieces of every distinct pre-token in words (column word)."""
+    """The rows of words (column word first, then others) with n in the place of word: its number of pieces.
+
+    Equal pre-tokens come together and are counted once, at the first of them.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = pre_tokens(settings.vocabulary)
+        cutter, last = pre_tokens(settings.vocabulary), {}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cutter.count(batch.column(0).to_pylist()), pa.int32())], names=["word", "n"])
+            coded = batch.column(0).dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            fresh = [w for w in distinct if w not in last]
+            known = last | dict(zip(fresh, cutter.count(fresh)))
+            n = np.array([known[w] for w in distinct], np.int32)[coded.indices.to_numpy(zero_copy_only=False)]
+            last = {distinct[-1]: known[distinct[-1]]} if distinct else last
+            yield pa.RecordBatch.from_arrays([pa.array(n), *batch.columns[1:]], names=["n", *batch.schema.names[1:]])
 
-    return words.select("word").distinct().mapInArrow(run, "word binary, n int")
+    others = [f"`{f.name}` {f.dataType.simpleString()}" for f in words.schema.fields if f.name != "word"]
+    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, ", ".join(["n int", *others]))
 
 
 def _totals(settings: CountSettings):
@@ -184,16 +194,18 @@ def token_counts(docs: DataFrame, settings: CountSettings) -> DataFrame:
     have 0 bytes and 0 tokens. Rows that repeat, or have no doc_id, each get their answer; no rows: no rows.
 
     1. Documents are cut into pre-tokens and give their frequencies, in blocks of documents that share one list of
-    distinct pre-tokens; this is written once. 2. The distinct pre-tokens of all blocks are made distinct again, and the
-    pieces of each are counted once. 3. The counts are joined to the blocks' lists, where a pre-token stands once for a whole
-    block, however frequent it is. 4. Each block adds up. Ids of tokens never leave the tokenizer.
+    distinct pre-tokens; this is written once. 2. Equal pre-tokens of all blocks come together and are counted once. A
+    pre-token stands once for a whole block, however frequent it is, so the most frequent one has a row for each
+    block_bytes of text. 3. The counts are joined to the frequencies, block by block, and added up. Ids of tokens never leave
+    the tokenizer.
     """
     spark = docs.sparkSession
     blocks = table(frequencies(docs, settings), "token-blocks")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    words = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    counted = piece_counts(words, settings)
-    found = words.join(counted, "word").groupBy("block").agg(F.collect_list(F.struct("place", "n")).alias("found"))
+    # rows are short from here on, or few and long
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    words = blocks.select(F.posexplode("words").alias("place", "word"), "block").select("word", "block", "place")
+    found = piece_counts(words, settings).groupBy("block").agg(F.collect_list(F.struct("place", "n")).alias("found"))
     rows = blocks.drop("words").join(found, "block", "left")
     none = F.array().cast("array<int>")
     rows = rows.select("ids", "sizes", "many", "steps", "times", F.coalesce("found.place", none).alias("places"), F.coalesce("found.n", none).alias("counts"))

@@ -65,12 +65,14 @@ def test_odd_rows_in_blocks_of_any_size(spark, size):
     assert rows(t.token_counts(df.where("text is null or text = ''"), settings)) == expected([d for d in docs if not d[1]])
 
 
-def test_each_pre_token_is_counted_once(spark):
+def test_a_pre_token_has_one_row_per_block(spark):
     docs = spark.createDataFrame([(i, "the same few words again and again " * 50) for i in range(200)], "doc_id long, text string").repartition(8)
     settings = t.CountSettings(vocabulary=MODEL, block_bytes=1000)
-    words = t.frequencies(docs, settings).selectExpr("explode(words) as word")
-    counts = t.piece_counts(words, settings).collect()
-    assert len(counts) == len({bytes(r.word) for r in counts}) < 10
+    blocks = t.frequencies(docs, settings)
+    words = blocks.selectExpr("explode(words) as word", "block").selectExpr("word", "block", "word as kept")
+    found = t.piece_counts(words, settings).collect()
+    assert len(found) == 7 * blocks.count() and {(bytes(r.kept).decode(), r.n) for r in found} == {
+        (w, len(WHOLE.encode("\n" + w)) - 2) for w in (" the", " same", " few", " words", " again", " and", " ")}
 
 
 def test_models_that_change_texts_are_refused(monkeypatch):
