@@ -120,6 +120,9 @@ REPORT_SPEEDS = (
 
 # Tracks are worked in blocks of so many frames, so that no task holds all of a long one.
 BLOCK_FRAMES = 65_536
+# Frames that one task of the tracker walks, and frames before them that it guesses its start from.
+WALK_FRAMES = 1_024
+WARM_UP_FRAMES = 256
 
 # Files of a stored table that one micro-batch of a stream takes.
 FILES_PER_TRIGGER = 1_000

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laneflow import schemas
-from laneflow.config import ALERT_DEFAULTS, ALERT_KMH, BLOCK_FRAMES
+from laneflow.config import ALERT_DEFAULTS, ALERT_KMH
 from laneflow.functions.text import alert_line, tracker_alert_line
-from laneflow.operators.blocks import running_total
-from laneflow.session import stored
+from laneflow.operators.blocks import numbered
 from laneflow.sources.messages import read_once
 
 
@@ -72,13 +71,10 @@ def unusable_alerts(decoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
 def alert_numbering(alerts: DataFrame, order: str) -> DataFrame:
     """Alerts with `alert_no`, 1 for the first in the order of arrival.
 
-    `order` is a whole number that no two alerts share. The alerts are stored first: their messages are decoded once.
-    Blocks are as wide as holds 65 536 alerts on average, so numbers with wide gaps don't make a block of each.
+    `order` is a number or time that no two alerts share, spaced in any way. The alerts are stored in ranges of it: their
+    messages are decoded once.
     """
-    alerts = stored(alerts, "alerts")
-    low, high, count = alerts.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
-    block = max(1, BLOCK_FRAMES * (high - low + 1) // count) if count else BLOCK_FRAMES
-    return running_total(alerts, F.lit(1).cast("long"), "alert_no", order, block=block)
+    return numbered(alerts, order, "alert_no")
 
 
 def alert_log(numbered: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laneflow.config import BLOCK_FRAMES
+from laneflow.session import stored
 
 BLOCK, HALO = "_block", "_halo"
 
@@ -114,3 +115,22 @@ def running_total(df: DataFrame, value: Column, name: str, order: str, keys: Seq
         .join(before, F.col("_group") == F.col("_same_group"))
         .select(*df.columns, (F.col("_before") + F.col("_inside")).cast("long").alias(name))
     )
+
+
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """Rows with their number by `order`, 1 for the first; rows with a null `order` come first. Stores the rows once.
+
+    The rows are dealt in ranges of `order` with bounds from a sample of it, so the ranges hold about as many rows each however
+    the values are spaced. Rows are numbered inside their range, after all rows of the ranges before; only the sizes of
+    the ranges, one per partition, come to the driver.
+    """
+    ranged = stored(df.repartitionByRange(F.col(order).asc_nulls_first()).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = sorted((r["_range"], r["count"]) for r in ranged.groupBy("_range").count().collect())
+    starts, upto = [], 0
+    for number, count in sizes:
+        starts.append((number, upto))
+        upto += count
+    starts = df.sparkSession.createDataFrame(starts, "_range int, _before long")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(F.col(order).asc_nulls_first()))
+    return ranged.withColumn("_inside", inside).join(starts, "_range").select(
+        *df.columns, (F.col("_before") + F.col("_inside")).alias(name))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from laneflow.config import CAR_LIMIT_KMH, TRUCK_LIMIT_KMH, WATERMARK, WINDOW_S
 from laneflow.functions.text import window_line
-from laneflow.functions.timing import tumbling, window_index
+from laneflow.functions.timing import in_some_window, tumbling, window_index
 
 
 def q1_vehicle_speeds(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -38,6 +38,15 @@ def q3_total(events: DataFrame, car_limit: float = CAR_LIMIT_KMH, truck_limit: f
     return events.filter(violation(car_limit, truck_limit)).agg(F.count(F.lit(1)).alias("violation_count"))
 
 
+def without_window(events: DataFrame, window_s: int = WINDOW_S) -> DataFrame:
+    """Events that questions 5 and 6 leave out, in a table or a stream: no time, or one that no window can hold."""
+    return events.filter(~in_some_window(window_s=window_s))
+
+
+def _timed(events: DataFrame, window_s: int, watermark: str) -> DataFrame:
+    return events.filter(in_some_window(window_s=window_s)).withWatermark("event_time", watermark)
+
+
 def q5_vehicles_per_window(events: DataFrame, window_s: int = WINDOW_S, watermark: str = WATERMARK,
                            exact: bool = True) -> DataFrame:
     """Vehicles per lane and window.
@@ -45,7 +54,7 @@ def q5_vehicles_per_window(events: DataFrame, window_s: int = WINDOW_S, watermar
     Exact in a stream too: there the (window, lane, vehicle) triples are made
     unique first, and the state of a window goes away with the watermark.
     """
-    timed = events.withWatermark("event_time", watermark)
+    timed = _timed(events, window_s, watermark)
     if exact and events.isStreaming:
         timed = timed.select("event_time", "carriageway", "vehicle_id", tumbling(window_s=window_s).alias("window"))
         # a missing id is no vehicle, but it keeps its lane's window alive
@@ -65,7 +74,7 @@ def q5_vehicles_per_window(events: DataFrame, window_s: int = WINDOW_S, watermar
 def q6_avg_speed(events: DataFrame, window_s: int = WINDOW_S, watermark: str = WATERMARK) -> DataFrame:
     """Mean speed per lane and window, in whole km/h."""
     return (
-        events.withWatermark("event_time", watermark)
+        _timed(events, window_s, watermark)
         .groupBy(tumbling(window_s=window_s).alias("window"), "carriageway")
         .agg(F.avg("speed_kmh").alias("mean"))
         .select(

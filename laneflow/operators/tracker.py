@@ -1,4 +1,9 @@
-"""Track assignment: which boxes of successive frames are the same vehicle."""
+"""Track assignment: which boxes of successive frames are the same vehicle.
+
+A table of boxes is walked in blocks of frames, all at once. A block starts from a guess: what a short walk over the
+frames before it ends with. Where the block before it ends with something else, it is walked again from there, until all
+seams agree; then every block has started from what one long walk would have had, and the result is the same.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +12,24 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laneflow.config import MAX_LOST_FRAMES, MAX_MATCH_PX
-from laneflow.operators.blocks import BLOCK, HALO, in_blocks, running_total
+from laneflow.config import MAX_LOST_FRAMES, MAX_MATCH_PX, WALK_FRAMES, WARM_UP_FRAMES
+from laneflow.operators.blocks import BLOCK, block_of, running_total
 from laneflow.session import stored
 
 FEED = ("camera_name", "side")
-_WALKED = "camera_name string, side string, piece long, track_id long, frame_id long, cx int, cy int, coasting boolean"
+_KEYS = (*FEED, BLOCK)
+
+# Of a walked block: the tracks it starts with and ends with, in the order of their ids; the own numbers of the latter
+# (those it started with come first, then its new ones); how many are new; and the positions by own number.
+_STATE = pa.list_(pa.struct([("cx", pa.int32()), ("cy", pa.int32()), ("lost", pa.int32())]))
+_PLACES = pa.list_(pa.struct([("track", pa.int64()), ("frame_id", pa.int64()), ("cx", pa.int32()), ("cy", pa.int32()), ("coasting", pa.bool_())]))
+_STATE_SQL = "array<struct<cx:int,cy:int,lost:int>>"
+_WALKED = (f"camera_name string, side string, {BLOCK} long, round int, last_box long, begin {_STATE_SQL}, end {_STATE_SQL}, own array<long>, "
+           "fresh long, places array<struct<track:long,frame_id:long,cx:int,cy:int,coasting:boolean>>")
 
 
 @dataclass
@@ -104,75 +118,148 @@ def rows_of(steps: Iterator[tuple[int, Tracks]]) -> pd.DataFrame:
                          "cx": xy[:, 0], "cy": xy[:, 1], "coasting": np.concatenate(coasting)})
 
 
-def _pieces(centred: DataFrame, max_lost: int, block: int | None) -> DataFrame:
-    """Frames with boxes (`camera_name`, `side`, `frame_id`) with `piece` and `final`, whether it is the feed's last.
+@dataclass(frozen=True)
+class _Walk:
+    """Walks one block of frames."""
+
+    size: int
+    max_dist: float
+    max_lost: int
+
+    def guessed(self, key: tuple, boxes: pa.Table) -> pa.Table:
+        """From the frames before the block that are among its rows; nothing comes from a block without rows of its own."""
+        boxes, block = _sorted(boxes), key[2].as_py()
+        frames, points = _arrays(boxes)
+        own = int(np.searchsorted(frames, block * self.size))
+        tracks = Tracks()
+        for _ in walk(tracks, frames[:own], points[:own], None, block * self.size - 1, self.max_dist, self.max_lost):
+            pass
+        return self._block(key, tracks, frames[own:], points[own:], 0)
+
+    def corrected(self, key: tuple, boxes: pa.Table, starts: pa.Table) -> pa.Table:
+        """From the tracks that the block before ends with."""
+        frames, points = _arrays(_sorted(boxes))
+        state = pd.DataFrame(starts["state"][0].as_py(), columns=["cx", "cy", "lost"]).astype("int64")
+        tracks = Tracks(points=state[["cx", "cy"]].to_numpy(), lost=state["lost"].to_numpy().copy(), ids=np.arange(len(state)))
+        return self._block(key, tracks, frames, points, starts["round"][0].as_py())
+
+    def _block(self, key: tuple, tracks: Tracks, frames: np.ndarray, points: np.ndarray, round_: int) -> pa.Table:
+        block, begin = key[2].as_py(), _state(tracks)
+        if not len(frames):
+            return pa.table({name: pa.array([], kind) for name, kind in self.types.items()})
+        known = len(tracks.ids)
+        tracks.ids, tracks.next_id = np.arange(known, dtype=np.int64), known
+        rows = rows_of(walk(tracks, frames, points, block * self.size - 1, (block + 1) * self.size - 1, self.max_dist, self.max_lost))
+        places = pa.StructArray.from_arrays([pa.array(rows[c].to_numpy()) for c in ("track_id", "frame_id", "cx", "cy", "coasting")],
+                                            names=["track", "frame_id", "cx", "cy", "coasting"])
+        one = [*(k.as_py() for k in key), round_, int(frames[-1]), begin, _state(tracks), tracks.ids.tolist(), tracks.next_id - known]
+        columns = {name: pa.array([v], kind) for (name, kind), v in zip(self.types.items(), one)}
+        return pa.table({**columns, "places": pa.ListArray.from_arrays(pa.array([0, len(places)], pa.int32()), places)})
+
+    @property
+    def types(self) -> dict[str, pa.DataType]:
+        text, long = pa.string(), pa.int64()
+        return {"camera_name": text, "side": text, BLOCK: long, "round": pa.int32(), "last_box": long, "begin": _STATE, "end": _STATE,
+                "own": pa.list_(long), "fresh": long, "places": _PLACES}
+
+
+def _sorted(boxes: pa.Table) -> pa.Table:
+    return boxes.sort_by([("frame_id", "ascending"), ("box_id", "ascending")])
+
+
+def _arrays(boxes: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return boxes["frame_id"].to_numpy(), np.stack([boxes["cx"].to_numpy(), boxes["cy"].to_numpy()], axis=1).astype(np.int64)
+
+
+def _state(tracks: Tracks) -> list[dict[str, int]]:
+    return [{"cx": x, "cy": y, "lost": n} for (x, y), n in zip(tracks.points.tolist(), tracks.lost.tolist())]
+
+
+def walk_blocks(centred: DataFrame, how: _Walk, warm_up: int) -> DataFrame:
+    """Every block with boxes, walked from its guess. A block also gets the boxes of the last `warm_up` frames before it."""
+    block, size = block_of("frame_id", how.size), F.lit(how.size)
+    late = F.pmod("frame_id", size) >= how.size - min(warm_up, how.size)
+    rows = centred.select("*", F.explode(F.when(late, F.array(block, block + 1)).otherwise(F.array(block))).alias(BLOCK))
+    # boxes are few bytes and much work: with a number of its own, partitions are not merged by their size
+    parts = int(centred.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *_KEYS).groupBy(*_KEYS).applyInArrow(lambda key, boxes: how.guessed(key, boxes), _WALKED)
+
+
+def _agreed(centred: DataFrame, how: _Walk, warm_up: int) -> tuple[DataFrame, DataFrame]:
+    """Walked blocks of all rounds, and which round of each block counts: (keys, round, last_box, begin, end, own, fresh).
+
+    Each round walks the blocks again, in parallel, whose start is not the end of the block before. A block without a
+    predecessor starts with no tracks: a whole block without boxes outlives all of them. So the first wrong block of a
+    feed is right after each round, and mostly all are after one.
+    """
+    narrow = (*_KEYS, "round", "last_box", "begin", "end", "own", "fresh")
+    walked = stored(walk_blocks(centred, how, warm_up), "walked")
+    known = walked.select(*narrow)
+    boxes = centred.withColumn(BLOCK, block_of("frame_id", how.size))
+    round_ = 0
+    while True:
+        before = known.select(*FEED, (F.col(BLOCK) + 1).alias(BLOCK), F.col("end").alias("state"))
+        wrong = known.join(before, list(_KEYS)).filter(F.col("begin") != F.col("state")).select(*_KEYS, "state")
+        round_ += 1
+        todo = stored(wrong.withColumn("round", F.lit(round_)), "seams")
+        if todo.isEmpty():
+            return walked, known
+        again = boxes.join(todo.select(*_KEYS), list(_KEYS), "left_semi").groupBy(*_KEYS).cogroup(todo.groupBy(*_KEYS)).applyInArrow(
+            lambda key, rows, starts: how.corrected(key, rows, starts), _WALKED)
+        again = stored(again, "walked")
+        walked = walked.unionByName(again)
+        known = stored(known.join(again.select(*_KEYS), list(_KEYS), "left_anti").select(*narrow).unionByName(again.select(*narrow)), "blocks")
+
+
+def _ids(known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ids over the seams: of the blocks (keys, first: the id of its first new track) and of the tracks that blocks end with
+    (keys, place, track_id).
 
-    A piece begins where more than `max_lost` frames before it have no box: no track is active any more, so
-    nothing before it bears on what follows. Frames are numbered block by block.
+    A block's new tracks go on from those of all blocks before it. A track that a block has from the one before points
+    to its place there; pointers are doubled until each leads to where its track is new.
     """
-    frames = centred.select(*FEED, "frame_id").distinct()
-    rows = in_blocks(frames, FEED, "frame_id", 1, block)
-    gap = F.col("frame_id") - F.lag("frame_id").over(Window.partitionBy(*FEED, BLOCK).orderBy("frame_id"))
-    marked = rows.withColumn("_begins", F.when(gap <= max_lost + 1, 0).otherwise(1).cast("long"))
-    marked = stored(marked.filter(~F.col(HALO)).select(*FEED, "frame_id", "_begins"), "frames")
-    numbered = running_total(marked, F.col("_begins"), "piece", "frame_id", FEED).drop("_begins")
-    last = numbered.groupBy(*FEED).agg(F.max("piece").alias("_last"))
-    return numbered.join(last, list(FEED)).select(*FEED, "frame_id", "piece", (F.col("piece") == F.col("_last")).alias("final"))
-
-
-def _walker(max_dist: float, max_lost: int, last_frame: int | None):
-    """Walks pieces whose rows come one after the other, in batches; holds the active tracks and one frame."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, final, tracks, done, waiting = None, False, Tracks(), None, None
-
-        def advance(rows: pd.DataFrame | None, stop: int | None) -> Iterator[pd.DataFrame]:
-            nonlocal done
-            frames = np.empty(0, np.int64) if rows is None else rows["frame_id"].to_numpy()
-            points = np.empty((0, 2), np.int64) if rows is None else rows[["cx", "cy"]].to_numpy(np.int64)
-            out = rows_of(walk(tracks, frames, points, done, stop, max_dist, max_lost))
-            done = int(frames[-1]) if len(frames) else done
-            if len(out):
-                for place, name in enumerate((*FEED, "piece")):
-                    out.insert(place, name, key[place])
-                yield out
-
-        def finish() -> Iterator[pd.DataFrame]:
-            if key is not None:
-                yield from advance(waiting, None)
-                yield from advance(None, last_frame if final else done + max_lost + 1)
-
-        for batch in batches:
-            for new, rows in batch.groupby([*FEED, "piece"], sort=False):
-                if new != key:
-                    yield from finish()
-                    key, final, tracks, done, waiting = new, bool(rows["final"].iloc[0]), Tracks(), None, None
-                rows = rows if waiting is None else pd.concat([waiting, rows])
-                # the last frame may go on in the next batch
-                open_frame = rows["frame_id"] == rows["frame_id"].iloc[-1]
-                waiting = rows[open_frame]
-                if not open_frame.all():
-                    yield from advance(rows[~open_frame], None)
-        yield from finish()
-
-    return run
+    counted = running_total(known.select(*_KEYS, "fresh"), F.col("fresh"), "_upto", BLOCK, FEED)
+    first = stored(counted.select(*_KEYS, (F.col("_upto") - F.col("fresh")).alias("first")), "first-ids")
+    ends = known.join(first, list(_KEYS)).select(*_KEYS, "first", F.size("begin").alias("_had"), F.posexplode("own").alias("place", "_own"))
+    passed = F.col("_own") < F.col("_had")
+    ends = ends.select(*_KEYS, "place", F.when(~passed, F.col("first") + F.col("_own") - F.col("_had")).alias("track_id"),
+                       F.when(passed, F.col(BLOCK) - 1).alias("_at"), F.when(passed, F.col("_own")).alias("_there"))
+    ends = stored(ends, "seam-tracks")
+    while not ends.filter("track_id is null").isEmpty():
+        up = ends.select(*FEED, F.col(BLOCK).alias("_at"), F.col("place").cast("long").alias("_there"), F.col("track_id").alias("_id"),
+                         F.col("_at").alias("_next"), F.col("_there").alias("_next_there"))
+        open_ = ends.filter("track_id is null").join(up, [*FEED, "_at", "_there"]).select(
+            *_KEYS, "place", F.col("_id").alias("track_id"), F.col("_next").alias("_at"), F.col("_next_there").alias("_there"))
+        ends = stored(ends.filter("track_id is not null").unionByName(open_), "seam-tracks")
+    return first, ends.select(*_KEYS, "place", "track_id")
 
 
 def assign_tracks(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost: int = MAX_LOST_FRAMES,
-                  last_frame: int | None = None, block: int | None = None) -> DataFrame:
+                  last_frame: int | None = None, block: int | None = None, warm_up: int | None = None) -> DataFrame:
     """Boxes with `cx`, `cy` and `side` to track positions; ids are unique within a camera and side.
 
-    A feed is cut only where the cut changes nothing: after more than `max_lost` frames without boxes. The pieces are
-    walked in parallel, each in the order of its frames and with no more in memory than the active tracks, one frame and
-    one batch; then their ids go on where those of the piece before end. A feed without such gaps is one piece.
-    Tracks coast up to the last frame of the feed that has boxes, or to `last_frame`.
+    The same rows as one walk over each camera side in the order of its frames, for any `block` (frames that are walked
+    by one task, more than `max_lost`) and any `warm_up` (frames before a block that its start is guessed from). Tracks coast
+    up to the last frame of the feed that has boxes, or to `last_frame`. Boxes without camera, side or frame are left out.
     """
-    needed = centred.select(*FEED, "frame_id", "box_id", "cx", "cy")
-    rows = needed.join(_pieces(needed, max_lost, block), [*FEED, "frame_id"])
-    keys = [*FEED, "piece"]
-    walked = stored(
-        rows.select(*keys, "final", "frame_id", "box_id", "cx", "cy").repartition(*keys)
-        .sortWithinPartitions(*keys, "frame_id", "box_id").mapInPandas(_walker(max_dist, max_lost, last_frame), _WALKED), "walked")
-    used = walked.groupBy(*keys).agg((F.max("track_id") + 1).alias("_used"))
-    upto = running_total(stored(used, "ids"), F.col("_used"), "_upto", "piece", FEED).select(*keys, (F.col("_upto") - F.col("_used")).alias("_first"))
-    return walked.join(upto, keys).select(
-        *FEED, (F.col("track_id") + F.col("_first")).alias("track_id"), "frame_id", "cx", "cy", "coasting")
+    how = _Walk(max(block or WALK_FRAMES, max_lost + 1), max_dist, max_lost)
+    needed = centred.select(*FEED, "frame_id", "box_id", "cx", "cy").dropna(subset=[*FEED, "frame_id"])
+    walked, known = _agreed(needed, how, WARM_UP_FRAMES if warm_up is None else warm_up)
+    first, ends = _ids(known)
+    had = ends.groupBy(*FEED, (F.col(BLOCK) + 1).alias(BLOCK)).agg(F.sort_array(F.collect_list(F.struct("place", "track_id"))).alias("_had"))
+    last = known.groupBy(*FEED).agg(F.greatest(F.max("last_box"), F.lit(last_frame).cast("long")).alias("_last"))
+    blocks = known.select(*_KEYS, "round").join(first, list(_KEYS)).join(had, list(_KEYS), "left").join(last, list(FEED))
+    # an earlier track by its place, a new one by its number among the new ones
+    earlier = F.coalesce(F.size("_had"), F.lit(0))
+    named = F.when(F.col("_p.track") < earlier, F.get("_had", F.col("_p.track").cast("int"))["track_id"]).otherwise(
+        F.col("first") + F.col("_p.track") - earlier)
+    rows = walked.select(*_KEYS, "round", "places").join(blocks, [*_KEYS, "round"]).select(
+        *FEED, "first", "_had", "_last", F.explode("places").alias("_p")).select(
+        *FEED, named.alias("track_id"), "_p.frame_id", "_p.cx", "_p.cy", "_p.coasting", "_last")
+    # tracks that outlive the last block with boxes before a gap
+    alone = known.join(known.select(*FEED, (F.col(BLOCK) - 1).alias(BLOCK)), list(_KEYS), "left_anti")
+    tails = alone.select(*_KEYS, F.posexplode("end").alias("place", "_t")).filter(F.col("_t.lost") < max_lost)
+    tails = tails.join(ends, [*_KEYS, "place"]).join(last, list(FEED)).select(
+        *FEED, "track_id", F.explode(F.sequence(F.lit(1), max_lost - F.col("_t.lost"))).alias("_k"), BLOCK, "_t", "_last").select(
+        *FEED, "track_id", (F.col(BLOCK) * how.size + (how.size - 1) + F.col("_k")).alias("frame_id"), "_t.cx", "_t.cy", F.lit(True).alias("coasting"), "_last")
+    return rows.unionByName(tails).filter(F.col("frame_id") <= F.col("_last")).drop("_last")

@@ -173,6 +173,55 @@ clean as (
   where 0.8::double*w*h>=1500)
 """
 
+# The tracker, frame by frame over all camera sides: lists of tracks as the state of a recursive query. A frame's pairs
+# within the distance are sorted by distance, track and box, and folded: a pair is taken if neither its track nor its box is.
+_WALK = _CLEAN + """,
+feeds as (select camera_name, side, min(frame_id) as begins, max(frame_id) as ends from clean group by camera_name, side),
+framed as (
+  select camera_name, side, frame_id, list({'x': cx::bigint, 'y': cy::bigint} order by box_id) as boxes
+  from clean group by camera_name, side, frame_id),
+walk as (
+  select camera_name, side, ends, begins - 1 as frame_id, [{'id': 0::bigint, 'x': 0::bigint, 'y': 0::bigint, 'lost': 0}][:0] as tracks, 0::bigint as next
+  from feeds
+  union all
+  select camera_name, side, ends, frame_id,
+         list_concat(
+           list_filter(list_transform(range(1, len(tracks) + 1), lambda t: case when list_contains(taken.t, t) then
+               {'id': tracks[t].id, 'x': boxes[taken.b[list_position(taken.t, t)]].x, 'y': boxes[taken.b[list_position(taken.t, t)]].y, 'lost': 0}
+               else {'id': tracks[t].id, 'x': tracks[t].x, 'y': tracks[t].y, 'lost': tracks[t].lost + 1} end), lambda k: k.lost <= 12),
+           list_transform(range(1, len(fresh) + 1), lambda n: {'id': next + n - 1, 'x': boxes[fresh[n]].x, 'y': boxes[fresh[n]].y, 'lost': 0})) as tracks,
+         next + len(fresh) as next
+  from (
+    select *, list_filter(range(1, len(boxes) + 1), lambda b: not list_contains(taken.b, b)) as fresh
+    from (
+      select *, list_reduce(
+          list_prepend({'t': []::bigint[], 'b': []::bigint[]}, list_transform(list_sort(list_filter(flatten(
+            list_transform(range(1, len(tracks) + 1), lambda t: list_transform(range(1, len(boxes) + 1), lambda b:
+              {'d': (tracks[t].x - boxes[b].x) * (tracks[t].x - boxes[b].x) + (tracks[t].y - boxes[b].y) * (tracks[t].y - boxes[b].y), 't': t, 'b': b}))),
+            lambda p: p.d <= 180 * 180)), lambda p: {'t': [p.t], 'b': [p.b]})),
+          lambda kept, p: case when list_contains(kept.t, p.t[1]) or list_contains(kept.b, p.b[1]) then kept
+                               else {'t': list_concat(kept.t, p.t), 'b': list_concat(kept.b, p.b)} end) as taken
+      from (
+        select w.camera_name, w.side, w.ends, w.frame_id + 1 as frame_id, w.tracks, w.next, coalesce(f.boxes, []) as boxes
+        from walk w left join framed f on f.camera_name = w.camera_name and f.side = w.side and f.frame_id = w.frame_id + 1
+        where w.frame_id < w.ends)))),
+tracked as (
+  select camera_name, side, k.id as track_id, frame_id, k.x::int as cx, k.y::int as cy, k.lost > 0 as coasting
+  from (select camera_name, side, frame_id, unnest(tracks) as k from walk))
+"""
+
+_LIVE_SQL = f"with recursive {_CAMERAS}, {_WALK}" + """,
+nearest as (
+  select p.camera_name, p.side, p.track_id, p.frame_id, p.cx, p.cy, p.coasting,
+         arg_min(case when c.w*c.h>=9000 then 'truck' else 'car' end, (abs(p.cx-c.cx)+abs(p.cy-c.cy))*16+c.box_id) as class
+  from tracked p left join clean c using (camera_name, frame_id, side) group by all),
+positions as (
+  select camera_name, side, track_id, frame_id, cx, cy, coasting,
+         last_value(class ignore nulls) over (partition by camera_name, side, track_id order by frame_id
+           rows between unbounded preceding and current row) as vehicle_type
+  from nearest)
+""" + _TRACKS + _RESOLVED
+
 # The homography, row by row: fixed values.
 _H = ("-0.07278562259306805::double", "-0.08446726572528884::double", "60.58279845956355::double",
       "0.0::double", "-0.8118100128369705::double", "239.48395378690634::double",
@@ -401,6 +450,13 @@ ORACLES: dict[str, str] = {
                last_value(class ignore nulls) over (partition by camera_name, side, track_id order by frame_id
                  rows between unbounded preceding and current row) as vehicle_type
         from nearest""",
+    "assign_tracks": f"with recursive {_CAMERAS}, {_WALK} select * from tracked",
+    "stream_tracks": f"with recursive {_CAMERAS}, {_WALK} select * from tracked",
+    "live_events": f"{_LIVE_SQL} {_RESOLVED_COLUMNS}",
+    "stream_live": f"""{_LIVE_SQL}
+        select camera_name, side||track_id as vehicle_id, vehicle_type,
+               printf('%.2f', speed_kmh)::double as speed_kmh, direction, movement, speed_source
+        from resolved""",
     "tracked_boxes": f"with {_CAMERAS}, {_CLEAN} select camera_name, side, frame_id, cx, cy from clean",
     "vehicles_with_events": "select true as one_each",
     "stream_tracked_boxes": f"with {_CAMERAS}, {_CLEAN} select camera_name, side, frame_id, cx, cy from clean",

@@ -271,7 +271,7 @@ def live_events(spark, sf_dir):
     """From boxes to one event per track, with the track positions stored on the way."""
     boxes, known = views.detections(spark, sf_dir), cameras.cameras_dim(spark)
     folder = work_folder(spark, "live")
-    return live.boxes_to_events(boxes, known, f"{folder}/positions")
+    return rounded(live.boxes_to_events(boxes, known, f"{folder}/positions"), "speed_kmh", "timestamp_s")
 
 
 def tracked_boxes(spark, sf_dir):

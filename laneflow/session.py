@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, name: str
     return spark
 
 
+@cache
+def _own_folder() -> str:
+    """One temporary folder of this machine for the whole program."""
+    base = tempfile.mkdtemp(prefix="laneflow-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder that the cluster names.
 
@@ -36,8 +45,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="laneflow-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
+        base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -7,6 +7,8 @@ import pytest
 
 import brute
 from laneflow.config import Camera
+from pyspark.sql import functions as F
+
 from laneflow.operators import detections, tracker
 from laneflow.sources.cameras import cameras_dim
 
@@ -80,24 +82,51 @@ def test_assignment_against_the_walk(spark):
     assert assigned(spark, frames, last_frame=119) == sorted(brute.greedy_tracks(frames))
 
 
-@pytest.mark.parametrize("rows,block", [(10_000, 65_536), (7, 10), (1, 1)])
-def test_pieces_are_walked_as_one_feed(spark, rows, block):
-    """Gaps of all lengths, pieces in parallel, batches of any size: the rows and ids of one walk over the feed."""
-    rng = random.Random(rows)
+@pytest.mark.parametrize("block,warm_up,seed", [(None, None, 1), (40, 20, 2), (13, 13, 3), (13, 2, 4), (50, 0, 5), (1, 1, 6)])
+def test_blocks_are_walked_as_one_feed(spark, block, warm_up, seed):
+    """Gaps of all lengths, blocks and guesses of any size, right or wrong: the rows and ids of one walk over the feed."""
+    rng = random.Random(seed)
     frames, f = {}, 3
     while f < 400:
         frames[f] = [(rng.randrange(300), rng.randrange(300)) for _ in range(rng.choice([1, 2, 5]))]
         f += rng.choice([1, 1, 1, 2, 12, 13, 14, 15, 40])
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    try:
-        got = assigned(spark, frames, block=block)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    got = assigned(spark, frames, block=block, warm_up=warm_up)
     assert got == sorted(brute.greedy_tracks({f: frames.get(f, []) for f in range(min(frames), max(frames) + 1)}))
     assert len({t for t, *_ in got}) == max(t for t, *_ in got) + 1
 
 
+def test_a_feed_without_gaps_is_walked_in_parallel(spark):
+    """Cars that pass and one that is parked: all guesses but those of the parked car's order hold, and ids go over all seams."""
+    rng = random.Random(4)
+    frames = {f: [(640, 300)] + [((17 * f + 400 * n) % 1280, 100 * n + rng.randrange(4)) for n in range(5)] for f in range(600)}
+    df = centred(spark, frames)
+    how = tracker._Walk(100, 180, 12)
+    blocks = tracker.walk_blocks(df, how, 30)
+    assert blocks.count() == 6 and len({r.p for r in blocks.select(F.spark_partition_id().alias("p")).collect()}) > 1
+    walked, known = tracker._agreed(df.select("camera_name", "side", "frame_id", "box_id", "cx", "cy"), how, 30)
+    assert known.count() == 6
+    got = assigned(spark, frames, block=100, warm_up=30)
+    assert got == sorted(brute.greedy_tracks(frames))
+    parked, = {t for t, f, x, y, _ in got if (x, y) == (640, 300) and f == 0}
+    assert sum(t == parked for t, *_ in got) >= 500
+
+
+def test_wrong_guesses_are_walked_again(spark):
+    """Without a warm-up every start is wrong; with one that is long enough only the first walk is needed."""
+    frames = {f: [(10 * f, 100), (10 * f, 500)] for f in range(100)}
+    df = centred(spark, frames).select("camera_name", "side", "frame_id", "box_id", "cx", "cy")
+    how = tracker._Walk(20, 180, 12)
+    rounds = [max(r["round"] for r in tracker._agreed(df, how, w)[1].collect()) for w in (0, 15)]
+    assert rounds[0] >= 1 and rounds[1] == 0
+
+
+def test_boxes_without_a_key_are_left_out(spark):
+    df = spark.createDataFrame([("c", 1, 0, 5, 5, "L"), (None, 1, 0, 5, 5, "L"), ("c", None, 0, 5, 5, "L"), ("c", 1, 0, 5, 5, None)],
+                               "camera_name string, frame_id long, box_id int, cx int, cy int, side string")
+    assert [tuple(r) for r in tracker.assign_tracks(df).collect()] == [("c", "L", 0, 1, 5, 5, False)]
+    assert tracker.assign_tracks(df.limit(0)).collect() == []
+
+
 def test_match_distance(spark):
     near = assigned(spark, {1: [(0, 0)], 2: [(180, 0)]})
     assert near == [(0, 1, 0, 0, False), (0, 2, 180, 0, False)]

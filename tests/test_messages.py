@@ -107,6 +107,22 @@ def test_windows(spark):
     assert means == {0: 65, 1: 61, 2: 63, 3: 64}          # 60.5 -> 61 and 62.5 -> 63
 
 
+FAR = [7e11, 6.4e11, 9.22e12, -9.22e12, 1e300, float("nan"), float("inf"), float("-inf")]
+
+
+def test_far_off_times_end_no_job(spark):
+    """Times that no window can hold are left out and can be told; all others are counted."""
+    df = events(spark, *[(f"v{i}", "car", 60.0, "x", t) for i, t in enumerate([0.0, 299.0, *FAR, None])])
+    counts = {r.window_index: r.vehicle_count for r in questions.q5_vehicles_per_window(df).drop("window_start").collect()}
+    assert counts == {1: 2, int(6.4e11 // 300) + 1: 1}
+    assert {r.window_index: r.avg_speed_kmh for r in questions.q6_avg_speed(df).collect()} == {w: 60 for w in counts}
+    assert len(questions.q6_log(df).collect()) == 2
+    out = {r.vehicle_id for r in questions.without_window(df).select("vehicle_id").collect()}
+    assert out == {"v2", "v4", "v5", "v6", "v7", "v8", "v9", "v10"}
+    narrow = {r.window_index for r in questions.q5_vehicles_per_window(df, window_s=1).collect()}
+    assert narrow == {1, 300}
+
+
 def test_log_line_without_a_lane(spark):
     df = events(spark, ("a", "car", 72.4, "inbound", 700.0), ("b", "car", 60.0, None, 0.0))
     assert sorted(r.log_entry for r in questions.q6_log(df).collect()) == ["(1st 5min, 60kmh)", "(inbound, 3rd 5min, 72kmh)"]

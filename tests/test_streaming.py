@@ -3,6 +3,8 @@
 import json
 import functools
 import os
+import subprocess
+import sys
 import random
 from types import SimpleNamespace
 
@@ -56,6 +58,19 @@ def test_windows_and_late_rows(spark, folder, exact):
     assert sorted((r.window_index, r.vehicle_count) for r in got) == [(1, 4), (2, 2), (3, 1)]
 
 
+@pytest.mark.parametrize("ask", [questions.q5_vehicles_per_window, questions.q6_avg_speed])
+def test_far_off_times_end_no_stream(spark, folder, ask):
+    """A time beyond all windows neither ends the stream nor moves its watermark."""
+    far = [message("f", t) for t in (7e11, 9.22e12, -9.22e12, 1e300)]
+    write_files(folder + "/in", [[message("a", 0), *far], [message("b", 10)], [message("c", 900)], [message("d", 1600)]])
+    rows = ask(decode_events(feeds.folder_feed(spark, folder + "/in", files_per_trigger=1)))
+    name = f"far_{ask.__name__}"
+    jobs.start(rows, name, "append", settings(folder)).awaitTermination(100)
+    found = spark.table(name).collect()
+    assert sorted(r.window_index for r in found) == [1, 4]
+    assert [r.vehicle_count for r in found if "vehicle_count" in r and r.window_index == 1] in ([2], [])
+
+
 def test_five_questions_at_once(spark, folder):
     rng = random.Random(5)
     batches = [[message(f"v{rng.randrange(30)}", 100 * b + rng.randrange(100), rng.choice([60.0, 95.5, 140.25]),
@@ -185,6 +200,28 @@ def session_with(master, checkpoint_dir):
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
+def test_a_plain_local_session_needs_no_setting(tmp_path):
+    """Spark with an empty folder of settings: what is stored goes to a temporary folder, of the operators on documents too."""
+    code = """
+from laneflow.session import local_session, stored
+spark = local_session(2, 2)
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+assert stored(spark.range(5), "x").count() == 5
+try:
+    from laneflow.llm.store import table
+except ImportError:
+    pass
+else:
+    assert table(spark.range(7), "y").count() == 7
+print("fine")
+"""
+    (tmp_path / "conf").mkdir()
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path / "conf"), "PYTHONPATH": here}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=200, cwd=tmp_path)
+    assert done.returncode == 0 and "fine" in done.stdout, done.stderr[-2000:]
+
+
 def test_work_folder_follows_the_session():
     assert work_folder(session_with("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
     assert work_folder(session_with("local[2]", None), "x").startswith("/")
