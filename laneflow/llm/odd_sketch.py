@@ -8,12 +8,13 @@ from math import exp, log, sqrt
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laneflow.llm.arrays import BLANKS, LOWER, U64, mix, pieces, salts, span_hashes, word_spans
 from laneflow.llm.links import components
-from laneflow.llm.store import small_batches, table
+from laneflow.llm.store import may_hold, small_batches, table
 
 
 @dataclass(frozen=True)
@@ -114,29 +115,39 @@ def features(docs: DataFrame, settings: NearSettings) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>")
 
 
-def _sets(docs: DataFrame, settings: NearSettings) -> DataFrame:
-    """id and its whole set, as the bytes of sorted 64-bit hashes."""
+def _bodies(docs: DataFrame) -> DataFrame:
+    """id and its whole text, compressed: a third of what its set of hashes would weigh."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
         for batch, flat, offsets in pieces(batches):
-            sets = [x.tobytes() for x in _shingles(flat, offsets, settings.words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "members"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([pack.compress(flat[a:b].tobytes()) for a, b in zip(offsets, offsets[1:])], pa.binary())], names=["id", "body"])
+
+    return docs.mapInArrow(run, f"id {docs.schema['doc_id'].dataType.simpleString()}, body binary")
+
+
+def _set_of(body: bytes, words: int) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(body), np.uint8)
+    return _shingles(flat, np.array([0, len(flat)]), words)[0]
 
-    return docs.mapInArrow(run, f"id {docs.schema['doc_id'].dataType.simpleString()}, members binary")
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, settings: NearSettings) -> DataFrame:
+
+def _confirmed(pairs: DataFrame, bodies: DataFrame, settings: NearSettings) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * both >= settings.percent * (len(x) + len(y) - both))
+            keep = [_similar(_set_of(x.as_py(), settings.words), _set_of(y.as_py(), settings.words), settings.percent) for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wide = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("left")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("members").alias("right")), "b").select("a", "b", "left", "right")
+    wide = pairs.join(bodies.select(F.col("id").alias("a"), F.col("body").alias("left")), "a").join(
+        bodies.select(F.col("id").alias("b"), F.col("body").alias("right")), "b").select("a", "b", "left", "right")
     return wide.mapInArrow(run, pairs.select("a", "b").schema)
 
 
@@ -144,8 +155,9 @@ def _mixed_links(members: DataFrame, settings: NearSettings) -> DataFrame:
     """Confirmed links between components that share large buckets: (a, b), no more of a step than join its components.
 
     members: crowd (documents whose large buckets hang together), id, component, lead (component of the crowd's first),
-    sketch, members (the whole set). Rows of the lead's component never meet each other; all others meet everything,
-    block by block, so no step holds more than two blocks, and none gives out pairs.
+    sketch, n_shingles, body (the compressed text). Rows of the lead's component never meet each other; all others meet
+    everything, block by block, so no step holds more than two blocks, and none gives out pairs. Texts are opened only where
+    sketches are close enough.
     """
     rows = members.withColumn("minor", F.col("component") != F.col("lead"))
     sizes = rows.groupBy("crowd").agg(
@@ -159,7 +171,7 @@ def _mixed_links(members: DataFrame, settings: NearSettings) -> DataFrame:
     # a crowd of minors only has no block to meet across
     across = F.when(F.col("majors") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col("majors") - 1, F.lit(0))), lambda j: cell(1, F.col("own"), j))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
     other = rows.where("not minor").withColumn("own", own("majors"))
-    names = ["crowd", "id", "component", "sketch", "members"]
+    names = ["crowd", "id", "component", "sketch", "n_shingles", "body"]
     copies = one.select(*names, F.explode(F.concat(among, across)).alias("cell")).unionByName(
         other.select(*names, F.explode(F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda i: cell(1, i, F.col("own")))).alias("cell")))
     most = settings.most_bits
@@ -167,28 +179,22 @@ def _mixed_links(members: DataFrame, settings: NearSettings) -> DataFrame:
     def links(rows: pa.Table) -> pa.Table:
         ids = rows["id"].to_numpy()
         sketch = np.stack(rows["sketch"].to_pylist()).astype(np.int64).view(U64)
-        sets = [np.frombuffer(x, U64) for x in rows["members"].to_pylist()]
-        sizes = np.array([len(x) for x in sets])
-        flat, ends = np.concatenate(sets), np.cumsum(sizes)
+        sizes, bodies, sets = rows["n_shingles"].to_numpy(), rows["body"], {}
+
+        def own_set(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = _set_of(bodies[i].as_py(), settings.words)
+            return sets[i]
+
         component = np.unique(rows["component"].to_numpy(), return_inverse=True)[1]
         a, b = [], []
         for i in range(1, len(ids)):
             apart = np.bitwise_count(sketch[:i] ^ sketch[i]).sum(axis=1)
             fits = 100 * np.minimum(sizes[:i], sizes[i]) >= settings.percent * np.maximum(sizes[:i], sizes[i])
-            near = np.flatnonzero((apart <= most) & fits & (component[:i] != component[i]))
-            for some in np.array_split(near, max(1, len(near) // 256)):
-                some = some[component[some] != component[i]]
-                if not len(some):
-                    continue
-                own = sizes[some]
-                first = np.cumsum(own) - own
-                others = flat[np.arange(own.sum()) + np.repeat(ends[some] - own - first, own)]
-                place = np.minimum(np.searchsorted(sets[i], others), sizes[i] - 1)
-                both = np.add.reduceat((sets[i][place] == others).astype(np.int64), first)
-                for j in some[100 * both >= settings.percent * (own + sizes[i] - both)]:
-                    if component[i] != component[j]:
-                        component[component == component[i]] = component[j]
-                        a.append(ids[i]), b.append(ids[j])
+            for j in np.flatnonzero((apart <= most) & fits & (component[:i] != component[i])).tolist():
+                if component[i] != component[j] and _similar(own_set(i), own_set(j), settings.percent):
+                    component[component == component[i]] = component[j]
+                    a.append(ids[i]), b.append(ids[j])
         return pa.table({c: pa.array(x, rows["id"].type) for c, x in (("a", a), ("b", b))})
 
     kind = members.schema["id"].dataType.simpleString()
@@ -214,7 +220,7 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) ->
     classes = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("first"))
     classes = table(classes, "classes")
     stands = full.join(classes.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("id"), "bands", "sketch").dropDuplicates(["id"])
+        F.col("doc_id").alias("id"), "n_shingles", "bands", "sketch").dropDuplicates(["id"])
     stands = table(stands, "stands")
     keyed = stands.select("id", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low")).where("n > 1")
@@ -222,27 +228,28 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) ->
     small = filled.where(F.col("n") <= settings.small).select("key", "id")
     pairs = small.withColumnRenamed("id", "a").join(small.withColumnRenamed("id", "b"), "key").where("a > b").select("a", "b").unionByName(
         filled.where((F.col("n") > settings.small) & (F.col("id") != F.col("low"))).select(F.col("id").alias("a"), F.col("low").alias("b"))).distinct()
-    sketches = stands.select("id", "sketch")
+    sketches = stands.select("id", "n_shingles", "sketch")
     apart = F.aggregate(F.zip_with("left", "right", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     near = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("left")), "a").join(
         sketches.select(F.col("id").alias("b"), F.col("sketch").alias("right")), "b").where(apart <= settings.most_bits).select("a", "b")
     near = table(near, "near")
     large = filled.where(F.col("n") > settings.small)
     wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(large.select(F.col("id").alias("doc_id"))).distinct()
-    sets = table(_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), settings).dropDuplicates(["id"]), "sets")
-    first = _confirmed(near.groupBy("a").agg(F.min("b").alias("b")), sets, settings)
+    asked, _ = may_hold(docs.select("doc_id", "text"), "doc_id", wanted, "doc_id")
+    bodies = table(_bodies(asked.join(wanted, "doc_id", "left_semi")).dropDuplicates(["id"]), "bodies")
+    first = _confirmed(near.groupBy("a").agg(F.min("b").alias("b")), bodies, settings)
     first = table(first, "confirmed")
     found = table(components(first), "components")
     named = lambda df, c, to: df.join(found.select(F.col("id").alias(c), F.col("component_id").alias("_to")), c, "left").withColumn(to, F.coalesce("_to", c)).drop("_to")
     rest = named(named(near, "a", "ca"), "b", "cb").where("ca != cb").select("a", "b")
-    second = _confirmed(rest, sets, settings)
+    second = _confirmed(rest, bodies, settings)
     crowd = named(named(large.select("key", "id", "low"), "id", "component"), "low", "lead")
     uneven = crowd.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
     crowd = table(crowd.join(uneven, "key", "left_semi").select("id", "low", "component").distinct(), "crowd")
     if not crowd.isEmpty():
         groups = components(crowd.select(F.col("id").alias("a"), F.col("low").alias("b"))).withColumnRenamed("component_id", "crowd")
         crowd = named(groups.join(crowd.select("id", "component").distinct(), "id"), "crowd", "lead")
-        second = second.unionByName(_mixed_links(crowd.join(sketches, "id").join(sets, "id"), settings))
+        second = second.unionByName(_mixed_links(crowd.join(sketches, "id").join(bodies, "id"), settings))
     second = table(second, "confirmed-rest")
     if not second.isEmpty():
         found = table(components(first.unionByName(second)), "components")
@@ -255,5 +262,6 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) ->
 
 def keep_first(docs: DataFrame, settings: NearSettings = NearSettings(words=5, percent=80)) -> DataFrame:
     """docs without the documents that are near-duplicates of one with a smaller id; all columns stay."""
-    gone = near_duplicates(docs.select("doc_id", "text"), settings).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = table(near_duplicates(docs.select("doc_id", "text"), settings).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    asked, clear = may_hold(docs, "doc_id", gone, "_gone")
+    return clear.unionByName(asked.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,8 +13,7 @@ from pyspark.sql import functions as F
 
 from laneflow.llm.arrays import U64, mix, salts, span_hashes, texts
 from laneflow.llm.bwt_merge import least_owners
-from laneflow.llm.store import small_batches
-from laneflow.session import work_folder
+from laneflow.llm.store import small_batches, table
 
 
 @dataclass(frozen=True)
@@ -33,13 +31,16 @@ class RepeatSettings:
 _BYTE = salts(256, seed=29)
 
 
-def spans(flat: np.ndarray, offsets: np.ndarray, settings: RepeatSettings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First start, last start and anchor hash of all runs of starts with the same anchor, in order.
+def spans(flat: np.ndarray, offsets: np.ndarray, settings: RepeatSettings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First start, last start, anchor hash and the two witnesses of all runs of starts with the same anchor, in order.
 
     The anchor of a start is the leftmost of the grams with the least hash among those inside the `length` bytes from
-    there. Equal strings have equal anchors at equal distances, so strings can be equal only below equal anchors.
+    there. Equal strings have equal anchors at equal distances, so strings can be equal only below equal anchors. A
+    string also holds at least half of its other bytes on one side of its anchor: so it can stand elsewhere only if the anchor
+    with so many bytes on its left, or with so many on its right, does. The hashes of these are the witnesses (rows left, right; 0 where
+    the document has no room for one).
     """
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64))
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64), np.zeros((2, 0), U64))
     if len(flat) < settings.length:
         return none
     hashes, step = _BYTE[flat], 1
@@ -68,7 +69,15 @@ def spans(flat: np.ndarray, offsets: np.ndarray, settings: RepeatSettings) -> tu
     change |= edge[:-1]
     first = np.flatnonzero(good & (change | ~np.r_[False, good[:-1]]))
     last = np.flatnonzero(good & (np.r_[change[1:], True] | ~np.r_[good[1:], False]))
-    return first, last, hashes[anchor[first]]
+    own = anchor[first]
+    side = min(settings.gram, (settings.length - settings.gram) // 2)
+    doc = np.searchsorted(offsets, first, side="right") - 1
+    witness = np.zeros((2, len(own)), U64)
+    with np.errstate(over="ignore"):
+        for row, turn, fits in ((0, -side, own - side >= offsets[doc]), (1, side, own + side + settings.gram <= offsets[doc + 1])):
+            at = own[fits]
+            witness[row, fits] = mix(hashes[at] * U64(0xD6E8FEB86659FD93) + mix(hashes[at + turn] + U64(row + 1))) | U64(1)
+    return first, last, hashes[own], witness
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -118,30 +127,31 @@ def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _anchors(settings: RepeatSettings, parts: int):
-    """Rows (part, batch, hashes, places): one place for each distinct anchor of a block, by part of its hash, and, as
-    parts from `parts` on, the places of anchors that stand in the block more than once."""
+    """Rows (part, batch, hashes, places): one span for each distinct witness of a block, by part of its hash, and, as
+    parts from `parts` on, the spans whose witnesses stand in the block more than once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, _, flat, offsets, _ in _opened(batch):
-                _, _, hashes = spans(flat, offsets, settings)
+                witness = spans(flat, offsets, settings)[3]
+                place = np.tile(np.arange(witness.shape[1]), 2)[witness.ravel() != 0]
+                hashes = witness.ravel()[witness.ravel() != 0]
                 if not len(hashes):
                     continue
-                _, first, back, many = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-                first.sort()
-                part = _part(hashes[first], parts)
-                own = np.argsort(part, kind="stable")
+                hashes, first, back, many = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+                # by part, and in a part by span
+                part, at = _part(hashes, parts), place[first]
+                own = np.lexsort((at, part))
                 out = []
                 for group in np.split(own, np.flatnonzero(np.diff(part[own])) + 1):
-                    at = first[group]
-                    out.append((int(part[group[0]]), number, hashes[at].view(np.uint8).reshape(-1, 8)[:, 2:].tobytes(), _packed(at)))
-                out.append((parts + number % parts, number, b"", _packed(np.flatnonzero(many[back] > 1))))
+                    out.append((int(part[group[0]]), number, hashes[group].view(np.uint8).reshape(-1, 8)[:, 2:].tobytes(), _packed(at[group])))
+                out.append((parts + number % parts, number, b"", _packed(np.unique(place[many[back] > 1]))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["part", "batch", "hashes", "places"])
 
     return run
 
 
 def _repeated(rows: pa.Table) -> pa.Table:
-    """(batch, places) of the anchors that stand in more than one block."""
+    """(batch, places) of the spans with a witness that stands in more than one block."""
     batches, found = rows["batch"].to_pylist(), []
     bodies = [np.frombuffer(x, np.uint8).reshape(-1, 6) for x in rows["hashes"].to_pylist()]
     if not any(len(x) for x in bodies):
@@ -160,114 +170,174 @@ def _repeated(rows: pa.Table) -> pa.Table:
     return pa.table({"batch": pa.array(batches, pa.int64()), "places": pa.array(found, pa.binary())})
 
 
-_CONTENT = [("part", pa.int64()), ("batch", pa.int64()), ("anchors", pa.binary()), ("keys", pa.binary()), ("sizes", pa.binary()), ("body", pa.binary()),
-            ("string", pa.binary()), ("doc", pa.binary()), ("doc_id", pa.binary()), ("start", pa.binary())]
+_CONTENT = [("part", pa.int64()), ("batch", pa.int64()), ("anchors", pa.binary()), ("keys", pa.binary()), ("sizes", pa.binary()), ("least", pa.binary()),
+            ("body", pa.binary())]
+
+
+class _Strings:
+    """The distinct strings of a block below its kept spans, dealt into parts by their anchor's hash.
+
+    doc, first, last: of every kept span, its document and its bytes; string: which distinct string it holds. Of the distinct
+    strings: keys, anchors, one (a span that holds it), and the groups of the parts, each in order of key. Computed from the
+    block alone, so that a later step finds the same ones again.
+    """
+
+    def __init__(self, ids: list, flat: np.ndarray, offsets: np.ndarray, places: list[bytes], settings: RepeatSettings, parts: int):
+        first, last, hashes, _ = spans(flat, offsets, settings)
+        keep = np.unique(np.concatenate([np.zeros(0, np.int64), *[_unpacked(x) for x in places]]))
+        doc = np.searchsorted(offsets, first[keep], side="right") - 1
+        named = np.array([i is not None for i in ids], bool)[doc]
+        keep, self.doc = keep[named], doc[named]
+        self.first, self.last, hashes = first[keep], last[keep] + settings.length, hashes[keep]
+        self.owner = np.array([0 if i is None else i for i in ids], np.int64)[self.doc]
+        with np.errstate(over="ignore"):
+            keys = mix(span_hashes(flat, self.first, self.last) ^ (hashes * U64(0x9E3779B97F4A7C15)))
+        self.keys, self.one, self.string = np.unique(keys, return_index=True, return_inverse=True)
+        self.anchors = hashes[self.one]
+        part = _part(self.anchors, parts)
+        order = np.argsort(part, kind="stable")
+        self.groups = {int(part[g[0]]): g for g in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(g)}
 
 
 def _contents(settings: RepeatSettings, parts: int):
-    """Rows of _CONTENT: the distinct strings below repeated anchors of a block, by part of the anchor's hash, and where they stand."""
+    """Rows of _CONTENT: the distinct strings of a block with the smallest document that holds each, by part of the anchor's hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, ids, flat, offsets, row in _opened(batch):
-                first, last, hashes = spans(flat, offsets, settings)
-                keep = np.unique(np.concatenate([_unpacked(x) for x in row["places"]]))
-                doc = np.searchsorted(offsets, first[keep], side="right") - 1
-                named = np.array([i is not None for i in ids])
-                keep, doc = keep[named[doc]], doc[named[doc]]
-                if not len(keep):
+                own = _Strings(ids, flat, offsets, row["places"], settings, parts)
+                if not own.groups:
                     continue
-                first, last, hashes = first[keep], last[keep] + settings.length, hashes[keep]
-                with np.errstate(over="ignore"):
-                    keys = mix(span_hashes(flat, first, last) ^ (hashes * U64(0x9E3779B97F4A7C15)))
-                keys, one, string = np.unique(keys, return_index=True, return_inverse=True)
-                part = _part(hashes[one], parts)
-                number_of = np.array([0 if i is None else i for i in ids], np.int64)
+                least = np.full(len(own.keys), np.iinfo(np.int64).max)
+                np.minimum.at(least, own.string, own.owner)
                 out = []
-                order, places = np.argsort(part, kind="stable"), np.argsort(part[string], kind="stable")
-                for group, at in zip(np.split(order, np.flatnonzero(np.diff(part[order])) + 1), np.split(places, np.flatnonzero(np.diff(part[string][places])) + 1)):
-                    own = one[group]
-                    sizes = last[own] - first[own]
-                    body = flat[np.arange(sizes.sum()) + np.repeat(first[own] - (np.cumsum(sizes) - sizes), sizes)]
-                    out.append((int(part[group[0]]), number, hashes[own].tobytes(), keys[group].tobytes(), sizes.astype("<u2").tobytes(), body.tobytes(),
-                                np.searchsorted(group, string[at]).astype("<u4").tobytes(), doc[at].astype("<u4").tobytes(), number_of[doc[at]].tobytes(),
-                                (first[at] - offsets[doc[at]]).astype("<u4").tobytes()))
+                for part, group in own.groups.items():
+                    at = own.first[own.one[group]]
+                    sizes = own.last[own.one[group]] - at
+                    body = flat[np.arange(sizes.sum()) + np.repeat(at - (np.cumsum(sizes) - sizes), sizes)]
+                    out.append((part, number, own.anchors[group].tobytes(), own.keys[group].tobytes(), sizes.astype("<u2").tobytes(), least[group].tobytes(), body.tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out), _CONTENT)], names=[c for c, _ in _CONTENT])
 
     return run
 
 
+def _classes(keys: np.ndarray, sizes: np.ndarray, begin: np.ndarray, body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One string of each class of equal strings, and the class of each. Strings meet by key, then their bytes are compared."""
+    _, one, back = np.unique(keys, return_index=True, return_inverse=True)
+    other = np.flatnonzero((sizes != sizes[one][back]) | (one[back] != np.arange(len(keys))))
+    same = sizes[other] == sizes[one][back[other]]
+    for some in np.array_split(np.flatnonzero(same), max(1, len(other) // 100_000)):
+        n = sizes[other[some]]
+        if len(n):
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            equal = body[np.repeat(begin[other[some]], n) + step] == body[np.repeat(begin[one][back[other[some]]], n) + step]
+            same[some] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+    told: dict[tuple[int, bytes], int] = {}
+    for i in other[~same].tolist():  # equal keys of different bytes: hardly ever
+        text = (int(keys[i]), body[begin[i] : begin[i] + sizes[i]].tobytes())
+        if text not in told:
+            told[text] = len(one)
+            one = np.append(one, i)
+        back[i] = told[text]
+    return one, back
+
+
 def _settled(settings: RepeatSettings):
-    """(batch, found): what of a part's strings stands in a document with a smaller id, as triples (document, start, end)."""
+    """(batch, part, counts, least): of each distinct string of a block the smallest document that holds it, or, where strings
+    below its anchor overlap in part, the smallest one for each start (counts: how many numbers)."""
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.to_pylist()
         read = lambda c, kind: [np.frombuffer(r[c], kind) for r in rows]
-        keys, anchors, sizes, bodies = read("keys", U64), read("anchors", U64), read("sizes", "<u2"), read("body", np.uint8)
-        many = [len(k) for k in keys]
-        classes, one, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        anchors, sizes, body = np.concatenate(anchors)[one], np.concatenate(sizes).astype(np.int64), np.concatenate(bodies)
-        begin = (np.cumsum(sizes) - sizes)[one]
-        sizes = sizes[one]
-        base = np.cumsum(many) - many
-        string = np.concatenate([back[b + s.astype(np.int64)] for b, s in zip(base, read("string", "<u4"))])
-        owner, start = np.concatenate(read("doc_id", np.int64)), np.concatenate(read("start", "<u4")).astype(np.int64)
-        least = np.full(len(classes), np.iinfo(np.int64).max)
-        np.minimum.at(least, string, owner)
+        keys, anchors, sizes = np.concatenate(read("keys", U64)), np.concatenate(read("anchors", U64)), np.concatenate(read("sizes", "<u2")).astype(np.int64)
+        body, owners = np.concatenate(read("body", np.uint8)), np.concatenate(read("least", np.int64))
+        begin = np.cumsum(sizes) - sizes
+        one, back = _classes(keys, sizes, begin, body)
+        least = np.full(len(one), np.iinfo(np.int64).max)
+        np.minimum.at(least, back, owners)
+        anchors, sizes, begin = anchors[one], sizes[one], begin[one]
         # strings that are alone below their anchor repeat as a whole or not at all
         _, group, size = np.unique(anchors, return_inverse=True, return_counts=True)
         mixed = np.flatnonzero(size[group] > 1)
-        low, high = np.where(least[string] < owner, start, 0), np.where(least[string] < owner, start + sizes[string], 0)
+        counts = np.ones(len(one), np.int64)
+        counts[mixed] = sizes[mixed] - settings.length + 1
+        ends = np.cumsum(counts)
+        values = np.repeat(least, counts)
         # strings meet below one anchor only: some anchors at a time
         mixed = mixed[np.argsort(group[mixed], kind="stable")]
-        done = np.cumsum(sizes[mixed]) // (4 * settings.shard_bytes)
         head = np.flatnonzero(np.r_[True, group[mixed][1:] != group[mixed][:-1]]) if len(mixed) else mixed
+        done = np.cumsum(sizes[mixed]) // (4 * settings.shard_bytes)
         some = np.repeat(done[head], np.diff(np.r_[head, len(mixed)]))
-        turn = np.full(len(classes), -1)
-        turn[mixed] = some
-        order = np.argsort(turn[string], kind="stable")
-        turns = turn[string][order]
-        place = np.zeros(len(classes), dtype=np.int64)
         for now in np.unique(some):
             few = mixed[some == now]
             own = sizes[few]
             flat = body[np.arange(own.sum()) + np.repeat(begin[few] - (np.cumsum(own) - own), own)]
             table_ = least_owners(flat, own, least[few], settings.length, settings.shard_bytes)
-            place[few] = np.arange(len(few))
-            at = order[np.searchsorted(turns, now) : np.searchsorted(turns, now, side="right")]
-            for part in np.array_split(at, max(1, len(at) // 20_000)):
-                gone = table_[place[string[part]]] < owner[part][:, None]
-                has = gone.any(axis=1)
-                # starts of a span lie closer than a string is long: what they cover hangs together
-                low[part] = np.where(has, start[part] + gone.argmax(axis=1), 0)
-                high[part] = np.where(has, start[part] + gone.shape[1] - 1 - gone[:, ::-1].argmax(axis=1) + settings.length, 0)
-        docs, at, out = read("doc", "<u4"), 0, []
-        for doc in docs:
-            mine = slice(at, at + len(doc))
-            at += len(doc)
-            has = high[mine] > 0
-            out.append(np.stack([doc[has], low[mine][has], high[mine][has]]).astype("<u4").tobytes())
-        return pa.table({"batch": pa.array([r["batch"] for r in rows], pa.int64()), "found": pa.array(out, pa.binary())})
+            n = counts[few]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            values[np.repeat(ends[few] - n, n) + step] = table_[np.repeat(np.arange(len(few)), n), step]
+        pack, at, out = zstandard.ZstdCompressor(level=3), 0, []
+        for r in rows:
+            mine = back[at : at + len(r["keys"]) // 8]
+            at += len(mine)
+            n = counts[mine]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            out.append((r["batch"], r["part"], n.astype("<u2").tobytes(), pack.compress(values[np.repeat(ends[mine] - n, n) + step].tobytes())))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["batch", "part", "counts", "least"])
+
+    return run
+
+
+def _covered(own: _Strings, found: list[dict], settings: RepeatSettings) -> tuple[np.ndarray, np.ndarray]:
+    """Where what is removed below the kept spans of a block begins and ends."""
+    counts, first = np.zeros(len(own.keys), np.int64), np.zeros(len(own.keys), np.int64)
+    values, size = [], 0
+    for row in found:
+        group = own.groups[row["part"]]
+        n = np.frombuffer(row["counts"], "<u2").astype(np.int64)
+        counts[group], first[group] = n, size + np.cumsum(n) - n
+        values.append(np.frombuffer(zstandard.decompress(row["least"]), np.int64))
+        size += len(values[-1])
+    values = np.concatenate(values)
+    low, high = [], []
+    starts = own.last - own.first - settings.length + 1
+    for at in np.array_split(np.arange(len(own.string)), max(1, len(own.string) // 20_000)):
+        n, of = counts[own.string[at]], own.string[at]
+        step = np.arange(int(starts[at].max(initial=1)))
+        here = np.minimum(step, (n - 1)[:, None])
+        gone = (values[first[of][:, None] + here] < own.owner[at][:, None]) & (step < starts[at][:, None])
+        has = gone.any(axis=1)
+        # starts of a span lie closer than a string is long: what they cover hangs together
+        low.append((own.first[at] + gone.argmax(axis=1))[has])
+        high.append((own.first[at] + gone.shape[1] - 1 - gone[:, ::-1].argmax(axis=1) + settings.length)[has])
+    return np.concatenate(low), np.concatenate(high)
+
+
+def _removed(settings: RepeatSettings, parts: int):
+    """The documents of each block with what is removed from them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, ids, flat, offsets, row in _opened(batch):
+                yield _answer(ids, flat, offsets, row, settings, parts)
 
     return run
 
 
-def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, ids, flat, offsets, row in _opened(batch):
-            cover = np.zeros(len(flat) + 1, dtype=np.int32)
-            for triples in row["found"] or []:
-                doc, low, high = np.frombuffer(triples, "<u4").reshape(3, -1).astype(np.int64)
-                np.add.at(cover, offsets[doc] + low, 1)
-                np.add.at(cover, offsets[doc] + high, -1)
-            gone = np.cumsum(cover[:-1]) > 0
-            out, kept = [], []
-            for a, b in zip(offsets, offsets[1:]):
-                own = gone[a:b]
-                turns = np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8))).reshape(-1, 2)
-                out.append([{"start": int(x), "end": int(y)} for x, y in turns])
-                kept.append(flat[a:b][~own].tobytes())
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array(np.diff(offsets)), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+def _answer(ids: list, flat: np.ndarray, offsets: np.ndarray, row: dict, settings: RepeatSettings, parts: int) -> pa.RecordBatch:
+    cover = np.zeros(len(flat) + 1, dtype=np.int32)
+    if row["found"]:
+        low, high = _covered(_Strings(ids, flat, offsets, row["places"], settings, parts), row["found"], settings)
+        np.add.at(cover, low, 1)
+        np.add.at(cover, high, -1)
+    gone = np.cumsum(cover[:-1]) > 0
+    out, kept = [], []
+    for a, b in zip(offsets, offsets[1:]):
+        own = gone[a:b]
+        turns = np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8))).reshape(-1, 2)
+        out.append([{"start": int(x), "end": int(y)} for x, y in turns])
+        kept.append(flat[a:b][~own].tobytes())
+    return pa.RecordBatch.from_arrays([
+        pa.array(ids, pa.int64()), pa.array(np.diff(offsets)), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+        pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
 
 def repeated_bytes(docs: DataFrame, settings: RepeatSettings = RepeatSettings()) -> DataFrame:
@@ -277,12 +347,13 @@ def repeated_bytes(docs: DataFrame, settings: RepeatSettings = RepeatSettings())
     smaller doc_id; kept: the bytes outside. Null text is empty; texts shorter than `length` lose nothing, and neither
     do rows without doc_id, which no other row is compared with. Rows that repeat a doc_id don't touch each other.
 
-    1. Documents go into compressed blocks, bucketed by block. 2. Every start of a string belongs to an anchor; anchors
-    that stand once only, in all blocks, are dropped. 3. The strings below the others meet by anchor: equal ones
-    become one class with its smallest document. Classes that share an anchor with others are cut into shards; the
-    shards' transforms are merged, and the repeated intervals of the merged order give each start its smallest
-    document. 4. Blocks get back what is to be removed. Blocks send each distinct string once, so a hot passage
-    weighs as much as the number of blocks; parts grow in number with the text.
+    1. Documents go into compressed blocks. 2. Every start of a string belongs to an anchor; spans whose witnesses stand once
+    only, in all blocks, are dropped. 3. The distinct strings of each block below the others meet by anchor, each with the
+    smallest document of its block: equal ones, byte by byte, become one class. Classes that share an anchor with others are cut
+    into shards; the shards' transforms are merged, and the repeated intervals of the merged order give each start its
+    smallest document. 4. Blocks get back the smallest documents of their distinct strings and judge what stands where
+    by themselves. So a hot passage, or a run of one byte, weighs as much as the number of blocks that hold it, however often
+    it stands there; parts grow in number with the text.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -291,17 +362,16 @@ def repeated_bytes(docs: DataFrame, settings: RepeatSettings = RepeatSettings())
     parts = 8
     while parts * settings.part_bytes < size:
         parts *= 2
-    name = f"blocks_{uuid.uuid4().hex}"
-    blocks = rows.mapInArrow(_blocks(settings), "batch long, doc_ids array<long>, sizes array<long>, body binary")
-    blocks.repartition(parts, "batch").write.bucketBy(parts, "batch").option("path", work_folder(spark, "blocks")).mode("overwrite").saveAsTable(name)
-    blocks = spark.table(name)
+    blocks = table(rows.mapInArrow(_blocks(settings), "batch long, doc_ids array<long>, sizes array<long>, body binary"), "text-blocks")
     anchors = blocks.mapInArrow(_anchors(settings, parts), "part long, batch long, hashes binary, places binary")
-    places = anchors.groupBy("part").applyInArrow(_repeated, "batch long, places binary").groupBy("batch").agg(F.collect_list("places").alias("places"))
+    places = table(anchors.groupBy("part").applyInArrow(_repeated, "batch long, places binary").groupBy("batch").agg(F.collect_list("places").alias("places")), "places")
     schema = ", ".join(f"{c} {'long' if t == pa.int64() else 'binary'}" for c, t in _CONTENT)
-    contents = blocks.join(places, "batch").mapInArrow(_contents(settings, parts), schema)
-    found = contents.groupBy("part").applyInArrow(_settled(settings), "batch long, found binary").groupBy("batch").agg(F.collect_list("found").alias("found"))
-    return blocks.join(found, "batch", "left").mapInArrow(
-        _removed, "doc_id long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary")
+    named = blocks.join(places, "batch", "left")
+    contents = named.where("places is not null").mapInArrow(_contents(settings, parts), schema)
+    found = contents.groupBy("part").applyInArrow(_settled(settings), "batch long, part long, counts binary, least binary").groupBy("batch").agg(
+        F.collect_list(F.struct("part", "counts", "least")).alias("found"))
+    return named.join(found, "batch", "left").mapInArrow(
+        _removed(settings, parts), "doc_id long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary")
 
 
 def digest(repeats: DataFrame) -> DataFrame:
