@@ -23,16 +23,17 @@ _BLANKED = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 class LanguageSettings:
     """Bounds of the fit and the rule of rejection.
 
-    sample_rows: labelled rows a language's dictionary is cut from, at most about twice so many;
-    row_chars: characters taken of each of them; dictionary_bytes: size of a dictionary; most_languages: values of
-    `lang` learned, the most frequent; level: of zstandard; min_match: shortest repeat that it codes; min_margin:
+    sample_rows: labelled rows a language's dictionary is cut from, at most about twice so many; row_chars: characters taken of
+    each of them, in `windows` pieces spread over the whole text; dictionary_bytes: size of a dictionary; block: languages
+    whose dictionaries a task holds at once; level: of zstandard; min_match: shortest repeat that it codes; min_margin:
     bytes by which the second language must be worse than the first, or the text is rejected.
     """
 
     sample_rows: int = 300
     row_chars: int = 1000
+    windows: int = 4
     dictionary_bytes: int = 128 << 10
-    most_languages: int = 64
+    block: int = 32
     level: int = 6
     min_match: int = 3
     min_margin: int = 2
@@ -49,18 +50,25 @@ def letters(text: str) -> bytes:
 def fit(labelled: DataFrame, settings: LanguageSettings = LanguageSettings()) -> dict[str, bytes]:
     """Raw-content dictionaries by language, from a bounded sample of rows with text and lang.
 
-    The sample of a language: the rows whose hash of id and text lies under a share of the hash range, a share that
-    gives sample_rows on average; so it is spread over the whole table, and its size doesn't grow with it. Rows
-    with null or letterless text are not used. No rows: no languages.
+    Every value of lang is learned. The sample of a language: the rows whose hash of id and text lies under a share of the hash
+    range, a share that gives sample_rows on average; so it is spread over the whole table, and its size doesn't grow with
+    it. A longer text gives pieces from all of its parts, at places that the hash shifts. Rows with null or letterless
+    text are not used. No rows: no languages.
     """
     rows = labelled.where("text is not null and lang is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.most_languages).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return {}
     share = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(settings.sample_rows / r["count"]))])
     place = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id", "text"), 11) / float(1 << 53)
-    sample = rows.select("lang", place.alias("place"), F.substring("text", 1, settings.row_chars).alias("text")).where(
-        F.col("place") < F.element_at(share, F.col("lang"))).limit(2 * settings.sample_rows * len(counts)).collect()
+    shift = F.shiftrightunsigned(F.xxhash64(F.lit(13), "doc_id", "text"), 11) / float(1 << 53)
+    width, room = settings.row_chars // settings.windows, F.length("text") - settings.row_chars
+    # between the pieces lie equal parts of what is left out, the first of them shifted
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(settings.windows - 1)), lambda i: F.substring(
+        F.col("text"), (i * width + F.floor((i + shift) * room / settings.windows)).cast("int") + 1, F.lit(width)))
+    text = F.when(room <= 0, F.col("text")).otherwise(F.array_join(pieces, " "))
+    sample = rows.withColumn("place", place).where(F.col("place") < F.element_at(share, F.col("lang"))).select(
+        "lang", "place", text.alias("text")).limit(2 * settings.sample_rows * len(counts)).collect()
     found: dict[str, list[tuple[float, bytes]]] = {}
     for r in sample:
         if body := letters(r.text):
@@ -68,48 +76,70 @@ def fit(labelled: DataFrame, settings: LanguageSettings = LanguageSettings()) ->
     return {lang: b" ".join(x for _, x in sorted(own))[: settings.dictionary_bytes] for lang, own in sorted(found.items())}
 
 
-def _sizes(dictionaries: dict[str, bytes], settings: LanguageSettings):
+def _sizes(dictionaries: list[bytes], settings: LanguageSettings):
+    """A function from a text to its compressed size with each dictionary."""
     how = zstandard.ZstdCompressionParameters.from_level(
         settings.level, min_match=settings.min_match, write_checksum=False, write_content_size=False, write_dict_id=False)
-    coders = [zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=how)
-              for body in dictionaries.values()]
+    coders = []
+    for body in dictionaries:
+        own = zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        own.precompute_compress(compression_params=how)
+        coders.append(zstandard.ZstdCompressor(dict_data=own, compression_params=how))
     return lambda body: [len(c.compress(body)) for c in coders]
 
 
+def _two_least(names: list[str], dictionaries: list[bytes], settings: LanguageSettings):
+    """Carries on the best language of each text, and the two least sizes, over one block of languages."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = _sizes(dictionaries, settings)
+        for batch in batches:
+            row, name, least, second = batch.columns
+            out = []
+            for t, n, a, b in zip(row.field("text"), name.to_pylist(), least.to_pylist(), second.to_pylist()):
+                body = letters(t.as_py() or "")
+                if body:
+                    own = sizes(body)
+                    best = int(np.argmin(own))
+                    others = [x for i, x in enumerate(own) if i != best] + [x for x in (a, b) if x is not None]
+                    # names come in order, so a tie stays with the earlier block
+                    if a is None or own[best] < a:
+                        n, a, b = names[best], own[best], min(others, default=None)
+                    else:
+                        b = min(x for x in (b, own[best]) if x is not None)
+                out.append((n, a, b))
+            columns = list(zip(*out)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([row, *[pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))]], names=batch.schema.names)
+
+    return run
+
+
+def _judged(docs: DataFrame, dictionaries: dict[str, bytes], settings: LanguageSettings) -> DataFrame:
+    """row (the row of docs), lang_pred, score, margin_bytes, rejected. Languages come block by block, and each block carries the best
+    so far on."""
+    small_batches(docs.sparkSession)
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lit(None).cast("string").alias("name"),
+                        F.lit(None).cast("long").alias("least"), F.lit(None).cast("long").alias("second"))
+    names, schema = list(dictionaries), found.schema
+    for at in range(0, len(names), settings.block):
+        some = names[at : at + settings.block]
+        found = found.mapInArrow(_two_least(some, [dictionaries[n] for n in some], settings), schema)
+    second = F.coalesce("second", 2 * F.col("least"))
+    lead, told = second - F.col("least"), F.col("name").isNotNull()
+    return found.select(
+        "row", F.coalesce("name", F.lit(UNKNOWN)).alias("lang_pred"), F.when(told, F.least(F.lit(1.0), 4.0 * lead / second)).otherwise(0.0).alias("score"),
+        F.coalesce(lead, F.lit(0)).cast("long").alias("margin_bytes"), F.when(told & F.lit(len(names) > 1), lead < settings.min_margin).otherwise(~told).alias("rejected"))
+
+
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], settings: LanguageSettings = LanguageSettings()) -> DataFrame:
     """Adds lang_pred, score, margin_bytes and rejected to the rows of docs (its column `text`).
 
     The whole text is compressed once per language; the smallest wins, ties go to the first name. score:
     1 - best / second, stretched to 0..1. rejected: no letter or null text (`und`, 0), or a narrow margin.
-    Columns of docs with the new names are replaced; all others pass through. With no language learned all is `und`.
+    Columns of docs with the new names are replaced; all others pass through. With no language learned all is `und`; with one,
+    twice its size stands for the second.
     """
-    small_batches(docs.sparkSession)
-    new = ["lang_pred", "score", "margin_bytes", "rejected"]
-    kept = docs.drop(*new)
-    names = list(dictionaries)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = _sizes(dictionaries, settings)
-        for batch in batches:
-            pred, score, margin, rejected = [], [], [], []
-            for text in batch.column(batch.schema.get_field_index("text")):
-                body = letters(text.as_py() or "") if names else b""
-                if not body:
-                    pred.append(UNKNOWN), score.append(0.0), margin.append(0), rejected.append(True)
-                    continue
-                own = sizes(body)
-                best = int(np.argmin(own))
-                rest = min((x for i, x in enumerate(own) if i != best), default=2 * own[best])
-                lead = rest - own[best]
-                pred.append(names[best]), margin.append(lead)
-                score.append(min(1.0, 4.0 * lead / rest))
-                rejected.append(len(names) > 1 and lead < settings.min_margin)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.int64()), pa.array(rejected, pa.bool_())],
-                names=[*batch.schema.names, *new])
-
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields], "lang_pred string", "score double", "margin_bytes long", "rejected boolean"])
-    return kept.mapInArrow(run, schema)
+    kept = docs.drop("lang_pred", "score", "margin_bytes", "rejected")
+    return _judged(kept, dictionaries, settings).select("row.*", "lang_pred", "score", "margin_bytes", "rejected")
 
 
 def learn(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> dict[str, bytes]:
@@ -125,5 +155,4 @@ def language_id(docs: DataFrame, settings: LanguageSettings = LanguageSettings()
 
 def keep_identified(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> DataFrame:
     """The documents whose language is told, with their own columns."""
-    marked = identify(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), learn(docs, settings), settings)
-    return marked.where(~F.col("rejected")).select("row.*")
+    return _judged(docs, learn(docs, settings), settings).where(~F.col("rejected")).select("row.*")

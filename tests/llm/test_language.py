@@ -48,3 +48,44 @@ def test_the_sample_is_bounded(spark):
     settings = lang.LanguageSettings(sample_rows=20, row_chars=50, dictionary_bytes=600)
     dictionaries = lang.fit(read(spark, SF, "documents"), settings)
     assert set(dictionaries) == {"en", "de", "fr", "es"} and all(0 < len(d) <= 600 for d in dictionaries.values())
+
+
+def test_seventy_languages(spark):
+    """Each is learned, in blocks of any size, with the same answer as in one."""
+    words = {f"l{i:02d}": [f"{chr(97 + i % 26)}{chr(97 + i // 3 % 26)}{chr(97 + j)}o{i}x".translate({ord(d): chr(103 + int(d)) for d in "0123456789"}) for j in range(12)] for i in range(70)}
+    rows = [(1000 * k + n, " ".join(own[(n + j) % 12] for j in range(30)), name) for k, (name, own) in enumerate(words.items()) for n in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    truth = {r[0]: r[2] for r in rows}
+    answers = [sorted(map(tuple, lang.language_id(docs, lang.LanguageSettings(block=n)).collect())) for n in (7, 32, 100)]
+    assert answers[0] == answers[1] == answers[2]
+    assert sum(truth[r[0]] == r[2] for r in answers[0]) >= 0.99 * len(rows) and {r[2] for r in answers[0]} == set(words)
+
+
+def test_the_sample_is_from_all_over_a_text(spark):
+    """A shared header doesn't stand for a text: all parts of it come into the dictionary."""
+    docs = spark.createDataFrame([(1, "header " * 2000 + "middle " * 2000 + "ending " * 2000, "en")], "doc_id long, text string, lang string")
+    body, = lang.fit(docs, lang.LanguageSettings(row_chars=400)).values()
+    assert 300 < len(body) <= 420 and all(w in body for w in (b"header", b"middle", b"ending"))
+
+
+def plain(text, dictionaries, settings):
+    import zstandard
+
+    body = lang.letters(text or "")
+    if not body or not dictionaries:
+        return "und", 0.0, 0, True
+    how = zstandard.ZstdCompressionParameters.from_level(settings.level, min_match=settings.min_match, write_checksum=False, write_content_size=False, write_dict_id=False)
+    sizes = sorted((len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=how).compress(body)), n)
+                   for n, d in dictionaries.items())
+    second = sizes[1][0] if len(sizes) > 1 else 2 * sizes[0][0]
+    lead = second - sizes[0][0]
+    return sizes[0][1], min(1.0, 4.0 * lead / second), lead, len(sizes) > 1 and lead < settings.min_margin
+
+
+def test_against_one_text_at_a_time(spark):
+    docs = read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame(EDGES, "doc_id long, text string, lang string"))
+    settings = lang.LanguageSettings(block=3)
+    dictionaries = lang.learn(docs, settings)
+    found = lang.identify(docs, dictionaries, settings).collect()
+    assert [(r.lang_pred, r.score, r.margin_bytes, r.rejected) for r in found] == [plain(r.text, dictionaries, settings) for r in found]
