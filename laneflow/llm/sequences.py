@@ -40,15 +40,17 @@ def _documents(batches: Iterator[pa.RecordBatch], settings: PackSettings) -> Ite
 
 
 def token_pieces(docs: DataFrame, settings: PackSettings) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of all pieces: a document, or its cuts of `size` tokens with a shorter last one."""
+    """doc_id, piece, start, length, ids_crc32 of all pieces: a document, or its cuts of `size` tokens, counted from its end: the first may be
+    shorter."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, documents in _documents(batches, settings):
             row, start, length, crc, piece = [], [], [], [], []
             for i, ids in enumerate(documents):
-                for p, at in enumerate(range(0, len(ids), settings.size)):
-                    part = ids[at : at + settings.size]
+                head = len(ids) % settings.size or settings.size
+                for p, (at, end) in enumerate(zip([0, *range(head, len(ids), settings.size)], range(head, len(ids) + 1, settings.size))):
+                    part = ids[at:end]
                     row.append(i), piece.append(p), start.append(at), length.append(len(part)), crc.append(zlib.crc32(part.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("doc_id")).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
@@ -91,7 +93,7 @@ def repack(pieces: DataFrame, settings: PackSettings) -> DataFrame:
     schema = pieces.select("*", F.lit(0).alias("part"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
                            F.lit(False).alias("certified"), F.lit(False).alias("settled")).schema
     todo, done = pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long"), "certified": F.lit(False), "settled": F.lit(False)}), []
-    dealt = F.xxhash64("doc_id", "start")
+    dealt = F.xxhash64(F.monotonically_increasing_id())  # not by id: many rows may have none, or the same
     for round_ in range(settings.rounds):
         parts = max(1, -(-todo.count() // settings.group))
         packed = todo.withColumn("part", F.pmod(dealt, F.lit(parts)).cast("int")).select(*schema.names).groupBy("part").applyInArrow(_pack(settings, round_), schema)

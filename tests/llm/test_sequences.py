@@ -1,5 +1,6 @@
 """Tokens, packing and repacking: round trips, and exhaustive packing of small inputs."""
 
+import dataclasses
 import itertools
 import random
 import zlib
@@ -144,3 +145,34 @@ def test_empty_tables(spark):
     settings = s.PackSettings(VOCABULARY)
     assert s.certified_packing(docs, settings).count() == 0
     assert s.packed_matrices(docs, settings).count() == 0
+
+
+def test_only_the_first_piece_is_shorter(spark):
+    docs = [(1, "word " * 5000), (2, "x"), (3, None), (4, "word " * 2047), (5, "word " * 2048)]
+    rows = s.certified_packing(spark.createDataFrame(docs, "doc_id long, text string"), queries.packing_settings()).collect()
+    check_pieces(rows, docs, 2048)
+    assert all(r.length == 2048 for r in rows if r.piece) and max(r.piece for r in rows) >= 2
+
+
+def test_rows_without_id_or_with_one_id_are_dealt_over_groups(spark):
+    """Many equal rows are no one group: the parts stay small, and the bins are as few as can be."""
+    docs = spark.createDataFrame([(None, "a b c " * 220)] * 500 + [(7, "d e f " * 220)] * 500, "doc_id long, text string").repartition(4)
+    settings = dataclasses.replace(queries.packing_settings(), group=100)
+    rows = s.certified_packing(docs, settings).collect()
+    assert len(rows) == 1000 and len({(r.sequence_id, r.offset) for r in rows}) == 1000
+    assert {r.length for r in rows} <= set(range(600, 683))  # three to a sequence
+    assert len({r.sequence_id for r in rows}) <= -(-1000 // 3) + 10
+
+
+def test_matrices_query(spark):
+    """The registered query at its own size, against the ids of whole texts."""
+    own = TOKENIZER
+    texts = {r.doc_id: r.text for r in read(spark, "/root/testdata/sf0.001", "documents").collect()}
+    found = {}
+    for r in queries.op3_token_matrices(spark, "/root/testdata/sf0.001").collect():
+        ids = np.frombuffer(r.input_ids, "<u4")
+        assert len(ids) == 2048 and r.cu_seqlens[0] == 0
+        for doc, start, a, b in zip(r.doc_ids, r.starts, r.cu_seqlens, r.cu_seqlens[1:]):
+            found.setdefault(doc, []).append((start, ids[a:b].tolist()))
+    assert {d: [i for _, x in sorted(p) for i in x] for d, p in found.items()} == {
+        d: [*own.encode(t or "", add_special_tokens=False).ids, 0] for d, t in texts.items()}
