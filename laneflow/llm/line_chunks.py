@@ -43,11 +43,11 @@ def chunked(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataF
 def repeated_chunks(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
     """(doc_id, removed): the places of the chunks that repeat an earlier one, byte for byte.
 
-    Earlier: smaller (doc_id, place). Chunks meet by hash first, so that the bytes of a chunk travel only if its hash
+    Earlier: smaller (doc_id, place); rows without doc_id take no part. Chunks meet by hash first, so that the bytes of a chunk travel only if its hash
     repeats; then equal bytes are counted as one group. A hot group is pre-aggregated, and the join back can be split.
     """
     rows = chunked(docs.select("doc_id", "text"), settings).select("doc_id", F.posexplode_outer("_chunks").alias("place", "chunk"))
-    rows = rows.where(F.col("chunk.solid") >= settings.min_lines).select(
+    rows = rows.where((F.col("chunk.solid") >= settings.min_lines) & F.col("doc_id").isNotNull()).select(
         "doc_id", "place", F.col("chunk.text").alias("body"), F.xxhash64("chunk.text").alias("key"))
     often = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     again = table(rows.join(often, "key", "left_semi"), "repeated-chunks")
@@ -78,11 +78,11 @@ def line_dedup(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> Da
 def repeated_spans(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
     """(doc_id, gone): the numbers of the lines that stand in a run of `min_lines` solid lines which an earlier place has too.
 
-    Earlier: smaller (doc_id, line). A run has its blank lines with it and begins at every solid line, so that a passage of
+    Earlier: smaller (doc_id, line); rows without doc_id take no part. A run has its blank lines with it and begins at every solid line, so that a passage of
     any length and place is found whole, lines at its edges too. Runs meet by their sha256, which stands for their bytes;
     equal ones are pre-aggregated, and the join back can be split.
     """
-    lines = docs.select("doc_id", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("_lines"))
+    lines = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("_lines"))
     lines = lines.withColumn("_solid", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.trim(F.get("_lines", i)) != ""))
     begins = F.slice("_solid", 1, F.greatest(F.size("_solid") - (settings.min_lines - 1), F.lit(0)))
     lines = lines.withColumn("_spans", F.transform(begins, lambda at, i: F.struct(

@@ -91,4 +91,11 @@ def test_repeats_are_the_plain_ones(spark):
 def test_repeats_of_nulls(spark):
     docs = spark.createDataFrame([(None, "a\nb"), (1, "a\nb\nx"), (2, None), (3, ""), (4, "\n\n"), (5, "a\nb")], "doc_id long, text string")
     out = {r.doc_id: r.text for r in line_chunks.drop_repeats(docs).collect()}
-    assert out == {None: "a\nb", 1: "x", 2: None, 3: "", 4: "\n\n"}
+    assert out == {None: "a\nb", 1: "a\nb\nx", 2: None, 3: "", 4: "\n\n"}
+
+
+def test_rows_without_id_are_no_first_place(spark):
+    """As in SQL, which sorts them last: the first document with an id keeps the chunk, later ones lose it."""
+    docs = spark.createDataFrame([(None, "x1\nx2"), (1, "x1\nx2"), (3, "x1\nx2")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed_chunks for r in line_chunks.line_dedup(docs).collect()} == {None: 0, 1: 0, 3: 1}
+    assert {r.doc_id for r in line_chunks.drop_repeats(docs).collect()} == {None, 1}
