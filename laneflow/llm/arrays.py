@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,6 +80,15 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = BA
             end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, side="right")) - 1)
             yield batch.slice(row, end - row), flat[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
             row = end
+    give_back()
+
+
+def give_back() -> None:
+    """Returns this worker's freed memory to the machine: a worker outlives its tasks, and others need the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def word_spans(flat: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

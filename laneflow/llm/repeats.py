@@ -31,8 +31,18 @@ class RepeatSettings:
 _BYTE = salts(256, seed=29)
 
 
-def spans(flat: np.ndarray, offsets: np.ndarray, settings: RepeatSettings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First start, last start, anchor hash and the two witnesses of all runs of starts with the same anchor, in order.
+def _grams(flat: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the gram that begins at each byte."""
+    hashes, step = _BYTE[flat], 1
+    with np.errstate(over="ignore"):
+        while step < gram:
+            hashes = mix(hashes[:-step] * U64(0x9E3779B97F4A7C15) + hashes[step:])
+            step *= 2
+    return hashes
+
+
+def spans(flat: np.ndarray, offsets: np.ndarray, settings: RepeatSettings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First start, last start, anchor's place and hash, and the two witnesses of all runs of starts with the same anchor, in order.
 
     The anchor of a start is the leftmost of the grams with the least hash among those inside the `length` bytes from
     there. Equal strings have equal anchors at equal distances, so strings can be equal only below equal anchors. A
@@ -40,14 +50,10 @@ def spans(flat: np.ndarray, offsets: np.ndarray, settings: RepeatSettings) -> tu
     with so many bytes on its left, or with so many on its right, does. The hashes of these are the witnesses (rows left, right; 0 where
     the document has no room for one).
     """
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64), np.zeros((2, 0), U64))
+    none = (*[np.zeros(0, np.int64)] * 3, np.zeros(0, U64), np.zeros((2, 0), U64))
     if len(flat) < settings.length:
         return none
-    hashes, step = _BYTE[flat], 1
-    with np.errstate(over="ignore"):
-        while step < settings.gram:
-            hashes = mix(hashes[:-step] * U64(0x9E3779B97F4A7C15) + hashes[step:])
-            step *= 2
+    hashes = _grams(flat, settings.gram)
     least = (hashes & U64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=U64)
     width, step = settings.length - settings.gram + 1, 1
     while 2 * step <= width:
@@ -77,7 +83,7 @@ def spans(flat: np.ndarray, offsets: np.ndarray, settings: RepeatSettings) -> tu
         for row, turn, fits in ((0, -side, own - side >= offsets[doc]), (1, side, own + side + settings.gram <= offsets[doc + 1])):
             at = own[fits]
             witness[row, fits] = mix(hashes[at] * U64(0xD6E8FEB86659FD93) + mix(hashes[at + turn] + U64(row + 1))) | U64(1)
-    return first, last, hashes[own], witness
+    return first, last, own, hashes[own], witness
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -128,11 +134,12 @@ def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 def _anchors(settings: RepeatSettings, parts: int):
     """Rows (part, batch, hashes, places): one span for each distinct witness of a block, by part of its hash, and, as
-    parts from `parts` on, the spans whose witnesses stand in the block more than once."""
+    parts from `parts` on, the spans whose witnesses stand in the block more than once. The top bits of a hash make the part; 32
+    low ones go along, enough for the few hundred thousand of a part: a witness kept by chance does no harm."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, _, flat, offsets, _ in _opened(batch):
-                witness = spans(flat, offsets, settings)[3]
+                witness = spans(flat, offsets, settings)[4]
                 place = np.tile(np.arange(witness.shape[1]), 2)[witness.ravel() != 0]
                 hashes = witness.ravel()[witness.ravel() != 0]
                 if not len(hashes):
@@ -143,7 +150,7 @@ def _anchors(settings: RepeatSettings, parts: int):
                 own = np.lexsort((at, part))
                 out = []
                 for group in np.split(own, np.flatnonzero(np.diff(part[own])) + 1):
-                    out.append((int(part[group[0]]), number, hashes[group].view(np.uint8).reshape(-1, 8)[:, 2:].tobytes(), _packed(at[group])))
+                    out.append((int(part[group[0]]), number, hashes[group].view(np.uint8).reshape(-1, 8)[:, 1:5].tobytes(), _packed(at[group])))
                 out.append((parts + number % parts, number, b"", _packed(np.unique(place[many[back] > 1]))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["part", "batch", "hashes", "places"])
 
@@ -153,12 +160,10 @@ def _anchors(settings: RepeatSettings, parts: int):
 def _repeated(rows: pa.Table) -> pa.Table:
     """(batch, places) of the spans with a witness that stands in more than one block."""
     batches, found = rows["batch"].to_pylist(), []
-    bodies = [np.frombuffer(x, np.uint8).reshape(-1, 6) for x in rows["hashes"].to_pylist()]
+    bodies = [np.frombuffer(x, "<u4") for x in rows["hashes"].to_pylist()]
     if not any(len(x) for x in bodies):
         return rows.select(["batch", "places"])
-    wide = np.zeros((sum(map(len, bodies)), 8), dtype=np.uint8)
-    wide[:, 2:] = np.concatenate(bodies)
-    hashes = wide.view(U64).ravel()
+    hashes = np.concatenate(bodies)
     order = np.argsort(hashes)
     same = hashes[order][1:] == hashes[order][:-1]
     again = np.zeros(len(hashes), dtype=bool)
@@ -170,31 +175,35 @@ def _repeated(rows: pa.Table) -> pa.Table:
     return pa.table({"batch": pa.array(batches, pa.int64()), "places": pa.array(found, pa.binary())})
 
 
-_CONTENT = [("part", pa.int64()), ("batch", pa.int64()), ("anchors", pa.binary()), ("keys", pa.binary()), ("sizes", pa.binary()), ("least", pa.binary()),
-            ("body", pa.binary())]
+_CONTENT = [("part", pa.int64()), ("batch", pa.int64()), ("inside", pa.binary()), ("sizes", pa.binary()), ("least", pa.binary()), ("body", pa.binary())]
+
+
+def _keys(flat: np.ndarray, first: np.ndarray, last: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """A hash of each string and its anchor."""
+    with np.errstate(over="ignore"):
+        return mix(span_hashes(flat, first, last) ^ (anchors * U64(0x9E3779B97F4A7C15)))
 
 
 class _Strings:
     """The distinct strings of a block below its kept spans, dealt into parts by their anchor's hash.
 
     doc, first, last: of every kept span, its document and its bytes; string: which distinct string it holds. Of the distinct
-    strings: keys, anchors, one (a span that holds it), and the groups of the parts, each in order of key. Computed from the
+    strings: keys, inside (its anchor's place in it), one (a span that holds it), and the groups of the parts, each in order of key. Computed from the
     block alone, so that a later step finds the same ones again.
     """
 
     def __init__(self, ids: list, flat: np.ndarray, offsets: np.ndarray, places: list[bytes], settings: RepeatSettings, parts: int):
-        first, last, hashes, _ = spans(flat, offsets, settings)
+        first, last, anchor, hashes, _ = spans(flat, offsets, settings)
         keep = np.unique(np.concatenate([np.zeros(0, np.int64), *[_unpacked(x) for x in places]]))
         doc = np.searchsorted(offsets, first[keep], side="right") - 1
         named = np.array([i is not None for i in ids], bool)[doc]
         keep, self.doc = keep[named], doc[named]
         self.first, self.last, hashes = first[keep], last[keep] + settings.length, hashes[keep]
         self.owner = np.array([0 if i is None else i for i in ids], np.int64)[self.doc]
-        with np.errstate(over="ignore"):
-            keys = mix(span_hashes(flat, self.first, self.last) ^ (hashes * U64(0x9E3779B97F4A7C15)))
+        keys = _keys(flat, self.first, self.last, hashes)
         self.keys, self.one, self.string = np.unique(keys, return_index=True, return_inverse=True)
-        self.anchors = hashes[self.one]
-        part = _part(self.anchors, parts)
+        self.inside = (anchor[keep] - self.first)[self.one]
+        part = _part(hashes[self.one], parts)
         order = np.argsort(part, kind="stable")
         self.groups = {int(part[g[0]]): g for g in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(g)}
 
@@ -202,6 +211,7 @@ class _Strings:
 def _contents(settings: RepeatSettings, parts: int):
     """Rows of _CONTENT: the distinct strings of a block with the smallest document that holds each, by part of the anchor's hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for number, ids, flat, offsets, row in _opened(batch):
                 own = _Strings(ids, flat, offsets, row["places"], settings, parts)
@@ -214,7 +224,7 @@ def _contents(settings: RepeatSettings, parts: int):
                     at = own.first[own.one[group]]
                     sizes = own.last[own.one[group]] - at
                     body = flat[np.arange(sizes.sum()) + np.repeat(at - (np.cumsum(sizes) - sizes), sizes)]
-                    out.append((part, number, own.anchors[group].tobytes(), own.keys[group].tobytes(), sizes.astype("<u2").tobytes(), least[group].tobytes(), body.tobytes()))
+                    out.append((part, number, own.inside[group].astype("<u2").tobytes(), sizes.astype("<u2").tobytes(), least[group].tobytes(), pack.compress(body.tobytes())))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out), _CONTENT)], names=[c for c, _ in _CONTENT])
 
     return run
@@ -247,9 +257,11 @@ def _settled(settings: RepeatSettings):
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.to_pylist()
         read = lambda c, kind: [np.frombuffer(r[c], kind) for r in rows]
-        keys, anchors, sizes = np.concatenate(read("keys", U64)), np.concatenate(read("anchors", U64)), np.concatenate(read("sizes", "<u2")).astype(np.int64)
-        body, owners = np.concatenate(read("body", np.uint8)), np.concatenate(read("least", np.int64))
+        sizes, inside = (np.concatenate(read(c, "<u2")).astype(np.int64) for c in ("sizes", "inside"))
+        body, owners = np.concatenate([np.frombuffer(zstandard.decompress(r["body"]), np.uint8) for r in rows]), np.concatenate(read("least", np.int64))
         begin = np.cumsum(sizes) - sizes
+        anchors = _grams(body, settings.gram)[begin + inside]
+        keys = _keys(body, begin, begin + sizes, anchors)
         one, back = _classes(keys, sizes, begin, body)
         least = np.full(len(one), np.iinfo(np.int64).max)
         np.minimum.at(least, back, owners)
@@ -276,7 +288,7 @@ def _settled(settings: RepeatSettings):
             values[np.repeat(ends[few] - n, n) + step] = table_[np.repeat(np.arange(len(few)), n), step]
         pack, at, out = zstandard.ZstdCompressor(level=3), 0, []
         for r in rows:
-            mine = back[at : at + len(r["keys"]) // 8]
+            mine = back[at : at + len(r["sizes"]) // 2]
             at += len(mine)
             n = counts[mine]
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)

@@ -9,6 +9,8 @@ from laneflow.session import work_folder
 
 #: Rows in an Arrow batch. Texts are long: the default of 10,000 could hold gigabytes.
 ARROW_ROWS = "512"
+#: Bytes in one, as Spark fills it; a longer row is a batch of its own.
+ARROW_BYTES = str(4 << 20)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +19,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the rows of the Arrow batches that Python tasks get from here on."""
+    """Bounds the Arrow batches that Python tasks get from here on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
