@@ -235,7 +235,7 @@ def _classes(keys: np.ndarray, sizes: np.ndarray, begin: np.ndarray, body: np.nd
     _, one, back = np.unique(keys, return_index=True, return_inverse=True)
     other = np.flatnonzero((sizes != sizes[one][back]) | (one[back] != np.arange(len(keys))))
     same = sizes[other] == sizes[one][back[other]]
-    for some in np.array_split(np.flatnonzero(same), max(1, len(other) // 100_000)):
+    for some in np.array_split(np.flatnonzero(same), max(1, len(other) // 20_000)):
         n = sizes[other[some]]
         if len(n):
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -260,8 +260,11 @@ def _settled(settings: RepeatSettings):
         sizes, inside = (np.concatenate(read(c, "<u2")).astype(np.int64) for c in ("sizes", "inside"))
         body, owners = np.concatenate([np.frombuffer(zstandard.decompress(r["body"]), np.uint8) for r in rows]), np.concatenate(read("least", np.int64))
         begin = np.cumsum(sizes) - sizes
-        anchors = _grams(body, settings.gram)[begin + inside]
-        keys = _keys(body, begin, begin + sizes, anchors)
+        anchors, keys = np.empty(len(sizes), U64), np.empty(len(sizes), U64)
+        for some in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(begin >> 20)) + 1):  # about a megabyte at a time
+            low, high = begin[some[0]], begin[some[-1]] + sizes[some[-1]]
+            anchors[some] = _grams(body[low:high], settings.gram)[begin[some] - low + inside[some]]
+            keys[some] = _keys(body[low:high], begin[some] - low, begin[some] + sizes[some] - low, anchors[some])
         one, back = _classes(keys, sizes, begin, body)
         least = np.full(len(one), np.iinfo(np.int64).max)
         np.minimum.at(least, back, owners)
