@@ -93,8 +93,8 @@ def _occurrences(numbers: np.ndarray, row: np.ndarray, phrases: Phrases, depth:
             yield origin[index.locate(places)], which, table_.shape[1], items
 
 
-def search(docs: DataFrame, benchmark: DataFrame, settings: PhraseSettings = PhraseSettings()) -> DataFrame:
-    """Adds n_words, n_hit, items and spans to docs.
+def search(docs: DataFrame, benchmark: DataFrame, settings: PhraseSettings = PhraseSettings(), then=None) -> DataFrame:
+    """Adds n_words, n_hit, items and spans to docs. then: what the tasks do with the batches after the last search, in the same workers.
 
     n_hit: words inside an occurrence of a window of a benchmark item; items: ids of items with such windows, as
     strings, distinct; spans: merged byte ranges [start, end) of the hit words in the UTF-8 text, for removal. A word is
@@ -106,13 +106,17 @@ def search(docs: DataFrame, benchmark: DataFrame, settings: PhraseSettings = Phr
     found = docs.drop(*new).withColumns({
         "n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>"),
         "spans": F.array().cast("array<struct<start:bigint,end:bigint>>")})
-    for place, block in enumerate(_blocks(benchmark, settings.block_bytes)):
-        sent = spark.sparkContext.broadcast(Phrases(block, settings.window))
-        found = (table(found, "searched") if place else found).mapInArrow(_searcher(sent, settings), found.schema)
+    blocks, place = _blocks(benchmark, settings.block_bytes), 0
+    block = next(blocks, None)
+    while block is not None:
+        sent, block = spark.sparkContext.broadcast(Phrases(block, settings.window)), next(blocks, None)
+        run = _searcher(sent, settings, then if block is None else None)
+        found = (table(found, "searched") if place else found).mapInArrow(run, found.schema)
+        place += 1
     return found
 
 
-def _searcher(sent, settings: PhraseSettings):
+def _searcher(sent, settings: PhraseSettings, then=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = sent.value
         for batch, flat, offsets in pieces(batches, most=settings.shard_bytes):
@@ -149,11 +153,11 @@ def _searcher(sent, settings: PhraseSettings):
                 "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
             yield pa.RecordBatch.from_arrays([new.get(c, batch.column(i)) for i, c in enumerate(batch.schema.names)], names=batch.schema.names)
 
-    return run
+    return run if then is None else lambda batches: then(run(batches))
 
 
-def cut(docs: DataFrame, filler: str = "\n") -> DataFrame:
-    """docs (with spans) with the spans taken out of text, a filler in place of each; other columns stay.
+def cutter(filler: str = "\n"):
+    """Takes the spans of batches out of their texts, a filler in place of each; other columns stay.
 
     Null text stays null; rows without spans keep their text byte for byte.
     """
@@ -171,14 +175,19 @@ def cut(docs: DataFrame, filler: str = "\n") -> DataFrame:
                 out.append(text)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
 
+    return run
+
+
+def cut(docs: DataFrame, filler: str = "\n") -> DataFrame:
+    """docs (with spans) after `cutter`."""
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(cutter(filler), docs.schema)
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, settings: PhraseSettings = PhraseSettings()) -> DataFrame:
     """docs without the benchmark's windows in their texts, and n_chars (if there) to match; other columns stay."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    found = cut(search(docs.select("text", whole), benchmark, settings))
+    found = search(docs.select("text", whole), benchmark, settings, cutter())
     fresh = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         fresh["n_chars"] = F.when(F.col("n_hit") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
