@@ -201,18 +201,12 @@ def session_with(master, checkpoint_dir):
 
 
 def test_a_plain_local_session_needs_no_setting(tmp_path):
-    """Spark with an empty folder of settings: what is stored goes to a temporary folder, of the operators on documents too."""
+    """Spark with an empty folder of settings: what is stored goes to a temporary folder."""
     code = """
 from laneflow.session import local_session, stored
 spark = local_session(2, 2)
 assert spark.conf.get("spark.checkpoint.dir", None) is None
 assert stored(spark.range(5), "x").count() == 5
-try:
-    from laneflow.llm.store import table
-except ImportError:
-    pass
-else:
-    assert table(spark.range(7), "y").count() == 7
 print("fine")
 """
     (tmp_path / "conf").mkdir()
