@@ -56,41 +56,63 @@ def _units(blob: list[bytes], size: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, label, vector) with the vector as bytes of doubles; null where it can be linked with nothing."""
+    for batch in batches:
+        bodies = []
+        for id_, vector, label in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            body = None
+            if id_ is not None and label is not None and vector and not any(v is None for v in vector):
+                x = np.array(vector, np.float64)
+                norm = sqrt(float(x @ x)) if np.isfinite(x).all() else 0.0
+                body = x.tobytes() if norm and np.isfinite(norm) else None
+            bodies.append(body)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bodies, pa.binary())], names=["id", "label", "vector"])
+
+
 def _spread(settings: CollisionSettings):
-    """Rows (label, size, grp, cell, id, vector) for every cell that a vector's windows reach upwards."""
+    """Rows (label, size, grp, cell, key, id, copies, vector) for every cell that a vector's windows reach upwards."""
     width = 2 * settings.half
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("label", "size", "grp", "cell", "id", "vector")}
-            for id_, vector, label in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if id_ is None or label is None or not vector or any(v is None for v in vector):
-                    continue
-                x = np.array(vector, np.float64)
-                norm = sqrt(float(x @ x)) if np.isfinite(x).all() else 0.0
-                if not norm or not np.isfinite(norm):
-                    continue
+            rows, grids, cells, sizes = [], [], [], []
+            for row, body in enumerate(batch.column("vector").to_pylist()):
+                x = np.frombuffer(body, np.float64)
                 size = len(x)
                 if size not in known:
                     known[size] = _directions(size, settings)
-                at = (x / norm) @ known[size] / width
+                at = _units([body], size)[0] @ known[size] / width
                 own = np.floor(at).astype(int)
                 upper = at - own >= 0.5
-                body = x.tobytes()
                 for g in range(settings.groups):
                     mine = slice(g * settings.each, (g + 1) * settings.each)
                     for cell in product(*[(c, c + 1) if u else (c,) for c, u in zip(own[mine].tolist(), upper[mine].tolist())]):
-                        for c, v in zip(out, (label, size, g, ",".join(map(str, cell)), id_, body)):
-                            out[c].append(v)
+                        rows.append(row)
+                        sizes.append(size)
+                        grids.append(g)
+                        cells.append(",".join(map(str, cell)))
+            taken = batch.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([
-                pa.array(out["label"], batch.column(2).type), pa.array(out["size"], pa.int32()), pa.array(out["grp"], pa.int32()),
-                pa.array(out["cell"], pa.string()), pa.array(out["id"], batch.column(0).type), pa.array(out["vector"], pa.binary())], names=list(out))
+                taken.column("label"), pa.array(sizes, pa.int32()), pa.array(grids, pa.int32()), pa.array(cells, pa.string()),
+                *(taken.column(c) for c in ("key", "id", "copies", "vector"))], names=["label", "size", "grp", "cell", "key", "id", "copies", "vector"])
 
     return run
 
 
-def _linked(ids: np.ndarray, units: np.ndarray, blocks: np.ndarray, across: bool, size: int, group: int, cell: str, settings: CollisionSettings) -> tuple[np.ndarray, np.ndarray]:
+def _windows(at: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs, each once, whose values on one projection lie in each other's window: sorted, then cut."""
+    order = np.argsort(at, kind="stable")
+    line = at[order]
+    until = np.searchsorted(line, line + half, "right")
+    counts = until - np.arange(len(line)) - 1
+    first = np.repeat(np.arange(len(line)), counts)
+    second = first + 1 + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return order[first], order[second]
+
+
+def _linked(units: np.ndarray, blocks: np.ndarray, across: bool, size: int, group: int, cell: str, settings: CollisionSettings) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs in one cell that this cell answers for: found by window collisions, then confirmed.
 
     A pair belongs to the first group in which it collides on all projections, and there to the cell that is the
@@ -98,22 +120,17 @@ def _linked(ids: np.ndarray, units: np.ndarray, blocks: np.ndarray, across: bool
     """
     width, each = 2 * settings.half, settings.each
     at = units @ _directions(size, settings)
-    mine = slice(group * each, (group + 1) * each)
-    floor, here = np.floor(at[:, mine] / width).astype(int), np.array(list(map(int, cell.split(","))))
-    candidate = np.triu(np.ones((len(ids), len(ids)), dtype=bool), 1)
-    if across:
-        candidate &= blocks[:, None] != blocks[None, :]
-    for d in range(each):
-        p = at[:, mine][:, d]
-        candidate &= np.abs(p[:, None] - p[None, :]) <= settings.half
-        candidate &= np.maximum(floor[:, d][:, None], floor[:, d][None, :]) == here[d]
-    a, b = np.nonzero(candidate)
+    floor, here = np.floor(at[:, group * each : (group + 1) * each] / width).astype(int), np.array(list(map(int, cell.split(","))))
+    a, b = _windows(at[:, group * each], settings.half)
     keep = np.zeros(len(a), dtype=bool)
     for s in range(0, len(a), 20_000):
         x, y = a[s : s + 20_000], b[s : s + 20_000]
         near = np.abs(at[x] - at[y]) <= settings.half
         whole = near.reshape(len(x), settings.groups, each).all(axis=2)
-        ok = (near.sum(axis=1) >= settings.count) & (whole.argmax(axis=1) == group) & (ids[x] != ids[y])
+        ok = (near.sum(axis=1) >= settings.count) & whole.any(axis=1) & (whole.argmax(axis=1) == group)
+        ok &= (np.maximum(floor[x], floor[y]) == here).all(axis=1)
+        if across:
+            ok &= blocks[x] != blocks[y]
         ok[ok] = np.einsum("ij,ij->i", units[x[ok]], units[y[ok]]) >= settings.cosine
         keep[s : s + 20_000] = ok
     return a[keep], b[keep]
@@ -133,30 +150,33 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _answers(settings: CollisionSettings):
-    """(id, links, root) of each cell's vectors, from rows sorted by cell."""
-    def work(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(key, links, id, root) of each cell's vectors, from rows sorted by cell."""
+    def work(rows: pa.Table) -> pa.RecordBatch | None:
         if rows.num_rows < 2:
             return None
-        rows = rows.sort_by("id")
+        rows = rows.sort_by([("id", "ascending"), ("key", "ascending")]).combine_chunks()
         size, group, cell = (rows[c][0].as_py() for c in ("size", "grp", "cell"))
-        ids = rows["id"].to_numpy()
-        a, b = _linked(ids, _units(rows["vector"].to_pylist(), size), rows["block"].to_numpy(), rows["i"][0] != rows["j"][0], size, group, cell, settings)
+        copies = rows["copies"].to_numpy()
+        a, b = _linked(_units(rows["vector"].to_pylist(), size), rows["block"].to_numpy(), rows["i"][0] != rows["j"][0], size, group, cell, settings)
         if not len(a):
             return None
-        links = np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
-        root, has = _roots(len(ids), a, b), links > 0
-        return ids[has], links[has], ids[root[has]]
+        links = np.zeros(len(copies), np.int64)
+        np.add.at(links, a, copies[b])
+        np.add.at(links, b, copies[a])
+        has = np.flatnonzero(links)
+        found = rows.take(pa.array(has))
+        roots = rows["id"].take(pa.array(_roots(len(copies), a, b)[has]))
+        return pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (
+            found["key"], pa.array(links[has]), found["id"], roots)], names=["key", "links", "id", "root"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
-        kind = None
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if held and (found := work(pa.Table.from_batches(held))):
-                yield pa.RecordBatch.from_arrays([pa.array(found[0], kind), pa.array(found[1], pa.int64()), pa.array(found[2], kind)], names=["id", "links", "root"])
+            if held and (found := work(pa.Table.from_batches(held))) is not None:
+                yield found
 
         for batch in batches:
-            kind = batch.schema.field("id").type
             keys = list(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("label", "size", "grp", "cell", "i", "j"))))
             start = 0
             for at in range(1, len(keys) + 1):
@@ -177,35 +197,51 @@ def near_vectors(vectors: DataFrame, settings: CollisionSettings = CollisionSett
     Vectors are compared only if their labels are equal and not null and their sizes too. Vectors that are null, empty or
     zero, or hold null or non-finite components, are linked with nothing, and so are rows without vec_id, whose component is
     null and who are kept. n_links: other vectors with cosine >= settings.cosine, in double precision; component_id:
-    smallest vec_id reachable. Rows that repeat a vec_id are not linked with each other.
-
-    Each projection axis is cut into cells twice as wide as a window is on one side; a vector goes to its cell and, from the
-    upper half, to the next one too, on `each` axes at once, in `groups` such grids. Inside a cell, windows around each
-    vector give the candidates; their collisions on all projections are counted, and pairs over the count are
-    confirmed. Cells with more than `block` vectors are compared block by block. Cells give out counts and one link
-    for each vector, never their pairs.
+    smallest vec_id reachable. Rows that repeat vec_id, label and vector are one vector and get the same result. Rows of one
+    vec_id with different vectors or labels are vectors of their own, each with its own links, in one component.
+
+    Equal vectors of a label are one class, which travels once with the number of its members and their smallest vec_id.
+    Each projection axis is cut into cells twice as wide as a window is on one side; a class goes to its cell and, from the
+    upper half, to the next one too, on `each` axes at once, in `groups` such grids: windows of a single projection would
+    bring a good part of all pairs together. Inside a cell the vectors are sorted on a projection and windows around each
+    give the candidates; their collisions on all projections are counted, and pairs over the count are
+    confirmed. Cells with more than `block` classes are compared block by block. Cells give out counts and one link
+    for each class, never their pairs.
     """
-    rows = vectors.select("vec_id", "embedding", "label")
     spark = vectors.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     kind, label = (vectors.schema[c].dataType.simpleString() for c in ("vec_id", "label"))
-    spread = rows.mapInArrow(_spread(settings), f"label {label}, size int, grp int, cell string, id {kind}, vector binary")
+    rows = vectors.select("vec_id", "embedding", "label").mapInArrow(_bytes, f"id {kind}, label {label}, vector binary")
+    # length first: no two pairs of vector and label give the same bytes
+    named = F.concat(F.encode(F.format_string("%d:", F.length("vector")), "utf-8"), F.col("vector"), F.encode(F.col("label").cast("string"), "utf-8"))
+    rows = table(rows.select("id", "label", "vector", F.unhex(F.sha2(named, 256)).alias("key")), "vectors")
+    single = rows.where("key is not null").select("id", "key").distinct()
+    sizes = single.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    bodies = rows.where("key is not null").groupBy("key").agg(F.first("label").alias("label"), F.first("vector").alias("vector"))
+    classes = table(bodies.join(sizes, "key"), "vector-classes")
+
+    spread = classes.mapInArrow(_spread(settings), f"label {label}, size int, grp int, cell string, key binary, id {kind}, copies long, vector binary")
     keys = ["label", "size", "grp", "cell"]
     large = table(spread.groupBy(*keys).count().where(F.col("count") > settings.block).select(
         *keys, F.ceil(F.col("count") / settings.block).cast("int").alias("blocks")), "large-cells")
     dealt = spread.join(large, keys, "left").withColumn("block", F.when(
-        F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("blocks"))).cast("int"))
+        F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("key"), F.col("blocks"))).cast("int"))
     others = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.select(*keys, "id", "vector", "block", F.explode(others).alias("other")).select(
-        *keys, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "vector")
+    dealt = dealt.select(*keys, "key", "id", "copies", "vector", "block", F.explode(others).alias("other")).select(
+        *keys, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "id", "copies", "vector")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = dealt.repartition(parts, *keys, "i", "j").sortWithinPartitions(*keys, "i", "j").mapInArrow(
-        _answers(settings), f"id {kind}, links long, root {kind}")
+        _answers(settings), f"key binary, links long, id {kind}, root {kind}")
     found = table(found, "vector-links")
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    named = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    out = rows.select("vec_id").join(links.withColumnRenamed("id", "vec_id"), "vec_id", "left").join(
-        named.withColumnRenamed("id", "vec_id"), "vec_id", "left")
+
+    # a vec_id with several vectors ties their classes together
+    several = single.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    ties = single.join(several, "id").join(sizes.select("key", F.col("id").alias("least")), "key").select(F.col("id").alias("a"), F.col("least").alias("b"))
+    named = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(ties))
+    links = found.groupBy("key").agg(F.sum("links").alias("links"))
+    result = classes.select("key", "id", "copies").join(links, "key", "left").join(named, "id", "left").select(
+        "key", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component_id", "id").alias("component_id"))
+    out = rows.select(F.col("id").alias("vec_id"), "key").join(result, "key", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                       F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

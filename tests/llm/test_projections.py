@@ -74,3 +74,25 @@ def test_edges(spark):
 
 def test_empty_table(spark):
     assert p.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_repeated_rows(spark):
+    """Equal rows are one vector; rows of one vec_id with different vectors have links of their own and one component."""
+    rows = [(5, [1.0, 2.0], 1), (5, [1.0, 2.0], 1), (7, [1.0, 2.0], 1), (9, [1.0, 2.1], 1), (9, [-2.0, 1.0], 1), (3, [-2.0, 1.0], 1), (3, None, 1)]
+    found = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in p.near_vectors(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)).collect())
+    assert found == [(3, 0, 3, True), (3, 1, 3, True), (5, 2, 3, False), (5, 2, 3, False), (7, 2, 3, False), (9, 1, 3, False), (9, 2, 3, False)]
+
+
+def test_many_copies(spark):
+    """Copies of one vector are one class: their number costs no comparisons."""
+    n = 100_000
+    df = spark.range(n).selectExpr("id as vec_id", "array(float(1), float(2), float(if(id = 7, 2.1, 3))) as embedding", "1 as label", "'x' as n_links")
+    got = p.near_vectors(df).groupBy("n_links", "component_id").count().collect()
+    assert [tuple(r) for r in got] == [(n - 1, 0, n)]
+
+
+def test_windows_are_all_pairs_in_reach():
+    at = np.array([0.0, 0.5, 0.5, 1.0, -3.0, 0.75])
+    a, b = p._windows(at, 0.5)
+    assert sorted(map(tuple, np.sort(np.stack([a, b], 1), axis=1).tolist())) == [
+        (i, j) for i in range(6) for j in range(i + 1, 6) if abs(at[i] - at[j]) <= 0.5]
