@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -21,15 +23,29 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
-def keys_of(host: Column, path: Column) -> Column:
-    """Every (kind, key) that an entry about this URL can have: the host, its parent domains down to two labels, and the
-    host with one to three leading parts of the path."""
-    labels, parts = F.split(host, r"\."), F.filter(F.split(path, "/"), lambda x: x != "")
-    domains = F.transform(F.sequence(F.lit(0), F.greatest(F.size(labels) - 2, F.lit(0))), lambda i: F.struct(
-        F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i + 1, F.size(labels)), ".").alias("key")))
-    prefixes = F.transform(F.sequence(F.lit(0), F.least(F.size(parts), F.lit(3))), lambda i: F.struct(
-        F.when(i == 0, "host").otherwise("prefix").alias("kind"), F.array_join(F.concat(F.array(host), F.slice(parts, 1, i)), "/").alias("key")))
-    return F.when(host.isNotNull(), F.concat(domains, prefixes))
+def depths_of(entries: DataFrame) -> tuple[list[int], list[int]]:
+    """The numbers of labels that domain entries have, and of path parts that prefix entries have: two small lists, no
+    longer than the longest domain and path among the entries."""
+    labels = F.size(F.split("key", r"\."))
+    parts = F.size(F.split("key", "/")) - 1
+    found = entries.where("kind in ('domain', 'prefix') and key is not null").select(
+        "kind", F.when(F.col("kind") == "domain", labels).otherwise(parts).alias("depth")).distinct().collect()
+    return tuple(sorted(r.depth for r in found if r.kind == kind) for kind in ("domain", "prefix"))
+
+
+def keys_of(host: Column, path: Column, labels: list[int], parts: list[int]) -> Column:
+    """Every (kind, key) that an entry about this URL can have: the host, its last labels and the host with the leading parts
+    of the path, as many of them as entries have (`depths_of`)."""
+    names, steps = F.split(host, r"\."), F.filter(F.split(path, "/"), lambda x: x != "")
+
+    def of(kind: str, depths: list[int], most: Column, key) -> Column:
+        counts = F.array(*[F.lit(d) for d in depths]).cast("array<int>")
+        return F.transform(F.filter(counts, lambda d: (d > 0) & (d <= most)), lambda d: F.struct(F.lit(kind).alias("kind"), key(d).alias("key")))
+
+    own = F.array(F.struct(F.lit("host").alias("kind"), host.alias("key")))
+    domains = of("domain", labels, F.size(names), lambda d: F.array_join(F.slice(names, F.size(names) - d + 1, d), "."))
+    prefixes = of("prefix", parts, F.size(steps), lambda d: F.array_join(F.concat(F.array(host), F.slice(steps, 1, d)), "/"))
+    return F.when(host.isNotNull(), F.concat(own, domains, prefixes))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -55,13 +71,13 @@ def judge(captures: DataFrame, valid: DataFrame) -> DataFrame:
 
     Each capture meets the entries valid on its day: n_active of them; the one with the longest key decides, an allowing one
     before a blocking one of equal length; decided_by: its list. No active entry, a null day or no host: not
-    blocked, 0, null. Captures and intervals are joined by key and slice of time, so that the captures of a hot host
+    blocked, 0, null. Domains of any number of labels and prefixes of any number of path parts are found. Captures and intervals are joined by key and slice of time, so that the captures of a hot host
     spread over the slices, and a sort-merge join can split them further. Rows of captures that repeat stay apart.
     """
     names = [c for c in captures.columns if c not in ("host", "blocked", "n_active", "decided_by")]
     rows = captures.select(*[F.col(f"`{c}`") for c in names]).withColumn("host", host_of(F.col("url")))
     wanted = rows.where("host is not null and fetched_on is not null").select("url", "host", "fetched_on").distinct()
-    keyed = wanted.select("url", "fetched_on", F.explode(keys_of(F.col("host"), path_of(F.col("url")))).alias("k")).select(
+    keyed = wanted.select("url", "fetched_on", F.explode(keys_of(F.col("host"), path_of(F.col("url")), *depths_of(valid))).alias("k")).select(
         "url", "fetched_on", "k.kind", "k.key", _slice(F.col("fetched_on")).alias("slice"))
     span = wanted.agg(F.min(_slice(F.col("fetched_on"))).alias("first"), F.max(_slice(F.col("fetched_on"))).alias("last"))
     low, high = span.first()
@@ -92,7 +108,7 @@ def captures_of(pages: DataFrame) -> DataFrame:
 
 
 def entries_of(pages: DataFrame) -> DataFrame:
-    """Dated entries about the hosts of the pages: block lists by host and domain, an allow list by path prefix."""
+    """Dated entries about the hosts of the pages: block lists by host, domain and whole path, an allow list by path prefix."""
     hosts = pages.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).where("host is not null")
     day = lambda n: F.date_add(F.lit(START).cast("date"), n.cast("int"))
     d = lambda place: _digit("key", place)
@@ -107,11 +123,13 @@ def entries_of(pages: DataFrame) -> DataFrame:
             F.lit(name).alias("list"), F.lit(kind).alias("kind"), "key", F.lit(allows).alias("allows"), F.explode(F.array_compact(events)).alias("e")).select(
             "list", "kind", "key", "allows", "e.action", "e.dated")
 
-    labels = F.split("host", r"\.")
-    first = F.element_at(F.filter(F.split("path", "/"), lambda x: x != ""), 1)
-    return dated(hosts.select(F.col("host").alias("key")), "spam", "host", 6, False).unionByName(
-        dated(hosts.where(F.size(labels) >= 3).select(F.array_join(F.slice(labels, -3, 3), ".").alias("key")), "adult", "domain", 5, False)).unionByName(
-        dated(hosts.where(F.size(F.filter(F.split("path", "/"), lambda x: x != "")) > 0).select(F.concat("host", F.lit("/"), first).alias("key")), "trusted", "prefix", 6, True))
+    labels, parts = F.split("host", r"\."), F.filter(F.split("path", "/"), lambda x: x != "")
+    last = lambda n: hosts.where(F.size(labels) >= n).select(F.array_join(F.slice(labels, -n, n), ".").alias("key"))
+    under = lambda least, steps: hosts.where(F.size(parts) >= least).select(F.concat_ws("/", "host", steps).alias("key"))
+    lists = (dated(hosts.select(F.col("host").alias("key")), "spam", "host", 6, False), dated(last(3), "adult", "domain", 5, False),
+             dated(last(2), "parked", "domain", 3, False), dated(under(1, F.slice(parts, 1, 1)), "trusted", "prefix", 6, True),
+             dated(under(2, parts), "defaced", "prefix", 4, False))
+    return reduce(DataFrame.unionByName, lists)
 
 
 #: op7 as DuckDB SQL.
@@ -127,7 +145,11 @@ keys as (
   union all
   select distinct 'adult', 'domain', array_to_string(labels[-3:], '.'), 5, false from named where host is not null and len(labels) >= 3
   union all
-  select distinct 'trusted', 'prefix', host || '/' || parts[1], 6, true from named where host is not null and len(parts) > 0),
+  select distinct 'parked', 'domain', array_to_string(labels[-2:], '.'), 3, false from named where host is not null and len(labels) >= 2
+  union all
+  select distinct 'trusted', 'prefix', host || '/' || parts[1], 6, true from named where host is not null and len(parts) > 0
+  union all
+  select distinct 'defaced', 'prefix', host || '/' || array_to_string(parts, '/'), 4, false from named where host is not null and len(parts) > 1),
 digits as (
   select *, list_transform(range(1, 8), lambda i: instr('0123456789abcdef', substr(md5(key), i::int, 1)) - 1) as d from keys),
 picked as (select *, 32 * d[2] + 2 * d[3] as added from digits where d[1] < most),
@@ -140,12 +162,12 @@ days as (
 valid as (
   select *, lead(dated) over (partition by list, kind, key order by dated) as valid_to from days),
 probes as (
-  select page_id, fetched_on, 'domain' as kind, unnest(list_transform(range(1, greatest(len(labels), 2)), lambda i: array_to_string(labels[i:], '.'))) as key
+  select page_id, fetched_on, 'domain' as kind, unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))) as key
   from named where host is not null
   union all
   select page_id, fetched_on, 'host', host from named where host is not null
   union all
-  select page_id, fetched_on, 'prefix', unnest(list_transform(range(1, least(len(parts), 3) + 1), lambda i: host || '/' || array_to_string(parts[1:i], '/')))
+  select page_id, fetched_on, 'prefix', unnest(list_transform(range(1, len(parts) + 1), lambda i: host || '/' || array_to_string(parts[1:i], '/')))
   from named where host is not null),
 active as (
   select p.page_id, v.list, length(v.key) as n, v.allows

@@ -41,3 +41,11 @@ def test_edges(spark):
     assert verdicts(spark, rows) == [no, no, no, no, (True, 1, "bad"), no, (True, 1, "bad"), no, (False, 2, "good")]
     assert verdicts(spark, rows, []) == [no] * len(rows)
     assert verdicts(spark, []) == []
+
+
+def test_any_depth(spark):
+    """Entries of any number of path parts or labels are found."""
+    entries = [("deep", "prefix", "a.com/1/2/3/4", False, "add", DAY(0)), ("zone", "domain", "zip", False, "add", DAY(0)),
+               ("long", "domain", "e.d.c.b.a.org", False, "add", DAY(0))]
+    urls = ["http://a.com/1/2/3/4/x", "http://a.com/1/2/3/4", "http://a.com/1/2/3", "http://evil.zip/", "http://zip/", "http://x.e.d.c.b.a.org", "http://d.c.b.a.org"]
+    assert [v[2] for v in verdicts(spark, [(u, DAY(5)) for u in urls], entries)] == ["deep", "deep", None, "zone", "zone", "long", None]
