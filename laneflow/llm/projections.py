@@ -122,13 +122,16 @@ def _linked(units: np.ndarray, blocks: np.ndarray, across: bool, size: int, grou
     at = units @ _directions(size, settings)
     floor, here = np.floor(at[:, group * each : (group + 1) * each] / width).astype(int), np.array(list(map(int, cell.split(","))))
     a, b = _windows(at[:, group * each], settings.half)
+    for d in range(each):
+        p = at[:, group * each + d]
+        near = (np.abs(p[a] - p[b]) <= settings.half) & (np.maximum(floor[a, d], floor[b, d]) == here[d])
+        a, b = a[near], b[near]
     keep = np.zeros(len(a), dtype=bool)
     for s in range(0, len(a), 20_000):
         x, y = a[s : s + 20_000], b[s : s + 20_000]
         near = np.abs(at[x] - at[y]) <= settings.half
         whole = near.reshape(len(x), settings.groups, each).all(axis=2)
         ok = (near.sum(axis=1) >= settings.count) & whole.any(axis=1) & (whole.argmax(axis=1) == group)
-        ok &= (np.maximum(floor[x], floor[y]) == here).all(axis=1)
         if across:
             ok &= blocks[x] != blocks[y]
         ok[ok] = np.einsum("ij,ij->i", units[x[ok]], units[y[ok]]) >= settings.cosine
