@@ -37,6 +37,8 @@ SPEED_HIGH_KMH = 200.0
 # Reports.
 SNAPSHOT_FRAMES = 125
 ZONE_MARGIN_PX = 30
+# Longest gap of a feed whose frames still count as empty ones: an hour.
+ZONE_GAP_FRAMES = 90_000
 SEGMENT_S = 120
 MAX_SEGMENTS = 3
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from laneflow.config import CLASS_NAMES, FPS, REPORT_SPEEDS, ROAD_PLANE, ZONE_MARGIN_PX, RoadPlane
+from laneflow.config import CLASS_NAMES, FPS, REPORT_SPEEDS, ROAD_PLANE, ZONE_GAP_FRAMES, ZONE_MARGIN_PX, RoadPlane
 from laneflow.functions.geometry import (
     KMH_PER_MS, class_name, corrected_distance, effect_percent, foot_point, kmh, naive_distance, project,
 )
@@ -85,17 +86,35 @@ def position_labels(traces: DataFrame, keys: Sequence[str] = OFFLINE_KEYS) -> Da
     return traces.select(*keys, ORDER, label.alias("label"))
 
 
-def zone_occupancy(boxes: DataFrame, plane: RoadPlane = ROAD_PLANE, margin: int = ZONE_MARGIN_PX) -> DataFrame:
-    """Per frame: vehicles shown (lines with a margin) and vehicles between the lines; 0 in a frame without vehicles.
+def frame_axis(boxes: DataFrame, gap: int = ZONE_GAP_FRAMES) -> DataFrame:
+    """Every frame of each camera from its first box to its last, with or without boxes.
 
-    `boxes` are those of all classes.
+    Where no box comes for more than `gap` frames the feed was off: the frames between are left out. The axis is
+    made from one row per camera and `gap` frames, so no row grows with the feed and a far-off number makes no endless axis.
+    """
+    block = F.floor(F.col(ORDER) / F.lit(gap))
+    blocks = boxes.filter(F.col(ORDER).isNotNull()).groupBy("camera_name", block.alias("_block")).agg(
+        F.min(ORDER).alias("_first"), F.max(ORDER).alias("_last"))
+    following = F.lead("_first").over(W.partitionBy("camera_name").orderBy("_first"))
+    until = F.when(F.expr("try_subtract(_next, _last)") <= gap, F.col("_next") - 1).otherwise(F.col("_last"))
+    return blocks.withColumn("_next", following).select("camera_name", F.explode(F.sequence("_first", until)).alias(ORDER))
+
+
+def zone_occupancy(boxes: DataFrame, plane: RoadPlane = ROAD_PLANE, margin: int = ZONE_MARGIN_PX,
+                   gap: int = ZONE_GAP_FRAMES) -> DataFrame:
+    """Per frame: vehicles shown (lines with a margin) and vehicles between the lines; 0 in a frame without vehicles or boxes.
+
+    `boxes` are those of all classes. Frames without boxes come from `frame_axis`; they join the boxes in the one
+    aggregation by frame.
     """
     vehicle = F.col("class_id").isin(*CLASS_NAMES)
     y, line_1, line_2 = F.col("foot_y"), plane.line_1[2], plane.line_2[2]
-    return bev_positions(boxes, plane).groupBy("camera_name", ORDER).agg(
-        F.count_if(vehicle & y.between(line_1 - margin, line_2 + margin)).alias("shown"),
-        F.count_if(vehicle & y.between(line_1, line_2)).alias("in_zone"),
-    )
+    marked = bev_positions(boxes, plane).select(
+        "camera_name", ORDER, (vehicle & y.between(line_1 - margin, line_2 + margin)).alias("shown"),
+        (vehicle & y.between(line_1, line_2)).alias("in_zone"))
+    empty = frame_axis(boxes, gap).select("camera_name", ORDER, F.lit(False).alias("shown"), F.lit(False).alias("in_zone"))
+    return marked.unionByName(empty).groupBy("camera_name", ORDER).agg(
+        F.count_if("shown").alias("shown"), F.count_if("in_zone").alias("in_zone"))
 
 
 def vehicle_report(traces: DataFrame) -> DataFrame:

@@ -222,6 +222,8 @@ positions as (
   from nearest)
 """ + _TRACKS + _RESOLVED
 
+_EACH_ONCE = f"{_LIVE_SQL} select distinct camera_name, side||track_id as vehicle_id, 1::bigint as events from resolved"
+
 # The homography, row by row: fixed values.
 _H = ("-0.07278562259306805::double", "-0.08446726572528884::double", "60.58279845956355::double",
       "0.0::double", "-0.8118100128369705::double", "239.48395378690634::double",
@@ -412,10 +414,19 @@ ORACLES: dict[str, str] = {
                     when s.bev_kmh is not null then '  ~'||trunc(s.bev_kmh)::int||' km/h' else '' end as label
         from crossed c left join tripwire t using (camera_name, track_id)
         left join samples s using (camera_name, track_id, frame_id)""",
-    "zone_occupancy": f"""with {_BOXES}
-        select camera_name, event_id//16 as frame_id, count_if(class_id in (2,3,5,7) and y+h between 370 and 590)::bigint as shown,
-               count_if(class_id in (2,3,5,7) and y+h between 400 and 560)::bigint as in_zone
-        from boxes group by camera_name, event_id//16""",
+    "zone_occupancy": f"""with {_BOXES},
+        seen as (
+          select camera_name, event_id//16 as frame_id, count_if(class_id in (2,3,5,7) and y+h between 370 and 590)::bigint as shown,
+                 count_if(class_id in (2,3,5,7) and y+h between 400 and 560)::bigint as in_zone
+          from boxes group by camera_name, event_id//16),
+        following as (select *, lead(frame_id) over (partition by camera_name order by frame_id) as next from seen),
+        axis as (
+          select camera_name, shown, in_zone, frame_id as own,
+                 unnest(generate_series(frame_id, case when next-frame_id<=90000 then next-1 else frame_id end)) as frame_id
+          from following)
+        select camera_name, frame_id, case when frame_id=own then shown else 0 end as shown,
+               case when frame_id=own then in_zone else 0 end as in_zone
+        from axis""",
     "vehicle_report": f"""{_ROAD}
         select camera_name, vehicle_id, vehicle_type,
                {', '.join(f'round({c},6) as {c}' for c in REPORT_SPEEDS)}
@@ -458,9 +469,9 @@ ORACLES: dict[str, str] = {
                printf('%.2f', speed_kmh)::double as speed_kmh, direction, movement, speed_source
         from resolved""",
     "tracked_boxes": f"with {_CAMERAS}, {_CLEAN} select camera_name, side, frame_id, cx, cy from clean",
-    "vehicles_with_events": "select true as one_each",
+    "vehicles_with_events": _EACH_ONCE,
     "stream_tracked_boxes": f"with {_CAMERAS}, {_CLEAN} select camera_name, side, frame_id, cx, cy from clean",
-    "stream_vehicles": "select true as one_each",
+    "stream_vehicles": _EACH_ONCE,
     "match_candidates": f"""with {_CAMERAS}, {_CLEAN}
         select * from (
           select a.camera_name, a.side, a.frame_id, a.box_id as box_before, b.box_id as box_after,

@@ -286,16 +286,18 @@ def stream_tracked_boxes(spark, sf_dir):
     return own.select("camera_name", "side", "frame_id", "cx", "cy")
 
 
+def _events_each(events: DataFrame) -> DataFrame:
+    return events.groupBy("camera_name", "vehicle_id").agg(F.count(F.lit(1)).alias("events"))
+
+
 def stream_vehicles(spark, sf_dir):
-    """Whether the streaming service gives each vehicle one event."""
-    events = streams.stream_live(spark, sf_dir).groupBy("camera_name", "vehicle_id").agg(F.count(F.lit(1)).alias("n"))
-    return events.agg(F.coalesce(F.max("n") == 1, F.lit(True)).alias("one_each"))
+    """The vehicles of the streaming service, with the number of their events."""
+    return _events_each(streams.stream_live(spark, sf_dir))
 
 
 def vehicles_with_events(spark, sf_dir):
-    """Whether each vehicle of the live path has one event."""
-    events = live_events(spark, sf_dir).groupBy("camera_name", "vehicle_id").agg(F.count(F.lit(1)).alias("n"))
-    return events.agg(F.coalesce(F.max("n") == 1, F.lit(True)).alias("one_each"))
+    """The vehicles of the live path, with the number of their events."""
+    return _events_each(live_events(spark, sf_dir))
 
 
 def segment_plan(spark, sf_dir):

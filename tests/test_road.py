@@ -118,6 +118,14 @@ def test_zone(spark):
     assert {r.frame_id: (r.shown, r.in_zone) for r in road.zone_occupancy(df).collect()} == {1: (6, 2), 2: (0, 0)}
 
 
+def test_zone_has_frames_without_boxes(spark):
+    far = 9_000_000_000_000_000_000
+    rows = [(1, 3, 450), (2, 8, 10), (3, 19, 450), (4, 31, 450), (5, far, 450), (6, -far, 450)]
+    got = {r.frame_id: r.in_zone for r in road.zone_occupancy(boxes(spark, rows), gap=11).collect()}
+    assert got == {**dict.fromkeys(range(3, 20), 0), 3: 1, 19: 1, 31: 1, far: 1, -far: 1}
+    assert road.zone_occupancy(boxes(spark, rows).filter("false")).count() == 0
+
+
 def test_run_summary(spark):
     df = spark.createDataFrame([(10.0, 5.0, 1.0), (20.0, 10.0, None), (None, None, 3.0)],
                                "tripwire_speed_corrected_kmh double, tripwire_speed_naive_kmh double, "
