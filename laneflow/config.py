@@ -37,6 +37,9 @@ SPEED_HIGH_KMH = 200.0
 # Reports.
 SNAPSHOT_FRAMES = 125
 ZONE_MARGIN_PX = 30
+# A stored sketch of vehicles has at most 2^SKETCH_BITS bytes; a span is an hour of five-minute windows.
+SKETCH_BITS = 12
+SPAN_WINDOWS = 12
 # Longest gap of a feed whose frames still count as empty ones: an hour.
 ZONE_GAP_FRAMES = 90_000
 SEGMENT_S = 120

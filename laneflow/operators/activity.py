@@ -102,6 +102,34 @@ def snapshot_speed_list(frames: DataFrame, tripwire: DataFrame, every: int = SNA
     )
 
 
+def snapshot_speeds_at(lists: DataFrame, asked: DataFrame, every: int = SNAPSHOT_FRAMES) -> DataFrame:
+    """The whole list a viewer saw at the asked snapshots (camera_name, frame_id), by side: camera_name, side, frame_id, speeds.
+
+    `lists`: rows of `snapshot_speed_list`. A part stands in every node of a binary-indexed tree that covers its snapshot, an
+    asked snapshot reads the few nodes that make up all before it. So each part meets each asked list once, by equality of
+    nodes, and no node is stored as one row. Repeated questions are one. `—` where nothing was measured yet; snapshots that
+    `lists` does not have give no row.
+    """
+    number = (F.col("frame_id") / every).cast("long")
+    shots = lists.select("camera_name", "side", "frame_id").join(asked.select("camera_name", "frame_id").distinct(), ["camera_name", "frame_id"])
+    shots = stored(shots.withColumn("_n", number), "asked-lists")
+    top = shots.agg(F.max("_n")).first()[0] or 0
+    levels = F.sequence(F.lit(0), F.lit(top.bit_length()))
+    before = F.transform(levels, lambda k: F.call_function("shiftleft", F.call_function("shiftright", F.col("_n"), k), k))
+    width = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k)
+    around = F.transform(levels, lambda k: F.ceil(F.col("_n") / width(k)) * width(k))
+    parts = lists.filter(F.col("new_speeds") != NO_SPEEDS).select(
+        "camera_name", "side", number.alias("_n"), F.struct(number.alias("n"), F.col("new_speeds").alias("text")).alias("_part"))
+    parts = parts.filter(F.col("_n") <= top).select(
+        "camera_name", "side", "_part", F.explode(F.array_distinct(F.filter(around, lambda v: v <= top))).alias("_node"))
+    read = shots.select("camera_name", "side", "frame_id", F.explode(F.array_distinct(before)).alias("_node"))
+    # node 0 has no part, so that an empty list keeps its row
+    whole = read.join(parts, ["camera_name", "side", "_node"], "left").groupBy("camera_name", "side", "frame_id").agg(
+        F.sort_array(F.collect_list("_part")).alias("_parts"))
+    text = F.when(F.size("_parts") > 0, F.array_join(F.col("_parts.text"), "  ")).otherwise(NO_SPEEDS)
+    return whole.select("camera_name", "side", "frame_id", text.alias("speeds"))
+
+
 def session_totals(positions: DataFrame, resolved: DataFrame) -> DataFrame:
     """Frames processed and events saved by each camera."""
     frames = positions.select("camera_name", "frame_id", F.lit(0).cast("long").alias("_saved"))

@@ -399,6 +399,16 @@ ORACLES: dict[str, str] = {
                (select count(*) from tripwire t where t.camera_name=s.camera_name and t.side=s.side
                   and t.second_frame<=s.frame_id) as speeds_so_far
         from sided s""",
+    "snapshot_speeds_at": f"""{_DENSE_SQL} {_SHOTS}, sided as (
+          select camera_name, side, frame_id from shots, (values ('L'), ('R')) v(side))
+        select s.camera_name, s.side, s.frame_id,
+               coalesce((select string_agg(printf('%s%d=%.0f', side, track_id, speed_kmh), '  '
+                                           order by second_frame, track_id)
+                         from tripwire t where t.camera_name=s.camera_name and t.side=s.side
+                           and t.second_frame<=s.frame_id), '—') as speeds
+        from sided s
+        where bit_count((s.frame_id//125)::bigint)=1
+           or s.frame_id=(select max(frame_id) from sided m where m.camera_name=s.camera_name)""",
     "session_totals": f"""{_TRACK_SQL} {_RESOLVED}
         select camera_name, max(frame_id) as frames_processed,
                (select count(*) from resolved r where r.camera_name=p.camera_name) as events_saved

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laneflow.config import MAX_SEGMENTS, REPORT_SPEEDS
+from laneflow.config import MAX_SEGMENTS, REPORT_SPEEDS, SPAN_WINDOWS
 from laneflow.functions.text import ordinal
 from laneflow.functions.timing import event_time
-from laneflow.operators import activity, alerts, detections, questions, road, segments, tracker, trajectories, tripwires
+from laneflow.operators import activity, alerts, detections, questions, road, segments, sketches, tracker, trajectories, tripwires
 from laneflow.plans import live, streams, views
-from laneflow.session import work_folder
+from laneflow.session import stored, work_folder
 from laneflow.sources import cameras, messages
 
 DIGITS = 6
@@ -94,6 +94,17 @@ def q5_approx(spark, sf_dir):
                   "carriageway", "window_index")
 
 
+def q2_from_sketches(spark, sf_dir):
+    """Vehicles per lane, by stored sketches of its windows."""
+    return sketches.vehicles_by(stored(sketches.lane_sketches(measured(spark, sf_dir)), "sketches"), "carriageway")
+
+
+def q5_hours_from_sketches(spark, sf_dir):
+    """Vehicles per lane and hour, by stored sketches of its windows."""
+    kept = stored(sketches.lane_sketches(measured(spark, sf_dir)), "sketches")
+    return sketches.vehicles_by(sketches.with_span(kept, SPAN_WINDOWS), "carriageway", "span")
+
+
 def q6_avg_speed(spark, sf_dir):
     return questions.q6_avg_speed(measured(spark, sf_dir))
 
@@ -173,6 +184,14 @@ def activity_snapshot(spark, sf_dir):
     return activity.activity_snapshot(dense, trajectories.resolved_events(dense))
 
 
+def snapshot_speeds_at(spark, sf_dir):
+    """The whole lists at the snapshots whose number is a power of two, and at the last one of each camera."""
+    lists = stored(snapshot_speed_list(spark, sf_dir), "speed-lists")
+    number, last = F.col("frame_id") / activity.SNAPSHOT_FRAMES, lists.groupBy("camera_name").agg(F.max("frame_id").alias("frame_id"))
+    asked = lists.filter(F.bit_count(number.cast("long")) == 1).select("camera_name", "frame_id").unionByName(last)
+    return activity.snapshot_speeds_at(lists, asked)
+
+
 def snapshot_speed_list(spark, sf_dir):
     dense = _dense(spark, sf_dir)
     return activity.snapshot_speed_list(dense, tripwires.tripwire_speeds(dense))
@@ -328,6 +347,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_vehicle_speeds": q1_vehicle_speeds,
     "q2_vehicles_per_lane": q2_vehicles_per_lane,
     "q2_approx": q2_approx,
+    "q2_from_sketches": q2_from_sketches,
+    "q5_hours_from_sketches": q5_hours_from_sketches,
     "q3_speed_violations": q3_speed_violations,
     "q3_total": q3_total,
     "q4_speed_alerts": q4_speed_alerts,
@@ -351,6 +372,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_seen": first_seen,
     "activity_snapshot": activity_snapshot,
     "snapshot_speed_list": snapshot_speed_list,
+    "snapshot_speeds_at": snapshot_speeds_at,
     "session_totals": session_totals,
     "class_filter": class_filter,
     "bev_positions": bev_positions,

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 import compare
+from laneflow.config import WINDOW_S
 from laneflow.operators import questions
 from laneflow.plans import queries
 
@@ -35,6 +36,17 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+def test_stored_sketches_are_close(spark):
+    rows = queries.measured(spark, SF)
+    exact = {r.carriageway: r.vehicle_count for r in questions.q2_vehicles_per_lane(rows).collect()}
+    got = {r.carriageway: r.vehicle_count for r in queries.q2_from_sketches(spark, SF).collect()}
+    assert got.keys() == exact.keys() and all(abs(got[k] - exact[k]) <= 0.05 * exact[k] for k in exact)
+    hours = questions.q5_vehicles_per_window(rows, window_s=12 * WINDOW_S)
+    exact = {(r.carriageway, r.window_index): r.vehicle_count for r in hours.collect()}
+    got = {(r.carriageway, r.span): r.vehicle_count for r in queries.q5_hours_from_sketches(spark, SF).collect()}
+    assert got.keys() == exact.keys() and all(abs(got[k] - exact[k]) <= max(1, 0.05 * exact[k]) for k in exact)
+
+
 def test_sketches_are_close(spark):
     rows = queries.measured(spark, SF)
     for ask, keys in ((questions.q2_vehicles_per_lane, ["carriageway"]), (questions.q5_vehicles_per_window, ["carriageway", "window_index"])):

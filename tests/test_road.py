@@ -175,6 +175,26 @@ def test_many_snapshots(spark, monkeypatch):
     assert got == [("a", 10 * i) for i in range(1, 101)] + [("c", 10 * i) for i in range(1, 8)]
 
 
+def test_whole_lists_at_any_snapshot(spark):
+    rng = random.Random(4)
+    rows, lines = [], {}
+    for camera, shots in (("a", 45), ("b", 8)):
+        for side in "LR":
+            parts = []
+            for n in range(1, shots + 1):
+                new = "—" if rng.random() < 0.5 or n < 4 else f"{side}{n}=1  {side}{n}=2"
+                parts += [new] if new != "—" else []
+                rows.append((camera, side, 10 * n, new, 0))
+                lines[camera, side, 10 * n] = "  ".join(parts) or "—"
+    rng.shuffle(rows)
+    lists = spark.createDataFrame(rows, "camera_name string, side string, frame_id long, new_speeds string, speeds_so_far long")
+    every = [(c, f) for c, _, f in lines]
+    for asked in (every, [("a", 450), ("b", 20), ("b", 999), ("c", 10), ("b", 20)], []):
+        got = activity.snapshot_speeds_at(lists, spark.createDataFrame(asked, "camera_name string, frame_id long"), every=10).collect()
+        assert len(got) == len({k for k in lines if (k[0], k[2]) in asked})
+        assert all(r.speeds == lines[r.camera_name, r.side, r.frame_id] for r in got)
+
+
 def test_measured_ids(spark):
     one = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2)], "camera_name string, track_id long")
     two = spark.createDataFrame([("a", 2), ("b", 2)], "camera_name string, track_id long")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from laneflow import schemas
 from laneflow.config import QUESTION_STREAMS, Camera, StreamSettings
-from laneflow.operators import detections, questions, tracker, trajectories
+from laneflow.operators import detections, questions, sketches, tracker, trajectories
 from laneflow.plans import live, queries
 from laneflow.session import work_folder
 from laneflow.sources import feeds
@@ -318,3 +318,17 @@ def test_late_boxes_are_counted(spark, folder):
     jobs.start_batches(state.tracks_stream(centred, with_late=True), "late-tracks", both, settings(folder)).awaitTermination(100)
     assert sorted(r.frame_id for r in spark.read.parquet(folder + "/late-tracks").collect()) == [3, 4, 5]
     assert {r.frame_id for r in spark.read.parquet(folder + "/tracks").collect()} == set(range(19))
+
+
+def test_sketches_of_batches_are_merged(spark, folder):
+    """Windows over several batches, a late row and a batch that runs twice: each vehicle counts once."""
+    write_files(folder + "/in", [*GOLDEN, [message(None, 5), message("a", float("nan")), message("b", 10)]])
+    events = decode_events(feeds.folder_feed(spark, folder + "/in", files_per_trigger=1))
+    write = sketches.sketches_sink(folder + "/sketches")
+    jobs.start_batches(events, "sketches", write, settings(folder)).awaitTermination(100)
+    write(decode_events(spark.read.text(folder + "/in/000.txt")), 0)
+    kept = spark.read.parquet(folder + "/sketches")
+    assert kept.select("batch_id").distinct().count() == 6
+    assert {r.window_index: r.vehicle_count for r in sketches.vehicles_by(kept, "window_index").collect()} == {1: 5, 2: 2, 3: 1, 5: 1}
+    spans = sketches.vehicles_by(sketches.with_span(kept, 2), "carriageway", "span").collect()
+    assert {(r.carriageway, r.span): r.vehicle_count for r in spans} == {("x", 1): 7, ("x", 2): 1, ("x", 3): 1}
