@@ -10,9 +10,9 @@
 from __future__ import annotations
 
 import argparse
-import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from laneflow import schemas
 from laneflow.config import StreamSettings
@@ -44,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     live.add_argument("--out", required=True, help="event table")
     live.add_argument("--alerts", help="alert table")
     live.add_argument("--topics", help="folder of message files")
+    live.add_argument("--ends", help="Parquet folder that rows (camera_name, side) arrive in when a feed ends")
     live.add_argument("--seconds", type=float, help="time between batches; without it the job ends with its input")
     report = commands.add_parser("report")
     report.add_argument("--boxes", required=True, help="Parquet folder of boxes with track ids")
@@ -51,6 +52,17 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+#: Runs over tables are numbered from here on, beyond the batches of any stream.
+FIRST_RUN = 1 << 61
+
+
+def run_number(rows: DataFrame) -> int:
+    """A number that names a run by the files it reads: a second attempt gets the same one and replaces the first."""
+    files = rows.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    found = files.agg(F.sum(F.pmod(F.xxhash64("*"), F.lit(FIRST_RUN)).cast("decimal(38,0)"))).first()[0]
+    return FIRST_RUN + int(found or 0) % FIRST_RUN
+
+
 def main(spark: SparkSession, arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     if args.command in ("analytics", "alerts"):
@@ -62,7 +74,7 @@ def main(spark: SparkSession, arguments: list[str] | None = None) -> None:
             jobs.run_alerts(spark, settings, f"{args.work}/speed_alerts", f"{args.work}/malformed_alerts")
     elif args.command == "events":
         boxes = spark.read.schema(schemas.DETECTIONS).parquet(args.boxes)
-        run = int(time.time())      # a run of its own: it replaces no other run, and no batch of a streaming resolver
+        run = run_number(boxes)      # replaces an earlier attempt on these files, no other run, and no batch of a stream
         events = stored(boxes_to_events(boxes, cameras_dim(spark), f"{args.work}/positions-{run}"), "events")
         publish = sinks.folder_publisher(args.topics) if args.topics else None
         sinks.events_sink(args.out, args.alerts, publish)(events, run)
@@ -71,7 +83,8 @@ def main(spark: SparkSession, arguments: list[str] | None = None) -> None:
         settings = StreamSettings(checkpoint_base=f"{args.work}/checkpoints", trigger=trigger)
         publish = sinks.folder_publisher(args.topics) if args.topics else None
         boxes = feeds.table_feed(spark, args.boxes, schemas.DETECTIONS)
-        jobs.start_live(boxes, cameras_dim(spark), args.out, settings, args.alerts, publish).awaitTermination()
+        ends = spark.readStream.schema("camera_name string, side string").parquet(args.ends) if args.ends else None
+        jobs.start_live(boxes, cameras_dim(spark), args.out, settings, args.alerts, publish, ends=ends).awaitTermination()
     else:
         boxes = road.class_filter(spark.read.parquet(args.boxes))
         sinks.write_report_csv(road.vehicle_report(road.road_traces(boxes)), args.out)

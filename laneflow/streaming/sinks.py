@@ -123,22 +123,24 @@ def table_sink(path: str) -> Publish:
 def latest_sink(path: str) -> Publish:
     """A stream in complete mode to a table that holds its latest answer.
 
-    Each answer is a version of its own, `version=<batch>`; readers take the newest that is whole (`read_latest`), so
-    there is always one, also after a crash.
+    Answers go to two slots in turn, each with its number as `version`; readers take the newest that is whole
+    (`read_latest`). An answer replaces the one before the last, so there is always one, also after a crash, and never more
+    than two. A reader has the time of a batch to read it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        numbered = batch.withColumn("version", F.lit(batch_id).cast("long"))
+        numbered.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
     return write
 
 
 def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
     """The newest whole version of a table of `latest_sink`."""
-    # the committer moves a version's files in place at its end; an answer never gets fewer rows than none
+    # the committer moves an answer's files in place at its end; an answer never gets fewer rows than none
     versions = spark.read.schema(T.StructType([*schema.fields]).add("version", T.LongType())).parquet(path)
     newest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == newest).drop("version")
+    return versions.filter(F.col("version") == newest).drop("version", "slot")
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:

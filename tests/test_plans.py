@@ -1,11 +1,13 @@
 """What the physical plans must and must not hold, and the whole way from boxes to events."""
 
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from laneflow import app, schemas
+from laneflow.config import HISTORY_MIN_ROWS
 from laneflow.operators import blocks, detections, tracker, trajectories, tripwires
 from laneflow.plans import queries, views
 from laneflow.sources.cameras import cameras_dim, positions_calibrated
@@ -148,6 +150,49 @@ def test_boxes_to_events(spark, folder):
     assert (step.previous, step.current, step.crossed_1, step.crossed_2) == (1192, 1200, False, True)
 
 
+def moving_car(spark, frames):
+    rows = [("IC_Papagou", f, 0, 700 + 8 * f, 100, 120, 80, 8000.0, None) for f in range(1, frames + 1)]
+    return spark.createDataFrame(rows, schemas.DETECTIONS)
+
+
+def test_a_second_attempt_replaces_the_first(spark, folder):
+    """The same files again leave each event, alert and message once; further files are a run of their own."""
+    moving_car(spark, 59).write.parquet(folder + "/boxes")
+    command = ["events", "--boxes", folder + "/boxes", "--work", folder + "/work", "--out", folder + "/events",
+               "--alerts", folder + "/alerts", "--topics", folder + "/topics"]
+    app.main(spark, command)
+    messages = spark.read.text(folder + "/topics").count()
+    app.main(spark, command)
+    table = sinks.read_table(spark, folder + "/events", schemas.VEHICLE_EVENTS_TABLE)
+    assert (table.count(), spark.read.text(folder + "/topics").count()) == (1, messages)
+    moving_car(spark, 59).write.mode("append").parquet(folder + "/boxes")
+    assert app.run_number(spark.read.parquet(folder + "/boxes")) != table.first().batch_id >= app.FIRST_RUN
+
+
+def test_live_command_ends_a_feed(spark, folder):
+    """The event of the last frame comes when the feed's end arrives."""
+    moving_car(spark, HISTORY_MIN_ROWS).write.parquet(folder + "/boxes")
+    ends = "camera_name string, side string"
+    spark.createDataFrame([], ends).write.parquet(folder + "/ends")
+    command = ["live", "--boxes", folder + "/boxes", "--work", folder + "/work", "--out", folder + "/events", "--ends", folder + "/ends"]
+    counts = []
+    for row in (None, ("IC_Papagou", "R")):
+        if row:
+            spark.createDataFrame([row], ends).write.mode("append").parquet(folder + "/ends")
+        app.main(spark, command)
+        counts.append(sinks.read_table(spark, folder + "/events", schemas.VEHICLE_EVENTS_TABLE).count())
+    assert counts == [0, 1]
+
+
+def test_latest_answers_take_two_slots(spark, folder):
+    write = sinks.latest_sink(folder)
+    for batch in (0, 1, 2, 3, 4, 4):
+        write(spark.createDataFrame([(batch, "x")] * (batch + 1), "n int, slot_name string"), batch)
+        answer = sinks.read_latest(spark, folder, spark.createDataFrame([], "n int, slot_name string").schema)
+        assert answer.columns == ["n", "slot_name"] and [r.n for r in answer.collect()] == [batch] * (batch + 1)
+    assert sorted(f for f in os.listdir(folder) if f.startswith("slot")) == ["slot=0", "slot=1"]
+
+
 def test_report_command(spark, folder):
     views.tracked_boxes(spark, SF).write.parquet(folder + "/boxes")
     app.main(spark, ["report", "--boxes", folder + "/boxes", "--out", folder + "/report"])
