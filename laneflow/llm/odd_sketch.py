@@ -146,11 +146,16 @@ def _confirmed(pairs: DataFrame, bodies: DataFrame, settings: NearSettings) -> D
             keep = [_similar(_set_of(x.as_py(), settings.words), _set_of(y.as_py(), settings.words), settings.percent) for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wide = pairs.join(bodies.select(F.col("id").alias("a"), F.col("body").alias("left")), "a").join(
-        bodies.select(F.col("id").alias("b"), F.col("body").alias("right")), "b").select("a", "b", "left", "right")
+    wide = pairs.join(_texts_of(bodies, pairs, "a", "left"), "a").join(_texts_of(bodies, pairs, "b", "right"), "b").select("a", "b", "left", "right")
     return wide.mapInArrow(run, pairs.select("a", "b").schema)
 
 
+def _texts_of(bodies: DataFrame, rows: DataFrame, id_: str, name: str = "body") -> DataFrame:
+    """One text for each id in rows: (id_, name). Only texts that rows ask for travel, and once: where ids are made unique, the join finds them."""
+    asked, _ = may_hold(bodies, "id", rows, id_)
+    return asked.groupBy(F.col("id").alias(id_)).agg(F.min("body").alias(name))
+
+
 def _mixed_links(members: DataFrame, settings: NearSettings) -> DataFrame:
     """Confirmed links between components that share large buckets: (a, b), no more of a step than join its components.
 
@@ -235,13 +240,13 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) ->
     near = table(near, "near")
     large = filled.where(F.col("n") > settings.small)
     wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(large.select(F.col("id").alias("doc_id"))).distinct()
-    asked, _ = may_hold(docs.select("doc_id", "text"), "doc_id", wanted, "doc_id")
-    bodies = table(_bodies(asked.join(wanted, "doc_id", "left_semi")).dropDuplicates(["id"]), "bodies")
-    first = _confirmed(near.groupBy("a").agg(F.min("b").alias("b")), bodies, settings)
+    # texts of some other ids come along by chance; they cost a little room, where a join would send all texts
+    bodies = table(_bodies(may_hold(docs.select("doc_id", "text"), "doc_id", wanted, "doc_id")[0]), "bodies")
+    first = _confirmed(table(near.groupBy("a").agg(F.min("b").alias("b")), "nearest"), bodies, settings)
     first = table(first, "confirmed")
     found = table(components(first), "components")
     named = lambda df, c, to: df.join(found.select(F.col("id").alias(c), F.col("component_id").alias("_to")), c, "left").withColumn(to, F.coalesce("_to", c)).drop("_to")
-    rest = named(named(near, "a", "ca"), "b", "cb").where("ca != cb").select("a", "b")
+    rest = table(named(named(near, "a", "ca"), "b", "cb").where("ca != cb").select("a", "b"), "rest")
     second = _confirmed(rest, bodies, settings)
     crowd = named(named(large.select("key", "id", "low"), "id", "component"), "low", "lead")
     uneven = crowd.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
@@ -249,7 +254,7 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) ->
     if not crowd.isEmpty():
         groups = components(crowd.select(F.col("id").alias("a"), F.col("low").alias("b"))).withColumnRenamed("component_id", "crowd")
         crowd = named(groups.join(crowd.select("id", "component").distinct(), "id"), "crowd", "lead")
-        second = second.unionByName(_mixed_links(crowd.join(sketches, "id").join(bodies, "id"), settings))
+        second = second.unionByName(_mixed_links(crowd.join(sketches, "id").join(_texts_of(bodies, crowd, "id"), "id"), settings))
     second = table(second, "confirmed-rest")
     if not second.isEmpty():
         found = table(components(first.unionByName(second)), "components")
