@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laneflow.llm.store import table
+from laneflow.llm.store import may_hold, table
 
 
 @dataclass(frozen=True)
@@ -20,7 +20,7 @@ class ChunkSettings:
 
 
 def chunked(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
-    """Adds `_chunks`: the lines of text in runs, as array<struct<text, lines, solid>>.
+    """Adds `_chunks`: the lines of text in runs, as array<struct<text, lines, solid, at>>; at is the number of the first line.
 
     The rolling hash at a line is the hash of the hashes of this line and the one before. A chunk starts at a line whose
     rolling hash is small, unless that of the line before is small too. So a boundary depends on three lines alone:
@@ -35,9 +35,9 @@ def chunked(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataF
         F.get("_small", i) & ~F.get("_small", i - 1))))
     runs = F.transform("_starts", lambda at, i: F.slice("_lines", at + 1, F.coalesce(F.get("_starts", i + 1), F.size("_lines")) - at))
     out = out.withColumn("_runs", runs)
-    return out.withColumn("_chunks", F.transform("_runs", lambda run: F.struct(
+    return out.withColumn("_chunks", F.transform("_runs", lambda run, i: F.struct(
         F.array_join(run, "\n").alias("text"), F.size(run).alias("lines"),
-        F.size(F.filter(run, lambda line: F.trim(line) != "")).alias("solid")))).drop("_lines", "_hashes", "_small", "_starts", "_runs")
+        F.size(F.filter(run, lambda line: F.trim(line) != "")).alias("solid"), F.get("_starts", i).alias("at")))).drop("_lines", "_hashes", "_small", "_starts", "_runs")
 
 
 def repeated_chunks(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
@@ -75,26 +75,71 @@ def line_dedup(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> Da
         lines(gone).alias("n_removed_lines"), F.size("_chunks").alias("n_chunks"), F.size("_gone").alias("n_removed_chunks"))
 
 
+#: A run of lines as one number: its first line times this, and its last line.
+_CODE = 1 << 31
+
+
+def _runs(rows: DataFrame, text: str, settings: ChunkSettings) -> DataFrame:
+    """Adds `_lines` of the text and `_runs`, its runs of `min_lines` solid lines with the blank ones between, in the form of _CODE."""
+    rows = rows.withColumn("_lines", F.split(F.coalesce(text, F.lit("")), "\n", -1))
+    rows = rows.withColumn("_solid", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.trim(F.get("_lines", i)) != ""))
+    begins = F.slice("_solid", 1, F.greatest(F.size("_solid") - (settings.min_lines - 1), F.lit(0)))
+    return rows.withColumn("_runs", F.transform(
+        begins, lambda at, i: at.cast("long") * _CODE + F.get("_solid", i + settings.min_lines - 1))).drop("_solid")
+
+
+def _later(rows: DataFrame, name: str, settled: DataFrame | None = None) -> DataFrame:
+    """Of rows (doc_id, at, body, key, ...) those whose body stands at an earlier (doc_id, at) too, byte for byte.
+
+    Bodies meet by hash (key) first: a map of the hashes that repeat is broadcast, so that other bodies never travel. Then equal
+    bytes are counted as one group. A hot group is pre-aggregated, and the join back can be split. settled: keys of rows that are
+    known to be later ones, each as often as it is known; where no two others have a key, its rows may be left out.
+    """
+    found = rows.select("key", F.lit(1).alias("n"))
+    if settled is not None:
+        found = found.unionByName(settled.select("key", F.lit(-1).alias("n")))
+    often = found.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+    again = table(may_hold(rows, "key", often, "key")[0], name)
+    first = again.groupBy("key", "body").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    return again.join(first.select("key", "body", "first"), ["key", "body"]).where(~F.struct("doc_id", "at").eqNullSafe(F.col("first")))
+
+
+def _bodies(rows: DataFrame) -> DataFrame:
+    """Rows with `_lines` and `_runs` to one row (doc_id, at, run, body, key) for each run; at: its first line in `_lines`."""
+    body = lambda run: F.array_join(F.slice("_lines", F.shiftright(run, 31).cast("int") + 1, (
+        run.bitwiseAND(_CODE - 1) - F.shiftright(run, 31)).cast("int") + 1), "\n")
+    kept = [c for c in rows.columns if c not in ("_lines", "_runs")]
+    out = rows.select(*kept, F.explode(F.transform("_runs", lambda run: F.struct(run.alias("run"), body(run).alias("body")))).alias("one"))
+    return out.select(*kept, "one.*").select(
+        *kept, F.shiftright("run", 31).cast("int").alias("at"), "run", "body", F.xxhash64("body").alias("key"))
+
+
+def _seeds(docs: DataFrame, settings: ChunkSettings) -> DataFrame:
+    """(doc_id, run, key): the runs of solid lines inside the chunks that an earlier place has too, and the hashes of their text."""
+    chunks = chunked(docs.select("doc_id", "text"), settings).select(
+        "doc_id", F.explode(F.filter("_chunks", lambda chunk: chunk["solid"] >= settings.min_lines)).alias("chunk"))
+    chunks = chunks.select("doc_id", F.col("chunk.at").alias("at"), F.col("chunk.text").alias("body"), F.xxhash64("chunk.text").alias("key"))
+    inside = _runs(_later(chunks, "repeated-chunks").select("doc_id", F.col("at").alias("chunk_at"), "body"), "body", settings)
+    runs = _bodies(inside.select("doc_id", "chunk_at", "_lines", "_runs"))
+    return runs.select("doc_id", (F.col("run") + F.col("chunk_at").cast("long") * (_CODE + 1)).alias("run"), "key")
+
+
 def repeated_spans(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
     """(doc_id, gone): the numbers of the lines that stand in a run of `min_lines` solid lines which an earlier place has too.
 
-    Earlier: smaller (doc_id, line); rows without doc_id take no part. A run has its blank lines with it and begins at every solid line, so that a passage of
-    any length and place is found whole, lines at its edges too. Runs meet by their sha256, which stands for their bytes;
-    equal ones are pre-aggregated, and the join back can be split.
+    Earlier: smaller (doc_id, line); rows without doc_id take no part. Content-defined chunks that repeat are the seeds:
+    all their runs are gone. A seed grows run by run over its edges, and a passage too short to hold a chunk is
+    found, by the runs that lie in no seed: each solid line begins one, with its blank lines, so that a passage of any length
+    and place is found whole. The first place of a run lies in no seed, so a run that has no other place outside of seeds is settled
+    by them. Chunks and runs meet by hash, then by their bytes.
     """
-    lines = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("_lines"))
-    lines = lines.withColumn("_solid", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.trim(F.get("_lines", i)) != ""))
-    begins = F.slice("_solid", 1, F.greatest(F.size("_solid") - (settings.min_lines - 1), F.lit(0)))
-    lines = lines.withColumn("_spans", F.transform(begins, lambda at, i: F.struct(
-        at.alias("at"), F.get("_solid", i + settings.min_lines - 1).alias("last"))))
-    rows = lines.select("doc_id", F.explode(F.transform("_spans", lambda span: F.struct(
-        span["at"].alias("at"), span["last"].alias("last"),
-        F.unhex(F.sha2(F.array_join(F.slice("_lines", span["at"] + 1, span["last"] - span["at"] + 1), "\n"), 256)).alias("key")))).alias("span"))
-    rows = rows.select("doc_id", "span.*")
-    first = rows.groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = rows.join(first.select("key", "first"), "key").where(~F.struct("doc_id", "at").eqNullSafe(F.col("first")))
-    spans = again.groupBy("doc_id").agg(F.collect_set(F.struct("at", "last")).alias("spans"))
-    return spans.select("doc_id", F.array_distinct(F.flatten(F.transform("spans", lambda span: F.sequence(span["at"], span["last"])))).alias("gone"))
+    docs = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    seeds = table(_seeds(docs, settings), "seeds")
+    runs = _bodies(_runs(docs, "text", settings).select("doc_id", "_lines", "_runs"))
+    every = _later(runs, "repeated-runs", seeds).select("doc_id", "run").unionByName(seeds.select("doc_id", "run"))
+    gone = every.groupBy("doc_id").agg(F.collect_set("run").alias("runs"))
+    lines = F.transform("runs", lambda run: F.sequence(F.shiftright(run, 31).cast("int"), run.bitwiseAND(_CODE - 1).cast("int")))
+    return gone.select("doc_id", F.array_distinct(F.flatten(lines)).alias("gone"))
 
 
 def drop_repeats(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:

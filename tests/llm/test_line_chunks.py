@@ -99,3 +99,27 @@ def test_rows_without_id_are_no_first_place(spark):
     docs = spark.createDataFrame([(None, "x1\nx2"), (1, "x1\nx2"), (3, "x1\nx2")], "doc_id long, text string")
     assert {r.doc_id: r.n_removed_chunks for r in line_chunks.line_dedup(docs).collect()} == {None: 0, 1: 0, 3: 1}
     assert {r.doc_id for r in line_chunks.drop_repeats(docs).collect()} == {None, 1}
+
+
+def test_chunks_are_the_seeds(spark):
+    """The line stage finds a passage by its content-defined chunks; runs of lines are left to the edges."""
+    block = [f"line {i} of the block" for i in range(40)]
+    docs = spark.createDataFrame([(1, "\n".join(block)), (2, "\n".join(["x", "y", "z", *block, "end"]))], "doc_id long, text string")
+    seeds = line_chunks._seeds(docs, line_chunks.ChunkSettings()).collect()
+    found = sorted((r.run >> 31, r.run & (1 << 31) - 1) for r in seeds)
+    assert {r.doc_id for r in seeds} == {2} and len(found) >= 15
+    assert all(3 <= at and last == at + 1 < 43 for at, last in found)
+    out = {r.doc_id: r.text for r in line_chunks.drop_repeats(docs).collect()}
+    assert out == {1: "\n".join(block), 2: "x\ny\nz\nend"}
+
+
+@pytest.mark.parametrize("lines", [4, 30])
+def test_bytes_decide_not_hashes(spark, monkeypatch, lines):
+    """With one hash for all, chunks and runs are still told apart."""
+    monkeypatch.setattr(line_chunks.F, "xxhash64", lambda *columns: line_chunks.F.lit(7).cast("long"))
+    monkeypatch.setattr(line_chunks.F, "sha2", lambda *columns: line_chunks.F.lit("00"))
+    rng = random.Random(lines)
+    texts = {k: "\n".join(rng.choice("abcdefgh") for _ in range(lines)) for k in range(20)}
+    texts[20] = "x\n" + texts[3]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_chunks.drop_repeats(docs).collect()} == plain_repeats(texts)
