@@ -54,44 +54,65 @@ def _steps_over(previous: np.ndarray, current: np.ndarray, line: int) -> np.ndar
     return (previous < line) != (current < line)
 
 
-def resolve_track(history: list[int], first_frame: int | None, rows: pd.DataFrame, fps: float) -> tuple:
-    """New history, first crossing, and the resolved event of a track or None, after further positions."""
-    xs = np.concatenate([np.asarray(history, np.int64), rows["cx"].to_numpy(np.int64)])
-    at = np.arange(len(history), len(xs))
-    frames = rows["frame_id"].to_numpy(np.int64)
-    lines = rows[["first_line", "second_line"]].iloc[0]
-    previous = xs[np.maximum(at - 1, 0)]
+def resolve_tracks(histories: list[list[int]], firsts: list[int | None], sizes: np.ndarray, frames: np.ndarray, xs: np.ndarray,
+                   lines: tuple[int, int], px_per_m: np.ndarray | float, fps: float) -> tuple:
+    """Further positions of some tracks, track after track and in order of frames, `sizes` of each one.
+
+    The new histories and first crossings of the tracks; and, one for each track, the number of the row that gives its event
+    (that of rows where none does), whether it has crossed both lines there, its speed by displacement, and its shift if it has
+    enough rows to tell a way.
+    """
+    none = np.iinfo(np.int64).max
+    sizes, xs = np.asarray(sizes, np.int64), xs.astype(np.int64)
+    had = np.array([len(h) for h in histories], np.int64)
+    head, track = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
+    # all positions that are known, those of the histories before the new ones
+    place = np.arange(len(xs)) + np.cumsum(had)[track]
+    known_xs = np.empty(len(xs) + int(had.sum()), np.int64)
+    old = np.ones(len(known_xs), bool)
+    old[place] = False
+    known_xs[place], known_xs[old] = xs, np.concatenate([np.zeros(0, np.int64), *[np.asarray(h, np.int64) for h in histories if len(h)]])
+    at = np.arange(len(xs)) - head[track] + had[track]
     moved = at > 0
-    over_1 = moved & _steps_over(previous, xs[at], lines["first_line"])
-    over_2 = moved & _steps_over(previous, xs[at], lines["second_line"])
-    if first_frame is None and over_1.any():
-        first_frame = int(frames[over_1.argmax()])
-    laps = over_2 & (frames > first_frame) if first_frame is not None else np.zeros(len(at), bool)
+    previous = known_xs[place - moved]
+    over_1, over_2 = (moved & _steps_over(previous, xs, line) for line in lines)
+    first = np.array([none if f is None else f for f in firsts], np.int64)
+    first = np.where(first != none, first, np.minimum.reduceat(np.where(over_1, frames, none), head))
+    laps = over_2 & (frames > first[track])
 
     # `history` holds all positions of a young track, so counting from its start is right
     n = np.minimum(at + 1, HISTORY_ROWS)
-    shift = xs[at] - xs[at + 1 - n]
-    scale = rows["px_per_m"].to_numpy(float)
+    shift = xs - known_xs[place + 1 - n]
     with np.errstate(divide="ignore", invalid="ignore"):
-        speed = np.abs(shift) / (n - 1) / scale * fps * KMH_PER_MS
+        speed = np.abs(shift) / (n - 1) / px_per_m * fps * KMH_PER_MS
     valid = (n >= HISTORY_MIN_ROWS) & (speed > SPEED_LOW_KMH) & (speed < SPEED_HIGH_KMH)
+    row = np.minimum.reduceat(np.where(laps | valid, np.arange(len(xs)), len(xs)), head)
+    some = np.minimum(row, len(xs) - 1)
+    way = np.where((n[some] >= MOVEMENT_MIN_ROWS) & (np.abs(shift[some]) > MOVEMENT_PX), shift[some], 0)
+    ends = np.cumsum(sizes + had)
+    kept = [known_xs[max(end - own, end - HISTORY_ROWS + 1) : end].tolist() for end, own in zip(ends.tolist(), (sizes + had).tolist())]
+    return kept, [None if f == none else f for f in first.tolist()], row, laps[some], speed[some], way
+
+
+def _event(kind: str | None, first: int | None, frame: int, crossed: bool, speed: float, way: int, dist_m: float, direction: str, fps: float) -> tuple:
+    """What an event tells, from the kind of the vehicle on."""
+    kind, way = kind if isinstance(kind, str) else "unknown", "right" if way > 0 else "left" if way < 0 else "unknown"
+    if crossed:
+        return kind, dist_m / ((frame - first) / fps) * KMH_PER_MS, direction, way, "tripwire", first / fps, frame
+    return kind, speed, direction, way, "displacement", 0.0, frame
+
 
+def resolve_track(history: list[int], first_frame: int | None, rows: pd.DataFrame, fps: float) -> tuple:
+    """New history, first crossing, and the resolved event of a track or None, after further positions."""
+    frames = rows["frame_id"].to_numpy(np.int64)
+    histories, firsts, at, crossed, speed, way = resolve_tracks(
+        [history], [first_frame], np.array([len(rows)]), frames, rows["cx"].to_numpy(np.int64),
+        tuple(rows[["first_line", "second_line"]].iloc[0]), rows["px_per_m"].to_numpy(float), fps)
     event = None
-    known = laps | valid
-    if known.any():
-        i = int(known.argmax())
-        row = rows.iloc[i]
-        way = "unknown"
-        if n[i] >= MOVEMENT_MIN_ROWS and abs(shift[i]) > MOVEMENT_PX:
-            way = "right" if shift[i] > 0 else "left"
-        kind = row["vehicle_type"] if isinstance(row["vehicle_type"], str) else "unknown"
-        if laps[i]:
-            seconds = (frames[i] - first_frame) / fps
-            event = (kind, row["dist_m"] / seconds * KMH_PER_MS, row["direction"], way, "tripwire",
-                     first_frame / fps, int(frames[i]))
-        else:
-            event = (kind, float(speed[i]), row["direction"], way, "displacement", 0.0, int(frames[i]))
-    return [int(x) for x in xs[1 - HISTORY_ROWS:]], first_frame, event
+    if at[0] < len(rows):
+        row = rows.iloc[at[0]]
+        event = _event(row["vehicle_type"], firsts[0], int(frames[at[0]]), crossed[0], float(speed[0]), way[0], row["dist_m"], row["direction"], fps)
+    return histories[0], firsts[0], event
 
 
 def resolved_stream(calibrated: DataFrame, fps: float = FPS, idle_ms: int | None = IDLE_MS) -> DataFrame:
@@ -130,7 +151,66 @@ def resolved_stream(calibrated: DataFrame, fps: float = FPS, idle_ms: int | None
 
 
 ASSIGNED = "camera_name string, side string, track_id long, frame_id long, cx int, cy int, coasting boolean"
-_NO_BOXES = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("frame_id", "box_id", "cx", "cy")})
+# Boxes that a keyed task of a stream walks at once: what it holds beside the numbers of a batch's boxes doesn't grow with the batch.
+PIECE_BOXES = 8_192
+
+
+class _Boxes:
+    """The boxes of one key in one batch, as plain numbers in the order of frames and box_id; of a tie the earlier one comes first.
+
+    A batch may hold hours of a feed. Its rows come in small frames; only their numbers are kept, 20 to 30 bytes a box.
+    """
+
+    def __init__(self, columns: list[str]):
+        self.size, self.held = 0, {c: np.zeros(0, np.int32) for c in columns}
+
+    def add(self, rows: pd.DataFrame) -> None:
+        """Copies the numbers, into arrays that grow by half: a view would hold the whole frame."""
+        size = self.size + len(rows)
+        for c in self.held:
+            new = rows[c].to_numpy()
+            old = self.held[c] = self.held[c].astype(np.promote_types(self.held[c].dtype, new.dtype), copy=False)
+            if size > len(old):
+                old.resize(size + size // 2, refcheck=False)
+            old[self.size : size] = new
+        self.size = size
+
+    def sort(self) -> None:
+        order = np.lexsort((self.held["box_id"][: self.size], self.held["frame_id"][: self.size]))
+        for c in self.held:
+            self.held[c] = self.held[c][order]
+        self.held["frame_id"] = self.held["frame_id"].astype(np.int64, copy=False)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def newest(self, whole_frames: bool) -> int:
+        """The first frame that is not done."""
+        last = int(self.held["frame_id"][-1])
+        return min(last + 1, END_OF_FEED) if whole_frames else last
+
+    def part(self, low: int, high: int) -> dict[str, np.ndarray]:
+        return {c: v[low:high] for c, v in self.held.items()}
+
+    def rest(self, newest: int) -> dict[str, np.ndarray]:
+        """The boxes of the frame that is not done."""
+        return self.part(len(self) if newest == END_OF_FEED else int(np.searchsorted(self.held["frame_id"], newest)), len(self))
+
+    def pieces(self, newest: int) -> Iterator[dict[str, np.ndarray]]:
+        """The boxes before the frame newest, some whole frames at a time."""
+        frames = self.held["frame_id"]
+        at, end = 0, int(np.searchsorted(frames, newest))
+        while at < end:
+            stop = int(np.searchsorted(frames, frames[min(at + PIECE_BOXES, end) - 1], side="right"))
+            yield self.part(at, stop)
+            at = stop
+
+
+def _walked(tracks: Tracks, piece: dict[str, np.ndarray], done: int | None, max_dist: float, max_lost: int) -> pd.DataFrame:
+    points = np.stack([piece["cx"], piece["cy"]], axis=1).astype(np.int64)
+    return rows_of(walk(tracks, piece["frame_id"], points, done, None, max_dist, max_lost))
+
+
 _TRACKER_STATE = ("next_id long, ids array<long>, xs array<long>, ys array<long>, lost array<long>, done long, "
                   "waiting_frame long, waiting_xs array<long>, waiting_ys array<long>")
 
@@ -148,38 +228,35 @@ def tracks_stream(centred: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost:
     """
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        tracks, done = Tracks(), None
-        rows = _NO_BOXES if state.hasTimedOut else pd.concat(list(batches))
+        tracks, done, boxes = Tracks(), None, _Boxes(["frame_id", "box_id", "cx", "cy"])
         if state.exists:
             next_id, ids, xs, ys, lost, done, frame, waiting_xs, waiting_ys = state.get
             tracks = Tracks(next_id, _whole(ids), np.stack([_whole(xs), _whole(ys)], axis=1), _whole(lost))
-            waiting = pd.DataFrame({"frame_id": frame, "box_id": np.arange(len(waiting_xs)) - len(waiting_xs),
-                                    "cx": waiting_xs, "cy": waiting_ys})
-            rows = pd.concat([waiting, rows])
-        if done is not None:
-            late = rows[rows["frame_id"] <= done]
-            rows = rows[rows["frame_id"] > done]
+            boxes.add(pd.DataFrame({"frame_id": np.full(len(waiting_xs), frame, np.int64), "box_id": np.arange(len(waiting_xs)) - len(waiting_xs),
+                                    "cx": _whole(waiting_xs), "cy": _whole(waiting_ys)}))
+        for rows in () if state.hasTimedOut else batches:
+            late = rows[rows["frame_id"] <= done] if done is not None else rows[:0]
             if with_late and len(late):
                 yield pd.DataFrame({"camera_name": key[0], "side": key[1], "track_id": pd.Series(pd.NA, late.index, "Int64"),
                                     "frame_id": late["frame_id"], "cx": late["cx"], "cy": late["cy"], "coasting": False, "late": True})
-        rows = rows.sort_values(["frame_id", "box_id"], kind="stable")
-        if not len(rows):
+            boxes.add(rows[rows["frame_id"] > done] if len(late) else rows)
+        boxes.sort()
+        if not len(boxes):
             return
         # a camera that has fallen silent sends no more of its last frame
-        newest = _newest(rows, state.hasTimedOut or whole_frames)
-        ready, rest = rows[rows["frame_id"] < newest], rows[(rows["frame_id"] == newest) & (newest < END_OF_FEED)]
-        out = rows_of(walk(tracks, ready["frame_id"].to_numpy(), ready[["cx", "cy"]].to_numpy(np.int64), done, None,
-                           max_dist, max_lost))
-        if len(ready):
-            done = int(ready["frame_id"].iloc[-1])
+        newest = boxes.newest(state.hasTimedOut or whole_frames)
+        for piece in boxes.pieces(newest):
+            out = _walked(tracks, piece, done, max_dist, max_lost)
+            done = int(piece["frame_id"][-1])
+            out.insert(0, "side", key[1])
+            out.insert(0, "camera_name", key[0])
+            yield out.assign(late=False) if with_late else out
+        rest = boxes.rest(newest)
         state.update((tracks.next_id, tracks.ids.tolist(), tracks.points[:, 0].tolist(),
                       tracks.points[:, 1].tolist(), tracks.lost.tolist(), done, newest,
                       rest["cx"].astype(int).tolist(), rest["cy"].astype(int).tolist()))
-        if idle_ms is not None and len(rest):
+        if idle_ms is not None and len(rest["cx"]):
             state.setTimeoutDuration(idle_ms)
-        out.insert(0, "side", key[1])
-        out.insert(0, "camera_name", key[0])
-        yield out.assign(late=False) if with_late else out
 
     columns = ["camera_name", "side", "frame_id", "box_id", "cx", "cy"]
     return centred.select(*columns).groupBy("camera_name", "side").applyInPandasWithState(
@@ -200,50 +277,45 @@ def live_stream(boxes: DataFrame, max_dist: float = MAX_MATCH_PX, max_lost: int
     are done as in `tracks_stream`; boxes of frames that are done come out with `late` true, their `frame_id`, `box_id`, `cx`
     and `cy`, and no event.
     """
-    columns = ["frame_id", "box_id", "cx", "cy", "w", "h", "first_line", "second_line", "dist_m", "px_per_m", "direction"]
+    numbers = ["frame_id", "box_id", "cx", "cy", "w", "h"]
     scale = ["first_line", "second_line", "dist_m", "px_per_m", "direction"]
+    columns = numbers + scale
     names = [f.split()[0] for f in _LIVE.split(", ")]
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        tracks, vehicles, done, rows = Tracks(), {}, None, pd.concat(list(batches))
+        tracks, vehicles, done, boxes, scales = Tracks(), {}, None, _Boxes(numbers), []
         if state.exists:
             tracker, known, waiting = map(json.loads, state.get)
             tracks = Tracks(tracker["next"], _whole(tracker["ids"]), _whole(tracker["points"]).reshape(-1, 2), _whole(tracker["lost"]))
             done, vehicles = tracker["done"], {int(k): v for k, v in known.items()}
             if waiting:
-                rows = pd.concat([pd.DataFrame(waiting, columns=columns), rows[columns]])
-        if done is not None and (late := rows[rows["frame_id"] <= done]).shape[0]:
-            yield pd.DataFrame([(*key, *(None,) * 8, r.frame_id, True, r.box_id, r.cx, r.cy) for r in late.itertuples()], columns=names).astype(
-                {"track_id": "Int64", "speed_kmh": float, "timestamp_s": float})
-        rows = rows[columns] if done is None else rows.loc[rows["frame_id"] > done, columns]
-        rows = rows.sort_values(["frame_id", "box_id"], kind="stable")
-        if not len(rows):
+                boxes.add(pd.DataFrame(waiting, columns=columns))
+                scales.append(waiting[0][len(numbers):])
+        for rows in batches:
+            late = rows[rows["frame_id"] <= done] if done is not None else rows[:0]
+            if len(late):
+                yield pd.DataFrame([(*key, *(None,) * 8, r.frame_id, True, r.box_id, r.cx, r.cy) for r in late.itertuples()], columns=names).astype(
+                    {"track_id": "Int64", "speed_kmh": float, "timestamp_s": float})
+                rows = rows[rows["frame_id"] > done]
+            boxes.add(rows)
+            real = rows[rows["frame_id"] < END_OF_FEED]
+            if len(real) and len(scales) < 2:   # one camera and side has one scale: that of the held boxes, and the new one
+                scales.append(real[scale].iloc[0].tolist())
+        boxes.sort()
+        if not len(boxes):
             return
-        newest = _newest(rows, whole_frames)
-        ready, rest = rows[rows["frame_id"] < newest], rows[(rows["frame_id"] == newest) & (newest < END_OF_FEED)]
-        out, events = rows_of(walk(tracks, ready["frame_id"].to_numpy(), ready[["cx", "cy"]].to_numpy(np.int64), done, None, max_dist, max_lost)), []
-        in_frame = {frame: (own[["cx", "cy"]].to_numpy(np.int64), (own["w"] * own["h"] >= truck_area).to_numpy()) for frame, own in ready.groupby("frame_id")}
-        for track, own in out.groupby("track_id"):
-            history, first, kind, sent = vehicles.get(int(track), ([], None, None, False))
-            if not sent:
-                kinds = []
-                for frame, x, y in zip(own["frame_id"], own["cx"], own["cy"]):
-                    if frame in in_frame:
-                        centres, trucks = in_frame[frame]
-                        kind = "truck" if trucks[np.abs(centres - (x, y)).sum(axis=1).argmin()] else "car"
-                    kinds.append(kind)
-                own = own.assign(vehicle_type=kinds, **{c: rows[c].iloc[0] for c in scale})
-                history, first, event = resolve_track(history, first, own, fps)
-                if event is not None:
-                    sent = True
-                    events.append((*key, int(track), f"{key[1]}{track}", *event))
-            vehicles[int(track)] = (history, first, kind, sent)
-        vehicles = {int(i): vehicles[int(i)] for i in tracks.ids}
-        done = int(ready["frame_id"].iloc[-1]) if len(ready) else done
+        newest = boxes.newest(whole_frames)
+        for piece in boxes.pieces(newest):
+            out = _walked(tracks, piece, done, max_dist, max_lost)
+            done = int(piece["frame_id"][-1])
+            vehicles, events = _resolved(vehicles, out, tracks.ids, piece, scales[0], truck_area, fps)
+            if events:
+                yield pd.DataFrame([(*key, track, f"{key[1]}{track}", *event, False, None, None, None) for track, event in events], columns=names).astype(
+                    dict.fromkeys(("box_id", "cx", "cy"), "Int64"))
+        rest = boxes.rest(newest)
+        held = [[*row, *scales[-1]] for row in zip(*[rest[c].tolist() for c in numbers])]
         tracker = {"next": tracks.next_id, "ids": tracks.ids.tolist(), "points": tracks.points.tolist(), "lost": tracks.lost.tolist(), "done": done}
-        state.update((json.dumps(tracker), json.dumps(vehicles), json.dumps(rest.to_numpy(object).tolist(), default=lambda x: x.item())))
-        if events:
-            yield pd.DataFrame([(*event, False, None, None, None) for event in events], columns=names).astype(dict.fromkeys(("box_id", "cx", "cy"), "Int64"))
+        state.update((json.dumps(tracker), json.dumps(vehicles), json.dumps(held, default=lambda x: x.item())))
 
     return boxes.select("camera_name", "side", *columns).groupBy("camera_name", "side").applyInPandasWithState(
         advance, _LIVE, _LIVE_STATE, "append", GroupStateTimeout.NoTimeout)
@@ -253,7 +325,53 @@ def _whole(values) -> np.ndarray:
     return np.asarray(values, np.int64)
 
 
-def _newest(rows: pd.DataFrame, whole_frames: bool) -> int:
-    """The first frame that is not done, of rows in order of frames."""
-    last = int(rows["frame_id"].iloc[-1])
-    return min(last + 1, END_OF_FEED) if whole_frames else last
+def _resolved(vehicles: dict[int, tuple], out: pd.DataFrame, active: np.ndarray, boxes: dict[str, np.ndarray], scale: list, truck_area: int,
+              fps: float) -> tuple[dict[int, tuple], list[tuple]]:
+    """What is known of the active tracks after further rows of a walk, and the events (track, what it tells) among these rows.
+
+    vehicles: by track, its last positions, first crossing, class, and whether its event is out.
+    """
+    first_line, second_line, dist_m, px_per_m, direction = scale
+    sent = {track for track, known in vehicles.items() if known[3]}
+    ids, frames, xs, ys = (out[c].to_numpy() for c in ("track_id", "frame_id", "cx", "cy"))
+    order = np.argsort(ids, kind="stable")
+    order = order[~np.isin(ids[order], list(sent))] if sent else order
+    ids, frames, xs, ys = ids[order], frames[order], xs[order].astype(np.int64), ys[order].astype(np.int64)
+    kept = {track: vehicles[track] for track in active.tolist() if track in sent}
+    if not len(ids):
+        return kept, []
+    names, head, sizes = np.unique(ids, return_index=True, return_counts=True)
+    before = [vehicles.get(track, ([], None, None, False)) for track in names.tolist()]
+    histories, firsts, row, crossed, speed, way = resolve_tracks(
+        [h for h, *_ in before], [f for _, f, *_ in before], sizes, frames, xs, (first_line, second_line), px_per_m, fps)
+    has, events, stays = row < len(ids), [], set(active.tolist())
+    # the class is asked for where an event is, and else at the last row
+    kinds = _kinds(np.where(has, row, head + sizes - 1), head, frames, xs, ys, boxes, truck_area)
+    for i, track in enumerate(names.tolist()):
+        kind = kinds[i] or before[i][2]
+        if has[i]:
+            events.append((track, _event(kind, firsts[i], int(frames[row[i]]), crossed[i], float(speed[i]), way[i], dist_m, direction, fps)))
+        if track in stays:
+            kept[track] = ([], None, None, True) if has[i] else (histories[i], firsts[i], kind, False)
+    return kept, events
+
+
+def _kinds(rows: np.ndarray, head: np.ndarray, frames: np.ndarray, xs: np.ndarray, ys: np.ndarray, boxes: dict[str, np.ndarray],
+           truck_area: int) -> list[str | None]:
+    """The class of a track at one of its rows each: that of the nearest box, in the latest frame with boxes; None if that is not among its rows."""
+    numbers, first, many = np.unique(boxes["frame_id"], return_index=True, return_counts=True)
+    at = np.searchsorted(numbers, frames[rows], side="right") - 1
+    seen = np.flatnonzero((at >= 0) & (numbers[np.maximum(at, 0)] >= frames[head]))
+    kinds: list[str | None] = [None] * len(rows)
+    if not len(seen):
+        return kinds
+    at = at[seen]
+    then = rows[seen] - (frames[rows[seen]] - numbers[at])      # a track has a row in each frame
+    n = many[at]
+    begin = np.cumsum(n) - n
+    box = np.arange(n.sum()) - np.repeat(begin - first[at], n)
+    apart = np.abs(boxes["cx"][box] - np.repeat(xs[then], n)) + np.abs(boxes["cy"][box] - np.repeat(ys[then], n))
+    nearest = np.minimum.reduceat(np.where(apart == np.repeat(np.minimum.reduceat(apart, begin), n), box, len(boxes["cx"])), begin)
+    for i, truck in zip(seen.tolist(), (boxes["w"][nearest].astype(np.int64) * boxes["h"][nearest] >= truck_area).tolist()):
+        kinds[i] = "truck" if truck else "car"
+    return kinds

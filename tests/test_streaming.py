@@ -8,6 +8,7 @@ import sys
 import random
 from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -332,3 +333,74 @@ def test_sketches_of_batches_are_merged(spark, folder):
     assert {r.window_index: r.vehicle_count for r in sketches.vehicles_by(kept, "window_index").collect()} == {1: 5, 2: 2, 3: 1, 5: 1}
     spans = sketches.vehicles_by(sketches.with_span(kept, 2), "carriageway", "span").collect()
     assert {(r.carriageway, r.span): r.vehicle_count for r in spans} == {("x", 1): 7, ("x", 2): 1, ("x", 3): 1}
+
+
+class Keyed:
+    """Stands for a stream: gives out the keyed function that a streaming operator makes of it."""
+
+    def select(self, *columns):
+        return self
+
+    groupBy = select
+
+    def applyInPandasWithState(self, function, *how):
+        return function
+
+
+class KeptState:
+    exists, hasTimedOut, get = False, False, None
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+
+def feed_in_batches(frames, per_frame, rows_each):
+    """Frames of boxes out of order, as a keyed task gets them: a few rows at a time."""
+    rng, rows = random.Random(3), []
+    cars = [[rng.randrange(600), 60 * b] for b in range(per_frame)]
+    for f in range(frames):
+        for b, car in enumerate(cars):
+            car[0] = (car[0] + rng.choice([0, 9, 30])) % 640
+            if rng.random() < 0.8 and f % 50 < 40:
+                rows.append((f, b, car[0], car[1], 60 + 20 * b, 100, 100, 300, 28.0, 16.0, "x"))
+    rng.shuffle(rows)
+    columns = ["frame_id", "box_id", "cx", "cy", "w", "h", "first_line", "second_line", "dist_m", "px_per_m", "direction"]
+    return (pd.DataFrame(rows[i : i + rows_each], columns=columns) for i in range(0, len(rows), rows_each))
+
+
+@pytest.mark.parametrize("make", [state.tracks_stream, state.live_stream])
+def test_a_large_batch_is_walked_in_pieces(monkeypatch, make):
+    """What a keyed task gives out at once doesn't grow with its batch, and pieces of any size give the same rows and state."""
+    found = []
+    for size in (100, 1_000_000):
+        monkeypatch.setattr(state, "PIECE_BOXES", size, raising=False)
+        kept = KeptState()
+        parts = list(make(Keyed())(("cam", "L"), feed_in_batches(2000, 5, 300), kept))
+        rows = pd.concat(parts).astype(object)
+        found.append((sorted(map(str, rows.itertuples(index=False))), str(kept.get)))
+        assert len(rows) > 100
+        if size == 100:
+            assert len(parts) > 20 and max(map(len, parts)) < 2_000
+    assert found[0] == found[1]
+
+
+def test_many_tracks_at_once_are_each_as_alone():
+    rng = random.Random(9)
+    histories, firsts, tracks = [], [], []
+    for n in range(60):
+        histories.append([rng.randrange(400) for _ in range(rng.randrange(10))])
+        firsts.append(rng.choice([None, 3]) if histories[-1] else None)
+        tracks.append(pd.DataFrame({"frame_id": range(20, 20 + rng.randrange(1, 15)), "first_line": 100, "second_line": 300, "dist_m": 28.0,
+                                    "px_per_m": 16.0, "direction": "x", "vehicle_type": "car"}).assign(cx=lambda t: [rng.randrange(400) for _ in range(len(t))]))
+    sizes, all_rows = [len(t) for t in tracks], pd.concat(tracks)
+    kept, first, row, crossed, speed, way = state.resolve_tracks(
+        histories, firsts, sizes, all_rows["frame_id"].to_numpy(), all_rows["cx"].to_numpy(), (100, 300), 16.0, 25.0)
+    at = 0
+    for i, rows in enumerate(tracks):
+        history, first_frame, event = state.resolve_track(histories[i], firsts[i], rows, 25.0)
+        assert (history, first_frame) == (kept[i], first[i])
+        assert (event is not None) == (row[i] < len(all_rows))
+        if event is not None:
+            assert event[5 + 1] == all_rows["frame_id"].iloc[row[i]] and 0 <= row[i] - at < len(rows)
+            assert event[4] == ("tripwire" if crossed[i] else "displacement")
+        at += len(rows)
