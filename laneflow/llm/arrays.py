@@ -106,14 +106,23 @@ def word_spans(flat: np.ndarray, offsets: np.ndarray, separators: np.ndarray) ->
     return starts, np.flatnonzero(last) + 1, np.searchsorted(offsets, starts, side="right") - 1
 
 
+#: Spans that are hashed at once: short ones stay in a core's cache.
+SPANS_AT_ONCE = 2_048
+
+
 def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of each span; spans follow each other and aren't empty."""
     if not len(starts):
         return np.zeros(0, U64)
     lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(first[-1] + lengths[-1], dtype=np.int64) - np.repeat(first, lengths)
-    body = flat[place + np.repeat(starts, lengths)]
+    powers, sums = _powers(int(lengths.max())), np.empty(len(starts), U64)
+    for at in range(0, len(starts), SPANS_AT_ONCE):
+        some = slice(at, at + SPANS_AT_ONCE)
+        n = lengths[some]
+        first = np.cumsum(n) - n
+        place = np.arange(first[-1] + n[-1], dtype=np.int64) - np.repeat(first, n)
+        body = flat[place + np.repeat(starts[some], n)]
+        with np.errstate(over="ignore"):
+            sums[some] = np.add.reduceat(_BYTE[body] * powers[place], first)
     with np.errstate(over="ignore"):
-        sums = np.add.reduceat(_BYTE[body] * _powers(int(lengths.max()))[place], first)
         return mix(sums + lengths.astype(U64) * U64(0xD6E8FEB86659FD93))

@@ -31,8 +31,14 @@ class RepeatSettings:
 _BYTE = salts(256, seed=29)
 
 
+# Bytes whose grams are hashed at once: they stay in a core's cache.
+_GRAMS_AT_ONCE = 1 << 15
+
+
 def _grams(flat: np.ndarray, gram: int) -> np.ndarray:
     """Hash of the gram that begins at each byte."""
+    if len(flat) >= 2 * _GRAMS_AT_ONCE:
+        return np.concatenate([_grams(flat[at : at + _GRAMS_AT_ONCE + gram - 1], gram) for at in range(0, len(flat) - gram + 1, _GRAMS_AT_ONCE)])
     hashes, step = _BYTE[flat], 1
     with np.errstate(over="ignore"):
         while step < gram:
@@ -214,6 +220,8 @@ def _contents(settings: RepeatSettings, parts: int):
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for number, ids, flat, offsets, row in _opened(batch):
+                if not row["places"]:
+                    continue
                 own = _Strings(ids, flat, offsets, row["places"], settings, parts)
                 if not own.groups:
                     continue
@@ -382,7 +390,8 @@ def repeated_bytes(docs: DataFrame, settings: RepeatSettings = RepeatSettings())
     places = table(anchors.groupBy("part").applyInArrow(_repeated, "batch long, places binary").groupBy("batch").agg(F.collect_list("places").alias("places")), "places")
     schema = ", ".join(f"{c} {'long' if t == pa.int64() else 'binary'}" for c, t in _CONTENT)
     named = blocks.join(places, "batch", "left")
-    contents = named.where("places is not null").mapInArrow(_contents(settings, parts), schema)
+    # the same rows as in the last step, so that blocks and places are exchanged once for both
+    contents = named.mapInArrow(_contents(settings, parts), schema)
     found = contents.groupBy("part").applyInArrow(_settled(settings), "batch long, part long, counts binary, least binary").groupBy("batch").agg(
         F.collect_list(F.struct("part", "counts", "least")).alias("found"))
     return named.join(found, "batch", "left").mapInArrow(

@@ -88,3 +88,16 @@ def test_edges(spark):
     assert sorted(x.n_removed for x in out if x.doc_id == 5) == [50, 50]
     assert [x.n_removed for x in out if x.doc_id is None] == [0] and [x.n_removed for x in out if x.doc_id == 6] == [51]
     assert r.repeated_bytes(df.limit(0)).count() == 0
+
+
+def test_blocks_are_exchanged_once(spark):
+    """The step that reads the strings and the last one share the exchange of blocks and places."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(i, "the same long text in every one of the documents, word for word " * 2) for i in range(20)], "doc_id long, text string")
+        out = r.repeated_bytes(docs)
+        assert sum(len(row.spans) for row in out.collect()) == 19
+        assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
