@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import exp, log, sqrt
 
 import numpy as np
@@ -156,33 +157,31 @@ def _texts_of(bodies: DataFrame, rows: DataFrame, id_: str, name: str = "body")
     return asked.groupBy(F.col("id").alias(id_)).agg(F.min("body").alias(name))
 
 
-def _mixed_links(members: DataFrame, settings: NearSettings) -> DataFrame:
-    """Confirmed links between components that share large buckets: (a, b), no more of a step than join its components.
+def _mixed_links(members: DataFrame, bodies: DataFrame, settings: NearSettings) -> DataFrame:
+    """Components (a, b) that share large buckets and have a confirmed link, no more rows of a step than join its components.
 
-    members: crowd (documents whose large buckets hang together), id, component, lead (component of the crowd's first),
-    sketch, n_shingles, body (the compressed text). Rows of the lead's component never meet each other; all others meet
-    everything, block by block, so no step holds more than two blocks, and none gives out pairs. Texts are opened only where
-    sketches are close enough.
+    members: crowd (the component of a large bucket's first; all large buckets whose first is in that component are one crowd),
+    id, component, n_shingles, sketch. bodies: the compressed texts. Rows of the crowd's own component never meet each other;
+    all others meet everything, block by block, so no step holds more than two blocks, and none gives out pairs. Texts are
+    opened only where sketches are close enough.
     """
-    rows = members.withColumn("minor", F.col("component") != F.col("lead"))
-    sizes = rows.groupBy("crowd").agg(
-        F.ceil(F.count_if("minor") / settings.block).cast("int").alias("minors"),
-        F.ceil(F.count_if(~F.col("minor")) / settings.block).cast("int").alias("majors")).where("minors > 0")
-    rows = rows.join(sizes, "crowd")
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    minor = F.col("component") != F.col("crowd")
+    sizes = members.groupBy("crowd").agg(
+        F.ceil(F.count_if(minor) / settings.block).cast("int").alias("minors"),
+        F.ceil(F.count_if(~minor) / settings.block).cast("int").alias("majors"))
+    own = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"))
-    one = rows.where("minor").withColumn("own", own("minors"))
-    among = F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda j: cell(0, F.least("own", j), F.greatest("own", j)))
-    # a crowd of minors only has no block to meet across
-    across = F.when(F.col("majors") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col("majors") - 1, F.lit(0))), lambda j: cell(1, F.col("own"), j))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
-    other = rows.where("not minor").withColumn("own", own("majors"))
-    names = ["crowd", "id", "component", "sketch", "n_shingles", "body"]
-    copies = one.select(*names, F.explode(F.concat(among, across)).alias("cell")).unionByName(
-        other.select(*names, F.explode(F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda i: cell(1, i, F.col("own")))).alias("cell")))
+    blocks = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    mine = own(F.col("minors"))
+    among = F.transform(blocks("minors"), lambda j: cell(0, F.least(mine, j), F.greatest(mine, j)))
+    across = F.transform(blocks("majors"), lambda j: cell(1, mine, j))
+    other = F.transform(blocks("minors"), lambda i: cell(1, i, own(F.col("majors"))))
+    cells = members.join(sizes, "crowd").withColumn("cells", F.when(minor, F.concat(among, across)).otherwise(other))
+    texts = _texts_of(bodies, members, "id")
+    copies = cells.join(texts, "id").select("crowd", "id", "component", "sketch", "n_shingles", "body", F.explode("cells").alias("cell"))
     most = settings.most_bits
 
     def links(rows: pa.Table) -> pa.Table:
-        ids = rows["id"].to_numpy()
         sketch = np.stack(rows["sketch"].to_pylist()).astype(np.int64).view(U64)
         sizes, bodies, sets = rows["n_shingles"].to_numpy(), rows["body"], {}
 
@@ -191,15 +190,16 @@ def _mixed_links(members: DataFrame, settings: NearSettings) -> DataFrame:
                 sets[i] = _set_of(bodies[i].as_py(), settings.words)
             return sets[i]
 
-        component = np.unique(rows["component"].to_numpy(), return_inverse=True)[1]
+        names, component = np.unique(rows["component"].to_numpy(), return_inverse=True)
+        whose = component.copy()
         a, b = [], []
-        for i in range(1, len(ids)):
+        for i in range(1, rows.num_rows):
             apart = np.bitwise_count(sketch[:i] ^ sketch[i]).sum(axis=1)
             fits = 100 * np.minimum(sizes[:i], sizes[i]) >= settings.percent * np.maximum(sizes[:i], sizes[i])
             for j in np.flatnonzero((apart <= most) & fits & (component[:i] != component[i])).tolist():
                 if component[i] != component[j] and _similar(own_set(i), own_set(j), settings.percent):
                     component[component == component[i]] = component[j]
-                    a.append(ids[i]), b.append(ids[j])
+                    a.append(names[whose[i]]), b.append(names[whose[j]])
         return pa.table({c: pa.array(x, rows["id"].type) for c, x in (("a", a), ("b", b))})
 
     kind = members.schema["id"].dataType.simpleString()
@@ -242,25 +242,27 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) ->
     wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(large.select(F.col("id").alias("doc_id"))).distinct()
     # texts of some other ids come along by chance; they cost a little room, where a join would send all texts
     bodies = table(_bodies(may_hold(docs.select("doc_id", "text"), "doc_id", wanted, "doc_id")[0]), "bodies")
-    first = _confirmed(table(near.groupBy("a").agg(F.min("b").alias("b")), "nearest"), bodies, settings)
-    first = table(first, "confirmed")
-    found = table(components(first), "components")
+    first = table(_confirmed(table(near.groupBy("a").agg(F.min("b").alias("b")), "nearest"), bodies, settings), "confirmed")
+    found = components(first)
     named = lambda df, c, to: df.join(found.select(F.col("id").alias(c), F.col("component_id").alias("_to")), c, "left").withColumn(to, F.coalesce("_to", c)).drop("_to")
     rest = table(named(named(near, "a", "ca"), "b", "cb").where("ca != cb").select("a", "b"), "rest")
-    second = _confirmed(rest, bodies, settings)
-    crowd = named(named(large.select("key", "id", "low"), "id", "component"), "low", "lead")
-    uneven = crowd.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-    crowd = table(crowd.join(uneven, "key", "left_semi").select("id", "low", "component").distinct(), "crowd")
-    if not crowd.isEmpty():
-        groups = components(crowd.select(F.col("id").alias("a"), F.col("low").alias("b"))).withColumnRenamed("component_id", "crowd")
-        crowd = named(groups.join(crowd.select("id", "component").distinct(), "id"), "crowd", "lead")
-        second = second.unionByName(_mixed_links(crowd.join(sketches, "id").join(_texts_of(bodies, crowd, "id"), "id"), settings))
-    second = table(second, "confirmed-rest")
-    if not second.isEmpty():
-        found = table(components(first.unionByName(second)), "components")
+    crowds = named(named(large.select("key", "id", "low"), "id", "component"), "low", "crowd").select("key", "id", "component", "crowd")
+    crowds = table(crowds, "crowds")
+    uneven = crowds.where("component != crowd").select("key").distinct()
+    members = crowds.join(uneven, "key", "left_semi").select("crowd", "id", "component").distinct()
+    members = table(members.join(sketches, "id"), "members")
+    second = []
+    if not rest.isEmpty():
+        second.append(named(named(table(_confirmed(rest, bodies, settings), "confirmed-rest"), "a", "ca"), "b", "cb").select("ca", "cb"))
+    if not members.isEmpty():
+        second.append(_mixed_links(members, bodies, settings).toDF("ca", "cb"))
     out = marked.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b", "n_shingles"], "left").join(
-        found.withColumnRenamed("id", "first"), "first", "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component_id", "first", "doc_id")).otherwise(F.col("doc_id"))
+        found.withColumnRenamed("id", "first"), "first", "left").withColumn("component_id", F.coalesce("component_id", "first"))
+    if second:
+        merged = components(reduce(DataFrame.unionByName, second), "ca", "cb")
+        out = out.withColumnRenamed("component_id", "ca").join(merged.withColumnRenamed("id", "ca"), "ca", "left").withColumn(
+            "component_id", F.coalesce("component_id", "ca"))
+    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).select(
         "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
